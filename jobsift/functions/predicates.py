@@ -24,26 +24,17 @@ def text_match(col, value: str, mode: str = "contains", collation: str | None =
     comparison case (and accent) insensitive; LIKE only accepts UTF8_LCASE.
     """
     c = _c(col)
-    v = F.lit(value)
     if collation:
         c = F.collate(c, collation)
-        v = F.collate(v, collation)
     if mode == "contains":
-        return F.contains(c, v)
+        return c.contains(value)
     if mode == "like":
-        return c.like(f"%{value}%") if not collation else F.expr(
-            f"collate({_sql_name(col)}, '{collation}') like collate('%' || ?, '{collation}')", value)
+        return c.like(f"%{value}%")
     if mode == "prefix":
-        return F.startswith(c, v)
+        return c.startswith(value)
     raise ValueError(f"unknown match mode {mode!r}")
 
 
-def _sql_name(col) -> str:
-    if not isinstance(col, str):
-        raise ValueError("collated LIKE needs a column name")
-    return f"`{col}`"
-
-
 def period_excluded(col="salary_period", match: str = "contains", negotiable: bool = True) -> Column:
     """True for yearly, hourly (and negotiable) pay texts.
 

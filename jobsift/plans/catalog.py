@@ -2,7 +2,7 @@
 
 Each entry binds one or more operators to the driver's tables through
 ``jobsift.bindings``; ``jobsift.plans.oracle.SQL`` holds the matching
-DuckDB statement under the same name.
+DuckDB statement under the same name. Every query reads whole tables.
 """
 
 from __future__ import annotations
@@ -10,10 +10,19 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from jobsift import bindings as B
+from jobsift import schema as S
 from jobsift.bindings import TEST_VOCAB as V
 from jobsift.bindings import Tables
-from jobsift.operators import market
+from jobsift.functions import dates as D
+from jobsift.functions import text as X
+from jobsift.operators import bookmarks, history, market, quality, related, search, sync, terms
+from jobsift.operators.search import SearchSpec
+from jobsift.session import scratch_path
+from jobsift.sources import html, landing
+from jobsift.streaming import jobs as streams
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -24,6 +33,416 @@ def query(fn):
     return fn
 
 
+# --- dashboard aggregates (A1-A5, A11, A13, R3, R4) --------------------------
+
 @query
 def region_salary(t: Tables) -> DataFrame:
     return market.region_salary(t.job, t.job_category, vocab=V)
+
+
+@query
+def region_salary_for_category(t: Tables) -> DataFrame:
+    return market.region_salary(t.job, t.job_category, category="LARGE", vocab=V)
+
+
+@query
+def region_salary_by_category(t: Tables) -> DataFrame:
+    return market.region_salary_by_category(t.job, t.job_category, vocab=V)
+
+
+@query
+def category_salary(t: Tables) -> DataFrame:
+    return market.category_salary(t.job, t.job_category, vocab=V)
+
+
+@query
+def edu_distribution(t: Tables) -> DataFrame:
+    return market.edu_distribution(t.job, vocab=V)
+
+
+@query
+def edu_distribution_by_category(t: Tables) -> DataFrame:
+    return market.edu_distribution_by_category(t.job, t.job_category, vocab=V)
+
+
+# --- history (A6, A7, A12, M7, R6, L2) ----------------------------------------
+
+@query
+def posting_snapshot(t: Tables) -> DataFrame:
+    return history.posting_snapshot(t.job, t.job_category, B.SYNC_LOAD_DATE, vocab=V)
+
+
+@query
+def posting_history(t: Tables) -> DataFrame:
+    return history.posting_history(t.job, t.job_category, vocab=V)
+
+
+@query
+def posting_share_series(t: Tables) -> DataFrame:
+    h = history.posting_history(t.job, t.job_category, vocab=V)
+    return history.category_share_series(h, history.resolve_category_column("LARGE", V))
+
+
+@query
+def posting_total_series(t: Tables) -> DataFrame:
+    return history.category_share_series(history.posting_history(t.job, t.job_category, vocab=V))
+
+
+@query
+def posting_long(t: Tables) -> DataFrame:
+    return history.history_long(history.posting_history(t.job, t.job_category, vocab=V), V)
+
+
+@query
+def posting_delta(t: Tables) -> DataFrame:
+    return history.history_delta(history.posting_history(t.job, t.job_category, vocab=V), V)
+
+
+@query
+def history_upsert(t: Tables) -> DataFrame:
+    """M7: the history of the stored snapshot, then today's rows upserted."""
+    old = history.posting_history(t.stored_jobs, t.stored_categories, vocab=V)
+    today = history.posting_history(t.batch_jobs, t.batch_categories, vocab=V)
+    return history.upsert_history(old, today)
+
+
+# --- search (P3-P9, P13, L3, L4) ----------------------------------------------
+
+SEARCH = SearchSpec(keyword="BUILDING", location="ASIA", salary="100000")
+
+
+@query
+def search_grouped(t: Tables) -> DataFrame:
+    return search.search(t.job, SEARCH)
+
+
+@query
+def search_reference_precedence(t: Tables) -> DataFrame:
+    return search.search(t.job, SearchSpec(keyword="BUILDING", location="ASIA", salary="100000",
+                                           precedence="reference"))
+
+
+@query
+def search_page(t: Tables) -> DataFrame:
+    return search.search_page(t.job, SearchSpec(keyword="BUILDING", location="ASIA",
+                                                salary="100000", page=3))
+
+
+@query
+def search_optional(t: Tables) -> DataFrame:
+    return search.search(t.job, SearchSpec(job_title="1-URGENT", salary="4.5"))
+
+
+@query
+def search_like(t: Tables) -> DataFrame:
+    return search.search(t.job, SearchSpec(keyword="AUTO_OBILE", match="like"))
+
+
+@query
+def search_collated(t: Tables) -> DataFrame:
+    return search.search(t.job, SearchSpec(keyword="building", location="asia", collation="UTF8_LCASE"))
+
+
+@query
+def search_keyset(t: Tables) -> DataFrame:
+    return search.search_after(t.job, SEARCH, last_code="j5")
+
+
+@query
+def recommend_sample(t: Tables) -> DataFrame:
+    return search.recommend(t.job, seed="42")
+
+
+@query
+def job_lookup(t: Tables) -> DataFrame:
+    """P13 for a batch of keys: details of every bookmarked posting."""
+    return search.lookup(t.job, bookmarks.current_bookmarks(t.toggles))
+
+
+# --- related postings and bookmarks (J3-J5, J7, R1, R2, A10, M8) ----------------
+
+@query
+def similar_jobs(t: Tables) -> DataFrame:
+    return related.similar_jobs(t.job, t.job_category)
+
+
+@query
+def job_categories_joined(t: Tables) -> DataFrame:
+    return related.job_with_categories(t.job, t.job_category).select(
+        "job_code", "job_category", "job_title", "company_name", "job_location")
+
+
+@query
+def user_bookmarks(t: Tables) -> DataFrame:
+    return related.user_bookmarks(t.users, bookmarks.current_bookmarks(t.toggles), t.job)
+
+
+@query
+def bookmark_lists(t: Tables) -> DataFrame:
+    return related.user_bookmark_list(bookmarks.current_bookmarks(t.toggles))
+
+
+@query
+def bookmark_flags(t: Tables) -> DataFrame:
+    return related.bookmark_flags(t.job.select("job_code", "job_title"),
+                                  bookmarks.current_bookmarks(t.toggles))
+
+
+@query
+def bookmark_state(t: Tables) -> DataFrame:
+    return bookmarks.bookmark_state(t.toggles)
+
+
+@query
+def bookmark_actions(t: Tables) -> DataFrame:
+    return bookmarks.bookmark_actions(t.toggles)
+
+
+# --- sync (M1-M6, J6, J8, J9) ---------------------------------------------------
+
+@query
+def sync_upsert(t: Tables) -> DataFrame:
+    return sync.guard_empty(t.stored_jobs, t.batch_jobs,
+                            lambda tgt, b: sync.sync_jobs(tgt, b, B.SYNC_SITE))
+
+
+@query
+def sync_stale(t: Tables) -> DataFrame:
+    return sync.stale_jobs(t.stored_jobs, t.batch_jobs, B.SYNC_SITE).select("job_code", "job_source")
+
+
+@query
+def sync_empty_guard(t: Tables) -> DataFrame:
+    empty = t.job.where(F.col("job_source").contains("www.antarctica"))
+    return sync.guard_empty(t.stored_jobs, empty,
+                            lambda tgt, b: sync.sync_jobs(tgt, b, "www.antarctica"))
+
+
+@query
+def sync_sources(t: Tables) -> DataFrame:
+    """M1: today's batches of two sources as one table."""
+    europe = t.job.where(F.col("job_source").contains("www.europe")
+                         & (F.col("create_date") >= F.lit(B.SYNC_BATCH_FROM).cast("timestamp_ntz")))
+    return sync.union_sources(t.batch_jobs, europe).select("job_code", "job_source", "create_date")
+
+
+@query
+def category_append(t: Tables) -> DataFrame:
+    return sync.append_categories(t.stored_categories, t.batch_categories)
+
+
+@query
+def category_set(t: Tables) -> DataFrame:
+    return sync.set_categories(t.stored_categories, t.batch_categories)
+
+
+@query
+def sync_cascade(t: Tables) -> DataFrame:
+    jobs_after = sync.sync_jobs(t.stored_jobs, t.batch_jobs, B.SYNC_SITE)
+    return sync.cascade(sync.set_categories(t.stored_categories, t.batch_categories), jobs_after)
+
+
+@query
+def sync_orphans(t: Tables) -> DataFrame:
+    jobs_after = sync.sync_jobs(t.stored_jobs, t.batch_jobs, B.SYNC_SITE)
+    return sync.orphans(sync.set_categories(t.stored_categories, t.batch_categories), jobs_after)
+
+
+# --- deduplication and quality (D2-D5, Q1-Q10, M9) --------------------------------
+
+@query
+def first_wins_dedupe(t: Tables) -> DataFrame:
+    return sync.first_wins(t.listing, "job_code", ["category_pos", "page", "pos"])
+
+
+@query
+def listing_duplicates(t: Tables) -> DataFrame:
+    return sync.duplicate_keys(t.listing, ["job_code"])
+
+
+@query
+def unique_violations(t: Tables) -> DataFrame:
+    return sync.duplicate_keys(t.job_category, ["job_code", "job_category"])
+
+
+@query
+def reject_report(t: Tables) -> DataFrame:
+    _, rejected = quality.split_valid(t.job, quality.job_rules(V))
+    return rejected.select("job_code", "reasons")
+
+
+@query
+def valid_jobs(t: Tables) -> DataFrame:
+    valid, _ = quality.split_valid(t.job, quality.job_rules(V))
+    return valid.select("job_code", "edu_level")
+
+
+@query
+def category_check(t: Tables) -> DataFrame:
+    return quality.category_check(t.job, t.job_category, V)
+
+
+@query
+def salary_normalise(t: Tables) -> DataFrame:
+    return quality.normalise_salary(t.job).select("job_code", "salary_period", "min_salary", "max_salary")
+
+
+@query
+def signup_check(t: Tables) -> DataFrame:
+    return quality.signup_checks(t.users)
+
+
+@query
+def signup_insert(t: Tables) -> DataFrame:
+    """M9: sign-up events as new accounts; existing e-mails and repeats are skipped."""
+    signups = (t.raw("events").where(F.col("event_type") == "signup")
+               .select(F.concat(F.lit("user"), F.col("user_id").cast("string"), F.lit("@example.com")).alias("email"),
+                       "ts", "event_id"))
+    existing = (t.raw("customer").where(F.col("c_mktsegment") == "BUILDING")
+                .select(F.concat(F.lit("user"), F.col("c_custkey").cast("string"), F.lit("@example.com")).alias("email")))
+    return sync.insert_unique(existing, signups, "email", ["ts", "event_id"])
+
+
+# --- pages and text extraction (S4-S8, F6-F26) -------------------------------------
+
+@query
+def page_links(t: Tables) -> DataFrame:
+    return html.page_links(t.raw("pages"))
+
+
+@query
+def link_codes(t: Tables) -> DataFrame:
+    return html.link_codes(html.page_links(t.raw("pages")), r"^/([^/?#]+)$")
+
+
+@query
+def page_records(t: Tables) -> DataFrame:
+    return html.page_record(t.raw("pages"))
+
+
+@query
+def page_text(t: Tables) -> DataFrame:
+    return html.page_text(t.raw("pages"))
+
+
+@query
+def url_parts(t: Tables) -> DataFrame:
+    return html.url_parts(t.raw("pages"))
+
+
+@query
+def embedded_json(t: Tables) -> DataFrame:
+    e = t.raw("events")
+    return e.select("event_id", F.from_json("props", "k bigint").k.alias("k"))
+
+
+@query
+def salary_text_parse(t: Tables) -> DataFrame:
+    """F8: monthly range texts built from the pay columns, parsed back."""
+    j = t.job
+    txt = (F.when(F.col("salary_period") == "月薪",
+                  F.concat(F.lit("月薪 "), F.format_number("min_salary", 0), F.lit(" 至 "),
+                           F.format_number("max_salary", 0)))
+           .otherwise(F.concat(F.lit("時薪 "), F.col("min_salary").cast("string"))))
+    parsed = j.select("job_code", txt.alias("pay_text")).withColumn("p", X.parse_monthly_range("pay_text"))
+    return parsed.select("job_code", "pay_text", "p.min_salary", "p.max_salary")
+
+
+@query
+def delimited_explode(t: Tables) -> DataFrame:
+    return t.job.select("job_code", F.posexplode(F.split("skills", ",")).alias("pos", "skill"))
+
+
+@query
+def load_dates(t: Tables) -> DataFrame:
+    return t.raw("events").select("event_id", D.load_date("ts").alias("load_date"))
+
+
+@query
+def paging_plan(t: Tables) -> DataFrame:
+    """Listing offsets per tracked category from its posting total."""
+    totals = (t.job_category.where(F.col("job_category").isin(list(V.tracked)))
+              .groupBy("job_category").agg(F.count_distinct("job_code").alias("total")))
+    pages = totals.select("job_category", "total", F.explode(
+        F.sequence(F.lit(0), F.floor(F.col("total") / S.LISTING_PAGE_SIZE).cast("int"))).alias("page"))
+    return pages.select("job_category", "total",
+                        (F.col("page") * S.LISTING_PAGE_SIZE).cast("int").alias("page_offset"))
+
+
+# --- terms (A9, F20, F21, L6, R5) ------------------------------------------------
+
+@query
+def skill_terms(t: Tables) -> DataFrame:
+    return terms.top_terms(terms.skills_text(t.job))
+
+
+@query
+def term_frequency(t: Tables) -> DataFrame:
+    return terms.top_terms(t.raw("documents").select("text"))
+
+
+@query
+def term_weight(t: Tables) -> DataFrame:
+    return terms.term_weights(terms.top_terms(t.raw("documents").select("text")))
+
+
+@query
+def term_top_by_lang(t: Tables) -> DataFrame:
+    return terms.top_terms_by(t.raw("documents").select("lang", "text"), "lang", k=20)
+
+
+# --- backups (S10-S12, S14, P16) ------------------------------------------------
+
+def _records(t: Tables) -> DataFrame:
+    cats = (t.batch_categories.groupBy("job_code")
+            .agg(F.array_sort(F.collect_set("job_category")).alias("job_category")))
+    return t.batch_jobs.join(cats, "job_code", "left").select(*S.RECORD_FIELDS)
+
+
+@query
+def json_backup_roundtrip(t: Tables) -> DataFrame:
+    path = scratch_path(t.spark, "backup")
+    landing.write_backup(_records(t), path, "asia", B.SYNC_LOAD_DATE)
+    back = landing.read_backup(t.spark, path, source="asia", load_date=B.SYNC_LOAD_DATE)
+    return back.select("job_code", "job_title", "min_salary", "max_salary",
+                       F.concat_ws("|", "job_category").alias("categories"))
+
+
+@query
+def positional_json_read(t: Tables) -> DataFrame:
+    path = scratch_path(t.spark, "positional")
+    landing.records_to_positional(_records(t)).write.text(path)
+    back = landing.read_positional(t.spark, path)
+    return back.select("job_code", "job_title", "min_salary", "max_salary",
+                       F.concat_ws("|", "job_category").alias("categories"))
+
+
+@query
+def staged_categories(t: Tables) -> DataFrame:
+    """S14 + F14: records split into job rows and exploded category rows."""
+    _, cats = landing.split_record(_records(t), B.SYNC_LOAD_DATE)
+    return cats
+
+
+# --- streaming (T1-T4) ---------------------------------------------------------
+
+@query
+def stream_toggle_state(t: Tables) -> DataFrame:
+    return streams.toggle_state(t.spark, streams.event_stream(t.spark, t.sf_dir))
+
+
+@query
+def stream_daily_users(t: Tables) -> DataFrame:
+    return streams.daily_active_users(t.spark, streams.event_stream(t.spark, t.sf_dir))
+
+
+@query
+def stream_dedupe(t: Tables) -> DataFrame:
+    return streams.distinct_daily_codes(t.spark, streams.event_stream(t.spark, t.sf_dir))
+
+
+@query
+def stream_upsert(t: Tables) -> DataFrame:
+    land = scratch_path(t.spark, "landing")
+    t.batch_jobs.write.json(land)
+    return streams.upsert_stream(t.spark, t.stored_jobs, land, B.SYNC_SITE)

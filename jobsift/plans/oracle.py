@@ -93,19 +93,447 @@ def with_ctes(body: str, *names: str) -> str:
     return "WITH " + ",\n".join(CTE[n] for n in order) + "\n" + body
 
 
+TRACKED = ["ECONOMY", "LARGE", "MEDIUM", "SMALL", "STANDARD"]
 TRACKED_SQL = "('ECONOMY','LARGE','MEDIUM','SMALL','STANDARD')"
 REGIONS_SQL = "('AFR','AME','ASI','EUR')"
 EDU_SQL = "('1-','2-','3-','4-')"
+STOP_SQL = "(" + ",".join(f"'{w}'" for w in [
+    "a", "an", "and", "are", "as", "at", "be", "but", "by", "for", "from", "has",
+    "have", "he", "her", "his", "in", "is", "it", "its", "of", "on", "or", "she",
+    "that", "the", "their", "they", "this", "to", "was", "were", "which", "with"]) + ")"
+
+PAID = """(min_salary != 0 OR max_salary != 0) AND max_salary != 9999999
+    AND salary_period != '待遇面議' AND LEFT(job_location, 3) IN """ + REGIONS_SQL
+NOT_YEARLY_HOURLY_ANY = "NOT (salary_period LIKE '%年薪%' OR salary_period LIKE '%時薪%')"
+NOT_YEARLY_HOURLY_PREFIX = "NOT (salary_period LIKE '年薪%' OR salary_period LIKE '時薪%')"
+AVG = "CAST(ROUND(AVG((min_salary + max_salary) / 2), 0) AS BIGINT)"
+
+
+def history_cte(name: str, jobs: str) -> str:
+    cols = ",\n  ".join(
+        f"COUNT(DISTINCT CASE WHEN jc.job_category = '{c}' THEN j.job_code END) AS {c.lower()}" for c in TRACKED)
+    return f"""{name} AS (
+  SELECT CAST(j.create_date AS DATE) AS date, COUNT(DISTINCT j.job_code) AS total_post,
+  {cols}
+  FROM {jobs} j LEFT JOIN job_category jc ON j.job_code = jc.job_code
+  GROUP BY 1)"""
+
+
+CTE["history"] = history_cte("history", "job")
+_DEPS["history"] = ["job", "job_category"]
+CTE["synced"] = """synced AS (
+  SELECT * FROM stored WHERE job_code NOT IN (SELECT job_code FROM batch)
+    AND NOT contains(job_source, 'www.asia')
+  UNION ALL SELECT * FROM batch)"""
+_DEPS["synced"] = ["stored", "batch"]
+CTE["cat_set"] = """cat_set AS (
+  SELECT DISTINCT job_code, job_category FROM (
+    SELECT * FROM job_category WHERE job_code IN (SELECT job_code FROM stored)
+    UNION ALL SELECT * FROM job_category WHERE job_code IN (SELECT job_code FROM batch)))"""
+_DEPS["cat_set"] = ["stored", "batch", "job_category"]
+
+
+def _rules_sql() -> str:
+    req = ["job_code", "job_title", "company_name", "job_location", "job_source", "create_date"]
+    txt = ["job_code", "job_title", "company_name", "job_location", "salary_period", "edu_level",
+           "work_experience", "skills", "travel", "management", "remote", "job_source"]
+    parts = [f"CASE WHEN {c} IS NULL THEN 'null_{c}' END" for c in req]
+    parts += [f"CASE WHEN coalesce(length({c}) > 255, false) THEN 'long_{c}' END" for c in txt]
+    parts.append(f"CASE WHEN edu_level IS NOT NULL AND LEFT(edu_level, 2) NOT IN {EDU_SQL} THEN 'edu_vocabulary' END")
+    parts.append("CASE WHEN coalesce(max_salary != 0 AND min_salary > max_salary, false) THEN 'salary_order' END")
+    return "concat_ws(',', " + ", ".join(parts) + ")"
+
+
+CTE["tagged"] = f"tagged AS (SELECT *, {_rules_sql()} AS reasons FROM job)"
+_DEPS["tagged"] = ["job"]
+
+CTE["records"] = """records AS (
+  SELECT b.job_code, b.job_title, b.min_salary, b.max_salary,
+         COALESCE((SELECT string_agg(DISTINCT jc.job_category, '|' ORDER BY jc.job_category)
+                   FROM job_category jc WHERE jc.job_code = b.job_code), '') AS categories
+  FROM batch b)"""
+_DEPS["records"] = ["batch", "job_category"]
+
+SEARCH_COLS = "job_title, company_name, job_location, salary_period, job_source, job_code"
+EXCLUDE_ANY = "NOT (salary_period LIKE '%年薪%' OR salary_period LIKE '%時薪%' OR salary_period LIKE '%待遇面議%')"
+KW = "(job_title LIKE '%BUILDING%' OR company_name LIKE '%BUILDING%' OR job_location LIKE '%BUILDING%' OR skills LIKE '%BUILDING%')"
+GROUPED = f"{EXCLUDE_ANY} AND {KW} AND min_salary > 100000 AND job_location LIKE '%ASIA%'"
+
+
+def _terms(source: str) -> str:
+    return f"""SELECT term, COUNT(*) AS n FROM (
+  SELECT unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]{{2,}}', 0)) AS term FROM ({source}))
+WHERE NOT regexp_matches(term, '^\\p{{N}}+$') AND term NOT IN {STOP_SQL}
+GROUP BY term"""
+
+
+def _visible(x: str) -> str:
+    x = f"regexp_replace({x}, '(?s)<!--.*?-->', ' ', 'g')"
+    x = f"regexp_replace({x}, '(?is)<script\\b[^>]*>.*?</script>', ' ', 'g')"
+    x = f"regexp_replace({x}, '(?is)<style\\b[^>]*>.*?</style>', ' ', 'g')"
+    x = f"regexp_replace({x}, '<[^>]*>', ' ', 'g')"
+    return f"trim(regexp_replace({_unescape(x)}, '\\s+', ' ', 'g'))"
+
+
+def _unescape(x: str) -> str:
+    for a, b in [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&apos;", "''"),
+                 ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")]:
+        x = f"replace({x}, '{a}', '{b}')"
+    return x
+
+
+def _element(tag: str) -> str:
+    inner = f"regexp_extract(html, '(?is)<{tag}\\b[^>]*>(.*?)</{tag}>', 1)"
+    inner = f"regexp_replace({inner}, '<[^>]*>', ' ', 'g')"
+    return f"nullif(trim(regexp_replace({_unescape(inner)}, '\\s+', ' ', 'g')), '')"
+
+
+HREF_RE = '(?i)<a\\s[^>]*href="([^"]*)"'
+PAY_RE = "月薪 (\\d{1,3}(?:,\\d{3})*) 至 (\\d{1,3}(?:,\\d{3})*)"
 
 SQL: dict[str, str] = {}
 
+# --- dashboard aggregates ------------------------------------------------------
+
 SQL["region_salary"] = with_ctes(f"""
-SELECT region, CAST(ROUND(AVG(avg_salary_per_job), 0) AS BIGINT) AS region_average
-FROM (
-  SELECT (min_salary + max_salary) / 2 AS avg_salary_per_job, LEFT(job_location, 3) AS region
-  FROM job LEFT JOIN job_category ON job.job_code = job_category.job_code
-  WHERE (min_salary != 0 OR max_salary != 0) AND max_salary != 9999999
-    AND salary_period != '待遇面議'
-    AND NOT (salary_period LIKE '%年薪%' OR salary_period LIKE '%時薪%')
-    AND LEFT(job_location, 3) IN {REGIONS_SQL}) t
-GROUP BY region ORDER BY region_average DESC""", "job", "job_category")
+SELECT LEFT(job_location, 3) AS region, {AVG} AS region_average
+FROM job LEFT JOIN job_category ON job.job_code = job_category.job_code
+WHERE {PAID} AND {NOT_YEARLY_HOURLY_ANY}
+GROUP BY 1 ORDER BY region_average DESC""", "job", "job_category")
+
+SQL["region_salary_for_category"] = with_ctes(f"""
+SELECT LEFT(job_location, 3) AS region, {AVG} AS region_average
+FROM job LEFT JOIN job_category ON job.job_code = job_category.job_code
+WHERE {PAID} AND {NOT_YEARLY_HOURLY_PREFIX} AND job_category = 'LARGE'
+GROUP BY 1 ORDER BY region_average DESC""", "job", "job_category")
+
+SQL["region_salary_by_category"] = with_ctes(f"""
+SELECT job_category, LEFT(job_location, 3) AS region, {AVG} AS region_average
+FROM job JOIN job_category ON job.job_code = job_category.job_code
+WHERE {PAID} AND {NOT_YEARLY_HOURLY_PREFIX}
+GROUP BY 1, 2""", "job", "job_category")
+
+SQL["category_salary"] = with_ctes(f"""
+SELECT job_category, {AVG} AS category_average
+FROM job LEFT JOIN job_category ON job.job_code = job_category.job_code
+WHERE job_category IN {TRACKED_SQL} AND {PAID} AND {NOT_YEARLY_HOURLY_ANY}
+GROUP BY 1 ORDER BY category_average DESC""", "job", "job_category")
+
+SQL["edu_distribution"] = with_ctes(f"""
+SELECT min_edu_level, count, CAST(count AS DOUBLE) / CAST(SUM(count) OVER () AS DOUBLE) AS share
+FROM (SELECT LEFT(edu_level, 2) AS min_edu_level, COUNT(*) AS count FROM job
+      WHERE edu_level IS NOT NULL AND LEFT(edu_level, 2) IN {EDU_SQL} GROUP BY 1)""", "job")
+
+SQL["edu_distribution_by_category"] = with_ctes(f"""
+SELECT job_category, min_edu_level, count,
+       CAST(count AS DOUBLE) / CAST(SUM(count) OVER (PARTITION BY job_category) AS DOUBLE) AS share
+FROM (SELECT job_category, LEFT(edu_level, 2) AS min_edu_level, COUNT(*) AS count
+      FROM job LEFT JOIN job_category ON job.job_code = job_category.job_code
+      WHERE job_category IS NOT NULL AND edu_level IS NOT NULL AND LEFT(edu_level, 2) IN {EDU_SQL}
+      GROUP BY 1, 2)""", "job", "job_category")
+
+# --- history -------------------------------------------------------------------
+
+_snap_cols = ",\n  ".join(
+    f"""(SELECT COUNT(DISTINCT job.job_code) FROM job LEFT JOIN job_category
+       ON job.job_code = job_category.job_code WHERE job_category = '{c}') AS {c.lower()}""" for c in TRACKED)
+SQL["posting_snapshot"] = with_ctes(f"""
+SELECT DATE '{B.SYNC_LOAD_DATE}' AS date,
+  (SELECT COUNT(DISTINCT job.job_code) FROM job LEFT JOIN job_category
+     ON job.job_code = job_category.job_code) AS total_post,
+  {_snap_cols}""", "job", "job_category")
+
+SQL["posting_history"] = with_ctes("SELECT * FROM history", "history")
+
+SQL["posting_share_series"] = with_ctes("""
+SELECT total_post - large AS others, large AS chose_cat, date FROM history
+ORDER BY date DESC LIMIT 7""", "history")
+
+SQL["posting_total_series"] = with_ctes("""
+SELECT total_post - total_post AS others, total_post AS chose_cat, date FROM history
+ORDER BY date DESC LIMIT 7""", "history")
+
+_long = " UNION ALL ".join(f"SELECT date, '{c.lower()}' AS category, {c.lower()} AS posts FROM history"
+                           for c in TRACKED)
+SQL["posting_long"] = with_ctes(_long, "history")
+
+SQL["posting_delta"] = with_ctes(f"""
+SELECT date, category, posts, posts - lag(posts) OVER (PARTITION BY category ORDER BY date) AS delta
+FROM ({_long})""", "history")
+
+CTE["old_history"] = history_cte("old_history", "stored")
+_DEPS["old_history"] = ["stored", "job_category"]
+CTE["new_history"] = history_cte("new_history", "batch")
+_DEPS["new_history"] = ["batch", "job_category"]
+SQL["history_upsert"] = with_ctes("""
+SELECT * FROM old_history WHERE date NOT IN (SELECT date FROM new_history)
+UNION ALL SELECT * FROM new_history""", "old_history", "new_history")
+
+# --- search ----------------------------------------------------------------------
+
+SQL["search_grouped"] = with_ctes(f"SELECT {SEARCH_COLS} FROM job WHERE {GROUPED}", "job")
+
+SQL["search_reference_precedence"] = with_ctes(f"""
+SELECT {SEARCH_COLS} FROM job
+WHERE 1=1 AND {EXCLUDE_ANY}
+  AND job_title LIKE '%BUILDING%' OR company_name LIKE '%BUILDING%'
+  OR job_location LIKE '%BUILDING%' OR skills LIKE '%BUILDING%'
+  AND min_salary > 100000 AND job_location LIKE '%ASIA%'""", "job")
+
+SQL["search_page"] = with_ctes(f"""
+SELECT {SEARCH_COLS} FROM job WHERE {GROUPED} ORDER BY job_code LIMIT 10 OFFSET 20""", "job")
+
+SQL["search_optional"] = with_ctes(f"""
+SELECT {SEARCH_COLS} FROM job WHERE {EXCLUDE_ANY} AND job_title LIKE '%1-URGENT%' AND min_salary > 4.5""", "job")
+
+SQL["search_like"] = with_ctes(f"""
+SELECT {SEARCH_COLS} FROM job WHERE {EXCLUDE_ANY}
+  AND (job_title LIKE '%AUTO_OBILE%' OR company_name LIKE '%AUTO_OBILE%'
+       OR job_location LIKE '%AUTO_OBILE%' OR skills LIKE '%AUTO_OBILE%')""", "job")
+
+SQL["search_collated"] = with_ctes(f"""
+SELECT {SEARCH_COLS} FROM job WHERE {EXCLUDE_ANY}
+  AND (contains(lower(job_title), 'building') OR contains(lower(company_name), 'building')
+       OR contains(lower(job_location), 'building') OR contains(lower(skills), 'building'))
+  AND contains(lower(job_location), 'asia')""", "job")
+
+SQL["search_keyset"] = with_ctes(f"""
+SELECT {SEARCH_COLS} FROM job WHERE {GROUPED} AND job_code > 'j5' ORDER BY job_code LIMIT 10""", "job")
+
+SQL["recommend_sample"] = with_ctes(f"""
+SELECT {SEARCH_COLS} FROM job
+WHERE NOT (salary_period LIKE '年薪%' OR salary_period LIKE '時薪%') AND salary_period NOT LIKE '%待遇面議%'
+ORDER BY md5('42' || job_code) LIMIT 5""", "job")
+
+SQL["job_lookup"] = with_ctes("""
+SELECT * FROM job WHERE job_code IN (SELECT job_code FROM bookmarks)""", "job", "bookmarks")
+
+# --- related postings and bookmarks --------------------------------------------------
+
+SQL["similar_jobs"] = with_ctes("""
+, pairs AS (SELECT DISTINCT job_code, job_category FROM job_category
+            WHERE job_code IN (SELECT job_code FROM job)),
+cand AS (SELECT job_category, job_code AS similar_code FROM (
+           SELECT *, row_number() OVER (PARTITION BY job_category ORDER BY job_code) AS r FROM pairs)
+         WHERE r <= 3),
+peers AS (SELECT DISTINCT p.job_code, c.similar_code FROM pairs p
+          JOIN cand c ON p.job_category = c.job_category WHERE c.similar_code <> p.job_code),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY job_code ORDER BY similar_code) AS INTEGER) AS rank
+           FROM peers)
+SELECT r.job_code, r.rank, r.similar_code, j.job_title AS similar_title,
+       j.company_name AS similar_company, j.job_location AS similar_location
+FROM ranked r JOIN job j ON j.job_code = r.similar_code WHERE r.rank <= 2""".lstrip(), "job", "job_category")
+
+SQL["job_categories_joined"] = with_ctes("""
+SELECT jc.job_code, jc.job_category, j.job_title, j.company_name, j.job_location
+FROM job_category jc JOIN job j ON jc.job_code = j.job_code""", "job", "job_category")
+
+CTE["top_marks"] = """top_marks AS (
+  SELECT user_id, job_code FROM (
+    SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY job_code) AS r FROM bookmarks) WHERE r <= 5)"""
+_DEPS["top_marks"] = ["bookmarks"]
+
+SQL["user_bookmarks"] = with_ctes("""
+SELECT u.id AS user_id, u.name, u.email, m.job_code, j.job_source, j.job_title,
+       j.company_name AS company, j.job_location AS location
+FROM users u LEFT JOIN top_marks m ON u.id = m.user_id LEFT JOIN job j ON m.job_code = j.job_code""",
+                                  "users", "top_marks", "job")
+
+SQL["bookmark_lists"] = with_ctes("""
+SELECT user_id, list_sort(list(job_code)) AS bookmark_list FROM top_marks GROUP BY user_id""", "top_marks")
+
+SQL["bookmark_flags"] = with_ctes("""
+SELECT j.job_code, j.job_title, COALESCE(b.n, 0) AS n_bookmarks, COALESCE(b.n, 0) > 0 AS bookmarked
+FROM job j LEFT JOIN (SELECT job_code, COUNT(*) AS n FROM bookmarks GROUP BY 1) b ON j.job_code = b.job_code""",
+                                  "job", "bookmarks")
+
+SQL["bookmark_state"] = with_ctes("""
+SELECT user_id, job_code, COUNT(*) AS n_toggles, COUNT(*) % 2 = 1 AS bookmarked
+FROM toggles GROUP BY 1, 2""", "toggles")
+
+SQL["bookmark_actions"] = with_ctes("""
+SELECT event_id, ts, user_id, job_code, ordinal,
+       CASE WHEN ordinal % 2 = 1 THEN 'add' ELSE 'remove' END AS action
+FROM (SELECT *, CAST(row_number() OVER (PARTITION BY user_id, job_code ORDER BY ts, event_id) AS BIGINT)
+        AS ordinal FROM toggles)""", "toggles")
+
+# --- sync --------------------------------------------------------------------------
+
+SQL["sync_upsert"] = with_ctes("SELECT * FROM synced", "synced")
+
+SQL["sync_stale"] = with_ctes("""
+SELECT job_code, job_source FROM stored
+WHERE contains(job_source, 'www.asia') AND job_code NOT IN (SELECT job_code FROM batch)""", "stored", "batch")
+
+SQL["sync_empty_guard"] = with_ctes("SELECT * FROM stored", "stored")
+
+SQL["sync_sources"] = with_ctes(f"""
+SELECT job_code, job_source, create_date FROM batch
+UNION ALL
+SELECT job_code, job_source, create_date FROM job
+WHERE contains(job_source, 'www.europe') AND create_date >= TIMESTAMP '{B.SYNC_BATCH_FROM}'""", "job", "batch")
+
+SQL["category_append"] = with_ctes("""
+SELECT * FROM job_category WHERE job_code IN (SELECT job_code FROM stored)
+UNION ALL SELECT * FROM job_category WHERE job_code IN (SELECT job_code FROM batch)""",
+                                   "job_category", "stored", "batch")
+
+SQL["category_set"] = with_ctes("SELECT * FROM cat_set", "cat_set")
+
+SQL["sync_cascade"] = with_ctes("""
+SELECT * FROM cat_set WHERE job_code IN (SELECT job_code FROM synced)""", "cat_set", "synced")
+
+SQL["sync_orphans"] = with_ctes("""
+SELECT * FROM cat_set WHERE job_code NOT IN (SELECT job_code FROM synced)""", "cat_set", "synced")
+
+# --- dedupe and quality -----------------------------------------------------------------
+
+SQL["first_wins_dedupe"] = with_ctes("""
+SELECT job_code, category_pos, page, pos FROM (
+  SELECT *, row_number() OVER (PARTITION BY job_code ORDER BY category_pos, page, pos) AS r FROM listing)
+WHERE r = 1""", "listing")
+
+SQL["listing_duplicates"] = with_ctes("""
+SELECT job_code, COUNT(*) AS n FROM listing GROUP BY 1 HAVING COUNT(*) > 1""", "listing")
+
+SQL["unique_violations"] = with_ctes("""
+SELECT job_code, job_category, COUNT(*) AS n FROM job_category GROUP BY 1, 2 HAVING COUNT(*) > 1""",
+                                     "job_category")
+
+SQL["reject_report"] = with_ctes("SELECT job_code, reasons FROM tagged WHERE reasons <> ''", "tagged")
+
+SQL["valid_jobs"] = with_ctes("SELECT job_code, edu_level FROM tagged WHERE reasons = ''", "tagged")
+
+SQL["category_check"] = with_ctes(f"""
+, pairs AS (SELECT DISTINCT job_code, job_category FROM job_category),
+per AS (SELECT job_code, COUNT(*) AS n,
+               COUNT(*) FILTER (WHERE job_category NOT IN {TRACKED_SQL}) AS o
+        FROM pairs GROUP BY 1)
+SELECT j.job_code, CAST(COALESCE(per.n, 0) AS BIGINT) AS n_categories,
+       CAST(COALESCE(per.o, 0) AS BIGINT) AS n_out_of_vocabulary,
+       COALESCE(per.n, 0) BETWEEN 1 AND 3 AND COALESCE(per.o, 0) = 0 AS ok
+FROM job j LEFT JOIN per ON j.job_code = per.job_code""".lstrip(), "job", "job_category")
+
+SQL["salary_normalise"] = with_ctes("""
+SELECT job_code, salary_period, min_salary,
+       CAST(COALESCE(mx, min_salary) AS BIGINT) AS max_salary FROM (
+  SELECT job_code, salary_period,
+         CAST(CASE WHEN coalesce(contains(salary_period, '年薪'), false) THEN round(min_salary / 12)
+                   ELSE min_salary END AS BIGINT) AS min_salary,
+         CAST(CASE WHEN coalesce(contains(salary_period, '年薪'), false) THEN round(max_salary / 12)
+                   ELSE max_salary END AS BIGINT) AS mx
+  FROM job)""", "job")
+
+SQL["signup_check"] = with_ctes("""
+SELECT id, email,
+  coalesce(regexp_matches(email, '^[_a-z0-9-]+(\\.[_a-z0-9-]+)*@[a-z0-9-]+(\\.[a-z0-9-]+)*(\\.[a-z]{2,4})$'), false)
+    AS email_ok,
+  coalesce(regexp_matches(password, '^[A-Za-z0-9@#$%^&+=]{8,}'), false) AS password_ok,
+  sha256(password) AS password_hash
+FROM users""", "users")
+
+SQL["signup_insert"] = """
+WITH s AS (SELECT 'user' || CAST(user_id AS VARCHAR) || '@example.com' AS email, ts, event_id
+           FROM events WHERE event_type = 'signup'),
+f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY email ORDER BY ts, event_id) AS r FROM s)
+      WHERE r = 1)
+SELECT email, ts, event_id FROM f
+WHERE email NOT IN (SELECT 'user' || CAST(c_custkey AS VARCHAR) || '@example.com'
+                    FROM customer WHERE c_mktsegment = 'BUILDING')"""
+
+# --- pages and text extraction ------------------------------------------------------------
+
+_LINKS = f"""SELECT page_id, CAST(i - 1 AS INTEGER) AS pos, arr[i] AS href FROM (
+  SELECT page_id, arr, unnest(generate_series(1, len(arr))) AS i FROM (
+    SELECT page_id, regexp_extract_all(html, '{HREF_RE}', 1) AS arr FROM pages))"""
+SQL["page_links"] = _LINKS
+
+SQL["link_codes"] = f"""
+SELECT * FROM (SELECT page_id, pos, href, nullif(regexp_extract(href, '^/([^/?#]+)$', 1), '') AS job_code
+               FROM ({_LINKS})) WHERE job_code IS NOT NULL"""
+
+SQL["page_records"] = f"""
+SELECT page_id,
+  nullif(regexp_extract(html, '(?i)<html\\b[^>]*\\blang="([^"]*)"', 1), '') AS lang,
+  {_element("title")} AS title,
+  {_element("h1")} AS heading,
+  {_element("footer")} AS footer,
+  CAST(len(regexp_extract_all(html, '{HREF_RE}', 1)) AS BIGINT) AS n_links,
+  CAST(len(regexp_extract_all(html, '(?i)<p\\b', 0)) AS BIGINT) AS n_paragraphs,
+  nullif(regexp_extract(url, '^https?://([^/?#]+)', 1), '') AS host
+FROM pages"""
+
+SQL["page_text"] = f"SELECT page_id, {_visible('html')} AS text FROM pages"
+
+SQL["url_parts"] = """
+SELECT page_id,
+  nullif(regexp_extract(url, '^https?://([^/?#]+)', 1), '') AS host,
+  nullif(regexp_extract(url, '/([a-z]{2})/[0-9]+', 1), '') AS lang,
+  CAST(nullif(regexp_extract(url, '/[a-z]{2}/([0-9]+)', 1), '') AS BIGINT) AS code
+FROM pages"""
+
+SQL["embedded_json"] = "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events"
+
+SQL["salary_text_parse"] = with_ctes(f"""
+SELECT job_code, pay_text,
+  COALESCE(CAST(replace(nullif(regexp_extract(pay_text, '{PAY_RE}', 1), ''), ',', '') AS BIGINT), 0) AS min_salary,
+  COALESCE(CAST(replace(nullif(regexp_extract(pay_text, '{PAY_RE}', 2), ''), ',', '') AS BIGINT), 0) AS max_salary
+FROM (SELECT job_code,
+        CASE WHEN salary_period = '月薪'
+             THEN '月薪 ' || format('{{:,}}', min_salary) || ' 至 ' || format('{{:,}}', max_salary)
+             ELSE '時薪 ' || CAST(min_salary AS VARCHAR) END AS pay_text FROM job)""", "job")
+
+SQL["delimited_explode"] = with_ctes("""
+SELECT job_code, CAST(i - 1 AS INTEGER) AS pos, arr[i] AS skill FROM (
+  SELECT job_code, arr, unnest(generate_series(1, len(arr))) AS i FROM (
+    SELECT job_code, string_split(skills, ',') AS arr FROM job))""", "job")
+
+SQL["load_dates"] = "SELECT event_id, CAST(ts + INTERVAL 8 HOUR AS DATE) AS load_date FROM events"
+
+SQL["paging_plan"] = f"""
+SELECT job_category, total, CAST(o * 30 AS INTEGER) AS page_offset FROM (
+  SELECT job_category, total, unnest(range(0, total // 30 + 1)) AS o FROM (
+    SELECT p.p_type AS job_category, COUNT(DISTINCT l.l_orderkey) AS total
+    FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
+    WHERE p.p_type IN {TRACKED_SQL} GROUP BY 1))"""
+
+# --- terms ------------------------------------------------------------------------------
+
+SQL["skill_terms"] = with_ctes(f"""
+{_terms("SELECT replace(skills, ',', ' ') AS text FROM job WHERE skills IS NOT NULL")}
+ORDER BY n DESC, term LIMIT 400""", "job")
+
+SQL["term_frequency"] = f"""
+{_terms("SELECT text FROM documents")}
+ORDER BY n DESC, term LIMIT 400"""
+
+SQL["term_weight"] = f"""
+SELECT term, n, CAST(n AS DOUBLE) / CAST(max(n) OVER () AS DOUBLE) AS weight FROM (
+{_terms("SELECT text FROM documents")}
+ORDER BY n DESC, term LIMIT 400)"""
+
+SQL["term_top_by_lang"] = f"""
+SELECT lang, term, n, rank FROM (
+  SELECT lang, term, n, CAST(row_number() OVER (PARTITION BY lang ORDER BY n DESC, term) AS INTEGER) AS rank
+  FROM (SELECT lang, term, COUNT(*) AS n FROM (
+          SELECT lang, unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]{{2,}}', 0)) AS term
+          FROM documents)
+        WHERE NOT regexp_matches(term, '^\\p{{N}}+$') AND term NOT IN {STOP_SQL}
+        GROUP BY lang, term))
+WHERE rank <= 20"""
+
+# --- backups ---------------------------------------------------------------------------------
+
+SQL["json_backup_roundtrip"] = with_ctes("SELECT * FROM records", "records")
+SQL["positional_json_read"] = with_ctes("SELECT * FROM records", "records")
+SQL["staged_categories"] = with_ctes("""
+SELECT DISTINCT job_code, job_category FROM job_category WHERE job_code IN (SELECT job_code FROM batch)""",
+                                     "job_category", "batch")
+
+# --- streaming -----------------------------------------------------------------------------
+
+SQL["stream_toggle_state"] = SQL["bookmark_state"]
+SQL["stream_daily_users"] = """
+SELECT CAST(ts AS DATE) AS day, event_type, COUNT(DISTINCT user_id) AS n_users FROM events GROUP BY 1, 2"""
+SQL["stream_dedupe"] = with_ctes("SELECT DISTINCT CAST(ts AS DATE) AS day, job_code FROM toggles", "toggles")
+SQL["stream_upsert"] = SQL["sync_upsert"]
