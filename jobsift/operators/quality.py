@@ -80,8 +80,9 @@ def normalise_salary(df: DataFrame) -> DataFrame:
     yearly = F.coalesce(F.col("salary_period").contains(S.YEARLY), F.lit(False))
     mn = F.when(yearly, half_up_div("min_salary", 12)).otherwise(F.col("min_salary"))
     mx = F.when(yearly, half_up_div("max_salary", 12)).otherwise(F.col("max_salary"))
-    return (df.withColumn("min_salary", mn.cast("bigint"))
-            .withColumn("max_salary", F.coalesce(mx, mn).cast("bigint")))
+    # one projection: both bounds are computed from the input columns
+    return df.withColumns({"min_salary": mn.cast("bigint"),
+                           "max_salary": F.coalesce(mx, mn).cast("bigint")})
 
 
 def signup_checks(users: DataFrame) -> DataFrame:
