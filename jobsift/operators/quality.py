@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from jobsift import schema as S
 from jobsift.functions.numeric import half_up_div
@@ -92,3 +93,42 @@ def signup_checks(users: DataFrame) -> DataFrame:
         F.coalesce(F.col("email").rlike(S.EMAIL_PATTERN), F.lit(False)).alias("email_ok"),
         F.coalesce(F.col("password").rlike(S.PASSWORD_PATTERN), F.lit(False)).alias("password_ok"),
         F.sha2(F.col("password"), 256).alias("password_hash"))
+
+
+# Q3: the 16-key field contract of a model-extracted posting.
+EXTRACTED = T.StructType([
+    T.StructField("job_code", T.StringType()),
+    T.StructField("job_title", T.StringType()),
+    T.StructField("company_name", T.StringType()),
+    T.StructField("job_location", T.StringType()),
+    T.StructField("salary_period", T.StringType()),
+    T.StructField("min_salary", T.LongType()),
+    T.StructField("max_salary", T.LongType()),
+    T.StructField("edu_level", T.StringType()),
+    T.StructField("work_experience", T.StringType()),
+    T.StructField("skills", T.StringType()),
+    T.StructField("travel", T.StringType()),
+    T.StructField("management", T.StringType()),
+    T.StructField("remote", T.StringType()),
+    T.StructField("category", T.ArrayType(T.StringType())),
+    T.StructField("job_source", T.StringType()),
+    T.StructField("create_date", T.StringType()),
+])
+
+
+def parse_extracted(texts: DataFrame, text_col: str = "text", key_col: str = "job_code") -> DataFrame:
+    """Q3: model output text -> contract fields, never evaluated as code.
+
+    ``from_json`` in PERMISSIVE mode gives NULL for text that is not a JSON
+    object of the contract; such rows carry ``malformed`` = true.
+    """
+    parsed = texts.select(F.col(key_col).alias("_key"), F.from_json(F.col(text_col), EXTRACTED).alias("r"))
+    return parsed.select("_key", "r.*", F.col("r").isNull().alias("malformed"))
+
+
+def check_extracted(parsed: DataFrame, vocab: S.Vocabulary = S.DOMAIN) -> DataFrame:
+    """Q3-Q7 on parsed output: (key, reasons); empty reasons = accepted."""
+    rules = {"malformed": F.col("malformed")}
+    rules.update(extracted_rules(vocab))
+    rules["job_code"] = F.coalesce(F.col("job_code") != F.col("_key"), F.lit(True))
+    return with_reasons(parsed, rules).select(F.col("_key").alias("job_code"), "reasons")

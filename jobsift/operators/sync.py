@@ -9,7 +9,7 @@ version in place.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobsift.functions.predicates import text_match
@@ -110,11 +110,19 @@ def batch_policy(batch: DataFrame, key: str = "job_code",
     return batch
 
 
-def assign_ids(df: DataFrame, key: str, start: int = 1) -> DataFrame:
-    """Surrogate ids as a stable 64-bit hash of the business key."""
+def assign_ids(df: DataFrame, key: str) -> DataFrame:
+    """Surrogate ids as a stable 64-bit hash of the business key
+    (no global counter, so no single task numbers the whole table)."""
     return df.withColumn("id", F.xxhash64(F.col(key)))
 
 
+def cap_batch(batch: DataFrame, n: int = 2000, order: tuple = ("job_code",)) -> DataFrame:
+    """The per-run record cap of one crawler, made deterministic by an
+    order. The cap is the feature here (a bounded run), not a sampling
+    shortcut; Spark keeps a per-task top-n before one merge."""
+    return batch.orderBy(*order).limit(n)
+
+
 def insert_unique(existing: DataFrame, new: DataFrame, key: str, order: list[str]) -> DataFrame:
     """M9: new rows whose key is not stored yet; within the batch the first wins."""
     firsts = first_wins(new, key, order)
@@ -134,6 +142,3 @@ def commit_table(spark: SparkSession, df: DataFrame, path: str, fmt: str = "parq
     w.save(path)
     return spark.read.format(fmt).load(path)
 
-
-def rank_within(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    return df.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))

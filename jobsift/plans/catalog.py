@@ -303,6 +303,28 @@ def signup_insert(t: Tables) -> DataFrame:
     return sync.insert_unique(existing, signups, "email", ["ts", "event_id"])
 
 
+@query
+def capped_batch(t: Tables) -> DataFrame:
+    """today's batch under the per-run record cap, in code order."""
+    return sync.cap_batch(t.batch_jobs, 2000)
+
+
+@query
+def extracted_contract(t: Tables) -> DataFrame:
+    """Q3-Q7: every posting rendered as model output JSON, parsed with the
+    16-key contract and checked against the closed vocabularies."""
+    cats = (t.job_category.groupBy("job_code")
+            .agg(F.array_sort(F.collect_set("job_category")).alias("category")))
+    doc = t.job.join(cats, "job_code", "left").select(
+        "job_code",
+        F.to_json(F.struct(
+            "job_code", "job_title", "company_name", "job_location", "salary_period", "min_salary",
+            "max_salary", "edu_level", "work_experience", "skills", "travel", "management", "remote",
+            "category", "job_source", F.date_format("create_date", "yyyy-MM-dd HH:mm:ss").alias("create_date"),
+        )).alias("text"))
+    return quality.check_extracted(quality.parse_extracted(doc), V)
+
+
 # --- pages and text extraction (S4-S8, F6-F26) -------------------------------------
 
 @query

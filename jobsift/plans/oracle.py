@@ -537,3 +537,15 @@ SQL["stream_daily_users"] = """
 SELECT CAST(ts AS DATE) AS day, event_type, COUNT(DISTINCT user_id) AS n_users FROM events GROUP BY 1, 2"""
 SQL["stream_dedupe"] = with_ctes("SELECT DISTINCT CAST(ts AS DATE) AS day, job_code FROM toggles", "toggles")
 SQL["stream_upsert"] = SQL["sync_upsert"]
+
+SQL["capped_batch"] = with_ctes("SELECT * FROM batch ORDER BY job_code LIMIT 2000", "batch")
+
+SQL["extracted_contract"] = with_ctes(f"""
+, cats AS (SELECT job_code, list(DISTINCT job_category) AS category FROM job_category GROUP BY 1)
+SELECT j.job_code, concat_ws(',',
+  CASE WHEN j.edu_level IS NOT NULL
+        AND j.edu_level NOT IN ('不拘', '高中職', '專科', '大學', '碩士', '博士') THEN 'edu_level' END,
+  CASE WHEN coalesce(NOT (len(c.category) BETWEEN 1 AND 3), true) THEN 'category_count' END,
+  CASE WHEN coalesce(NOT list_has_all([{", ".join(repr(x) for x in TRACKED)}], c.category), true)
+       THEN 'category_vocabulary' END) AS reasons
+FROM job j LEFT JOIN cats c ON j.job_code = c.job_code""".lstrip(), "job", "job_category")

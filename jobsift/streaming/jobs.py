@@ -7,8 +7,10 @@ drives a query with ``trigger(availableNow=True)``: everything landed so
 far is processed in bounded micro-batches, then the query stops.
 
 Stateful results are kept as versioned tables: micro-batch ``n`` writes
-version ``n`` (idempotent if the batch is replayed after a failure) and
-readers take the highest version.
+version ``n`` and then appends ``n`` to a small commit log (idempotent if
+the batch is replayed after a failure); readers take the highest committed
+version. Each version is a full rewrite of the result table, which is the
+price of not having a MERGE-capable table format.
 """
 
 from __future__ import annotations
@@ -54,29 +56,53 @@ def run_available(writer, checkpoint: str) -> None:
         raise q.exception()
 
 
-def _versions(path: str) -> str:
-    return f"{path}/v=*"
+def _commits(path: str) -> str:
+    return f"{path}/_commits"
+
+
+def write_version(spark: SparkSession, df: DataFrame, path: str, version: int) -> None:
+    """Write ``df`` as version ``version``, then record the commit.
+
+    The data goes to its own partition first; the one-row commit record is
+    appended afterwards, so readers never see a half-written version. A
+    replayed batch rewrites the same version and appends the same record.
+    """
+    (df.withColumn("v", F.lit(version))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("v").parquet(f"{path}/data"))
+    spark.range(1).select(F.lit(version).alias("v")).write.mode("append").parquet(_commits(path))
+
+
+def latest_version(spark: SparkSession, path: str) -> int | None:
+    """Highest committed version: a max over the small commit log (one row
+    per micro-batch), never a scan of the data."""
+    try:
+        return spark.read.parquet(_commits(path)).agg(F.max("v")).first()[0]
+    except Exception:  # noqa: BLE001 - nothing committed yet
+        return None
 
 
 def read_latest(spark: SparkSession, path: str) -> DataFrame:
-    """Highest written version of a versioned table (``v`` is a partition)."""
-    df = spark.read.parquet(path)
-    top = df.agg(F.max("v")).first()[0]
-    return df.where(F.col("v") == top).drop("v")
+    """The newest committed version; the filter on ``v`` prunes partitions."""
+    v = latest_version(spark, path)
+    if v is None:
+        raise FileNotFoundError(f"no committed version under {path}")
+    return spark.read.parquet(f"{path}/data").where(F.col("v") == v).drop("v")
 
 
 def _merge_by_key(spark: SparkSession, path: str, keys: list[str]):
     """foreachBatch function: replace rows of updated keys, write a new version."""
 
     def merge(updates: DataFrame, batch_id: int) -> None:
-        try:
+        latest = latest_version(spark, path)
+        if latest is not None and latest >= batch_id + 1:
+            return  # replay of a batch whose version is already committed
+        if latest is None:
+            merged = updates
+        else:
             current = read_latest(spark, path)
             merged = current.join(updates.select(*keys), keys, "left_anti").unionByName(updates)
-        except Exception:  # noqa: BLE001 - first batch: nothing stored yet
-            merged = updates
-        (merged.withColumn("v", F.lit(batch_id + 1))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("v").parquet(path))
+        write_version(spark, merged, path, batch_id + 1)
 
     return merge
 
@@ -135,16 +161,13 @@ def upsert_stream(spark: SparkSession, stored: DataFrame, landing: str, site: st
     delete sees the whole day. Empty micro-batches change nothing.
     """
     out, ckpt = scratch_path(spark, "jobs"), scratch_path(spark, "jobs-ckpt")
-    stored.withColumn("v", F.lit(0)).write.partitionBy("v").parquet(out)
+    write_version(spark, stored, out, 0)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        current = read_latest(spark, out)
-        new = sync_ops.sync_jobs(current, batch.select(*JOB_COLUMNS), site)
-        (new.withColumn("v", F.lit(batch_id + 1))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("v").parquet(out))
+        if latest_version(spark, out) >= batch_id + 1 or batch.isEmpty():
+            return  # already committed (replay) or nothing landed
+        new = sync_ops.sync_jobs(read_latest(spark, out), batch.select(*JOB_COLUMNS), site)
+        write_version(spark, new, out, batch_id + 1)
 
     stream = spark.readStream.schema(JOB).json(landing)
     run_available(stream.writeStream.foreachBatch(apply), ckpt)
