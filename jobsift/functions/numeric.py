@@ -39,6 +39,14 @@ def mid_salary_average(min_col="min_salary", max_col="max_salary") -> Column:
     return rounded_ratio(F.sum(s), F.count(s) * 2)
 
 
+def weighted_mid_salary_average(weight: str, min_col="min_salary", max_col="max_salary") -> Column:
+    """``mid_salary_average`` where each row stands for ``weight`` identical
+    rows (a job repeated by its category rows): sum((min+max)*w) / 2*sum(w)."""
+    s = F.col(min_col).cast("decimal(38,0)") + F.col(max_col).cast("decimal(38,0)")
+    w = F.col(weight).cast("decimal(38,0)")
+    return rounded_ratio(F.sum(s * w), F.sum(F.when(s.isNotNull(), w)) * 2)
+
+
 def half_up_div(col, divisor: int) -> Column:
     """round(col / divisor, 0), halves away from zero, for integral input."""
     c = (F.col(col) if isinstance(col, str) else col).cast("decimal(38,0)")

@@ -2,9 +2,13 @@
 
 Joins are ``job ⟕ job_category`` on job_code, so a job counts once per
 category row (duplicate pairs included) and once with a NULL category when
-it has none: the original dashboard's weighting. Averages use exact integer
-sums (see ``functions.numeric``), so they are independent of partitioning
-and summation order, and both sum and count combine map-side.
+it has none: the original dashboard's weighting. The bridge table is first
+reduced to (job_code, job_category, weight) with a map-side combined count,
+so the join fans a job out to at most its number of distinct categories,
+however many duplicate rows an append-only bridge has piled up for it (a
+hot job cannot skew the join), and the weights carry the duplicates into
+the aggregates. Averages use exact integer sums (see ``functions.numeric``),
+so they are independent of partitioning and summation order.
 """
 
 from __future__ import annotations
@@ -13,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from jobsift import schema as S
-from jobsift.functions.numeric import mid_salary_average
+from jobsift.functions.numeric import weighted_mid_salary_average
 from jobsift.functions.predicates import known_pay, period_excluded
 
 _PAY_COLS = ["job_code", "job_location", "min_salary", "max_salary", "salary_period"]
@@ -27,6 +31,22 @@ def edu_of(vocab: S.Vocabulary, col: str = "edu_level"):
     return F.left(F.col(col), F.lit(vocab.edu_chars))
 
 
+def category_weights(job_category: DataFrame, category: str | None = None,
+                     categories=None) -> DataFrame:
+    """(job_code, job_category, w): distinct pairs with their row count."""
+    jc = job_category.select("job_code", "job_category")
+    if category is not None:
+        jc = jc.where(F.col("job_category") == category)
+    if categories is not None:
+        jc = jc.where(F.col("job_category").isin(list(categories)))
+    return jc.groupBy("job_code", "job_category").agg(F.count(F.lit(1)).alias("w"))
+
+
+def job_weights(job_category: DataFrame) -> DataFrame:
+    """(job_code, w): number of category rows per job."""
+    return job_category.groupBy("job_code").agg(F.count(F.lit(1)).alias("w"))
+
+
 def _paid_jobs(job: DataFrame, vocab: S.Vocabulary, period_match: str) -> DataFrame:
     """Jobs with a known monthly pay in a whitelisted region."""
     return (job.select(*_PAY_COLS)
@@ -37,11 +57,11 @@ def _paid_jobs(job: DataFrame, vocab: S.Vocabulary, period_match: str) -> DataFr
 def category_salary(job: DataFrame, job_category: DataFrame,
                     vocab: S.Vocabulary = S.DOMAIN) -> DataFrame:
     """A1: average mid salary per tracked category, highest first."""
-    cats = job_category.where(F.col("job_category").isin(list(vocab.tracked)))
+    cats = category_weights(job_category, categories=vocab.tracked)
     return (_paid_jobs(job, vocab, "contains")
             .join(cats, "job_code")
             .groupBy("job_category")
-            .agg(mid_salary_average().alias("category_average"))
+            .agg(weighted_mid_salary_average("w").alias("category_average"))
             .orderBy(F.desc("category_average"), "job_category"))
 
 
@@ -54,13 +74,15 @@ def region_salary(job: DataFrame, job_category: DataFrame, category: str | None
     by prefix (the original's two variants) and the join is inner.
     """
     if category is None:
-        base = _paid_jobs(job, vocab, "contains").join(
-            job_category.select("job_code", "job_category"), "job_code", "left")
+        # a job without category rows still counts once (left join)
+        base = (_paid_jobs(job, vocab, "contains")
+                .join(job_weights(job_category), "job_code", "left")
+                .withColumn("w", F.coalesce("w", F.lit(1))))
     else:
         base = _paid_jobs(job, vocab, "prefix").join(
-            job_category.where(F.col("job_category") == category), "job_code")
+            category_weights(job_category, category=category), "job_code")
     return (base.groupBy(region_of(vocab).alias("region"))
-            .agg(mid_salary_average().alias("region_average"))
+            .agg(weighted_mid_salary_average("w").alias("region_average"))
             .orderBy(F.desc("region_average"), "region"))
 
 
@@ -68,9 +90,9 @@ def region_salary_by_category(job: DataFrame, job_category: DataFrame,
                               vocab: S.Vocabulary = S.DOMAIN) -> DataFrame:
     """A3 for every category in one pass: (job_category, region, region_average)."""
     return (_paid_jobs(job, vocab, "prefix")
-            .join(job_category.select("job_code", "job_category"), "job_code")
+            .join(category_weights(job_category), "job_code")
             .groupBy("job_category", region_of(vocab).alias("region"))
-            .agg(mid_salary_average().alias("region_average"))
+            .agg(weighted_mid_salary_average("w").alias("region_average"))
             .orderBy("job_category", F.desc("region_average"), "region"))
 
 
@@ -95,9 +117,9 @@ def edu_distribution_by_category(job: DataFrame, job_category: DataFrame,
     edu = edu_of(vocab)
     counts = (job.select("job_code", "edu_level")
               .where(F.col("edu_level").isNotNull() & edu.isin(vocab.edu_prefixes))
-              .join(job_category, "job_code")
+              .join(category_weights(job_category), "job_code")
               .groupBy("job_category", edu.alias("min_edu_level"))
-              .agg(F.count(F.lit(1)).alias("count")))
+              .agg(F.sum("w").cast("bigint").alias("count")))
     return counts.withColumn("share", share_of_total("count", "job_category"))
 
 

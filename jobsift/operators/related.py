@@ -19,7 +19,8 @@ def top_k_per_group(df: DataFrame, keys, order, k: int, rank_col: str = "rank")
     return df.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= k)
 
 
-def similar_jobs(job: DataFrame, job_category: DataFrame, k: int = S.SIMILAR_SIZE) -> DataFrame:
+def similar_jobs(job: DataFrame, job_category: DataFrame, k: int = S.SIMILAR_SIZE,
+                 salts: int = 32) -> DataFrame:
     """R2: for every job, the k lowest other codes sharing a category.
 
     Exact without the category self-join: a code among a job's k lowest
@@ -27,12 +28,20 @@ def similar_jobs(job: DataFrame, job_category: DataFrame, k: int = S.SIMILAR_SIZ
     itself and lower peers can precede it), so keeping the k+1 lowest codes
     per category is enough. Work is linear in job_category; the candidate
     table has at most (k+1) rows per category.
+
+    The join of (job, category) pairs to the candidates is keyed by
+    category, which is skewed (a few categories hold most postings). Each
+    pair gets a salt from its job code and the tiny candidate table is
+    replicated once per salt, so a hot category is spread over ``salts``
+    tasks.
     """
     pairs = (job_category.select("job_code", "job_category").distinct()
              .join(job.select("job_code"), "job_code", "left_semi"))
     cand = (top_k_per_group(pairs, ["job_category"], ["job_code"], k + 1, "_r")
-            .select("job_category", F.col("job_code").alias("similar_code")))
-    peers = (pairs.join(cand, "job_category")
+            .select("job_category", F.col("job_code").alias("similar_code"))
+            .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))))
+    salted = pairs.withColumn("_salt", F.pmod(F.xxhash64("job_code"), F.lit(salts)).cast("int"))
+    peers = (salted.join(cand, ["job_category", "_salt"])
              .where(F.col("similar_code") != F.col("job_code"))
              .select("job_code", "similar_code").distinct())
     ranked = top_k_per_group(peers, ["job_code"], ["similar_code"], k)
