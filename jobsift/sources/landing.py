@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from jobsift import schema as S
 from jobsift.functions import text as X
@@ -81,7 +82,8 @@ def read_backup(spark: SparkSession, path: str, source: str | None = None,
                 load_date: str | None = None, fmt: str = "json") -> DataFrame:
     """Backups for one source/date; filters prune partitions. The schema is
     given, never inferred."""
-    schema = S.RECORD.add("source", "string").add("snapshot_date", "date")
+    schema = T.StructType(S.RECORD.fields + [T.StructField("source", T.StringType()),
+                                             T.StructField("snapshot_date", T.DateType())])
     df = spark.read.schema(schema).format(fmt).load(path)
     if source is not None:
         df = df.where(F.col("source") == source)
