@@ -198,6 +198,16 @@ def bookmark_actions(t: Tables) -> DataFrame:
     return bookmarks.bookmark_actions(t.toggles)
 
 
+@query
+def bookmark_apply(t: Tables) -> DataFrame:
+    """M8 applied to a stored table: bookmarks after the first half of the
+    event period, then the second half's toggles applied; equals the parity
+    over all events."""
+    cut = F.lit("2024-01-15").cast("timestamp_ntz")
+    first = bookmarks.current_bookmarks(t.toggles.where(F.col("ts") < cut))
+    return bookmarks.apply_toggles(first, t.toggles.where(F.col("ts") >= cut))
+
+
 # --- sync (M1-M6, J6, J8, J9) ---------------------------------------------------
 
 @query
@@ -439,6 +449,33 @@ def positional_json_read(t: Tables) -> DataFrame:
                        F.concat_ws("|", "job_category").alias("categories"))
 
 
+@query
+def json_detail_roundtrip(t: Tables) -> DataFrame:
+    """S3: postings rendered as detail-API documents (JSON lines), landed,
+    read back and normalised into canonical records. Negotiable-pay
+    postings are landed as closed (switch 'off') and dropped on read."""
+    cats = (t.job_category.groupBy("job_code")
+            .agg(F.array_sort(F.collect_set("job_category")).alias("cats")))
+    j = t.job.join(cats, "job_code", "left")
+    desc = lambda arr: F.transform(arr, lambda x: F.struct(x.alias("description")))
+    data = F.struct(
+        F.when(F.col("salary_period") == S.NEGOTIABLE, F.lit("off")).otherwise(F.lit("on")).alias("switch"),
+        F.struct(F.col("job_title").alias("jobName"), F.col("company_name").alias("custName")).alias("header"),
+        F.struct(F.col("job_location").alias("addressRegion"), F.col("salary_period").alias("salary"),
+                 F.col("min_salary").alias("salaryMin"), F.col("max_salary").alias("salaryMax"),
+                 F.lit(None).cast("string").alias("businessTrip"), F.lit(None).cast("string").alias("manageResp"),
+                 F.when(F.col("edu_level").isNotNull(), F.lit("1")).alias("remoteWork"),
+                 desc(F.col("cats")).alias("jobCategory")).alias("jobDetail"),
+        F.struct(F.col("edu_level").alias("edu"), F.lit(None).cast("string").alias("workExp"),
+                 desc(F.split("skills", ",")).alias("specialty")).alias("condition"))
+    path = scratch_path(t.spark, "details")
+    j.select(F.to_json(F.struct("job_code", data.alias("data"))).alias("value")).write.text(path)
+    recs = landing.detail_records(landing.read_detail_lines(t.spark, path))
+    return recs.select("job_code", "job_title", "company_name", "job_location", "salary_period",
+                       "min_salary", "max_salary", "edu_level", "skills", "remote", "job_source",
+                       F.concat_ws("|", "job_category").alias("categories"))
+
+
 @query
 def staged_categories(t: Tables) -> DataFrame:
     """S14 + F14: records split into job rows and exploded category rows."""

@@ -61,6 +61,14 @@ def read_details(spark: SparkSession, path: str, code_pattern: str = r"([^/\\]+)
                      F.struct("data").alias("doc"))
 
 
+def read_detail_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Detail JSON landed as JSON lines, each ``{"job_code": …, "data": {…}}``:
+    the splittable layout for many documents -> (job_code, doc)."""
+    schema = T.StructType([T.StructField("job_code", T.StringType())] + S.JSON_DETAIL.fields)
+    df = spark.read.schema(schema).json(path)
+    return df.select("job_code", F.struct("data").alias("doc"))
+
+
 def split_record(records: DataFrame, load_date) -> tuple[DataFrame, DataFrame]:
     """S14 + F14: canonical records -> (job rows stamped with the load date,
     (job_code, job_category) rows). A NULL category list yields no rows."""
