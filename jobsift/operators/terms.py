@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from jobsift import schema as S
 from jobsift.functions.text import STOP_WORDS, keep_term, tokens
+from jobsift.operators.market import category_weights
 
 
 def skills_text(job: DataFrame) -> DataFrame:
@@ -49,3 +50,18 @@ def top_terms_by(texts: DataFrame, by: str, text_col: str = "text", k: int = 20,
     w = Window.partitionBy(by).orderBy(F.desc("n"), "term")
     return (term_counts(texts, text_col, (by,), stop_words)
             .withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k))
+
+
+def skill_terms_by_category(job: DataFrame, job_category: DataFrame, k: int = S.TOP_TERMS) -> DataFrame:
+    """R5 on skills: the word-cloud terms of every category at once.
+
+    As in the original's ``job ⟕ job_category`` form, a job counts once per
+    category row; the bridge is first reduced to (job, category, weight)
+    so duplicate pairs are not re-tokenised, and term counts are summed
+    weights. Top-k per category uses the per-task WindowGroupLimit.
+    """
+    toks = term_rows(skills_text(job), keep=("job_code",))
+    counts = (toks.join(category_weights(job_category), "job_code")
+              .groupBy("job_category", "term").agg(F.sum("w").cast("bigint").alias("n")))
+    w = Window.partitionBy("job_category").orderBy(F.desc("n"), "term")
+    return counts.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)

@@ -408,6 +408,11 @@ def skill_terms(t: Tables) -> DataFrame:
     return terms.top_terms(terms.skills_text(t.job))
 
 
+@query
+def skill_terms_by_category(t: Tables) -> DataFrame:
+    return terms.skill_terms_by_category(t.job, t.job_category)
+
+
 @query
 def term_frequency(t: Tables) -> DataFrame:
     return terms.top_terms(t.raw("documents").select("text"))

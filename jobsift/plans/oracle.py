@@ -561,3 +561,16 @@ SELECT j.job_code, j.job_title, j.company_name, j.job_location, j.salary_period,
        COALESCE((SELECT string_agg(DISTINCT jc.job_category, '|' ORDER BY jc.job_category)
                  FROM job_category jc WHERE jc.job_code = j.job_code), '') AS categories
 FROM job j WHERE j.salary_period IS DISTINCT FROM '待遇面議'""", "job", "job_category")
+
+SQL["skill_terms_by_category"] = with_ctes(f"""
+SELECT job_category, term, n, rank FROM (
+  SELECT job_category, term, n,
+         CAST(row_number() OVER (PARTITION BY job_category ORDER BY n DESC, term) AS INTEGER) AS rank
+  FROM (SELECT jc.job_category, t.term, COUNT(*) AS n
+        FROM (SELECT job_code, unnest(regexp_extract_all(lower(replace(skills, ',', ' ')),
+                                                         '[\\p{{L}}\\p{{N}}_]{{2,}}', 0)) AS term
+              FROM job WHERE skills IS NOT NULL) t
+        JOIN job_category jc ON jc.job_code = t.job_code
+        WHERE NOT regexp_matches(t.term, '^\\p{{N}}+$') AND t.term NOT IN {STOP_SQL}
+        GROUP BY 1, 2))
+WHERE rank <= 400""", "job", "job_category")
