@@ -557,7 +557,7 @@ SQL["json_detail_roundtrip"] = with_ctes("""
 SELECT j.job_code, j.job_title, j.company_name, j.job_location, j.salary_period,
        j.min_salary, j.max_salary, j.edu_level, j.skills,
        CASE WHEN j.edu_level IS NOT NULL THEN '可遠端工作' ELSE '不可遠端工作' END AS remote,
-       'https://www.104.com.tw/job/' || j.job_code AS job_source,
+       'https://www.board-a.example/job/' || j.job_code AS job_source,
        COALESCE((SELECT string_agg(DISTINCT jc.job_category, '|' ORDER BY jc.job_category)
                  FROM job_category jc WHERE jc.job_code = j.job_code), '') AS categories
 FROM job j WHERE j.salary_period IS DISTINCT FROM '待遇面議'""", "job", "job_category")

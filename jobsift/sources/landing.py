@@ -26,7 +26,7 @@ def listing_codes(spark: SparkSession, path: str, pattern: str = S.CODE_PATTERNS
 
 
 def detail_records(details: DataFrame, code_col: str = "job_code", doc_col: str = "doc",
-                   url_prefix: str = "https://www.104.com.tw/job/") -> DataFrame:
+                   url_prefix: str = "https://www.board-a.example/job/") -> DataFrame:
     """S3 + F12-F16 + F27 + P14: parsed detail JSON -> canonical record.
 
     Closed postings (``switch`` not 'on') are dropped. Skills are the

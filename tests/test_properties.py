@@ -37,7 +37,7 @@ def test_edu_shares_sum_to_one(spark, edus):
 
 
 codes = st.sampled_from([f"c{i}" for i in range(12)])
-sources = st.sampled_from(["https://www.104.com.tw/job/", "https://www.518.com.tw/job-"])
+sources = st.sampled_from(["https://www.board-a.example/job/", "https://www.board-b.example/job-"])
 
 
 @SETTINGS
@@ -48,17 +48,17 @@ def test_sync_idempotent_and_scoped(spark, stored_rows, batch_codes):
         return (code, "t", "co", "l", None, None, None, None, None, None, None, None, None, src + code, ts)
 
     stored = spark.createDataFrame([job(c, s, TS) for c, s in stored_rows], S.JOB)
-    batch = spark.createDataFrame([job(c, "https://www.104.com.tw/job/", TS + dt.timedelta(days=1))
+    batch = spark.createDataFrame([job(c, "https://www.board-a.example/job/", TS + dt.timedelta(days=1))
                                    for c in batch_codes], S.JOB)
-    once = sync.sync_jobs(stored, batch, "www.104.com")
-    assert rows(sync.sync_jobs(once, batch, "www.104.com")) == rows(once)
+    once = sync.sync_jobs(stored, batch, "www.board-a")
+    assert rows(sync.sync_jobs(once, batch, "www.board-a")) == rows(once)
     codes_after = {r.job_code for r in once.collect()}
-    # every batch code is present; a 518 row survives unless the batch took its code
+    # every batch code is present; a board-b row survives unless the batch took its code
     assert set(batch_codes) <= codes_after
     for c, s in stored_rows:
-        if "518" in s and c not in batch_codes:
+        if "board-b" in s and c not in batch_codes:
             assert c in codes_after
-        if "104" in s and c not in batch_codes:
+        if "board-a" in s and c not in batch_codes:
             assert c not in codes_after
 
 

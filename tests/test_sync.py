@@ -23,52 +23,52 @@ def frame(spark, data):
 @pytest.fixture
 def stored(spark):
     return frame(spark, [
-        job("keep", "https://www.104.com.tw/job/keep"),
-        job("change", "https://www.104.com.tw/job/change"),
-        job("gone", "https://www.104.com.tw/job/gone"),
-        job("other", "https://www.518.com.tw/job-other.html"),
-        job("moves", "https://www.518.com.tw/job-moves.html"),
+        job("keep", "https://www.board-a.example/job/keep"),
+        job("change", "https://www.board-a.example/job/change"),
+        job("gone", "https://www.board-a.example/job/gone"),
+        job("other", "https://www.board-b.example/job-other.html"),
+        job("moves", "https://www.board-b.example/job-moves.html"),
     ])
 
 
 def test_sync_update_delete_insert(spark, stored):
-    batch = frame(spark, [job("keep", "https://www.104.com.tw/job/keep", NEW),
-                          job("change", "https://www.104.com.tw/job/change", NEW, title="new title"),
-                          job("new", "https://www.104.com.tw/job/new", NEW),
-                          job("moves", "https://www.104.com.tw/job/moves", NEW)])
-    out = sync.sync_jobs(stored, batch, "www.104.com")
+    batch = frame(spark, [job("keep", "https://www.board-a.example/job/keep", NEW),
+                          job("change", "https://www.board-a.example/job/change", NEW, title="new title"),
+                          job("new", "https://www.board-a.example/job/new", NEW),
+                          job("moves", "https://www.board-a.example/job/moves", NEW)])
+    out = sync.sync_jobs(stored, batch, "www.board-a")
     got = {r.job_code: (r.job_title, r.job_source, r.create_date) for r in out.collect()}
     assert set(got) == {"keep", "change", "new", "other", "moves"}
     assert got["change"][0] == "new title"
     assert got["keep"][2] == NEW
     assert got["other"][2] == OLD                                  # other source untouched
-    assert got["moves"][1] == "https://www.104.com.tw/job/moves"   # one row, now source B
+    assert got["moves"][1] == "https://www.board-a.example/job/moves"   # one row, now source B
 
 
 def test_sync_is_idempotent(spark, stored):
-    batch = frame(spark, [job("keep", "https://www.104.com.tw/job/keep", NEW)])
-    once = sync.sync_jobs(stored, batch, "www.104.com")
-    twice = sync.sync_jobs(once, batch, "www.104.com")
+    batch = frame(spark, [job("keep", "https://www.board-a.example/job/keep", NEW)])
+    once = sync.sync_jobs(stored, batch, "www.board-a")
+    twice = sync.sync_jobs(once, batch, "www.board-a")
     assert rows(once) == rows(twice)
 
 
 def test_sync_never_touches_other_sources(spark, stored):
-    batch = frame(spark, [job("x", "https://www.104.com.tw/job/x", NEW)])
-    out = sync.sync_jobs(stored, batch, "www.104.com")
-    others = lambda df: rows(df.where(~df.job_source.contains("www.104.com")))
+    batch = frame(spark, [job("x", "https://www.board-a.example/job/x", NEW)])
+    out = sync.sync_jobs(stored, batch, "www.board-a")
+    others = lambda df: rows(df.where(~df.job_source.contains("www.board-a")))
     assert others(out) == others(stored)
 
 
 def test_empty_batch_changes_nothing(spark, stored):
     empty = frame(spark, [])
-    out = sync.guard_empty(stored, empty, lambda t, b: sync.sync_jobs(t, b, "www.104.com"))
+    out = sync.guard_empty(stored, empty, lambda t, b: sync.sync_jobs(t, b, "www.board-a"))
     assert rows(out) == rows(stored)
 
 
 def test_stale_and_cascade(spark, stored):
-    batch = frame(spark, [job("keep", "https://www.104.com.tw/job/keep", NEW)])
-    assert rows(sync.stale_jobs(stored, batch, "www.104.com"), "job_code") == [("change",), ("gone",)]
-    after = sync.sync_jobs(stored, batch, "www.104.com")
+    batch = frame(spark, [job("keep", "https://www.board-a.example/job/keep", NEW)])
+    assert rows(sync.stale_jobs(stored, batch, "www.board-a"), "job_code") == [("change",), ("gone",)]
+    after = sync.sync_jobs(stored, batch, "www.board-a")
     cats = spark.createDataFrame([("keep", "a"), ("gone", "a"), ("other", "b")], S.JOB_CATEGORY)
     assert rows(sync.cascade(cats, after)) == [("keep", "a"), ("other", "b")]
     assert rows(sync.orphans(cats, after)) == [("gone", "a")]

@@ -30,8 +30,8 @@ def test_load_date_boundary(spark):
 
 def test_codes_from_links(spark):
     df = spark.createDataFrame([
-        ("https://www.104.com.tw/job/8aary?jobsource=x",), ("https://www.518.com.tw/job-yEO595.html",),
-        ("https://hk.jobsdb.com/job/75519058?type=standout",), ("https://doda-x.jp/job/detail/3010212845/",),
+        ("https://www.board-a.example/job/8aary?jobsource=x",), ("https://www.board-b.example/job-yEO595.html",),
+        ("https://hk.board-c.example/job/75519058?type=standout",), ("https://board-d.example/job/detail/3010212845/",),
         ("https://example.com/none",)], "u string")
     got = df.select(X.extract_code("u", S.CODE_PATTERNS["json_board"]).alias("a"),
                     X.extract_code("u", S.CODE_PATTERNS["html_board"]).alias("b"),
@@ -58,15 +58,15 @@ def test_json_detail_to_record(spark, tmp_path):
     r = recs[0]
     assert (r.job_code, r.skills, r.remote, r.job_category) == ("8aary", "Python,Go", "可遠端工作",
                                                                 ["後端工程師", "軟體工程師"])
-    assert r.job_source == "https://www.104.com.tw/job/8aary"
+    assert r.job_source == "https://www.board-a.example/job/8aary"
     jobs, cats = landing.split_record(landing.detail_records(details), "2024-05-23")
     assert jobs.columns == S.JOB_COLUMNS and cats.count() == 2
 
 
 def test_listing_json_codes(spark, tmp_path):
-    page = {"data": {"list": [{"link": {"job": "//www.104.com.tw/job/abc12?jobsource=x"}},
-                              {"link": {"job": "//www.104.com.tw/company/1"}},
-                              {"link": {"job": "//www.104.com.tw/job/zz9?x=1"}}]}}
+    page = {"data": {"list": [{"link": {"job": "//www.board-a.example/job/abc12?jobsource=x"}},
+                              {"link": {"job": "//www.board-a.example/company/1"}},
+                              {"link": {"job": "//www.board-a.example/job/zz9?x=1"}}]}}
     (tmp_path / "p1.json").write_text(json.dumps(page))
     got = rows(landing.listing_codes(spark, str(tmp_path)), "pos", "job_code")
     assert got == [(0, "abc12"), (2, "zz9")]
@@ -83,7 +83,7 @@ DETAIL_HTML = """<html><body><h1 class="job-title"> 資料工程師 </h1>
 
 
 def test_html_detail_record(spark):
-    pages = spark.createDataFrame([("https://www.518.com.tw/job-yEO595.html", DETAIL_HTML)], "url string, html string")
+    pages = spark.createDataFrame([("https://www.board-b.example/job-yEO595.html", DETAIL_HTML)], "url string, html string")
     r = html.detail_records(pages).collect()[0]
     assert (r.job_title, r.job_code, r.company_name, r.job_location) == ("資料工程師", "yEO595", "好公司", "台北市信義區")
     assert (r.min_salary, r.max_salary, r.skills) == (45000, 60000, "Python & SQL")
@@ -106,7 +106,7 @@ def test_positional_whole_file(spark, tmp_path):
     # the original dump: one JSON array of 15-slot arrays per file, numbers as
     # numbers and the category slot as a nested array
     rec = ["t", "c1", "co", "台北市", "月薪", 1, 2, None, None, "Go", None, None, None, "https://x", ["a", "b"]]
-    (tmp_path / "jd_518_2024-05-23.json").write_text(json.dumps([rec, rec], ensure_ascii=False))
+    (tmp_path / "jd_board_b_2024-05-23.json").write_text(json.dumps([rec, rec], ensure_ascii=False))
     back = landing.read_positional(spark, str(tmp_path), whole_file=True).collect()
     assert len(back) == 2
     r = back[0]
