@@ -33,7 +33,10 @@ def similar_jobs(job: DataFrame, job_category: DataFrame, k: int = S.SIMILAR_SIZ
     category, which is skewed (a few categories hold most postings). Each
     pair gets a salt from its job code and the tiny candidate table is
     replicated once per salt, so a hot category is spread over ``salts``
-    tasks.
+    tasks (AQE still turns the join into a broadcast when the measured
+    candidate side is small). Each job then has at most (k+1) x (its
+    categories) candidates, so one per-job aggregate of the distinct
+    candidates, combined map-side, replaces a distinct plus a ranking window.
     """
     pairs = (job_category.select("job_code", "job_category").distinct()
              .join(job.select("job_code"), "job_code", "left_semi"))
@@ -41,10 +44,12 @@ def similar_jobs(job: DataFrame, job_category: DataFrame, k: int = S.SIMILAR_SIZ
             .select("job_category", F.col("job_code").alias("similar_code"))
             .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))))
     salted = pairs.withColumn("_salt", F.pmod(F.xxhash64("job_code"), F.lit(salts)).cast("int"))
-    peers = (salted.join(cand, ["job_category", "_salt"])
-             .where(F.col("similar_code") != F.col("job_code"))
-             .select("job_code", "similar_code").distinct())
-    ranked = top_k_per_group(peers, ["job_code"], ["similar_code"], k)
+    lowest = (salted.join(cand, ["job_category", "_salt"])
+              .where(F.col("similar_code") != F.col("job_code"))
+              .groupBy("job_code")
+              .agg(F.slice(F.array_sort(F.collect_set("similar_code")), 1, k).alias("_peers")))
+    ranked = (lowest.select("job_code", F.posexplode("_peers").alias("rank", "similar_code"))
+              .withColumn("rank", (F.col("rank") + 1).cast("int")))
     info = job.select(F.col("job_code").alias("similar_code"),
                       F.col("job_title").alias("similar_title"),
                       F.col("company_name").alias("similar_company"),
