@@ -53,6 +53,22 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash ``df`` over the cluster's default parallelism when its scan gives
+    fewer splits than that.
+
+    A file written as one large row group yields one non-empty split, so
+    CPU-heavy per-row work (regular expressions over whole texts) would run
+    in a single task. Only then are the rows spread by their key. At scale
+    the scan has far more splits than cores and this returns ``df``
+    unchanged, adding no shuffle of the text.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, *keys) if keys else df.repartition(target)
+
+
 def job_code(col) -> F.Column:
     return F.concat(F.lit("j"), F.col(col).cast("string"))
 
@@ -178,6 +194,10 @@ class Tables:
     def raw(self, name: str) -> DataFrame:
         return read(self.spark, self.sf_dir, name)
 
+    def texts(self, name: str, key: str) -> DataFrame:
+        """A table of whole texts (documents, pages), spread for per-row regex work."""
+        return spread(self.raw(name), key)
+
     # sync scenario --------------------------------------------------------
     @property
     def stored_jobs(self) -> DataFrame:

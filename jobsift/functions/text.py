@@ -105,22 +105,54 @@ def visible_text(col) -> Column:
 
 # --- terms -------------------------------------------------------------------
 
-TOKEN_PATTERN = r"[\p{L}\p{N}_]{2,}"
-DIGITS_PATTERN = r"^\p{N}+$"
-
-# Stop words dropped from term counts (common English words).
+# Word-cloud word rules (the public word-cloud library's defaults, which the
+# original feeds its skills text into): a word is a letter/digit/underscore
+# followed by any of those or apostrophes; a trailing "'s" is cut; words of
+# digits only and stop words (compared in lower case) are dropped.
+WORD_PATTERN = r"[\p{L}\p{N}_][\p{L}\p{N}_']*"
+DIGITS_PATTERN = r"^\p{Nd}+$"
+
+# The word-cloud library's default English stop words.
 STOP_WORDS = [
-    "a", "an", "and", "are", "as", "at", "be", "but", "by", "for", "from", "has",
-    "have", "he", "her", "his", "in", "is", "it", "its", "of", "on", "or", "she",
-    "that", "the", "their", "they", "this", "to", "was", "were", "which", "with",
+    "a", "about", "above", "after", "again", "against", "all", "also", "am", "an", "and", "any",
+    "are", "aren't", "as", "at", "be", "because", "been", "before", "being", "below", "between",
+    "both", "but", "by", "can", "can't", "cannot", "com", "could", "couldn't", "did", "didn't",
+    "do", "does", "doesn't", "doing", "don't", "down", "during", "each", "else", "ever", "few",
+    "for", "from", "further", "get", "had", "hadn't", "has", "hasn't", "have", "haven't",
+    "having", "he", "he'd", "he'll", "he's", "hence", "her", "here", "here's", "hers", "herself",
+    "him", "himself", "his", "how", "how's", "however", "http", "i", "i'd", "i'll", "i'm", "i've",
+    "if", "in", "into", "is", "isn't", "it", "it's", "its", "itself", "just", "k", "let's",
+    "like", "me", "more", "most", "mustn't", "my", "myself", "no", "nor", "not", "of", "off", "on",
+    "once", "only", "or", "other", "otherwise", "ought", "our", "ours", "ourselves", "out",
+    "over", "own", "r", "same", "shall", "shan't", "she", "she'd", "she'll", "she's", "should",
+    "shouldn't", "since", "so", "some", "such", "than", "that", "that's", "the", "their",
+    "theirs", "them", "themselves", "then", "there", "there's", "therefore", "these", "they",
+    "they'd", "they'll", "they're", "they've", "this", "those", "through", "to", "too", "under",
+    "until", "up", "very", "was", "wasn't", "we", "we'd", "we'll", "we're", "we've", "were",
+    "weren't", "what", "what's", "when", "when's", "where", "where's", "which", "while", "who",
+    "who's", "whom", "why", "why's", "with", "won't", "would", "wouldn't", "www", "you", "you'd",
+    "you'll", "you're", "you've", "your", "yours", "yourself", "yourselves",
 ]
 
 
-def tokens(col) -> Column:
-    """Lower-cased runs of at least two letters/digits/underscores."""
-    return F.regexp_extract_all(F.lower(_c(col)), F.lit(TOKEN_PATTERN), 0)
+def words(col) -> Column:
+    """Every word of a text, in its original case, in text order."""
+    return F.regexp_extract_all(_c(col), F.lit(WORD_PATTERN), 0)
+
+
+def strip_possessive(col) -> Column:
+    """Cut a trailing "'s" (any case): "Python's" -> "Python"."""
+    c = _c(col)
+    return F.when(F.lower(c).endswith("'s"), c.substr(F.lit(1), F.length(c) - 2)).otherwise(c)
 
 
-def keep_term(col, stop_words=STOP_WORDS) -> Column:
+def keep_word(col, stop_words=STOP_WORDS) -> Column:
+    """Not digits only and not a stop word (case-insensitive)."""
     c = _c(col)
-    return ~c.rlike(DIGITS_PATTERN) & ~c.isin(list(stop_words))
+    return ~c.rlike(DIGITS_PATTERN) & ~F.lower(c).isin(list(stop_words))
+
+
+def plural_stem(key) -> Column:
+    """For a lower-case word ending in one 's' (not 'ss'), the word without it; else NULL."""
+    k = _c(key)
+    return F.when(k.endswith("s") & ~k.endswith("ss"), k.substr(F.lit(1), F.length(k) - 1))

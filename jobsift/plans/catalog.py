@@ -339,22 +339,22 @@ def extracted_contract(t: Tables) -> DataFrame:
 
 @query
 def page_links(t: Tables) -> DataFrame:
-    return html.page_links(t.raw("pages"))
+    return html.page_links(t.texts("pages", "page_id"))
 
 
 @query
 def link_codes(t: Tables) -> DataFrame:
-    return html.link_codes(html.page_links(t.raw("pages")), r"^/([^/?#]+)$")
+    return html.link_codes(html.page_links(t.texts("pages", "page_id")), r"^/([^/?#]+)$")
 
 
 @query
 def page_records(t: Tables) -> DataFrame:
-    return html.page_record(t.raw("pages"))
+    return html.page_record(t.texts("pages", "page_id"))
 
 
 @query
 def page_text(t: Tables) -> DataFrame:
-    return html.page_text(t.raw("pages"))
+    return html.page_text(t.texts("pages", "page_id"))
 
 
 @query
@@ -415,17 +415,17 @@ def skill_terms_by_category(t: Tables) -> DataFrame:
 
 @query
 def term_frequency(t: Tables) -> DataFrame:
-    return terms.top_terms(t.raw("documents").select("text"))
+    return terms.top_terms(t.texts("documents", "doc_id").select("text"))
 
 
 @query
 def term_weight(t: Tables) -> DataFrame:
-    return terms.term_weights(terms.top_terms(t.raw("documents").select("text")))
+    return terms.term_weights(terms.top_terms(t.texts("documents", "doc_id").select("text")))
 
 
 @query
 def term_top_by_lang(t: Tables) -> DataFrame:
-    return terms.top_terms_by(t.raw("documents").select("lang", "text"), "lang", k=20)
+    return terms.top_terms_by(t.texts("documents", "doc_id").select("lang", "text"), "lang", k=20)
 
 
 # --- backups (S10-S12, S14, P16) ------------------------------------------------

@@ -8,6 +8,7 @@ below, which mirror ``jobsift.bindings`` expression by expression.
 from __future__ import annotations
 
 from jobsift import bindings as B
+from jobsift.functions.text import STOP_WORDS
 
 CTE = {}
 
@@ -97,10 +98,7 @@ TRACKED = ["ECONOMY", "LARGE", "MEDIUM", "SMALL", "STANDARD"]
 TRACKED_SQL = "('ECONOMY','LARGE','MEDIUM','SMALL','STANDARD')"
 REGIONS_SQL = "('AFR','AME','ASI','EUR')"
 EDU_SQL = "('1-','2-','3-','4-')"
-STOP_SQL = "(" + ",".join(f"'{w}'" for w in [
-    "a", "an", "and", "are", "as", "at", "be", "but", "by", "for", "from", "has",
-    "have", "he", "her", "his", "in", "is", "it", "its", "of", "on", "or", "she",
-    "that", "the", "their", "they", "this", "to", "was", "were", "which", "with"]) + ")"
+STOP_SQL = "(" + ",".join("'" + w.replace("'", "''") + "'" for w in STOP_WORDS) + ")"
 
 PAID = """(min_salary != 0 OR max_salary != 0) AND max_salary != 9999999
     AND salary_period != '待遇面議' AND LEFT(job_location, 3) IN """ + REGIONS_SQL
@@ -160,11 +158,36 @@ KW = "(job_title LIKE '%BUILDING%' OR company_name LIKE '%BUILDING%' OR job_loca
 GROUPED = f"{EXCLUDE_ANY} AND {KW} AND min_salary > 100000 AND job_location LIKE '%ASIA%'"
 
 
-def _terms(source: str) -> str:
-    return f"""SELECT term, COUNT(*) AS n FROM (
-  SELECT unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]{{2,}}', 0)) AS term FROM ({source}))
-WHERE NOT regexp_matches(term, '^\\p{{N}}+$') AND term NOT IN {STOP_SQL}
-GROUP BY term"""
+def _terms(source: str, by: str | None = None, weight: str = "1") -> str:
+    """Word-cloud frequencies ``(by, term, n)`` of ``source``'s ``text``:
+    words in original case, trailing 's cut, digits-only and stop words
+    dropped, a plural key folded into its singular key when that occurs in
+    the group, the most frequent spelling shown (ties: smaller string)."""
+    g = f"{by}, " if by else ""
+    cg = f"c.{by}, " if by else ""
+    on = f" AND k.{by} = c.{by}" if by else ""
+    return f"""(WITH w0 AS (
+  SELECT {g}unnest(regexp_extract_all(text, '[\\p{{L}}\\p{{N}}_][\\p{{L}}\\p{{N}}_'']*', 0)) AS word,
+         {weight} AS wt
+  FROM ({source})),
+w1 AS (
+  SELECT {g}CASE WHEN ends_with(lower(word), '''s') THEN left(word, length(word) - 2) ELSE word END AS word, wt
+  FROM w0),
+cnt AS (
+  SELECT {g}word, SUM(wt) AS c FROM w1
+  WHERE NOT regexp_matches(word, '^\\p{{Nd}}+$') AND lower(word) NOT IN {STOP_SQL}
+  GROUP BY {g}word),
+keys AS (SELECT DISTINCT {g}lower(word) AS key FROM cnt),
+mapped AS (
+  SELECT {cg}CASE WHEN k.key IS NOT NULL THEN k.key ELSE lower(c.word) END AS key,
+         CASE WHEN k.key IS NOT NULL THEN left(c.word, length(c.word) - 1) ELSE c.word END AS word,
+         c.c
+  FROM cnt c LEFT JOIN keys k
+    ON k.key = CASE WHEN ends_with(lower(c.word), 's') AND NOT ends_with(lower(c.word), 'ss')
+                    THEN left(lower(c.word), length(c.word) - 1) END{on}),
+spell AS (SELECT {g}key, word, SUM(c) AS c FROM mapped GROUP BY {g}key, word)
+SELECT {g}first(word ORDER BY c DESC, word) AS term, CAST(SUM(c) AS BIGINT) AS n
+FROM spell GROUP BY {g}key)"""
 
 
 def _visible(x: str) -> str:
@@ -500,26 +523,22 @@ SELECT job_category, total, CAST(o * 30 AS INTEGER) AS page_offset FROM (
 # --- terms ------------------------------------------------------------------------------
 
 SQL["skill_terms"] = with_ctes(f"""
-{_terms("SELECT replace(skills, ',', ' ') AS text FROM job WHERE skills IS NOT NULL")}
+SELECT term, n FROM {_terms("SELECT replace(skills, ',', ' ') AS text FROM job WHERE skills IS NOT NULL")} t
 ORDER BY n DESC, term LIMIT 400""", "job")
 
 SQL["term_frequency"] = f"""
-{_terms("SELECT text FROM documents")}
+SELECT term, n FROM {_terms("SELECT text FROM documents")} t
 ORDER BY n DESC, term LIMIT 400"""
 
 SQL["term_weight"] = f"""
 SELECT term, n, CAST(n AS DOUBLE) / CAST(max(n) OVER () AS DOUBLE) AS weight FROM (
-{_terms("SELECT text FROM documents")}
+SELECT term, n FROM {_terms("SELECT text FROM documents")} t
 ORDER BY n DESC, term LIMIT 400)"""
 
 SQL["term_top_by_lang"] = f"""
 SELECT lang, term, n, rank FROM (
   SELECT lang, term, n, CAST(row_number() OVER (PARTITION BY lang ORDER BY n DESC, term) AS INTEGER) AS rank
-  FROM (SELECT lang, term, COUNT(*) AS n FROM (
-          SELECT lang, unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]{{2,}}', 0)) AS term
-          FROM documents)
-        WHERE NOT regexp_matches(term, '^\\p{{N}}+$') AND term NOT IN {STOP_SQL}
-        GROUP BY lang, term))
+  FROM {_terms("SELECT lang, text FROM documents", by="lang")} t)
 WHERE rank <= 20"""
 
 # --- backups ---------------------------------------------------------------------------------
@@ -566,11 +585,7 @@ SQL["skill_terms_by_category"] = with_ctes(f"""
 SELECT job_category, term, n, rank FROM (
   SELECT job_category, term, n,
          CAST(row_number() OVER (PARTITION BY job_category ORDER BY n DESC, term) AS INTEGER) AS rank
-  FROM (SELECT jc.job_category, t.term, COUNT(*) AS n
-        FROM (SELECT job_code, unnest(regexp_extract_all(lower(replace(skills, ',', ' ')),
-                                                         '[\\p{{L}}\\p{{N}}_]{{2,}}', 0)) AS term
-              FROM job WHERE skills IS NOT NULL) t
-        JOIN job_category jc ON jc.job_code = t.job_code
-        WHERE NOT regexp_matches(t.term, '^\\p{{N}}+$') AND t.term NOT IN {STOP_SQL}
-        GROUP BY 1, 2))
+  FROM {_terms("SELECT jc.job_category, replace(j.skills, ',', ' ') AS text "
+               "FROM job j JOIN job_category jc ON jc.job_code = j.job_code WHERE j.skills IS NOT NULL",
+               by="job_category")} t)
 WHERE rank <= 400""", "job", "job_category")

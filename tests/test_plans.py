@@ -37,8 +37,8 @@ def test_ranked_selection_limits_before_shuffle(spark):
 def test_term_counts_aggregate_map_side(spark):
     docs = B.read(spark, SMOKE, "documents").select("text")
     p = plan(terms.top_terms(docs))
-    # partial HashAggregate below the exchange on term
-    assert p.index("Exchange hashpartitioning(term") < p.rindex("HashAggregate")
+    # partial HashAggregate below the exchange on the spelling counts
+    assert p.index("Exchange hashpartitioning(word") < p.rindex("HashAggregate")
 
 
 def test_scan_prunes_columns(spark):

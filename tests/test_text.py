@@ -3,12 +3,13 @@
 import datetime as dt
 import json
 
+from jobsift import bindings as B
 from jobsift import schema as S
 from jobsift.functions import dates as D
 from jobsift.functions import text as X
 from jobsift.operators import terms
 from jobsift.sources import html, landing
-from tests.conftest import rows
+from tests.conftest import SMOKE, rows
 
 
 def test_monthly_range_parse(spark):
@@ -120,7 +121,43 @@ def test_positional_lines_roundtrip(spark, tmp_path):
     assert rows(landing.read_positional(spark, str(tmp_path / "p"))) == rows(recs)
 
 
-def test_terms_keep_cjk(spark):
+def _wordcloud_counts(texts, stop_words):
+    """Brute force of the word-cloud library's frequency step (no
+    collocations): findall, cut 's, drop digits and stop words, fold plurals,
+    fuse spellings (ties: smaller string instead of first seen)."""
+    import re
+    from collections import Counter, defaultdict
+    found = [w for t in texts for w in re.findall(r"\w[\w']*", t)]
+    found = [w[:-2] if w.lower().endswith("'s") else w for w in found]
+    found = [w for w in found if not w.isdigit()]
+    stop = {s.lower() for s in stop_words}
+    found = [w for w in found if w.lower() not in stop]
+    d = defaultdict(Counter)
+    for w in found:
+        d[w.lower()][w] += 1
+    for key in list(d):
+        if key.endswith("s") and not key.endswith("ss") and key[:-1] in d:
+            for w, c in d.pop(key).items():
+                d[key[:-1]][w[:-1]] += c
+    return sorted((min(cd.items(), key=lambda kv: (-kv[1], kv[0]))[0], sum(cd.values()))
+                  for cd in d.values())
+
+
+def test_terms_keep_cjk_and_case(spark):
     df = spark.createDataFrame([("Python,資料分析 python 2024 the Go",)], "text string")
     got = rows(terms.term_counts(df), "term", "n")
-    assert got == [("go", 1), ("python", 2), ("資料分析", 1)]
+    assert got == [("Go", 1), ("Python", 2), ("資料分析", 1)]
+
+
+def test_terms_fold_plurals_and_possessives(spark):
+    df = spark.createDataFrame([("APIs api API's class classes bus's Java's SQLs",)], "text string")
+    got = rows(terms.term_counts(df), "term", "n")
+    # APIs -> API (singular key exists); SQLs stays (no 'sql'); class/classes differ
+    assert got == [("API", 3), ("Java", 1), ("SQLs", 1), ("bus", 1), ("class", 1), ("classes", 1)]
+
+
+def test_term_counts_equal_brute_force(spark):
+    docs = B.read(spark, SMOKE, "documents").select("text")
+    texts = [r.text for r in docs.collect()]
+    got = rows(terms.term_counts(docs), "term", "n")
+    assert got == _wordcloud_counts(texts, X.STOP_WORDS)
