@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from jobsift.session import scratch_path
+
 KEY = ["user_id", "job_code"]
 
 
@@ -29,27 +31,38 @@ def current_bookmarks(toggles: DataFrame) -> DataFrame:
     return bookmark_state(toggles).where("bookmarked").select(*KEY)
 
 
-def bookmark_actions(toggles: DataFrame, bucket: str = "day") -> DataFrame:
-    """Action ('add'/'remove') of every toggle event.
+def bookmark_actions(toggles: DataFrame, path: str | None = None) -> DataFrame:
+    """Action ('add'/'remove') of every toggle event: the parity of its
+    ordinal within its (user, job) key in (ts, event_id) order.
 
-    The ordinal of an event within its key is computed in two steps so that
-    no key's whole history has to sit in one task: events are numbered
-    within (key, time bucket), and each bucket is offset by the number of
-    the key's events in earlier buckets (a running sum over the much smaller
-    per-bucket counts).
+    No key's events have to sit in one task, however many it has. The
+    events are sorted globally by (key, ts, event_id); range partitioning
+    splits a hot key's run over several tasks. Each row is numbered by the
+    partition it landed in and its position there (``spark_partition_id``,
+    ``monotonically_increasing_id``, consecutive within a partition). This is
+    written once to ``path`` (default: a fresh folder under the shared
+    checkpoint folder): range bounds come from sampling, so the numbering
+    is pinned before it is read twice. A key's run in one partition is a
+    segment; its ordinals continue from the key's events in earlier
+    partitions, a running sum over at most one row per partition the key
+    spans.
     """
-    ev = toggles.withColumn("_b", F.date_trunc(bucket, F.col("ts").cast("timestamp")))
-    counts = ev.groupBy(*KEY, "_b").agg(F.count(F.lit(1)).alias("_n"))
-    prior = counts.withColumn(
-        "_before",
-        F.coalesce(F.sum("_n").over(Window.partitionBy(*KEY).orderBy("_b")
-                                    .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    w = Window.partitionBy(*KEY, "_b").orderBy("ts", "event_id")
-    numbered = (ev.join(prior.select(*KEY, "_b", "_before"), [*KEY, "_b"])
-                .withColumn("ordinal", F.col("_before") + F.row_number().over(w)))
-    return numbered.select(
-        "event_id", "ts", *KEY, F.col("ordinal").cast("bigint").alias("ordinal"),
-        F.when(F.col("ordinal") % 2 == 1, F.lit("add")).otherwise(F.lit("remove")).alias("action"))
+    spark = toggles.sparkSession
+    path = path or scratch_path(spark, "toggle-order")
+    (toggles.select("event_id", "ts", *KEY)
+     .orderBy(*KEY, "ts", "event_id")
+     .withColumn("_p", F.spark_partition_id())
+     .withColumn("_i", F.monotonically_increasing_id())
+     .write.parquet(path))
+    ev = spark.read.parquet(path)
+    seg = ev.groupBy(*KEY, "_p").agg(F.min("_i").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.partitionBy(*KEY).orderBy("_p")
+                                         .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = seg.select(*KEY, "_p", "_first", before.alias("_before"))
+    ordinal = F.col("_before") + (F.col("_i") - F.col("_first")) + 1
+    return (ev.join(offsets, [*KEY, "_p"])
+            .select("event_id", "ts", *KEY, ordinal.cast("bigint").alias("ordinal"))
+            .withColumn("action", F.when(F.col("ordinal") % 2 == 1, F.lit("add")).otherwise(F.lit("remove"))))
 
 
 def apply_toggles(marks: DataFrame, toggles: DataFrame) -> DataFrame:

@@ -61,7 +61,7 @@ def test_toggle_parity(spark):
 
 
 def test_actions_across_buckets(spark):
-    # the same key over several days: ordinals continue across day buckets
+    # the same key over several days: ordinals continue from day to day
     t = spark.createDataFrame(
         [(i, dt.datetime(2024, 5, 1 + i // 3, i % 3), 7, "k") for i in range(8)],
         "event_id long, ts timestamp_ntz, user_id long, job_code string")
@@ -69,6 +69,28 @@ def test_actions_across_buckets(spark):
     assert got == [(i + 1, "add" if i % 2 == 0 else "remove") for i in range(8)]
 
 
+def test_actions_of_a_hot_key_split_over_tasks(spark):
+    # one key holds most events; the global sort spreads its run over
+    # several partitions, and ordinals still equal a per-key row_number
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+    ev = [(i, dt.datetime(2024, 5, 1) + dt.timedelta(seconds=i % 97), 1, "hot") for i in range(3000)]
+    ev += [(3000 + i, dt.datetime(2024, 5, 2), 2 + i % 5, f"c{i % 7}") for i in range(300)]
+    t = spark.createDataFrame(ev, "event_id long, ts timestamp_ntz, user_id long, job_code string")
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")  # keep the 8 sort partitions of this small input
+    try:
+        parts = (t.orderBy("user_id", "job_code", "ts", "event_id").where(F.col("job_code") == "hot")
+                 .select(F.spark_partition_id().alias("p")).distinct().count())
+        assert parts > 1
+        w = Window.partitionBy("user_id", "job_code").orderBy("ts", "event_id")
+        expect = t.select("event_id", F.row_number().over(w).cast("bigint").alias("ordinal"))
+        got = bookmarks.bookmark_actions(t).select("event_id", "ordinal")
+        assert rows(got) == rows(expect)
+    finally:
+        spark.conf.unset(key)
+
+
 def test_apply_toggles_twice_is_identity(spark):
     marks = spark.createDataFrame([(1, "a"), (1, "b")], S.USER_BOOKMARK)
     tog = spark.createDataFrame([(1, "b"), (1, "c")], "user_id long, job_code string")
