@@ -8,10 +8,10 @@ ordinal within the key.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobsift.session import scratch_path
+from jobsift.operators.ordering import ordinals, pinned_order
 
 KEY = ["user_id", "job_code"]
 
@@ -35,33 +35,15 @@ def bookmark_actions(toggles: DataFrame, path: str | None = None) -> DataFrame:
     """Action ('add'/'remove') of every toggle event: the parity of its
     ordinal within its (user, job) key in (ts, event_id) order.
 
-    No key's events have to sit in one task, however many it has. The
-    events are sorted globally by (key, ts, event_id); range partitioning
-    splits a hot key's run over several tasks. Each row is numbered by the
-    partition it landed in and its position there (``spark_partition_id``,
-    ``monotonically_increasing_id``, consecutive within a partition). This is
-    written once to ``path`` (default: a fresh folder under the shared
-    checkpoint folder): range bounds come from sampling, so the numbering
-    is pinned before it is read twice. A key's run in one partition is a
-    segment; its ordinals continue from the key's events in earlier
-    partitions, a running sum over at most one row per partition the key
-    spans.
+    No key's events have to sit in one task, however many it has: the
+    ordinals come from a global sort whose range partitioning splits a hot
+    key's run over several tasks (``ordering.pinned_order``, written once to
+    ``path`` under the shared checkpoint folder), then per-slice segment
+    offsets (``ordering.ordinals``).
     """
-    spark = toggles.sparkSession
-    path = path or scratch_path(spark, "toggle-order")
-    (toggles.select("event_id", "ts", *KEY)
-     .orderBy(*KEY, "ts", "event_id")
-     .withColumn("_p", F.spark_partition_id())
-     .withColumn("_i", F.monotonically_increasing_id())
-     .write.parquet(path))
-    ev = spark.read.parquet(path)
-    seg = ev.groupBy(*KEY, "_p").agg(F.min("_i").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    before = F.coalesce(F.sum("_n").over(Window.partitionBy(*KEY).orderBy("_p")
-                                         .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    offsets = seg.select(*KEY, "_p", "_first", before.alias("_before"))
-    ordinal = F.col("_before") + (F.col("_i") - F.col("_first")) + 1
-    return (ev.join(offsets, [*KEY, "_p"])
-            .select("event_id", "ts", *KEY, ordinal.cast("bigint").alias("ordinal"))
+    pinned = pinned_order(toggles.select("event_id", "ts", *KEY), [*KEY, "ts", "event_id"], path)
+    return (ordinals(pinned, KEY)
+            .select("event_id", "ts", *KEY, "ordinal")
             .withColumn("action", F.when(F.col("ordinal") % 2 == 1, F.lit("add")).otherwise(F.lit("remove"))))
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobsift.functions.predicates import text_match
+from jobsift.operators.ordering import ordinals, pinned_order
 from jobsift.schema import JOB_COLUMNS
 
 
@@ -110,10 +111,24 @@ def batch_policy(batch: DataFrame, key: str = "job_code",
     return batch
 
 
-def assign_ids(df: DataFrame, key: str) -> DataFrame:
-    """Surrogate ids as a stable 64-bit hash of the business key
-    (no global counter, so no single task numbers the whole table)."""
-    return df.withColumn("id", F.xxhash64(F.col(key)))
+def assign_ids(df: DataFrame, key: str, start: int = 0, path: str | None = None) -> DataFrame:
+    """AUTO_INCREMENT-style surrogate ids ``start + 1, start + 2, ...``
+    in ``key`` order.
+
+    Unique and dense, unlike a 64-bit hash of the key (which collides with
+    noticeable probability at 10^9 keys). The order is computed with a
+    global sort and per-slice offsets (``ordering``), never a window over
+    the whole table.
+    """
+    numbered = ordinals(pinned_order(df, [key], path), [], "_pos")
+    return numbered.withColumn("id", F.lit(int(start)).cast("bigint") + F.col("_pos")).drop("_pos")
+
+
+def insert_with_ids(table: DataFrame, new: DataFrame, key: str, path: str | None = None) -> DataFrame:
+    """M11 on insert: rows of ``new`` whose key is not stored get ids after
+    the table's current maximum (one aggregate value fetched)."""
+    top = table.agg(F.max("id")).first()[0] or 0
+    return assign_ids(new.join(table.select(key), key, "left_anti"), key, top, path)
 
 
 def cap_batch(batch: DataFrame, n: int = 2000, order: tuple = ("job_code",)) -> DataFrame:

@@ -313,6 +313,20 @@ def signup_insert(t: Tables) -> DataFrame:
     return sync.insert_unique(existing, signups, "email", ["ts", "event_id"])
 
 
+@query
+def surrogate_ids(t: Tables) -> DataFrame:
+    """AUTO_INCREMENT-style ids for every posting, in code order."""
+    return sync.assign_ids(t.job.select("job_code", "job_title"), "job_code")
+
+
+@query
+def insert_ids(t: Tables) -> DataFrame:
+    """M11 on insert: stored postings numbered in code order; today's
+    postings that are not stored get the ids after the stored maximum."""
+    stored = sync.assign_ids(t.stored_jobs.select("job_code"), "job_code")
+    return sync.insert_with_ids(stored, t.batch_jobs.select("job_code"), "job_code")
+
+
 @query
 def capped_batch(t: Tables) -> DataFrame:
     """today's batch under the per-run record cap, in code order."""

@@ -382,6 +382,14 @@ FROM (SELECT *, CAST(row_number() OVER (PARTITION BY user_id, job_code ORDER BY
 
 # --- sync --------------------------------------------------------------------------
 
+SQL["surrogate_ids"] = with_ctes("""
+SELECT job_code, job_title, CAST(row_number() OVER (ORDER BY job_code) AS BIGINT) AS id FROM job""", "job")
+
+SQL["insert_ids"] = with_ctes("""
+SELECT job_code,
+       CAST((SELECT count(*) FROM stored) + row_number() OVER (ORDER BY job_code) AS BIGINT) AS id
+FROM batch WHERE job_code NOT IN (SELECT job_code FROM stored)""", "stored", "batch")
+
 SQL["sync_upsert"] = with_ctes("SELECT * FROM synced", "synced")
 
 SQL["sync_stale"] = with_ctes("""

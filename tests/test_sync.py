@@ -114,3 +114,22 @@ def test_commit_table_writes_once(spark, tmp_path):
     assert rows(back) == [("a", "x")]
     with pytest.raises(Exception):
         sync.commit_table(spark, df, str(tmp_path / "v1"))
+
+
+def test_assign_ids_dense_in_key_order_over_many_slices(spark):
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")  # keep several sort slices for this small input
+    try:
+        df = spark.createDataFrame([(f"k{i:05d}", i) for i in range(2000)], "code string, v long")
+        got = sync.assign_ids(df, "code", start=100)
+        ids = sorted((r.code, r.id) for r in got.collect())
+        assert ids == [(f"k{i:05d}", 101 + i) for i in range(2000)]
+    finally:
+        spark.conf.unset(key)
+
+
+def test_insert_with_ids_continues_after_max(spark):
+    table = spark.createDataFrame([("a", 1), ("c", 7)], "job_code string, id long")
+    new = spark.createDataFrame([("d",), ("b",), ("c",)], "job_code string")
+    got = rows(sync.insert_with_ids(table, new, "job_code"), "job_code", "id")
+    assert got == [("b", 8), ("d", 9)]
