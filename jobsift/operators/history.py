@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from jobsift import schema as S
+from jobsift.functions.dates import day_string
 
 
 def _pairs(job: DataFrame, job_category: DataFrame, vocab: S.Vocabulary) -> DataFrame:
@@ -79,6 +80,20 @@ def category_share_series(history: DataFrame, category_column: str | None = None
             .orderBy(F.desc("date")).limit(days))
 
 
+def series_lists(series: DataFrame) -> DataFrame:
+    """A12 payload: one row of three parallel lists (others, chose_cat,
+    dates), newest day first, dates as 'yyyy-MM-dd' strings (F18).
+
+    Input is the bounded series of ``category_share_series`` (``days``
+    rows), so the one collected list is bounded too.
+    """
+    s = F.sort_array(F.collect_list(F.struct("date", "others", "chose_cat")), asc=False)
+    return series.agg(s.alias("_s")).select(
+        F.transform("_s", lambda x: x["others"]).alias("others"),
+        F.transform("_s", lambda x: x["chose_cat"]).alias("chose_cat"),
+        F.transform("_s", lambda x: day_string(x["date"])).alias("dates"))
+
+
 def resolve_category_column(label: str, vocab: S.Vocabulary = S.DOMAIN) -> str:
     """Dashboard label -> history column (dictionary lookup, default = input)."""
     return vocab.tracked.get(label, label)

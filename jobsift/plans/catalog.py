@@ -83,6 +83,13 @@ def posting_share_series(t: Tables) -> DataFrame:
     return history.category_share_series(h, history.resolve_category_column("LARGE", V))
 
 
+@query
+def posting_share_lists(t: Tables) -> DataFrame:
+    """A12 + F18: the dashboard payload of the LARGE series as parallel lists."""
+    h = history.posting_history(t.job, t.job_category, vocab=V)
+    return history.series_lists(history.category_share_series(h, history.resolve_category_column("LARGE", V)))
+
+
 @query
 def posting_total_series(t: Tables) -> DataFrame:
     return history.category_share_series(history.posting_history(t.job, t.job_category, vocab=V))

@@ -272,6 +272,12 @@ SQL["posting_share_series"] = with_ctes("""
 SELECT total_post - large AS others, large AS chose_cat, date FROM history
 ORDER BY date DESC LIMIT 7""", "history")
 
+SQL["posting_share_lists"] = with_ctes("""
+SELECT list(others ORDER BY date DESC) AS others, list(chose_cat ORDER BY date DESC) AS chose_cat,
+       list(strftime(date, '%Y-%m-%d') ORDER BY date DESC) AS dates
+FROM (SELECT total_post - large AS others, large AS chose_cat, date FROM history
+      ORDER BY date DESC LIMIT 7)""", "history")
+
 SQL["posting_total_series"] = with_ctes("""
 SELECT total_post - total_post AS others, total_post AS chose_cat, date FROM history
 ORDER BY date DESC LIMIT 7""", "history")
