@@ -502,6 +502,39 @@ def json_detail_roundtrip(t: Tables) -> DataFrame:
                        F.concat_ws("|", "job_category").alias("categories"))
 
 
+@query
+def html_detail_roundtrip(t: Tables) -> DataFrame:
+    """S5 + F8-F10: postings rendered as HTML detail pages (label/value
+    blocks, pay as '月薪 30,000 至 45,000' for monthly pay, categories joined
+    by '、'), landed, then parsed back into canonical records."""
+    cats = (t.job_category.groupBy("job_code")
+            .agg(F.array_join(F.array_sort(F.collect_set("job_category")), S.CATEGORY_SEPARATOR).alias("cats")))
+    j = t.job.join(cats, "job_code", "left")
+    pay = (F.when(F.col("salary_period") == S.MONTHLY,
+                  F.concat(F.lit(S.MONTHLY + " "), F.format_number("min_salary", 0), F.lit(" 至 "),
+                           F.format_number("max_salary", 0)))
+           .otherwise(F.col("salary_period")))
+
+    def item(label: str, value) -> F.Column:
+        return F.coalesce(F.concat(F.lit(f'<span class="jobItemName">{label}</span><div>'), value,
+                                   F.lit("</div>\n")), F.lit(""))
+
+    page = F.concat(
+        F.lit('<html><body><h1 class="job-title">'), F.col("job_title"), F.lit("</h1>\n"),
+        F.lit('<div class="company-info-container"><span>'), F.col("company_name"), F.lit("</span></div>\n"),
+        F.lit('<div class="job-detail-box">\n'),
+        item("薪資待遇", pay), item("上班地點", F.col("job_location")), item("職務類別", F.col("cats")),
+        item("教育程度", F.col("edu_level")), item("電腦專長", F.col("skills")),
+        F.lit("</div></body></html>"))
+    path = scratch_path(t.spark, "html-details")
+    j.select(F.concat(F.lit("https://www.board-b.example/job-"), F.col("job_code"), F.lit(".html")).alias("url"),
+             page.alias("html")).write.parquet(path)
+    recs = html.detail_records(B.spread(t.spark.read.parquet(path), "url"))
+    return recs.select("job_code", "job_title", "company_name", "job_location", "salary_period",
+                       "min_salary", "max_salary", "edu_level", "skills",
+                       F.concat_ws("|", "job_category").alias("categories"))
+
+
 @query
 def staged_categories(t: Tables) -> DataFrame:
     """S14 + F14: records split into job rows and exploded category rows."""

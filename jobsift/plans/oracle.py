@@ -595,6 +595,18 @@ SELECT j.job_code, j.job_title, j.company_name, j.job_location, j.salary_period,
                  FROM job_category jc WHERE jc.job_code = j.job_code), '') AS categories
 FROM job j WHERE j.salary_period IS DISTINCT FROM '待遇面議'""", "job", "job_category")
 
+SQL["html_detail_roundtrip"] = with_ctes("""
+SELECT j.job_code, j.job_title, j.company_name, j.job_location,
+       CASE WHEN j.salary_period = '月薪'
+            THEN '月薪 ' || format('{:,}', j.min_salary) || ' 至 ' || format('{:,}', j.max_salary)
+            ELSE j.salary_period END AS salary_period,
+       CASE WHEN j.salary_period = '月薪' THEN j.min_salary ELSE 0 END AS min_salary,
+       CASE WHEN j.salary_period = '月薪' THEN j.max_salary ELSE 0 END AS max_salary,
+       j.edu_level, j.skills,
+       COALESCE((SELECT string_agg(DISTINCT jc.job_category, '|' ORDER BY jc.job_category)
+                 FROM job_category jc WHERE jc.job_code = j.job_code), '') AS categories
+FROM job j""", "job", "job_category")
+
 SQL["skill_terms_by_category"] = with_ctes(f"""
 SELECT job_category, term, n, rank FROM (
   SELECT job_category, term, n,
