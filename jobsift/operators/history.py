@@ -41,22 +41,32 @@ def posting_snapshot(job: DataFrame, job_category: DataFrame, snapshot_date: str
           for c, name in vocab.tracked.items()])
 
 
+def category_flags(job_category: DataFrame, vocab: S.Vocabulary = S.DOMAIN) -> DataFrame:
+    """(job_code, one 0/1 flag per tracked category): the bridge reduced to
+    one row per job. ``max`` combines map-side, so a job with many
+    (duplicate) bridge rows costs one partial row per task."""
+    c = F.col("job_category")
+    return (job_category.where(c.isin(list(vocab.tracked)))
+            .groupBy("job_code")
+            .agg(*[F.max(F.when(c == cat, 1).otherwise(0)).alias(name) for cat, name in vocab.tracked.items()]))
+
+
 def posting_history(job: DataFrame, job_category: DataFrame,
                     vocab: S.Vocabulary = S.DOMAIN) -> DataFrame:
     """M7 over all days at once: one history row per last-seen date.
 
     Postings are assigned to the calendar day of ``create_date`` (the day
-    they were last loaded). The aggregation has one distinct count, which
-    Spark plans as a two-level partial aggregation keyed by (day, job).
+    they were last loaded). ``job_code`` is the posting table's unique key,
+    so once the bridge is reduced to one flag row per job there is no join
+    fan-out: the distinct counts of the original become plain counts and
+    sums, all combinable before the shuffle on the date.
     """
-    day = F.to_date("create_date").alias("date")
-    pairs = job_category.where(F.col("job_category").isin(list(vocab.tracked))) \
-        .select("job_code", "job_category").distinct()
-    rows = job.select("job_code", day).join(pairs, "job_code", "left")
+    names = list(vocab.tracked.values())
+    rows = (job.select("job_code", F.to_date("create_date").alias("date"))
+            .join(category_flags(job_category, vocab), "job_code", "left"))
     return (rows.groupBy("date")
-            .agg(F.count_distinct("job_code").cast("bigint").alias("total_post"),
-                 *[F.count(F.when(F.col("job_category") == c, 1)).cast("bigint").alias(name)
-                   for c, name in vocab.tracked.items()]))
+            .agg(F.count(F.lit(1)).cast("bigint").alias("total_post"),
+                 *[F.coalesce(F.sum(n), F.lit(0)).cast("bigint").alias(n) for n in names]))
 
 
 def upsert_history(history: DataFrame, day_rows: DataFrame) -> DataFrame:
