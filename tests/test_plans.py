@@ -46,3 +46,18 @@ def test_scan_prunes_columns(spark):
     p = plan(market.edu_distribution(t.job, vocab=V))
     orders_scan = [line for line in p.splitlines() if "orders.parquet" in line][0]
     assert "o_totalprice" not in orders_scan and "o_orderpriority" in orders_scan
+
+
+def test_history_has_no_distinct_aggregation(spark):
+    from jobsift.operators import history
+    t = B.Tables(spark, SMOKE)
+    p = plan(history.posting_history(t.job, t.job_category, vocab=V))
+    assert "count(distinct" not in p.lower() and "Expand" not in p
+
+
+def test_spread_only_when_scan_is_narrow(spark):
+    docs = B.read(spark, SMOKE, "documents")
+    narrow = B.spread(docs, "doc_id")  # one small file: fewer splits than cores
+    assert "REPARTITION_BY_NUM" in plan(narrow)
+    wide = docs.repartition(spark.sparkContext.defaultParallelism, "doc_id")
+    assert B.spread(wide, "doc_id") is wide
