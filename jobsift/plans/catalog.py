@@ -389,6 +389,23 @@ def embedded_json(t: Tables) -> DataFrame:
     return e.select("event_id", F.from_json("props", "k bigint").k.alias("k"))
 
 
+@query
+def page_embedded_json(t: Tables) -> DataFrame:
+    """S8 + F25 + F26: every event's JSON payload rendered into the value
+    attribute of a page element (entity-escaped, as pages carry it), landed,
+    then extracted, unescaped and parsed back."""
+    esc = F.col("props")
+    for raw, entity in (("&", "&amp;"), ('"', "&quot;"), ("<", "&lt;"), (">", "&gt;")):
+        esc = F.replace(esc, F.lit(raw), F.lit(entity))
+    page = F.concat(F.lit('<html><body><form><input type="hidden" id="jobDetailJson" value="'), esc,
+                    F.lit('"></form></body></html>'))
+    path = scratch_path(t.spark, "json-pages")
+    t.raw("events").select(F.col("event_id").alias("page_id"), page.alias("html")).write.parquet(path)
+    pages = B.spread(t.spark.read.parquet(path), "page_id")
+    return html.embedded_json(pages, "jobDetailJson", "k bigint").select(
+        F.col("page_id").alias("event_id"), F.col("doc.k").alias("k"))
+
+
 @query
 def salary_text_parse(t: Tables) -> DataFrame:
     """F8: monthly range texts built from the pay columns, parsed back."""

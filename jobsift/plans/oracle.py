@@ -511,6 +511,8 @@ FROM pages"""
 
 SQL["embedded_json"] = "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events"
 
+SQL["page_embedded_json"] = "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events"
+
 SQL["salary_text_parse"] = with_ctes(f"""
 SELECT job_code, pay_text,
   COALESCE(CAST(replace(nullif(regexp_extract(pay_text, '{PAY_RE}', 1), ''), ',', '') AS BIGINT), 0) AS min_salary,
