@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from jobsift import bindings as B
 from jobsift import schema as S
@@ -18,7 +19,7 @@ from jobsift.bindings import TEST_VOCAB as V
 from jobsift.bindings import Tables
 from jobsift.functions import dates as D
 from jobsift.functions import text as X
-from jobsift.operators import bookmarks, history, market, quality, related, search, sync, terms
+from jobsift.operators import bookmarks, history, market, ordering, quality, related, search, sync, terms
 from jobsift.operators.search import SearchSpec
 from jobsift.session import scratch_path
 from jobsift.sources import html, landing
@@ -272,6 +273,36 @@ def first_wins_dedupe(t: Tables) -> DataFrame:
     return sync.first_wins(t.listing, "job_code", ["category_pos", "page", "pos"])
 
 
+@query
+def listing_roundtrip(t: Tables) -> DataFrame:
+    """S2 + P17 + D2: listing pages of 30 codes per tracked category (code
+    order, a company link first on every page), landed as JSON, read back
+    into codes, then deduplicated first-wins in crawl order. Positions are
+    numbered per category without a single-task window (``ordering``)."""
+    tracked = list(V.tracked)
+    pairs = (t.job_category.where(F.col("job_category").isin(tracked))
+             .select("job_code", "job_category").distinct())
+    ranked = ordering.ordinals(ordering.pinned_order(pairs, ["job_category", "job_code"]), ["job_category"], "_rn")
+    size = S.LISTING_PAGE_SIZE
+    link = lambda url: F.struct(F.struct(url.alias("job")).alias("link"))
+    items = ranked.select(
+        F.array_position(F.array(*[F.lit(c) for c in tracked]), F.col("job_category")).cast("int").alias("category_pos"),
+        (F.floor((F.col("_rn") - 1) / size) + 1).cast("int").alias("page"),
+        ((F.col("_rn") - 1) % size + 1).cast("int").alias("pos"),
+        link(F.concat(F.lit("//www.board-a.example/job/"), F.col("job_code"), F.lit("?jobsource=list"))).alias("item"))
+    pages = items.groupBy("category_pos", "page").agg(  # at most 30 items per page
+        F.array_sort(F.collect_list(F.struct("pos", "item"))).alias("_items"))
+    company = link(F.concat(F.lit("//www.board-a.example/company/"), F.col("page").cast("string")))
+    docs = pages.select("category_pos", "page", F.struct(
+        F.concat(F.array(company), F.transform("_items", lambda x: x["item"])).alias("list")).alias("data"))
+    path = scratch_path(t.spark, "listing")
+    docs.write.json(path)
+    codes = landing.listing_codes(t.spark, path, multi_line=False, page_fields=[
+        T.StructField("category_pos", T.IntegerType()), T.StructField("page", T.IntegerType())])
+    return sync.first_wins(codes.select("job_code", "category_pos", "page", "pos"),
+                           "job_code", ["category_pos", "page", "pos"])
+
+
 @query
 def listing_duplicates(t: Tables) -> DataFrame:
     return sync.duplicate_keys(t.listing, ["job_code"])

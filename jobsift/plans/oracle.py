@@ -430,6 +430,19 @@ SELECT job_code, category_pos, page, pos FROM (
   SELECT *, row_number() OVER (PARTITION BY job_code ORDER BY category_pos, page, pos) AS r FROM listing)
 WHERE r = 1""", "listing")
 
+SQL["listing_roundtrip"] = with_ctes(f"""
+SELECT job_code, category_pos, page, pos FROM (
+  SELECT *, row_number() OVER (PARTITION BY job_code ORDER BY category_pos, page, pos) AS first
+  FROM (SELECT job_code,
+               CAST(list_position({TRACKED}, job_category) AS INTEGER) AS category_pos,
+               CAST((rn - 1) // 30 + 1 AS INTEGER) AS page,
+               CAST((rn - 1) % 30 + 1 AS INTEGER) AS pos
+        FROM (SELECT job_code, job_category,
+                     row_number() OVER (PARTITION BY job_category ORDER BY job_code) AS rn
+              FROM (SELECT DISTINCT job_code, job_category FROM job_category
+                    WHERE job_category IN {TRACKED_SQL}))))
+WHERE first = 1""", "job_category")
+
 SQL["listing_duplicates"] = with_ctes("""
 SELECT job_code, COUNT(*) AS n FROM listing GROUP BY 1 HAVING COUNT(*) > 1""", "listing")
 

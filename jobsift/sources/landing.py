@@ -16,12 +16,22 @@ from jobsift import schema as S
 from jobsift.functions import text as X
 
 
-def listing_codes(spark: SparkSession, path: str, pattern: str = S.CODE_PATTERNS["json_board"]) -> DataFrame:
-    """Listing JSON pages -> (file, pos, job_code) in page order."""
-    df = spark.read.schema(S.JSON_LISTING).json(path, multiLine=True)
-    return (df.select(F.input_file_name().alias("file"),
+def listing_codes(spark: SparkSession, path: str, pattern: str = S.CODE_PATTERNS["json_board"],
+                  multi_line: bool = True, page_fields: list | None = None) -> DataFrame:
+    """Listing JSON pages -> (file, *page_fields, pos, job_code) in page order.
+
+    ``multi_line``: one JSON document per file (pages as the crawler lands
+    them); ``False`` for one page per line. ``page_fields``: extra top-level
+    fields (``StructField``) that identify a page, kept on every code.
+    Links that carry no job code are dropped.
+    """
+    extra = list(page_fields or [])
+    schema = T.StructType(extra + list(S.JSON_LISTING.fields))
+    df = spark.read.schema(schema).json(path, multiLine=multi_line)
+    keep = [f.name for f in extra]
+    return (df.select(F.input_file_name().alias("file"), *keep,
                       F.posexplode("data.list").alias("pos", "item"))
-            .select("file", "pos", X.extract_code("item.link.job", pattern).alias("job_code"))
+            .select("file", *keep, "pos", X.extract_code("item.link.job", pattern).alias("job_code"))
             .where(F.col("job_code").isNotNull()))
 
 
