@@ -464,10 +464,7 @@ def paging_plan(t: Tables) -> DataFrame:
     """Listing offsets per tracked category from its posting total."""
     totals = (t.job_category.where(F.col("job_category").isin(list(V.tracked)))
               .groupBy("job_category").agg(F.count_distinct("job_code").alias("total")))
-    pages = totals.select("job_category", "total", F.explode(
-        F.sequence(F.lit(0), F.floor(F.col("total") / S.LISTING_PAGE_SIZE).cast("int"))).alias("page"))
-    return pages.select("job_category", "total",
-                        (F.col("page") * S.LISTING_PAGE_SIZE).cast("int").alias("page_offset"))
+    return landing.listing_offsets(totals).select("job_category", "total", "page_offset")
 
 
 # --- terms (A9, F20, F21, L6, R5) ------------------------------------------------

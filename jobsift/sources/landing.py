@@ -35,6 +35,20 @@ def listing_codes(spark: SparkSession, path: str, pattern: str = S.CODE_PATTERNS
             .where(F.col("job_code").isNotNull()))
 
 
+def listing_offsets(totals: DataFrame, total_col: str = "total", page_size: int = S.LISTING_PAGE_SIZE) -> DataFrame:
+    """The listing requests a crawler issues for a result total: pages
+    ``0 .. total div page_size`` at offset ``page * page_size``, one row each.
+
+    As in the original, a total that is a multiple of the page size asks for
+    one more (empty) page. Rows per total are total/page_size + 1, made by
+    ``explode`` inside the task that holds the total.
+    """
+    n_pages = F.floor(F.col(total_col) / page_size).cast("int")
+    return (totals.withColumn("_page", F.explode(F.sequence(F.lit(0), n_pages)))
+            .withColumn("page_offset", (F.col("_page") * page_size).cast("int"))
+            .drop("_page"))
+
+
 def detail_records(details: DataFrame, code_col: str = "job_code", doc_col: str = "doc",
                    url_prefix: str = "https://www.board-a.example/job/") -> DataFrame:
     """S3 + F12-F16 + F27 + P14: parsed detail JSON -> canonical record.

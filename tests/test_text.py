@@ -161,3 +161,10 @@ def test_term_counts_equal_brute_force(spark):
     texts = [r.text for r in docs.collect()]
     got = rows(terms.term_counts(docs), "term", "n")
     assert got == _wordcloud_counts(texts, X.STOP_WORDS)
+
+
+def test_listing_offsets_extra_page_on_multiple(spark):
+    totals = spark.createDataFrame([("a", 30), ("b", 31), ("c", 0)], "cat string, total long")
+    got = rows(landing.listing_offsets(totals), "cat", "page_offset")
+    # 30 asks for an empty second page, as the original's n//30+1 does
+    assert got == [("a", 0), ("a", 30), ("b", 0), ("b", 30), ("c", 0)]
