@@ -1,9 +1,10 @@
 """Daily posting counts (the history table) and the series built on it.
 
-The original issues eleven COUNT(DISTINCT) queries per snapshot; here one
-pass over distinct (job, category) pairs gives every counter. Distinct
-pairs make a plain conditional count equal to a distinct count of jobs, so
-no Expand of the input per counter is needed.
+The original issues eleven COUNT(DISTINCT) queries per snapshot over
+job ⟕ job_category. Here the bridge is first reduced to one row of 0/1
+category flags per job (``category_flags``, combined map-side), so a job
+joins to at most one row: every counter is a plain count or sum, with no
+join fan-out, no distinct aggregation and no Expand of the input.
 """
 
 from __future__ import annotations
@@ -15,30 +16,20 @@ from jobsift import schema as S
 from jobsift.functions.dates import day_string
 
 
-def _pairs(job: DataFrame, job_category: DataFrame, vocab: S.Vocabulary) -> DataFrame:
-    """Distinct (job_code, tracked category) pairs of existing jobs."""
-    return (job_category.where(F.col("job_category").isin(list(vocab.tracked)))
-            .select("job_code", "job_category").distinct()
-            .join(job.select("job_code"), "job_code", "left_semi"))
-
-
 def posting_snapshot(job: DataFrame, job_category: DataFrame, snapshot_date: str,
                      vocab: S.Vocabulary = S.DOMAIN) -> DataFrame:
-    """A6 + A7: one history row: date, total_post and one count per category."""
-    metrics = (
-        job.select("job_code").agg(F.count_distinct("job_code").alias("n"))
-        .select(F.lit("total_post").alias("metric"), "n")
-        .unionByName(
-            _pairs(job, job_category, vocab).groupBy("job_category").agg(F.count(F.lit(1)).alias("n"))
-            .select(F.col("job_category").alias("metric"), "n"))
-    )
-    names = ["total_post"] + list(vocab.tracked)
-    wide = metrics.groupBy().pivot("metric", names).agg(F.first("n"))
-    return wide.select(
-        F.lit(snapshot_date).cast("date").alias("date"),
-        F.coalesce(F.col("total_post"), F.lit(0)).cast("bigint").alias("total_post"),
-        *[F.coalesce(F.col(f"`{c}`"), F.lit(0)).cast("bigint").alias(name)
-          for c, name in vocab.tracked.items()])
+    """A6 + A7: one history row: date, total_post and one count per category.
+
+    The original's eleven COUNT(DISTINCT) queries become one pass: jobs
+    (unique codes) left-joined to their per-job category flags, then one
+    global aggregate of counts and sums, combined per task before the
+    single final merge.
+    """
+    names = list(vocab.tracked.values())
+    rows = job.select("job_code").join(category_flags(job_category, vocab), "job_code", "left")
+    return rows.agg(F.count(F.lit(1)).cast("bigint").alias("total_post"),
+                    *[F.coalesce(F.sum(n), F.lit(0)).cast("bigint").alias(n) for n in names]).select(
+        F.lit(snapshot_date).cast("date").alias("date"), "total_post", *names)
 
 
 def category_flags(job_category: DataFrame, vocab: S.Vocabulary = S.DOMAIN) -> DataFrame:
