@@ -599,6 +599,17 @@ def stream_daily_users(t: Tables) -> DataFrame:
     return streams.daily_active_users(t.spark, streams.event_stream(t.spark, t.sf_dir))
 
 
+@query
+def stream_category_counts(t: Tables) -> DataFrame:
+    """Every (posting, category row) landed as JSON, then streamed into
+    daily per-category posting counts."""
+    land = scratch_path(t.spark, "bridge-landing")
+    (t.job.select("job_code", "create_date").join(t.job_category, "job_code")
+     .select("job_code", "job_category", "create_date").write.json(land))
+    rows = t.spark.readStream.schema(streams.POSTING_CATEGORY).json(land)
+    return streams.daily_category_counts(t.spark, rows, list(V.tracked))
+
+
 @query
 def stream_dedupe(t: Tables) -> DataFrame:
     return streams.distinct_daily_codes(t.spark, streams.event_stream(t.spark, t.sf_dir))

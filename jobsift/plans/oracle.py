@@ -583,6 +583,12 @@ SELECT DISTINCT job_code, job_category FROM job_category WHERE job_code IN (SELE
 SQL["stream_toggle_state"] = SQL["bookmark_state"]
 SQL["stream_daily_users"] = """
 SELECT CAST(ts AS DATE) AS day, event_type, COUNT(DISTINCT user_id) AS n_users FROM events GROUP BY 1, 2"""
+SQL["stream_category_counts"] = with_ctes(f"""
+SELECT CAST(j.create_date AS DATE) AS day, jc.job_category, COUNT(DISTINCT j.job_code) AS n_jobs
+FROM job j JOIN job_category jc ON jc.job_code = j.job_code
+WHERE jc.job_category IN {TRACKED_SQL}
+GROUP BY 1, 2""", "job", "job_category")
+
 SQL["stream_dedupe"] = with_ctes("SELECT DISTINCT CAST(ts AS DATE) AS day, job_code FROM toggles", "toggles")
 SQL["stream_upsert"] = SQL["sync_upsert"]
 

@@ -142,6 +142,36 @@ def daily_active_users(spark: SparkSession, events: DataFrame) -> DataFrame:
     return read_latest(spark, out).withColumn("n_users", F.col("n_users").cast("bigint"))
 
 
+POSTING_CATEGORY = T.StructType([
+    T.StructField("job_code", T.StringType()),
+    T.StructField("job_category", T.StringType()),
+    T.StructField("create_date", T.TimestampNTZType()),
+])
+
+
+def daily_category_counts(spark: SparkSession, rows: DataFrame, categories: list[str]) -> DataFrame:
+    """Postings per (last-seen day, tracked category), exact, as a stream.
+
+    ``rows`` is a stream of (job_code, job_category, create_date) bridge
+    rows, duplicates included (an append-only bridge repeats pairs).
+    Exact distinct counts are not allowed on streams, so repeats of
+    (day, category, job) are dropped first within a one-day watermark (rows
+    of one calendar day are less than a day apart), then counted per
+    (day, category). State older than the watermark is evicted; the result
+    is a versioned table updated per micro-batch.
+    """
+    out, ckpt = scratch_path(spark, "daily-categories"), scratch_path(spark, "daily-categories-ckpt")
+    firsts = (rows.where(F.col("job_category").isin(list(categories)))
+              .withColumn("day", F.to_date("create_date"))
+              .withColumn("event_time", F.col("create_date").cast("timestamp"))
+              .withWatermark("event_time", "1 day")
+              .dropDuplicatesWithinWatermark(["day", "job_category", "job_code"]))
+    counts = firsts.groupBy("day", "job_category").agg(F.count(F.lit(1)).alias("n_jobs"))
+    run_available(counts.writeStream.outputMode("update")
+                  .foreachBatch(_merge_by_key(spark, out, ["day", "job_category"])), ckpt)
+    return read_latest(spark, out).withColumn("n_jobs", F.col("n_jobs").cast("bigint"))
+
+
 def distinct_daily_codes(spark: SparkSession, events: DataFrame) -> DataFrame:
     """Each (day, job_code) clicked, once, appended to a file sink."""
     out, ckpt = scratch_path(spark, "daily-codes"), scratch_path(spark, "daily-codes-ckpt")

@@ -26,3 +26,18 @@ def test_upsert_stream_equals_batch_sync(spark):
     import __spark_entry__ as E
     q = E.queries()
     assert rows(q["stream_upsert"](spark, SMOKE)) == rows(q["sync_upsert"](spark, SMOKE))
+
+
+def test_category_counts_repeats_across_microbatches(spark, tmp_path):
+    # the same (day, category, job) lands in two files read in two
+    # micro-batches; it is counted once
+    import datetime as dt
+    d1, d2 = dt.datetime(2024, 5, 1, 9), dt.datetime(2024, 5, 2, 9)
+    first = [("a", "X", d1), ("b", "X", d1), ("a", "Y", d1)]
+    second = [("a", "X", d1), ("c", "X", d2), ("c", "X", d2)]
+    for i, part in enumerate([first, second]):
+        spark.createDataFrame(part, streams.POSTING_CATEGORY).coalesce(1).write.json(str(tmp_path / f"p{i}"))
+    src = (spark.readStream.schema(streams.POSTING_CATEGORY).option("maxFilesPerTrigger", 1)
+           .json(str(tmp_path / "p*")))
+    got = rows(streams.daily_category_counts(spark, src, ["X", "Y"]), "day", "job_category", "n_jobs")
+    assert got == [(d1.date(), "X", 2), (d1.date(), "Y", 1), (d2.date(), "X", 1)]
