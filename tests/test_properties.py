@@ -84,3 +84,28 @@ def test_action_parity_matches_state(spark, events):
     state = bookmarks.bookmark_state(df)
     joined = last.join(state, ["user_id", "job_code"]).collect()
     assert all((r["last"] == "add") == r.bookmarked for r in joined)
+
+
+CODES = [f"c{i:02d}" for i in range(25)]
+
+
+@SETTINGS
+@given(st.sets(st.sampled_from(CODES[:20]), min_size=1),
+       st.lists(st.tuples(st.sampled_from(CODES), st.sampled_from(["hot", "hot", "hot", "a", "b", "c"])),
+                max_size=60))
+def test_similar_jobs_equal_brute_force(spark, present, pairs):
+    from jobsift.operators import related
+    # a hot category, duplicate pairs, and bridge codes with no posting
+    job = spark.createDataFrame(
+        [(c, "t", "co", "l", None, None, None, None, None, None, None, None, None, "s", TS) for c in sorted(present)],
+        S.JOB)
+    jc = spark.createDataFrame(pairs, S.JOB_CATEGORY) if pairs else spark.createDataFrame([], S.JOB_CATEGORY)
+    members = {}
+    for code, cat in pairs:
+        if code in present:
+            members.setdefault(cat, set()).add(code)
+    want = []
+    for code in sorted(present):
+        peers = set().union(*[m for m in members.values() if code in m]) - {code}
+        want += [(code, i + 1, p) for i, p in enumerate(sorted(peers)[:2])]
+    assert rows(related.similar_jobs(job, jc, salts=4), "job_code", "rank", "similar_code") == want
