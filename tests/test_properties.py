@@ -109,3 +109,19 @@ def test_similar_jobs_equal_brute_force(spark, present, pairs):
         peers = set().union(*[m for m in members.values() if code in m]) - {code}
         want += [(code, i + 1, p) for i, p in enumerate(sorted(peers)[:2])]
     assert rows(related.similar_jobs(job, jc, salts=4), "job_code", "rank", "similar_code") == want
+
+
+PIECES = ["API", "api", "APIs", "apis", "Java's", "JAVA", "class", "classes", "ss", "s", "'s", "x's",
+          "123", "1990's", "the", "The", "bus", "bu", "SQL", "sqls", "資料", "資料s", "'quoted'", "don't"]
+
+
+@SETTINGS
+@given(st.lists(st.lists(st.tuples(st.sampled_from(PIECES), st.sampled_from([" ", ",", ". ", "'", "\n"])),
+                         max_size=12), min_size=1, max_size=6))
+def test_term_counts_equal_word_cloud_rules(spark, docs):
+    from jobsift.functions.text import STOP_WORDS
+    from jobsift.operators import terms
+    from tests.test_text import _wordcloud_counts
+    texts = ["".join(w + sep for w, sep in doc) for doc in docs]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    assert rows(terms.term_counts(df), "term", "n") == _wordcloud_counts(texts, STOP_WORDS)
