@@ -37,16 +37,27 @@ def stale_jobs(target: DataFrame, batch: DataFrame, site: str,
             .join(batch.select("job_code"), "job_code", "left_anti"))
 
 
+def _key_anti(left: DataFrame, right: DataFrame, key: str, key_collation: str | None) -> DataFrame:
+    """Rows of ``left`` whose key is not in ``right``; with ``key_collation``
+    keys compare under that collation (e.g. ``UNICODE_CI_AI``, as the
+    original's unique key does), still as an equi join."""
+    if key_collation is None:
+        return left.join(right.select(key), key, "left_anti")
+    r = right.select(F.collate(F.col(key), key_collation).alias("_rk"))
+    return left.join(r, F.collate(left[key], key_collation) == r["_rk"], "left_anti")
+
+
 def sync_jobs(target: DataFrame, batch: DataFrame, site: str,
-              collation: str | None = None) -> DataFrame:
+              collation: str | None = None, key_collation: str | None = None) -> DataFrame:
     """M2 + M4: upsert today's batch and drop this source's missing codes.
 
     Rows of other sources are untouched, except that a code present in the
     batch is replaced wherever it was stored (upsert by unique key). Use
     ``guard_empty`` first: an empty batch must leave the table unchanged.
+    ``key_collation`` makes codes that differ only in case (and accents)
+    the same key, as the original's unique index does.
     """
-    kept = (target.join(batch.select("job_code"), "job_code", "left_anti")
-            .where(~_source_match(site, collation)))
+    kept = _key_anti(target, batch, "job_code", key_collation).where(~_source_match(site, collation))
     return kept.select(*JOB_COLUMNS).unionByName(batch.select(*JOB_COLUMNS))
 
 
@@ -91,9 +102,17 @@ def first_wins(df: DataFrame, key: str, order: list[str]) -> DataFrame:
             .select(key, *[F.col(f"_first.{c}").alias(c) for c in order + rest]))
 
 
-def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Q9: keys that occur more than once, with their count."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+def duplicate_keys(df: DataFrame, keys: list[str], key_collation: str | None = None) -> DataFrame:
+    """Q9: keys that occur more than once, with their count.
+
+    With ``key_collation`` keys are grouped under that collation (the
+    smallest spelling is reported); the count combines map-side either way.
+    """
+    if key_collation is None:
+        return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+    grouped = df.groupBy(*[F.collate(F.col(k), key_collation).alias(f"_{k}") for k in keys])
+    return (grouped.agg(*[F.min(k).alias(k) for k in keys], F.count(F.lit(1)).alias("n"))
+            .where(F.col("n") > 1).select(*keys, "n"))
 
 
 def batch_policy(batch: DataFrame, key: str = "job_code",

@@ -133,3 +133,17 @@ def test_insert_with_ids_continues_after_max(spark):
     new = spark.createDataFrame([("d",), ("b",), ("c",)], "job_code string")
     got = rows(sync.insert_with_ids(table, new, "job_code"), "job_code", "id")
     assert got == [("b", 8), ("d", 9)]
+
+
+def test_case_and_accent_insensitive_keys(spark):
+    # the original's unique index treats yEO595 and yeo595 as one key
+    stored = frame(spark, [job("yeo595", "https://www.board-b.example/job-yeo595.html")])
+    batch = frame(spark, [job("yEO595", "https://www.board-a.example/job/yEO595", NEW)])
+    binary = sync.sync_jobs(stored, batch, "board-a")
+    folded = sync.sync_jobs(stored, batch, "board-a", key_collation="UNICODE_CI_AI")
+    assert sorted(r.job_code for r in binary.collect()) == ["yEO595", "yeo595"]
+    assert [r.job_code for r in folded.collect()] == ["yEO595"]
+    both = stored.unionByName(batch)
+    assert sync.duplicate_keys(both, ["job_code"]).count() == 0
+    dup = sync.duplicate_keys(both, ["job_code"], key_collation="UNICODE_CI_AI").collect()
+    assert [(r.job_code, r.n) for r in dup] == [("yEO595", 2)]
