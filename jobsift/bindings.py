@@ -63,8 +63,12 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     the scan has far more splits than cores and this returns ``df``
     unchanged, adding no shuffle of the text.
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. a Spark Connect session): leave as read
+        return df
+    if splits >= target:
         return df
     return df.repartition(target, *keys) if keys else df.repartition(target)
 

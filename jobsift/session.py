@@ -43,15 +43,20 @@ def checkpoint_root(spark: SparkSession) -> str:
     Only when it is unset (local tests) do we create one under the local
     temp folder.
     """
-    root = spark.sparkContext.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - no driver-side context (e.g. Spark Connect)
+        sc = None
+    root = sc.getCheckpointDir() if sc is not None else None
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
-        if root:
-            spark.sparkContext.setCheckpointDir(root)
+        if root and sc is not None:
+            sc.setCheckpointDir(root)
     if not root:
         root = tempfile.mkdtemp(prefix="jobsift-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
-        root = spark.sparkContext.getCheckpointDir() or root
+        if sc is not None:
+            sc.setCheckpointDir(root)
+            root = sc.getCheckpointDir() or root
     return root.rstrip("/")
 
 
