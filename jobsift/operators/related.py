@@ -93,6 +93,21 @@ def bookmark_flags(listing: DataFrame, bookmarks: DataFrame) -> DataFrame:
             .withColumn("bookmarked", F.col("n_bookmarks") > 0))
 
 
+def view_flags(views: DataFrame, bookmarks: DataFrame) -> DataFrame:
+    """J7 per user: each (user, posting) request flagged with whether that
+    user has the posting bookmarked, the flag the original sets on every
+    listed posting from the viewer's bookmark list.
+
+    A left join on (user_id, job_code) to the bookmark table (one row per
+    key) replaces building each user's whole list: no list is collected,
+    and a hot (user, job) key on the request side can be split by AQE.
+    """
+    marks = bookmarks.select("user_id", "job_code").distinct().withColumn("_b", F.lit(True))
+    return (views.join(marks, ["user_id", "job_code"], "left")
+            .withColumn("bookmarked", F.coalesce(F.col("_b"), F.lit(False)))
+            .drop("_b"))
+
+
 def job_with_categories(job: DataFrame, job_category: DataFrame) -> DataFrame:
     """job_category ⋈ job."""
     return job_category.join(job, "job_code")

@@ -196,6 +196,16 @@ def bookmark_flags(t: Tables) -> DataFrame:
                                   bookmarks.current_bookmarks(t.toggles))
 
 
+@query
+def view_flags(t: Tables) -> DataFrame:
+    """Every posting view flagged with the viewer's current bookmark."""
+    views = (t.raw("events").where(F.col("event_type") == "view")
+             .select("event_id", "user_id",
+                     F.concat(F.lit("j"), F.get_json_object("props", "$.k")).alias("job_code")))
+    return related.view_flags(views, bookmarks.current_bookmarks(t.toggles)).select(
+        "event_id", "user_id", "job_code", "bookmarked")
+
+
 @query
 def bookmark_state(t: Tables) -> DataFrame:
     return bookmarks.bookmark_state(t.toggles)

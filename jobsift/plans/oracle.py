@@ -371,6 +371,12 @@ FROM users u LEFT JOIN top_marks m ON u.id = m.user_id LEFT JOIN job j ON m.job_
 SQL["bookmark_lists"] = with_ctes("""
 SELECT user_id, list_sort(list(job_code)) AS bookmark_list FROM top_marks GROUP BY user_id""", "top_marks")
 
+SQL["view_flags"] = with_ctes("""
+SELECT v.event_id, v.user_id, v.job_code, (b.user_id IS NOT NULL) AS bookmarked
+FROM (SELECT event_id, user_id, 'j' || json_extract_string(props, '$.k') AS job_code
+      FROM events WHERE event_type = 'view') v
+LEFT JOIN bookmarks b ON b.user_id = v.user_id AND b.job_code = v.job_code""", "bookmarks")
+
 SQL["bookmark_flags"] = with_ctes("""
 SELECT j.job_code, j.job_title, COALESCE(b.n, 0) AS n_bookmarks, COALESCE(b.n, 0) > 0 AS bookmarked
 FROM job j LEFT JOIN (SELECT job_code, COUNT(*) AS n FROM bookmarks GROUP BY 1) b ON j.job_code = b.job_code""",

@@ -111,3 +111,11 @@ def test_user_without_bookmarks_gets_one_row(spark):
         per_user.setdefault(r.user_id, []).append(r.job_code)
     assert sorted(per_user[1]) == [f"j{i}" for i in range(5)]
     assert per_user[2] == [None]
+
+
+def test_view_flags_are_per_user(spark):
+    marks = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b")], "user_id long, job_code string")
+    views = spark.createDataFrame([(10, 1, "a"), (11, 2, "a"), (12, 1, "b"), (13, 2, "b")],
+                                  "event_id long, user_id long, job_code string")
+    got = rows(related.view_flags(views, marks), "event_id", "bookmarked")
+    assert got == [(10, True), (11, False), (12, False), (13, True)]
