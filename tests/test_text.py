@@ -168,3 +168,18 @@ def test_listing_offsets_extra_page_on_multiple(spark):
     got = rows(landing.listing_offsets(totals), "cat", "page_offset")
     # 30 asks for an empty second page, as the original's n//30+1 does
     assert got == [("a", 0), ("a", 30), ("b", 0), ("b", 30), ("c", 0)]
+
+
+def test_backup_to_a_scheme_qualified_uri(spark, tmp_path):
+    # The writers take any Hadoop URI (s3a://, abfss://, hdfs://); a
+    # file:// URI stands in for object storage here. Two sources, two days:
+    # reads prune to one partition.
+    recs = spark.createDataFrame(
+        [("t", "c1", "co", "l", None, 1, 2, None, None, None, None, None, None, "s", ["x"])], S.RECORD)
+    uri = f"file://{tmp_path}/backups"
+    landing.write_backup(recs, uri, "board-a", "2024-05-23")
+    landing.write_backup(recs, uri, "board-a", "2024-05-24")
+    landing.write_backup(recs, uri, "board-b", "2024-05-23")
+    back = landing.read_backup(spark, uri, source="board-a", load_date="2024-05-24").collect()
+    assert [(r.job_code, r.source, str(r.snapshot_date)) for r in back] == [("c1", "board-a", "2024-05-24")]
+    assert landing.read_backup(spark, uri).count() == 3
