@@ -61,3 +61,16 @@ def test_spread_only_when_scan_is_narrow(spark):
     assert "REPARTITION_BY_NUM" in plan(narrow)
     wide = docs.repartition(spark.sparkContext.defaultParallelism, "doc_id")
     assert B.spread(wide, "doc_id") is wide
+
+
+def test_headline_plans_have_no_pairs_or_python(spark):
+    # no cartesian or nested-loop joins (all-pairs work) and no Python
+    # evaluation in the plans of the heavy queries
+    import __spark_entry__ as E
+    q = E.queries()
+    for name in ["region_salary", "similar_jobs", "term_frequency", "skill_terms_by_category",
+                 "bookmark_actions", "sync_cascade", "view_flags", "posting_history"]:
+        p = plan(q[name](spark, SMOKE))
+        for bad in ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
+                    "MapInPandas", "FlatMapGroupsInPandas"]:
+            assert bad not in p, (name, bad)
