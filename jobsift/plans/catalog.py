@@ -375,6 +375,13 @@ def insert_ids(t: Tables) -> DataFrame:
     return sync.insert_with_ids(stored, t.batch_jobs.select("job_code"), "job_code")
 
 
+@query
+def batch_policy_load(t: Tables) -> DataFrame:
+    """today's batch under the all-or-nothing policy (no repeated code,
+    no NULL in a required column); a valid batch loads whole."""
+    return sync.batch_policy(t.batch_jobs).select("job_code", "job_title", "job_source", "create_date")
+
+
 @query
 def capped_batch(t: Tables) -> DataFrame:
     """today's batch under the per-run record cap, in code order."""

@@ -402,6 +402,8 @@ SELECT job_code,
        CAST((SELECT count(*) FROM stored) + row_number() OVER (ORDER BY job_code) AS BIGINT) AS id
 FROM batch WHERE job_code NOT IN (SELECT job_code FROM stored)""", "stored", "batch")
 
+SQL["batch_policy_load"] = with_ctes("SELECT job_code, job_title, job_source, create_date FROM batch", "batch")
+
 SQL["sync_upsert"] = with_ctes("SELECT * FROM synced", "synced")
 
 SQL["sync_stale"] = with_ctes("""
