@@ -7,7 +7,10 @@ session the caller (a cluster job, the test suite, ``bench.py``) built.
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -39,9 +42,10 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the deployment and points at shared storage.
-    Only when it is unset (local tests) do we create one under the local
-    temp folder.
+    On a cluster the deployment sets it, to shared storage; where it is
+    unset there, this raises: executors would write to their own disks. Only
+    a local master, whose executors share the driver's disk, gets a temporary
+    folder.
     """
     try:
         sc = spark.sparkContext
@@ -53,10 +57,12 @@ def checkpoint_root(spark: SparkSession) -> str:
         if root and sc is not None:
             sc.setCheckpointDir(root)
     if not root:
+        if sc is None or not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError("spark.checkpoint.dir is unset: name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="jobsift-ckpt-")
-        if sc is not None:
-            sc.setCheckpointDir(root)
-            root = sc.getCheckpointDir() or root
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
+        sc.setCheckpointDir(root)
+        root = sc.getCheckpointDir() or root
     return root.rstrip("/")
 
 
