@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from jobsift.llm import exact_dedup, packing
+from jobsift.llm import exact_dedup, mixing, packing, simhash
 
 QUERIES = {
+    "op1_simhash_dedup": simhash.op1_simhash_dedup,
     "op4_packing": packing.op4_packing,
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
+    "op10_mixing": mixing.op10_mixing,
 }
 
 ORACLES = {
