@@ -197,7 +197,7 @@ def thresholds(values: np.ndarray, near: np.ndarray, distance: int) -> np.ndarra
 INDEX, PROBE = 1, 2
 
 
-def cells(groups: list[list[int]], near: np.ndarray, distance: int):
+def cells(groups: list[list[int]], near: np.ndarray, distance: int, hot_from: int):
     """Index and probe rows of each fingerprint, keyed by partition and value; hot values split once more."""
     patterns = [flips(t) for t in range(distance + 1)]
     blocks = []  # per partition: four blocks of the other bits
@@ -208,7 +208,7 @@ def cells(groups: list[list[int]], near: np.ndarray, distance: int):
 
     def emit(i, slots, fps, role):
         """The hot test looks at the slot alone, so index and probe rows of a slot agree on it."""
-        hot = near[i, 0][slots] > HOT
+        hot = near[i, 0][slots] > hot_from
         base = (np.int64(i) * VALUES + slots).astype(np.int64)
         cold = ~hot
         yield base[cold], np.full(int(cold.sum()), -1, np.int64), fps[cold], role[cold]
@@ -298,8 +298,11 @@ def verified(distance: int):
     return run
 
 
-def links(fps: DataFrame, distance: int = 3) -> DataFrame:
-    """Edges (a, b) that connect what pairs at ``distance`` or fewer bits connect; ``fps``: distinct, column fp."""
+def links(fps: DataFrame, distance: int = 3, hot_from: int = HOT, most: int = CELL) -> DataFrame:
+    """Edges (a, b) that connect what pairs at ``distance`` or fewer bits connect; ``fps``: distinct, column fp.
+
+    ``hot_from``, ``most``: values and cells with more fingerprints are split; results do not depend on them.
+    """
     if distance + 1 < PARTS:
         raise ValueError(f"the thresholds of {PARTS} partitions need a distance of {PARTS - 1} or more")
     spark = fps.sparkSession
@@ -316,11 +319,11 @@ def links(fps: DataFrame, distance: int = 3) -> DataFrame:
     near = spark.sparkContext.broadcast(within(counts, distance))  # 4 x 4 x 2^16 floats, 4 MB at any size
 
     def place(batches):
-        return cells(groups, near.value, distance)(batches)
+        return cells(groups, near.value, distance, hot_from)(batches)
 
     placed = fps.mapInArrow(place, CELLS).checkpoint()
-    large = placed.groupBy("key", "part_key").agg(F.count("*").alias("n")).where(F.col("n") > CELL)
-    large = large.select("key", "part_key", F.ceil(F.col("n") / CELL).cast("int").alias("side"))
+    large = placed.groupBy("key", "part_key").agg(F.count("*").alias("n")).where(F.col("n") > most)
+    large = large.select("key", "part_key", F.ceil(F.col("n") / most).cast("int").alias("side"))
     # grid: an indexed row stands in one column and in all rows of the grid, a probe the other way round
     side = F.coalesce("side", F.lit(1))
     at = F.pmod(F.xxhash64("fp"), side).cast("int")
