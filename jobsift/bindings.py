@@ -20,6 +20,7 @@ when the measured side is under the threshold, sort-merge otherwise).
 from __future__ import annotations
 
 from dataclasses import dataclass
+from typing import ClassVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,6 +41,9 @@ TEST_VOCAB = S.Vocabulary(
     category_vocabulary=["ECONOMY", "LARGE", "MEDIUM", "SMALL", "STANDARD"],
 )
 
+# All part types: the closed list of the bound bridge's categories.
+CATEGORIES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
+
 # Sync scenario: the stored table is the snapshot before SYNC_CUTOFF; today's
 # batch is every posting of SYNC_SITE's source ordered on or after
 # SYNC_BATCH_FROM, stamped with SYNC_LOAD_DATE.
@@ -53,26 +57,6 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash ``df`` over the cluster's default parallelism when its scan gives
-    fewer splits than that.
-
-    A file written as one large row group yields one non-empty split, so
-    CPU-heavy per-row work (regular expressions over whole texts) would run
-    in a single task. Only then are the rows spread by their key. At scale
-    the scan has far more splits than cores and this returns ``df``
-    unchanged, adding no shuffle of the text.
-    """
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. a Spark Connect session): leave as read
-        return df
-    if splits >= target:
-        return df
-    return df.repartition(target, *keys) if keys else df.repartition(target)
-
-
 def job_code(col) -> F.Column:
     return F.concat(F.lit("j"), F.col(col).cast("string"))
 
@@ -174,6 +158,10 @@ class Tables:
 
     spark: SparkSession
     sf_dir: str
+    text_partitions: ClassVar[int | None] = None
+    """Partitions that ``texts`` deals whole texts into, or None to keep the
+    scan's own splits. A file of one row group is one split, so single-file
+    benches set it; tables of many files need no shuffle of their text."""
 
     @property
     def job(self) -> DataFrame:
@@ -198,9 +186,10 @@ class Tables:
     def raw(self, name: str) -> DataFrame:
         return read(self.spark, self.sf_dir, name)
 
-    def texts(self, name: str, key: str) -> DataFrame:
-        """A table of whole texts (documents, pages), spread for per-row regex work."""
-        return spread(self.raw(name), key)
+    def texts(self, name: str) -> DataFrame:
+        """A table of whole texts (documents, pages)."""
+        df = self.raw(name)
+        return df.repartition(self.text_partitions) if self.text_partitions else df
 
     # sync scenario --------------------------------------------------------
     @property

@@ -19,10 +19,5 @@ def load_date(ts_col) -> Column:
     return F.to_date(ntz + F.expr(f"INTERVAL {S.LOAD_DATE_OFFSET_HOURS} HOURS"))
 
 
-def today_load_date() -> Column:
-    """Today's load date; pass an explicit date in tests for determinism."""
-    return F.to_date(F.from_utc_timestamp(F.current_timestamp(), "Asia/Taipei"))
-
-
 def day_string(col) -> Column:
     return F.date_format(F.col(col) if isinstance(col, str) else col, "yyyy-MM-dd")

@@ -28,23 +28,18 @@ def rounded_ratio(numer: Column, denom: Column) -> Column:
     return F.when(d > 0, F.signum(n).cast("bigint") * q)
 
 
-def mid_salary_average(min_col="min_salary", max_col="max_salary") -> Column:
-    """ROUND(AVG((min + max) / 2), 0) as an exact, order-independent aggregate.
+def weighted_mid_salary_average(weight: str, min_col="min_salary", max_col="max_salary") -> Column:
+    """ROUND(AVG((min + max) / 2), 0) as an exact, order-independent aggregate,
+    where each row stands for ``weight`` identical rows (a job repeated by its
+    category rows): sum((min+max)*w) / 2*sum(w).
 
-    AVG skips rows where either bound is NULL, so numerator and count are
-    taken over the same non-NULL sum ``min + max``; sum and count combine
-    map-side (partial aggregation) before any shuffle.
+    AVG skips rows where either bound is NULL, so both sums are taken over
+    the same rows. The products are bigint (18 digits are enough for a row);
+    only the sum is wider.
     """
-    s = F.col(min_col).cast("decimal(38,0)") + F.col(max_col).cast("decimal(38,0)")
-    return rounded_ratio(F.sum(s), F.count(s) * 2)
-
-
-def weighted_mid_salary_average(weight: str, min_col="min_salary", max_col="max_salary") -> Column:
-    """``mid_salary_average`` where each row stands for ``weight`` identical
-    rows (a job repeated by its category rows): sum((min+max)*w) / 2*sum(w)."""
-    s = F.col(min_col).cast("decimal(38,0)") + F.col(max_col).cast("decimal(38,0)")
-    w = F.col(weight).cast("decimal(38,0)")
-    return rounded_ratio(F.sum(s * w), F.sum(F.when(s.isNotNull(), w)) * 2)
+    s = F.col(min_col) + F.col(max_col)
+    w = F.col(weight).cast("bigint")
+    return rounded_ratio(F.sum((s * w).cast("decimal(18,0)")), F.sum(F.when(s.isNotNull(), w)) * 2)
 
 
 def half_up_div(col, divisor: int) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 from operator import or_
 
@@ -64,24 +65,16 @@ def known_pay(min_col="min_salary", max_col="max_salary", period_col="salary_per
 def salary_lower_bound(col, value: str, mode: str = "compat") -> Column:
     """``col > value`` with a text bound compared as a number.
 
-    ``compat``: non-numeric text counts as 0 (the original database's string
-    to number rule). ``strict``: non-numeric text raises at planning time.
+    ``compat``: a text counts by the number it begins with, and as 0 without
+    one (the original database's string to number rule: '40000元' is 40000,
+    'nan' is 0). ``strict``: other text than a number raises at planning time.
     """
-    txt = value.strip()
-    try:
-        bound = float(txt)
-    except ValueError:
-        if mode == "strict":
-            raise ValueError(f"salary bound {value!r} is not a number")
-        bound = 0.0
-    return _c(col).cast("double") > F.lit(bound)
+    m = re.match(r"\s*([-+]?[0-9]*\.?[0-9]+(?:[eE][-+]?[0-9]+)?)", value)
+    if mode == "strict" and (m is None or m[0].strip() != value.strip()):
+        raise ValueError(f"salary bound {value!r} is not a number")
+    return _c(col).cast("double") > F.lit(float(m[1]) if m else 0.0)
 
 
 def any_contains(cols, value: str, mode: str = "contains", collation: str | None = None) -> Column:
     """OR of ``text_match`` over several columns."""
     return reduce(or_, [text_match(c, value, mode, collation) for c in cols])
-
-
-def in_vocabulary(col, values) -> Column:
-    """Whitelist test against a fixed, bounded vocabulary."""
-    return _c(col).isin(list(values))

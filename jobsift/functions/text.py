@@ -7,10 +7,12 @@ classes (``\\p{L}``, ``\\p{N}``) are used instead of ``\\w`` because Java's
 
 from __future__ import annotations
 
-from functools import reduce
+import html
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from jobsift import schema as S
 
@@ -61,16 +63,15 @@ def strip_ws(col) -> Column:
 
 # --- HTML --------------------------------------------------------------------
 
-# Named and numeric entities decoded by ``unescape_html``;
-# '&amp;' comes last so '&amp;lt;' decodes to '&lt;' and not to '<'.
-HTML_ENTITIES = [
-    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
-    ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"),
-]
+@F.pandas_udf(T.StringType())
+def _unescaped(texts: pd.Series) -> pd.Series:
+    return texts.map(lambda x: html.unescape(x).replace("\xa0", " ") if isinstance(x, str) and "&" in x else x)
 
 
 def unescape_html(col) -> Column:
-    return reduce(lambda acc, kv: F.replace(acc, F.lit(kv[0]), F.lit(kv[1])), HTML_ENTITIES, _c(col))
+    """Entities decoded once: decimal, hexadecimal and the whole public named
+    set ('&amp;lt;' gives '&lt;'); a no-break space becomes a blank."""
+    return _unescaped(_c(col))
 
 
 def html_element_text(col, tag: str) -> Column:
@@ -84,8 +85,9 @@ def html_attr(col, tag: str, attr: str) -> Column:
 
 
 def html_hrefs(col) -> Column:
-    """All href values of anchor tags, in document order."""
-    return F.regexp_extract_all(_c(col), F.lit(r'(?i)<a\s[^>]*href="([^"]*)"'), 1)
+    """All href values of anchor tags as written, in document order, in either kind of quotes."""
+    quoted = F.regexp_extract_all(_c(col), F.lit(r"""(?i)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*')"""), 1)
+    return F.transform(quoted, lambda x: x.substr(F.lit(2), F.length(x) - 2))
 
 
 def collapse_ws(col) -> Column:

@@ -9,7 +9,7 @@ join fan-out, no distinct aggregation and no Expand of the input.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from jobsift import schema as S
@@ -60,9 +60,21 @@ def posting_history(job: DataFrame, job_category: DataFrame,
                  *[F.coalesce(F.sum(n), F.lit(0)).cast("bigint").alias(n) for n in names]))
 
 
-def upsert_history(history: DataFrame, day_rows: DataFrame) -> DataFrame:
-    """M7: replace rows whose date is in ``day_rows`` and add the new ones."""
-    return history.join(day_rows.select("date"), "date", "left_anti").unionByName(day_rows)
+def upsert_history(path: str, day_rows: DataFrame) -> None:
+    """M7: put ``day_rows`` into the history table at ``path``.
+
+    The table is partitioned by date and only the days written are
+    replaced (dynamic partition overwrite), so a rerun of a day changes
+    nothing else, and no row of other days is read.
+    """
+    (day_rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("date").parquet(path))
+
+
+def read_history(spark: SparkSession, path: str, vocab: S.Vocabulary = S.DOMAIN) -> DataFrame:
+    counters = ["total_post", *vocab.tracked.values()]
+    schema = ", ".join(f"{c} bigint" for c in counters) + ", date date"
+    return spark.read.schema(schema).parquet(path).select("date", *counters)
 
 
 def category_share_series(history: DataFrame, category_column: str | None = None,

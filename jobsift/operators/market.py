@@ -42,6 +42,29 @@ def category_weights(job_category: DataFrame, category: str | None = None,
     return jc.groupBy("job_code", "job_category").agg(F.count(F.lit(1)).alias("w"))
 
 
+def category_counters(job_category: DataFrame, categories) -> DataFrame:
+    """(job_code, _cats): one row per job with its row count in each of the
+    given categories, combined map-side: one shuffle, keyed as ``job`` is."""
+    c = F.col("job_category")
+    named = list(enumerate(categories))
+    counters = [F.count(F.when(c == cat, 1)).alias(f"_w{i}") for i, cat in named]
+    pairs = F.array(*[F.struct(F.lit(cat).alias("job_category"), F.col(f"_w{i}").alias("w")) for i, cat in named])
+    return (job_category.where(c.isin([cat for _, cat in named])).groupBy("job_code").agg(*counters)
+            .select("job_code", F.filter(pairs, lambda p: p["w"] > 0).alias("_cats")))
+
+
+def weighted_by_category(job: DataFrame, job_category: DataFrame, categories=None) -> DataFrame:
+    """``job`` rows once per category of theirs, with the weight ``w``.
+
+    With the closed list of ``categories`` the bridge is shuffled once, as
+    counters per job; without one it is reduced per pair first.
+    """
+    if categories is None:
+        return job.join(category_weights(job_category), "job_code")
+    return (job.join(category_counters(job_category, categories), "job_code")
+            .select(*job.columns, F.inline("_cats")))
+
+
 def job_weights(job_category: DataFrame) -> DataFrame:
     """(job_code, w): number of category rows per job."""
     return job_category.groupBy("job_code").agg(F.count(F.lit(1)).alias("w"))
@@ -57,9 +80,7 @@ def _paid_jobs(job: DataFrame, vocab: S.Vocabulary, period_match: str) -> DataFr
 def category_salary(job: DataFrame, job_category: DataFrame,
                     vocab: S.Vocabulary = S.DOMAIN) -> DataFrame:
     """A1: average mid salary per tracked category, highest first."""
-    cats = category_weights(job_category, categories=vocab.tracked)
-    return (_paid_jobs(job, vocab, "contains")
-            .join(cats, "job_code")
+    return (weighted_by_category(_paid_jobs(job, vocab, "contains"), job_category, vocab.tracked)
             .groupBy("job_category")
             .agg(weighted_mid_salary_average("w").alias("category_average"))
             .orderBy(F.desc("category_average"), "job_category"))
@@ -87,10 +108,10 @@ def region_salary(job: DataFrame, job_category: DataFrame, category: str | None
 
 
 def region_salary_by_category(job: DataFrame, job_category: DataFrame,
-                              vocab: S.Vocabulary = S.DOMAIN) -> DataFrame:
-    """A3 for every category in one pass: (job_category, region, region_average)."""
-    return (_paid_jobs(job, vocab, "prefix")
-            .join(category_weights(job_category), "job_code")
+                              vocab: S.Vocabulary = S.DOMAIN, categories=None) -> DataFrame:
+    """A3 for every category in one pass: (job_category, region, region_average).
+    ``categories``: see ``weighted_by_category``."""
+    return (weighted_by_category(_paid_jobs(job, vocab, "prefix"), job_category, categories)
             .groupBy("job_category", region_of(vocab).alias("region"))
             .agg(weighted_mid_salary_average("w").alias("region_average"))
             .orderBy("job_category", F.desc("region_average"), "region"))
@@ -111,13 +132,14 @@ def edu_distribution(job: DataFrame, vocab: S.Vocabulary = S.DOMAIN) -> DataFram
 
 
 def edu_distribution_by_category(job: DataFrame, job_category: DataFrame,
-                                 vocab: S.Vocabulary = S.DOMAIN) -> DataFrame:
+                                 vocab: S.Vocabulary = S.DOMAIN, categories=None) -> DataFrame:
     """Per (category, education prefix) count, weighted by category
-    rows, and the share within the category."""
+    rows, and the share within the category. ``categories``: see
+    ``weighted_by_category``."""
     edu = edu_of(vocab)
-    counts = (job.select("job_code", "edu_level")
-              .where(F.col("edu_level").isNotNull() & edu.isin(vocab.edu_prefixes))
-              .join(category_weights(job_category), "job_code")
+    known = (job.select("job_code", "edu_level")
+             .where(F.col("edu_level").isNotNull() & edu.isin(vocab.edu_prefixes)))
+    counts = (weighted_by_category(known, job_category, categories)
               .groupBy("job_category", edu.alias("min_edu_level"))
               .agg(F.sum("w").cast("bigint").alias("count")))
     return counts.withColumn("share", share_of_total("count", "job_category"))

@@ -19,20 +19,28 @@ TEXT_LIMITED = ["job_code", "job_title", "company_name", "job_location", "salary
                 "work_experience", "skills", "travel", "management", "remote", "job_source"]
 
 
-def job_rules(vocab: S.Vocabulary = S.DOMAIN) -> dict:
-    """Rule name -> Column that is TRUE when the row violates the rule (Q4, Q8)."""
+def job_rules() -> dict:
+    """Rule name -> Column that is TRUE when the row violates a constraint of
+    the posting table (Q8): NULL in a required column, or a text over the
+    limit. Only these block loading."""
     rules = {}
     for c in REQUIRED:
         rules[f"null_{c}"] = F.col(c).isNull()
     for c in TEXT_LIMITED:
         rules[f"long_{c}"] = F.coalesce(F.char_length(c) > S.MAX_TEXT_LENGTH, F.lit(False))
-    edu = F.left(F.col("edu_level"), F.lit(vocab.edu_chars))
-    rules["edu_vocabulary"] = F.col("edu_level").isNotNull() & ~edu.isin(vocab.edu_prefixes)
-    rules["salary_order"] = F.coalesce(
-        (F.col("max_salary") != 0) & (F.col("min_salary") > F.col("max_salary")), F.lit(False))
     return rules
 
 
+def job_warnings(vocab: S.Vocabulary = S.DOMAIN) -> dict:
+    """Rules that a loadable posting may break: reported, never rejected."""
+    edu = F.left(F.col("edu_level"), F.lit(vocab.edu_chars))
+    return {
+        "edu_vocabulary": F.col("edu_level").isNotNull() & ~edu.isin(vocab.edu_prefixes),
+        "salary_order": F.coalesce(
+            (F.col("max_salary") != 0) & (F.col("min_salary") > F.col("max_salary")), F.lit(False)),
+    }
+
+
 def with_reasons(df: DataFrame, rules: dict) -> DataFrame:
     reasons = F.concat_ws(",", *[F.when(cond, F.lit(name)) for name, cond in rules.items()])
     return df.withColumn("reasons", reasons)
@@ -119,16 +127,33 @@ EXTRACTED = T.StructType([
 def parse_extracted(texts: DataFrame, text_col: str = "text", key_col: str = "job_code") -> DataFrame:
     """Q3: model output text -> contract fields, never evaluated as code.
 
-    ``from_json`` in PERMISSIVE mode gives NULL for text that is not a JSON
-    object of the contract; such rows carry ``malformed`` = true.
+    Text that is no JSON object carries ``malformed``; ``keys_ok`` tells
+    whether the object has exactly the contract's keys.
     """
-    parsed = texts.select(F.col(key_col).alias("_key"), F.from_json(F.col(text_col), EXTRACTED).alias("r"))
-    return parsed.select("_key", "r.*", F.col("r").isNull().alias("malformed"))
+    t = F.col(text_col)
+    parsed = texts.select(F.col(key_col).alias("_key"), F.from_json(t, EXTRACTED).alias("r"),
+                          F.json_object_keys(t).alias("_keys"))
+    wanted = F.array(*[F.lit(k) for k in sorted(EXTRACTED.names)])
+    return parsed.select("_key", "r.*", (F.col("r").isNull() | F.col("_keys").isNull()).alias("malformed"),
+                         F.coalesce(F.array_sort("_keys") == wanted, F.lit(False)).alias("keys_ok"))
 
 
-def check_extracted(parsed: DataFrame, vocab: S.Vocabulary = S.DOMAIN) -> DataFrame:
-    """Q3-Q7 on parsed output: (key, reasons); empty reasons = accepted."""
-    rules = {"malformed": F.col("malformed")}
+def check_extracted(parsed: DataFrame, vocab: S.Vocabulary = S.DOMAIN, source_prefix: str | None = None,
+                    run_date: str | None = None) -> DataFrame:
+    """Q3-Q7 on parsed output: (key, reasons); empty reasons = accepted.
+
+    ``source_prefix``, ``run_date`` (yyyy-MM-dd): Q7, the source must be the
+    prefix and the code, and the load date must be the run's. Nothing more
+    is said of malformed text.
+    """
+    rules = {"keys": ~F.col("keys_ok")}
     rules.update(extracted_rules(vocab))
     rules["job_code"] = F.coalesce(F.col("job_code") != F.col("_key"), F.lit(True))
-    return with_reasons(parsed, rules).select(F.col("_key").alias("job_code"), "reasons")
+    if source_prefix is not None:
+        rules["job_source"] = F.coalesce(
+            F.col("job_source") != F.concat(F.lit(source_prefix), F.col("_key")), F.lit(True))
+    if run_date is not None:
+        rules["create_date"] = F.coalesce(F.left("create_date", F.lit(10)) != F.lit(run_date), F.lit(True))
+    tagged = with_reasons(parsed, rules)
+    reasons = F.when(F.col("malformed"), F.lit("malformed")).otherwise(F.col("reasons"))
+    return tagged.select(F.col("_key").alias("job_code"), reasons.alias("reasons"))

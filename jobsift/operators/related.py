@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from jobsift import schema as S
+from jobsift.session import checkpoint_root
 
 
 def top_k_per_group(df: DataFrame, keys, order, k: int, rank_col: str = "rank") -> DataFrame:
@@ -20,7 +21,7 @@ def top_k_per_group(df: DataFrame, keys, order, k: int, rank_col: str = "rank")
 
 
 def similar_jobs(job: DataFrame, job_category: DataFrame, k: int = S.SIMILAR_SIZE,
-                 salts: int = 32) -> DataFrame:
+                 salts: int = 32, broadcast_rows: int = 10_000) -> DataFrame:
     """R2: for every job, the k lowest other codes sharing a category.
 
     Exact without the category self-join: a code among a job's k lowest
@@ -29,59 +30,75 @@ def similar_jobs(job: DataFrame, job_category: DataFrame, k: int = S.SIMILAR_SIZ
     per category is enough. Work is linear in job_category; the candidate
     table has at most (k+1) rows per category.
 
-    The join of (job, category) pairs to the candidates is keyed by
-    category, which is skewed (a few categories hold most postings). Each
-    pair gets a salt from its job code and the tiny candidate table is
-    replicated once per salt, so a hot category is spread over ``salts``
-    tasks (AQE still turns the join into a broadcast when the measured
-    candidate side is small). Each job then has at most (k+1) x (its
-    categories) candidates, so one per-job aggregate of the distinct
-    candidates, combined map-side, replaces a distinct plus a ranking window.
+    The bridge is reduced to one row per job (its set of categories, combined
+    map-side and bounded by the category list) and semi-joined to the stored
+    postings on the same key: that is the only shuffle of the bridge. The
+    candidates, with what is shown of them, are computed once and written
+    (checkpoint). Up to ``broadcast_rows`` of them, by count, are broadcast,
+    and each job's row then meets them and is aggregated without another
+    exchange. Beyond that the join is keyed by (category, salt of the job), so that
+    a hot category is spread over ``salts`` tasks. Either way a job collects at
+    most (k+1) x (its categories) candidates.
     """
-    pairs = (job_category.select("job_code", "job_category").distinct()
-             .join(job.select("job_code"), "job_code", "left_semi"))
-    cand = (top_k_per_group(pairs, ["job_category"], ["job_code"], k + 1, "_r")
-            .select("job_category", F.col("job_code").alias("similar_code"))
-            .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))))
-    salted = pairs.withColumn("_salt", F.pmod(F.xxhash64("job_code"), F.lit(salts)).cast("int"))
-    lowest = (salted.join(cand, ["job_category", "_salt"])
-              .where(F.col("similar_code") != F.col("job_code"))
-              .groupBy("job_code")
-              .agg(F.slice(F.array_sort(F.collect_set("similar_code")), 1, k).alias("_peers")))
-    ranked = (lowest.select("job_code", F.posexplode("_peers").alias("rank", "similar_code"))
-              .withColumn("rank", (F.col("rank") + 1).cast("int")))
-    info = job.select(F.col("job_code").alias("similar_code"),
-                      F.col("job_title").alias("similar_title"),
-                      F.col("company_name").alias("similar_company"),
-                      F.col("job_location").alias("similar_location"))
-    return ranked.join(info, "similar_code").select(
-        "job_code", "rank", "similar_code", "similar_title", "similar_company", "similar_location")
+    checkpoint_root(job.sparkSession)
+    own = (job_category.where("job_category IS NOT NULL").groupBy("job_code")
+           .agg(F.collect_set("job_category").alias("_cats"))
+           .join(job.select("job_code"), "job_code", "left_semi"))
+    pairs = own.select("job_code", F.explode("_cats").alias("job_category"))
+    lowest = (top_k_per_group(pairs, ["job_category"], ["job_code"], k + 1, "_r")
+              .groupBy("job_code").agg(F.collect_list("job_category").alias("_cats")))
+    shown = F.struct(F.col("job_code").alias("code"), F.col("job_title").alias("title"),
+                     F.col("company_name").alias("company"), F.col("job_location").alias("location"))
+    cand = (job.join(lowest, "job_code")
+            .select(F.explode("_cats").alias("job_category"), shown.alias("_peer")).checkpoint())
+    if cand.count() <= broadcast_rows:
+        met = pairs.join(F.broadcast(cand), "job_category")
+    else:
+        salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+        met = (pairs.withColumn("_salt", F.pmod(F.xxhash64("job_code"), F.lit(salts)).cast("int"))
+               .join(cand.withColumn("_salt", salt), ["job_category", "_salt"]))
+    return (met.where(F.col("_peer.code") != F.col("job_code"))
+            .groupBy("job_code")
+            .agg(F.slice(F.array_sort(F.collect_set("_peer")), 1, k).alias("_peers"))
+            .select("job_code", F.posexplode("_peers").alias("_r", "_p"))
+            .select("job_code", (F.col("_r") + 1).cast("int").alias("rank"), F.col("_p.code").alias("similar_code"),
+                    F.col("_p.title").alias("similar_title"), F.col("_p.company").alias("similar_company"),
+                    F.col("_p.location").alias("similar_location")))
 
 
 def user_bookmarks(users: DataFrame, bookmarks: DataFrame, job: DataFrame,
                    k: int = S.PROFILE_SIZE) -> DataFrame:
     """R1 + J5: user ⟕ bookmark ⟕ job, k bookmarks per user in code order.
 
-    A user without bookmarks yields one row with NULL job columns.
+    A user without bookmarks yields one row with NULL job columns. The marks
+    meet the postings first, so no join key is NULL: users without bookmarks
+    never gather in one task.
     """
     marks = top_k_per_group(bookmarks.select("user_id", "job_code"), ["user_id"], ["job_code"], k)
     jobs = job.select("job_code", "job_source", "job_title",
                       F.col("company_name").alias("company"), F.col("job_location").alias("location"))
     return (users.select(F.col("id").alias("user_id"), "name", "email")
-            .join(marks, "user_id", "left")
-            .join(jobs, "job_code", "left")
+            .join(marks.join(jobs, "job_code", "left"), "user_id", "left")
             .select("user_id", "name", "email", "job_code", "job_source", "job_title", "company", "location"))
 
 
-def user_bookmark_list(bookmarks: DataFrame, k: int = S.PROFILE_SIZE) -> DataFrame:
-    """A10 for display: each user's first k bookmarked codes as one array.
+def user_bookmark_list(bookmarks: DataFrame, chunk: int = 1000, salts: int = 32) -> DataFrame:
+    """A10: every user's whole list, as arrays (user_id, chunk_no, bookmark_list).
 
-    The array is built after the top-k cut, so it is bounded by k whatever
-    the number of bookmarks a user holds.
+    A user with up to ``chunk`` bookmarks has one array, chunk 0. A user with
+    more has ceil(n / chunk) arrays of about ``chunk`` codes, dealt by a hash of
+    the code, so no array (and no task) holds an unbounded list and none of
+    the codes is left out. Only such heavy users are looked up, by (user, salt).
     """
-    marks = top_k_per_group(bookmarks.select("user_id", "job_code"), ["user_id"], ["job_code"], k)
-    return marks.groupBy("user_id").agg(
-        F.array_sort(F.collect_list("job_code")).alias("bookmark_list"))
+    marks = bookmarks.select("user_id", "job_code")
+    heavy = (marks.groupBy("user_id").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > chunk)
+             .select("user_id", F.ceil(F.col("_n") / chunk).alias("_chunks"),
+                     F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt")))
+    salted = marks.withColumn("_salt", F.pmod(F.xxhash64("job_code"), F.lit(salts)).cast("int"))
+    deal = F.pmod(F.xxhash64(F.lit("chunk"), "job_code"), F.coalesce("_chunks", F.lit(1))).cast("int")
+    return (salted.join(heavy, ["user_id", "_salt"], "left")
+            .groupBy("user_id", deal.alias("chunk_no"))
+            .agg(F.array_sort(F.collect_list("job_code")).alias("bookmark_list")))
 
 
 def bookmark_flags(listing: DataFrame, bookmarks: DataFrame) -> DataFrame:

@@ -9,11 +9,16 @@ version in place.
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobsift.functions.predicates import text_match
 from jobsift.operators.ordering import ordinals, pinned_order
+from jobsift.operators.quality import split_valid
 from jobsift.schema import JOB_COLUMNS
 
 
@@ -55,18 +60,37 @@ def sync_jobs(target: DataFrame, batch: DataFrame, site: str,
     batch is replaced wherever it was stored (upsert by unique key). Use
     ``guard_empty`` first: an empty batch must leave the table unchanged.
     ``key_collation`` makes codes that differ only in case (and accents)
-    the same key, as the original's unique index does.
+    the same key, as the original's unique index does. A code that the batch
+    holds more than once enters once (``unique_batch``), so the target's key
+    stays unique.
     """
+    batch = unique_batch(batch.select(*JOB_COLUMNS), "job_code", key_collation)
     kept = _key_anti(target, batch, "job_code", key_collation).where(~_source_match(site, collation))
     return kept.select(*JOB_COLUMNS).unionByName(batch.select(*JOB_COLUMNS))
 
 
-def guard_empty(target: DataFrame, batch: DataFrame, step) -> DataFrame:
-    """M5: run ``step(target, batch)`` only when the batch has a row.
+def unique_batch(batch: DataFrame, key: str, key_collation: str | None = None) -> DataFrame:
+    """One row per key: the smallest of its rows (compared column by column),
+    a min over a struct that combines map-side."""
+    k = F.col(key) if key_collation is None else F.collate(F.col(key), key_collation)
+    least = F.min(F.struct(*[F.col(c) for c in batch.columns])).alias("_row")
+    return batch.groupBy(k.alias("_key")).agg(least).select("_row.*")
+
+
+def land(batch: DataFrame, path: str) -> DataFrame:
+    """Write a derived batch once and read it back, so that a guard, a policy
+    check and the load itself do not each run what derived it."""
+    batch.write.mode("overwrite").parquet(path)
+    return batch.sparkSession.read.parquet(path)
+
 
-    ``isEmpty`` fetches at most one row, so the check is cheap at any size.
+def guard_empty(target: DataFrame, landed: DataFrame, step) -> DataFrame:
+    """M5: run ``step(target, landed)`` only when the batch has a row.
+
+    ``landed`` is the batch as files (``land``, or a reader): ``isEmpty`` then
+    reads one row of a scan. On a derived batch it would run its shuffles.
     """
-    return target if batch.isEmpty() else step(target, batch)
+    return target if landed.isEmpty() else step(target, landed)
 
 
 def append_categories(categories: DataFrame, new: DataFrame) -> DataFrame:
@@ -84,6 +108,14 @@ def cascade(children: DataFrame, jobs: DataFrame) -> DataFrame:
     return children.join(jobs.select("job_code"), "job_code", "left_semi")
 
 
+def cascade_categories(categories: DataFrame, new: DataFrame, jobs: DataFrame) -> DataFrame:
+    """M3 + J8 in one shuffle of the bridge: the set of categories per job (map-side
+    combined, bounded by the category list), semi-joined on the same key, exploded."""
+    per_job = (append_categories(categories, new).groupBy("job_code")
+               .agg(F.collect_set("job_category").alias("_cats")))
+    return cascade(per_job, jobs).select("job_code", F.explode("_cats").alias("job_category"))
+
+
 def orphans(children: DataFrame, jobs: DataFrame) -> DataFrame:
     """Child rows pointing at no job."""
     return children.join(jobs.select("job_code"), "job_code", "left_anti")
@@ -120,16 +152,44 @@ def batch_policy(batch: DataFrame, key: str = "job_code",
                                     "job_source", "create_date")) -> DataFrame:
     """All-or-nothing load. Raises if any key repeats or any required
     column is NULL; otherwise returns the batch unchanged."""
-    if not duplicate_keys(batch, [key]).isEmpty():
+    any_null = reduce(or_, [F.col(c).isNull() for c in required])
+    per_key = batch.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.max(any_null).alias("bad"))
+    most, bad = per_key.agg(F.max("n"), F.max("bad")).first()
+    if (most or 0) > 1:
         raise ValueError("batch rejected: duplicate keys")
-    any_null = F.lit(False)
-    for c in required:
-        any_null = any_null | F.col(c).isNull()
-    if not batch.where(any_null).isEmpty():
+    if bad:
         raise ValueError("batch rejected: NULL in a required column")
     return batch
 
 
+def row_policy(batch: DataFrame, rules: dict, order: list[str], key: str = "job_code",
+               salts: int = 32) -> tuple[DataFrame, DataFrame]:
+    """Row-by-row load: (loaded, rejected with ``reasons``).
+
+    Rows that break a rule are rejected with the rules' names; of the others
+    the first per key in ``order`` (then by the other columns) loads and
+    every later one is rejected as ``duplicate_<key>``. Identical rows are
+    counted before they meet their key's first row, and only keys that
+    repeat are looked up, by (key, salt), so a key that repeats through a third of the
+    batch is spread.
+    """
+    valid, broken = split_valid(batch, rules)
+    rest = [c for c in batch.columns if c not in order]
+    whole = F.struct(*order, *rest)
+    rows = valid.groupBy(*batch.columns).agg(F.count(F.lit(1)).alias("_n"))
+    rows = rows.withColumn("_row", whole).withColumn(
+        "_salt", F.pmod(F.xxhash64(*order, *rest), F.lit(salts)).cast("int"))
+    again = (rows.groupBy(key).agg(F.min("_row").alias("_first"), F.sum("_n").alias("_all")).where("_all > 1")
+             .select(key, "_first", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt")))
+    met = rows.join(again, [key, "_salt"], "left")
+    first = F.col("_first").isNull() | (F.col("_row") == F.col("_first"))
+    loaded = met.where(first).select(*batch.columns)
+    late = met.withColumn("_late", F.col("_n") - F.when(first, 1).otherwise(0)).where("_late > 0")
+    late = (late.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_late"))))
+            .select(*batch.columns, F.lit(f"duplicate_{key}").alias("reasons")))
+    return loaded, broken.unionByName(late)
+
+
 def assign_ids(df: DataFrame, key: str, start: int = 0, path: str | None = None) -> DataFrame:
     """AUTO_INCREMENT-style surrogate ids ``start + 1, start + 2, ...``
     in ``key`` order.
@@ -150,29 +210,56 @@ def insert_with_ids(table: DataFrame, new: DataFrame, key: str, path: str | None
     return assign_ids(new.join(table.select(key), key, "left_anti"), key, top, path)
 
 
-def cap_batch(batch: DataFrame, n: int = 2000, order: tuple = ("job_code",)) -> DataFrame:
-    """The per-run record cap of one crawler, made deterministic by an
-    order. The cap is the feature here (a bounded run), not a sampling
-    shortcut; Spark keeps a per-task top-n before one merge."""
-    return batch.orderBy(*order).limit(n)
-
-
 def insert_unique(existing: DataFrame, new: DataFrame, key: str, order: list[str]) -> DataFrame:
     """M9: new rows whose key is not stored yet; within the batch the first wins."""
     firsts = first_wins(new, key, order)
     return firsts.join(existing.select(key), key, "left_anti")
 
 
-def commit_table(spark: SparkSession, df: DataFrame, path: str, fmt: str = "parquet",
-                 partition_by: list[str] | None = None) -> DataFrame:
-    """Write the new state once to a fresh path and read it back.
+def commit_table(df: DataFrame, root: str, fmt: str = "parquet", partition_by: list[str] | None = None) -> str:
+    """Write the new state once below ``root`` and switch the pointer to it.
 
-    Callers keep the previous path until this returns; switching the
-    pointer to ``path`` is the commit. The read-back also cuts lineage.
+    The version is written in full to a folder of its own. Only then the file
+    ``root/CURRENT`` is replaced, in one rename, so readers see the old
+    state or the new one and a failure before the rename changes nothing. The
+    version before stays for readers that still have it open; older ones go.
+    Returns the new version's path.
     """
+    spark = df.sparkSession
+    name = f"v-{uuid.uuid4().hex}"
     w = df.write.mode("errorifexists").format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.save(path)
-    return spark.read.format(fmt).load(path)
-
+    w.save(f"{root}/{name}")
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path, fs_api = jvm.org.apache.hadoop.fs.Path, jvm.org.apache.hadoop.fs
+    before = _pointer(spark, root)
+    fs = path(root).getFileSystem(conf)
+    out = fs.create(path(f"{root}/next-{name}"), True)
+    out.writeBytes(name)
+    out.close()
+    rename = spark.sparkContext._gateway.new_array(fs_api.Options.Rename, 1)
+    rename[0] = fs_api.Options.Rename.OVERWRITE
+    qualified = fs.makeQualified(path(root))
+    fs_api.FileContext.getFileContext(qualified.toUri(), conf).rename(
+        path(qualified, f"next-{name}"), path(qualified, "CURRENT"), rename)
+    for s in fs.listStatus(path(root)):
+        if s.getPath().getName().startswith("v-") and s.getPath().getName() not in (name, before):
+            fs.delete(s.getPath(), True)
+    return f"{root}/{name}"
+
+
+def _pointer(spark: SparkSession, root: str) -> str | None:
+    sc = spark.sparkContext
+    at = sc._jvm.org.apache.hadoop.fs.Path(f"{root}/CURRENT")
+    if not at.getFileSystem(sc._jsc.hadoopConfiguration()).exists(at):
+        return None
+    return spark.read.text(f"{root}/CURRENT").first()[0]
+
+
+def current_table(spark: SparkSession, root: str, fmt: str = "parquet") -> DataFrame:
+    """The committed state below ``root``."""
+    name = _pointer(spark, root)
+    if name is None:
+        raise FileNotFoundError(f"nothing committed under {root}")
+    return spark.read.format(fmt).load(f"{root}/{name}")

@@ -101,7 +101,7 @@ def _top_per_group(counts: DataFrame, by: str, k: int) -> DataFrame:
     return counts.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
-def top_terms_by(texts: DataFrame, by: str, text_col: str = "text", k: int = 20,
+def top_terms_by(texts: DataFrame, by: str, text_col: str = "text", k: int = S.TOP_TERMS,
                  stop_words=STOP_WORDS) -> DataFrame:
     """Top-k terms per group, each group's word cloud on its own texts;
     the per-group cut is applied per task before the shuffle

@@ -48,7 +48,7 @@ def region_salary_for_category(t: Tables) -> DataFrame:
 
 @query
 def region_salary_by_category(t: Tables) -> DataFrame:
-    return market.region_salary_by_category(t.job, t.job_category, vocab=V)
+    return market.region_salary_by_category(t.job, t.job_category, V, B.CATEGORIES)
 
 
 @query
@@ -63,7 +63,7 @@ def edu_distribution(t: Tables) -> DataFrame:
 
 @query
 def edu_distribution_by_category(t: Tables) -> DataFrame:
-    return market.edu_distribution_by_category(t.job, t.job_category, vocab=V)
+    return market.edu_distribution_by_category(t.job, t.job_category, V, B.CATEGORIES)
 
 
 # --- history (A6, A7, A12, M7, R6, L2) ----------------------------------------
@@ -108,10 +108,15 @@ def posting_delta(t: Tables) -> DataFrame:
 
 @query
 def history_upsert(t: Tables) -> DataFrame:
-    """M7: the history of the stored snapshot, then today's rows upserted."""
-    old = history.posting_history(t.stored_jobs, t.stored_categories, vocab=V)
-    today = history.posting_history(t.batch_jobs, t.batch_categories, vocab=V)
-    return history.upsert_history(old, today)
+    """M7: the history of the stored snapshot; then, after the sync, the day's
+    row over the whole synced table; sent twice, as a retried run does."""
+    path = scratch_path(t.spark, "history")
+    history.upsert_history(path, history.posting_history(t.stored_jobs, t.stored_categories, vocab=V))
+    synced = sync.sync_jobs(t.stored_jobs, t.batch_jobs, B.SYNC_SITE)
+    bridge = sync.append_categories(t.stored_categories, t.batch_categories)
+    for _ in range(2):
+        history.upsert_history(path, history.posting_snapshot(synced, bridge, B.SYNC_LOAD_DATE, vocab=V))
+    return history.read_history(t.spark, path, vocab=V)
 
 
 # --- search (P3-P9, P13, L3, L4) ----------------------------------------------
@@ -151,6 +156,12 @@ def search_collated(t: Tables) -> DataFrame:
     return search.search(t.job, SearchSpec(keyword="building", location="asia", collation="UTF8_LCASE"))
 
 
+@query
+def search_leading_number(t: Tables) -> DataFrame:
+    """A bound counts by its leading number."""
+    return search.search(t.job, SearchSpec(salary="40000元"))
+
+
 @query
 def search_keyset(t: Tables) -> DataFrame:
     return search.search_after(t.job, SEARCH, last_code="j5")
@@ -230,8 +241,17 @@ def bookmark_apply(t: Tables) -> DataFrame:
 
 @query
 def sync_upsert(t: Tables) -> DataFrame:
-    return sync.guard_empty(t.stored_jobs, t.batch_jobs,
-                            lambda tgt, b: sync.sync_jobs(tgt, b, B.SYNC_SITE))
+    landed = sync.land(t.batch_jobs, scratch_path(t.spark, "batch"))
+    return sync.guard_empty(t.stored_jobs, landed, lambda tgt, b: sync.sync_jobs(tgt, b, B.SYNC_SITE))
+
+
+@query
+def sync_commit(t: Tables) -> DataFrame:
+    """The stored table, then the synced one, committed by pointer."""
+    root = scratch_path(t.spark, "job-table")
+    sync.commit_table(t.stored_jobs, root)
+    sync.commit_table(sync.sync_jobs(sync.current_table(t.spark, root), t.batch_jobs, B.SYNC_SITE), root)
+    return sync.current_table(t.spark, root)
 
 
 @query
@@ -242,16 +262,16 @@ def sync_stale(t: Tables) -> DataFrame:
 @query
 def sync_empty_guard(t: Tables) -> DataFrame:
     empty = t.job.where(F.col("job_source").contains("www.antarctica"))
-    return sync.guard_empty(t.stored_jobs, empty,
-                            lambda tgt, b: sync.sync_jobs(tgt, b, "www.antarctica"))
+    landed = sync.land(empty, scratch_path(t.spark, "batch"))
+    return sync.guard_empty(t.stored_jobs, landed, lambda tgt, b: sync.sync_jobs(tgt, b, "www.antarctica"))
 
 
 @query
 def sync_sources(t: Tables) -> DataFrame:
-    """M1: today's batches of two sources as one table."""
-    europe = t.job.where(F.col("job_source").contains("www.europe")
-                         & (F.col("create_date") >= F.lit(B.SYNC_BATCH_FROM).cast("timestamp_ntz")))
-    return sync.union_sources(t.batch_jobs, europe).select("job_code", "job_source", "create_date")
+    """M1: the postings of all five sources, one batch each, as one table."""
+    sources = ("africa", "america", "asia", "europe", "middleeast")
+    return sync.union_sources(*[t.job.where(F.col("job_source").contains(f"www.{s}.")) for s in sources]).select(
+        "job_code", "job_source", "create_date")
 
 
 @query
@@ -267,7 +287,14 @@ def category_set(t: Tables) -> DataFrame:
 @query
 def sync_cascade(t: Tables) -> DataFrame:
     jobs_after = sync.sync_jobs(t.stored_jobs, t.batch_jobs, B.SYNC_SITE)
-    return sync.cascade(sync.set_categories(t.stored_categories, t.batch_categories), jobs_after)
+    return sync.cascade_categories(t.stored_categories, t.batch_categories, jobs_after)
+
+
+@query
+def sync_bookmark_cascade(t: Tables) -> DataFrame:
+    """J8 on the other child: bookmarks of postings that the sync removed go."""
+    jobs_after = sync.sync_jobs(t.stored_jobs, t.batch_jobs, B.SYNC_SITE)
+    return sync.cascade(bookmarks.current_bookmarks(t.toggles), jobs_after)
 
 
 @query
@@ -325,16 +352,28 @@ def unique_violations(t: Tables) -> DataFrame:
 
 @query
 def reject_report(t: Tables) -> DataFrame:
-    _, rejected = quality.split_valid(t.job, quality.job_rules(V))
-    return rejected.select("job_code", "reasons")
+    """Q8/Q10 + D5: postings that cannot be loaded, with reasons: a title
+    over the limit, a missing source, a repeated code."""
+    k = F.substring("job_code", 2, 20).cast("long")
+    batch = (t.job.withColumn("job_title", F.when(k % 31 == 0, F.repeat("job_title", 40)).otherwise(F.col("job_title")))
+             .withColumn("job_source", F.when(k % 37 != 0, F.col("job_source"))))
+    again = t.job.where(k % 41 == 0).withColumn("create_date", F.lit(B.SYNC_LOAD_DATE).cast("timestamp_ntz"))
+    _, rejected = sync.row_policy(batch.unionByName(again), quality.job_rules(), ["create_date"])
+    return rejected.select("job_code", "create_date", "reasons")
 
 
 @query
 def valid_jobs(t: Tables) -> DataFrame:
-    valid, _ = quality.split_valid(t.job, quality.job_rules(V))
+    valid, _ = quality.split_valid(t.job, quality.job_rules())
     return valid.select("job_code", "edu_level")
 
 
+@query
+def warning_report(t: Tables) -> DataFrame:
+    """Loadable postings that break a rule which does not block loading."""
+    return quality.with_reasons(t.job, quality.job_warnings(V)).where("reasons <> ''").select("job_code", "reasons")
+
+
 @query
 def category_check(t: Tables) -> DataFrame:
     return quality.category_check(t.job, t.job_category, V)
@@ -356,8 +395,8 @@ def signup_insert(t: Tables) -> DataFrame:
     signups = (t.raw("events").where(F.col("event_type") == "signup")
                .select(F.concat(F.lit("user"), F.col("user_id").cast("string"), F.lit("@example.com")).alias("email"),
                        "ts", "event_id"))
-    existing = (t.raw("customer").where(F.col("c_mktsegment") == "BUILDING")
-                .select(F.concat(F.lit("user"), F.col("c_custkey").cast("string"), F.lit("@example.com")).alias("email")))
+    existing = t.raw("customer").select(
+        F.concat(F.lit("user"), (F.col("c_custkey") * 2).cast("string"), F.lit("@example.com")).alias("email"))
     return sync.insert_unique(existing, signups, "email", ["ts", "event_id"])
 
 
@@ -377,53 +416,76 @@ def insert_ids(t: Tables) -> DataFrame:
 
 @query
 def batch_policy_load(t: Tables) -> DataFrame:
-    """today's batch under the all-or-nothing policy (no repeated code,
-    no NULL in a required column); a valid batch loads whole."""
-    return sync.batch_policy(t.batch_jobs).select("job_code", "job_title", "job_source", "create_date")
+    """All postings, landed, under the all-or-nothing policy (no repeated
+    code, no NULL in a required column); a valid batch loads whole."""
+    landed = sync.land(t.job, scratch_path(t.spark, "batch"))
+    return sync.batch_policy(landed).select("job_code", "job_title", "job_source", "create_date")
 
 
-@query
-def capped_batch(t: Tables) -> DataFrame:
-    """today's batch under the per-run record cap, in code order."""
-    return sync.cap_batch(t.batch_jobs, 2000)
+CONTRACT_PREFIX = "https://www.board-c.example/job/"
 
 
-@query
-def extracted_contract(t: Tables) -> DataFrame:
-    """Q3-Q7: every posting rendered as model output JSON, parsed with the
-    16-key contract and checked against the closed vocabularies."""
+def model_output(t: Tables) -> DataFrame:
+    """(job_code, text): every posting as a model would render it: 16 keys, with
+    faults of every kind the contract knows, spread by the order number."""
+    k = F.substring("job_code", 2, 20).cast("long")
     cats = (t.job_category.groupBy("job_code")
             .agg(F.array_sort(F.collect_set("job_category")).alias("category")))
-    doc = t.job.join(cats, "job_code", "left").select(
-        "job_code",
-        F.to_json(F.struct(
-            "job_code", "job_title", "company_name", "job_location", "salary_period", "min_salary",
-            "max_salary", "edu_level", "work_experience", "skills", "travel", "management", "remote",
-            "category", "job_source", F.date_format("create_date", "yyyy-MM-dd HH:mm:ss").alias("create_date"),
-        )).alias("text"))
-    return quality.check_extracted(quality.parse_extracted(doc), V)
+
+    def pick(values, n):
+        return F.element_at(F.array(*[F.lit(v) for v in values]), (k % len(values) + 1).cast("int")) if not n else \
+            F.when(k % n == 0, F.lit("unclear")).otherwise(pick(values, 0))
+
+    shown = {c: F.col(c) for c in quality.EXTRACTED.names} | {
+        "job_code": F.when(k % 71 == 0, F.concat(F.lit("x"), F.col("job_code"))).otherwise(F.col("job_code")),
+        "edu_level": F.when(k % 7 != 0, pick(S.EDU_LEVELS, 0)).otherwise(F.col("edu_level")),
+        "work_experience": pick(["不拘", "3年以上", "10年以上"], 43),
+        "travel": pick(S.TRAVEL_VALUES, 47),
+        "management": pick(S.MANAGEMENT_VALUES, 53),
+        "remote": pick(S.REMOTE_VALUES, 59),
+        "job_source": F.concat(F.when(k % 61 == 0, F.lit("https://other.example/")).otherwise(F.lit(CONTRACT_PREFIX)),
+                               F.col("job_code")),
+        "create_date": F.when(k % 67 == 0, F.lit("1900-01-01 00:00:00")).otherwise(F.lit(f"{B.SYNC_LOAD_DATE} 00:00:00")),
+    }
+
+    def rendered(*names, **more):
+        return F.to_json(F.struct(*[shown[c].alias(c) for c in names], *[v.alias(c) for c, v in more.items()]),
+                         {"ignoreNullFields": "false"})
+
+    names = quality.EXTRACTED.names
+    text = (F.when(k % 73 == 0, F.lit("Here is the posting you asked for."))
+            .when(k % 79 == 0, rendered(*[c for c in names if c not in ("travel", "remote")]))
+            .when(k % 83 == 0, rendered(*names, note=F.lit("extra")))
+            .otherwise(rendered(*names)))
+    return t.job.join(cats, "job_code", "left").select("job_code", text.alias("text"))
+
+
+@query
+def extracted_contract(t: Tables) -> DataFrame:
+    """Q3-Q7: model output parsed with the 16-key contract and checked."""
+    return quality.check_extracted(quality.parse_extracted(model_output(t)), V, CONTRACT_PREFIX, B.SYNC_LOAD_DATE)
 
 
 # --- pages and text extraction (S4-S8, F6-F26) -------------------------------------
 
 @query
 def page_links(t: Tables) -> DataFrame:
-    return html.page_links(t.texts("pages", "page_id"))
+    return html.page_links(t.texts("pages"))
 
 
 @query
 def link_codes(t: Tables) -> DataFrame:
-    return html.link_codes(html.page_links(t.texts("pages", "page_id")), r"^/([^/?#]+)$")
+    return html.link_codes(html.page_links(t.texts("pages")), r"^/([^/?#]+)$")
 
 
 @query
 def page_records(t: Tables) -> DataFrame:
-    return html.page_record(t.texts("pages", "page_id"))
+    return html.page_record(t.texts("pages"))
 
 
 @query
 def page_text(t: Tables) -> DataFrame:
-    return html.page_text(t.texts("pages", "page_id"))
+    return html.page_text(t.texts("pages"))
 
 
 @query
@@ -449,11 +511,47 @@ def page_embedded_json(t: Tables) -> DataFrame:
                     F.lit('"></form></body></html>'))
     path = scratch_path(t.spark, "json-pages")
     t.raw("events").select(F.col("event_id").alias("page_id"), page.alias("html")).write.parquet(path)
-    pages = B.spread(t.spark.read.parquet(path), "page_id")
-    return html.embedded_json(pages, "jobDetailJson", "k bigint").select(
+    return html.embedded_json(t.spark.read.parquet(path), "jobDetailJson", "k bigint").select(
         F.col("page_id").alias("event_id"), F.col("doc.k").alias("k"))
 
 
+@query
+def article_codes(t: Tables) -> DataFrame:
+    """S4 + S6: postings listed as article blocks, 20 a page, among other
+    links; the codes of the blocks' title links, tracking marks cut off."""
+    k = F.substring("job_code", 2, 20).cast("long")
+    block = F.concat(F.lit('<div class="card all_job_hover new_job"><h2 class="job__title__inner"><em>new</em><a href='),
+                     F.lit("'https://www.board-b.example/job-"), F.col("job_code"),
+                     F.lit(".html?a=1&amp;b=2'>x</a></h2><a href='/job-other.html'>more</a></div>"))
+    pages = t.job.groupBy(F.floor(k / 20).alias("page_id")).agg(
+        F.concat(F.lit("<html><a href='/job-top.html'>top</a>"), F.concat_ws("\n", F.collect_list(block)),
+                 F.lit("</html>")).alias("html"))
+    return html.link_codes(html.article_links(pages), S.CODE_PATTERNS["html_board"]).select("job_code")
+
+
+@query
+def board_codes(t: Tables) -> DataFrame:
+    """F6 + F7: the code in each board's own kind of link."""
+    k = F.substring("job_code", 2, 20)
+    links = {"json_board": F.concat(F.lit("//www.board-a.example/job/"), F.col("job_code"), F.lit("?src=list")),
+             "html_board": F.concat(F.lit("/job-"), F.col("job_code"), F.lit(".html")),
+             "hk_board": F.concat(F.lit("/job/"), k, F.lit("?type=standard")),
+             "jp_board": F.concat(F.lit("/detail/"), F.lpad(k, 10, "0"), F.lit("/"))}
+    codes = {b: X.first_match(u, S.CODE_PATTERNS[b]) if b == "jp_board" else X.extract_code(u, S.CODE_PATTERNS[b])
+             for b, u in links.items()}
+    each = F.explode(F.array(*[F.struct(F.lit(b).alias("board"), c.alias("code")) for b, c in codes.items()]))
+    return t.job.select("job_code", each.alias("_e")).select("job_code", "_e.board", "_e.code")
+
+
+@query
+def container_text(t: Tables) -> DataFrame:
+    """The text of one container of a page, without what stands around it."""
+    page = F.concat(F.lit("<html><nav>menu</nav><div class='a body b'>\n <h2>"), F.col("job_title"),
+                    F.lit(" </h2><script>x()</script><div><p> "), F.replace("company_name", F.lit("#"), F.lit("&#35;")),
+                    F.lit("</p>\n</div>"), F.col("job_location"), F.lit("</div><footer>end</footer></html>"))
+    return html.container_text(t.job.select("job_code", page.alias("html")), "body", id_col="job_code")
+
+
 @query
 def salary_text_parse(t: Tables) -> DataFrame:
     """F8: monthly range texts built from the pay columns, parsed back."""
@@ -498,36 +596,46 @@ def skill_terms_by_category(t: Tables) -> DataFrame:
 
 @query
 def term_frequency(t: Tables) -> DataFrame:
-    return terms.top_terms(t.texts("documents", "doc_id").select("text"))
+    return terms.top_terms(t.texts("documents").select("text"))
 
 
 @query
 def term_weight(t: Tables) -> DataFrame:
-    return terms.term_weights(terms.top_terms(t.texts("documents", "doc_id").select("text")))
+    return terms.term_weights(terms.top_terms(t.texts("documents").select("text")))
 
 
 @query
 def term_top_by_lang(t: Tables) -> DataFrame:
-    return terms.top_terms_by(t.texts("documents", "doc_id").select("lang", "text"), "lang", k=20)
+    return terms.top_terms_by(t.texts("documents").select("lang", "text"), "lang")
 
 
 # --- backups (S10-S12, S14, P16) ------------------------------------------------
 
 def _records(t: Tables) -> DataFrame:
-    cats = (t.batch_categories.groupBy("job_code")
+    cats = (t.job_category.groupBy("job_code")
             .agg(F.array_sort(F.collect_set("job_category")).alias("job_category")))
-    return t.batch_jobs.join(cats, "job_code", "left").select(*S.RECORD_FIELDS)
+    return t.job.join(cats, "job_code", "left").select(*S.RECORD_FIELDS)
 
 
 @query
 def json_backup_roundtrip(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "backup")
-    landing.write_backup(_records(t), path, "asia", B.SYNC_LOAD_DATE)
+    for _ in range(2):  # a rerun of the day replaces its backup
+        landing.write_backup(_records(t), path, "asia", B.SYNC_LOAD_DATE)
     back = landing.read_backup(t.spark, path, source="asia", load_date=B.SYNC_LOAD_DATE)
     return back.select("job_code", "job_title", "min_salary", "max_salary",
                        F.concat_ws("|", "job_category").alias("categories"))
 
 
+@query
+def raw_backup_roundtrip(t: Tables) -> DataFrame:
+    """S12, raw zone: the (code, text) pairs before processing, backed up and read."""
+    path = scratch_path(t.spark, "raw-backup")
+    landing.write_raw_texts(model_output(t), path, "board-c", B.SYNC_LOAD_DATE)
+    back = landing.read_raw_texts(t.spark, path, source="board-c", load_date=B.SYNC_LOAD_DATE)
+    return back.select("job_code", F.length("text").cast("bigint").alias("n_chars"))
+
+
 @query
 def positional_json_read(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "positional")
@@ -578,20 +686,23 @@ def html_detail_roundtrip(t: Tables) -> DataFrame:
            .otherwise(F.col("salary_period")))
 
     def item(label: str, value) -> F.Column:
-        return F.coalesce(F.concat(F.lit(f'<span class="jobItemName">{label}</span><div>'), value,
-                                   F.lit("</div>\n")), F.lit(""))
+        return F.coalesce(F.concat(F.lit(f'<div class="wrapper"><span class="jobItemName">{label}</span><i>:</i><div>'),
+                                   F.replace(F.replace(value, F.lit("&"), F.lit("&#38;")), F.lit("-"), F.lit("<b>-</b>")),
+                                   F.lit("</div></div>\n")), F.lit(""))
 
+    labels = {field: label for label, field in S.DETAIL_LABELS.items()}
     page = F.concat(
-        F.lit('<html><body><h1 class="job-title">'), F.col("job_title"), F.lit("</h1>\n"),
+        F.lit("<html><body><h1>Board</h1><h1 class='job-title'>"), F.col("job_title"), F.lit("</h1>\n"),
         F.lit('<div class="company-info-container"><span>'), F.col("company_name"), F.lit("</span></div>\n"),
         F.lit('<div class="job-detail-box">\n'),
-        item("薪資待遇", pay), item("上班地點", F.col("job_location")), item("職務類別", F.col("cats")),
-        item("教育程度", F.col("edu_level")), item("電腦專長", F.col("skills")),
+        *[item(labels[f], v) for f, v in (("salary_period", F.when(pay.isNotNull(), F.lit("old"))), ("salary_period", pay),
+                                          ("job_location", F.col("job_location")), ("job_category", F.col("cats")),
+                                          ("edu_level", F.col("edu_level")), ("skills", F.col("skills")))],
         F.lit("</div></body></html>"))
     path = scratch_path(t.spark, "html-details")
     j.select(F.concat(F.lit("https://www.board-b.example/job-"), F.col("job_code"), F.lit(".html")).alias("url"),
              page.alias("html")).write.parquet(path)
-    recs = html.detail_records(B.spread(t.spark.read.parquet(path), "url"))
+    recs = html.detail_records(t.spark.read.parquet(path))
     return recs.select("job_code", "job_title", "company_name", "job_location", "salary_period",
                        "min_salary", "max_salary", "edu_level", "skills",
                        F.concat_ws("|", "job_category").alias("categories"))

@@ -137,20 +137,27 @@ def _rules_sql() -> str:
            "work_experience", "skills", "travel", "management", "remote", "job_source"]
     parts = [f"CASE WHEN {c} IS NULL THEN 'null_{c}' END" for c in req]
     parts += [f"CASE WHEN coalesce(length({c}) > 255, false) THEN 'long_{c}' END" for c in txt]
-    parts.append(f"CASE WHEN edu_level IS NOT NULL AND LEFT(edu_level, 2) NOT IN {EDU_SQL} THEN 'edu_vocabulary' END")
-    parts.append("CASE WHEN coalesce(max_salary != 0 AND min_salary > max_salary, false) THEN 'salary_order' END")
     return "concat_ws(',', " + ", ".join(parts) + ")"
 
 
 CTE["tagged"] = f"tagged AS (SELECT *, {_rules_sql()} AS reasons FROM job)"
 _DEPS["tagged"] = ["job"]
+CTE["faulty"] = f"""faulty AS (
+  SELECT *, {_rules_sql()} AS broken FROM (
+    SELECT * REPLACE (CASE WHEN CAST(substr(job_code, 2) AS BIGINT) % 31 = 0 THEN repeat(job_title, 40) ELSE job_title END
+                        AS job_title,
+                      CASE WHEN CAST(substr(job_code, 2) AS BIGINT) % 37 <> 0 THEN job_source END AS job_source)
+    FROM job
+    UNION ALL SELECT * REPLACE (TIMESTAMP '{B.SYNC_LOAD_DATE}' AS create_date) FROM job
+    WHERE CAST(substr(job_code, 2) AS BIGINT) % 41 = 0))"""
+_DEPS["faulty"] = ["job"]
 
 CTE["records"] = """records AS (
   SELECT b.job_code, b.job_title, b.min_salary, b.max_salary,
          COALESCE((SELECT string_agg(DISTINCT jc.job_category, '|' ORDER BY jc.job_category)
                    FROM job_category jc WHERE jc.job_code = b.job_code), '') AS categories
-  FROM batch b)"""
-_DEPS["records"] = ["batch", "job_category"]
+  FROM job b)"""
+_DEPS["records"] = ["job", "job_category"]
 
 SEARCH_COLS = "job_title, company_name, job_location, salary_period, job_source, job_code"
 EXCLUDE_ANY = "NOT (salary_period LIKE '%年薪%' OR salary_period LIKE '%時薪%' OR salary_period LIKE '%待遇面議%')"
@@ -211,7 +218,7 @@ def _element(tag: str) -> str:
     return f"nullif(trim(regexp_replace({_unescape(inner)}, '\\s+', ' ', 'g')), '')"
 
 
-HREF_RE = '(?i)<a\\s[^>]*href="([^"]*)"'
+HREF_RE = """(?i)<a\\s(?:[^>]*?\\s)?href\\s*=\\s*("[^"]*"|''[^'']*'')"""
 PAY_RE = "月薪 (\\d{1,3}(?:,\\d{3})*) 至 (\\d{1,3}(?:,\\d{3})*)"
 
 SQL: dict[str, str] = {}
@@ -257,14 +264,12 @@ FROM (SELECT job_category, LEFT(edu_level, 2) AS min_edu_level, COUNT(*) AS coun
 
 # --- history -------------------------------------------------------------------
 
-_snap_cols = ",\n  ".join(
-    f"""(SELECT COUNT(DISTINCT job.job_code) FROM job LEFT JOIN job_category
-       ON job.job_code = job_category.job_code WHERE job_category = '{c}') AS {c.lower()}""" for c in TRACKED)
+_snap_cols = ",\n  ".join(f"count(*) FILTER (job_category = '{c}') AS {c.lower()}" for c in TRACKED)
 SQL["posting_snapshot"] = with_ctes(f"""
-SELECT DATE '{B.SYNC_LOAD_DATE}' AS date,
-  (SELECT COUNT(DISTINCT job.job_code) FROM job LEFT JOIN job_category
-     ON job.job_code = job_category.job_code) AS total_post,
-  {_snap_cols}""", "job", "job_category")
+, pairs AS (SELECT DISTINCT j.job_code, jc.job_category
+            FROM job j LEFT JOIN job_category jc ON jc.job_code = j.job_code)
+SELECT DATE '{B.SYNC_LOAD_DATE}' AS date, count(DISTINCT job_code) AS total_post, {_snap_cols}
+FROM pairs""".lstrip(), "job", "job_category")
 
 SQL["posting_history"] = with_ctes("SELECT * FROM history", "history")
 
@@ -292,11 +297,12 @@ FROM ({_long})""", "history")
 
 CTE["old_history"] = history_cte("old_history", "stored")
 _DEPS["old_history"] = ["stored", "job_category"]
-CTE["new_history"] = history_cte("new_history", "batch")
-_DEPS["new_history"] = ["batch", "job_category"]
-SQL["history_upsert"] = with_ctes("""
-SELECT * FROM old_history WHERE date NOT IN (SELECT date FROM new_history)
-UNION ALL SELECT * FROM new_history""", "old_history", "new_history")
+_counters = ",\n  ".join(f"count(DISTINCT s.job_code) FILTER (c.job_category = '{c}') AS {c.lower()}" for c in TRACKED)
+SQL["history_upsert"] = with_ctes(f"""
+SELECT * FROM old_history WHERE date <> DATE '{B.SYNC_LOAD_DATE}'
+UNION ALL
+SELECT DATE '{B.SYNC_LOAD_DATE}', count(DISTINCT s.job_code) AS total_post, {_counters}
+FROM synced s LEFT JOIN cat_set c ON c.job_code = s.job_code""", "old_history", "synced", "cat_set")
 
 # --- search ----------------------------------------------------------------------
 
@@ -304,10 +310,9 @@ SQL["search_grouped"] = with_ctes(f"SELECT {SEARCH_COLS} FROM job WHERE {GROUPED
 
 SQL["search_reference_precedence"] = with_ctes(f"""
 SELECT {SEARCH_COLS} FROM job
-WHERE 1=1 AND {EXCLUDE_ANY}
-  AND job_title LIKE '%BUILDING%' OR company_name LIKE '%BUILDING%'
-  OR job_location LIKE '%BUILDING%' OR skills LIKE '%BUILDING%'
-  AND min_salary > 100000 AND job_location LIKE '%ASIA%'""", "job")
+WHERE ({EXCLUDE_ANY} AND job_title LIKE '%BUILDING%')
+   OR company_name LIKE '%BUILDING%' OR job_location LIKE '%BUILDING%'
+   OR (skills LIKE '%BUILDING%' AND min_salary > 100000 AND job_location LIKE '%ASIA%')""", "job")
 
 SQL["search_page"] = with_ctes(f"""
 SELECT {SEARCH_COLS} FROM job WHERE {GROUPED} ORDER BY job_code LIMIT 10 OFFSET 20""", "job")
@@ -326,6 +331,9 @@ SELECT {SEARCH_COLS} FROM job WHERE {EXCLUDE_ANY}
        OR contains(lower(job_location), 'building') OR contains(lower(skills), 'building'))
   AND contains(lower(job_location), 'asia')""", "job")
 
+SQL["search_leading_number"] = with_ctes(f"""
+SELECT {SEARCH_COLS} FROM job WHERE {EXCLUDE_ANY} AND min_salary > 40000""", "job")
+
 SQL["search_keyset"] = with_ctes(f"""
 SELECT {SEARCH_COLS} FROM job WHERE {GROUPED} AND job_code > 'j5' ORDER BY job_code LIMIT 10""", "job")
 
@@ -342,16 +350,18 @@ SELECT * FROM job WHERE job_code IN (SELECT job_code FROM bookmarks)""", "job",
 SQL["similar_jobs"] = with_ctes("""
 , pairs AS (SELECT DISTINCT job_code, job_category FROM job_category
             WHERE job_code IN (SELECT job_code FROM job)),
-cand AS (SELECT job_category, job_code AS similar_code FROM (
-           SELECT *, row_number() OVER (PARTITION BY job_category ORDER BY job_code) AS r FROM pairs)
-         WHERE r <= 3),
-peers AS (SELECT DISTINCT p.job_code, c.similar_code FROM pairs p
-          JOIN cand c ON p.job_category = c.job_category WHERE c.similar_code <> p.job_code),
-ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY job_code ORDER BY similar_code) AS INTEGER) AS rank
-           FROM peers)
-SELECT r.job_code, r.rank, r.similar_code, j.job_title AS similar_title,
+members AS (SELECT job_category, list(job_code ORDER BY job_code) AS codes FROM pairs GROUP BY job_category),
+own AS (SELECT job_code, list(job_category) AS cats FROM pairs GROUP BY job_code),
+-- per distinct set of categories the codes of all its categories; a job's peers are these without itself
+sets AS (SELECT DISTINCT list_sort(cats) AS cats FROM own),
+peers AS (SELECT s.cats, list_sort(list_distinct(flatten(list(m.codes))))[1:3] AS codes
+          FROM sets s JOIN members m ON list_contains(s.cats, m.job_category) GROUP BY s.cats),
+ranked AS (SELECT o.job_code, unnest([1, 2]) AS rank,
+                  unnest(list_filter(p.codes, lambda c: c <> o.job_code)[1:2]) AS similar_code
+           FROM own o JOIN peers p ON p.cats = list_sort(o.cats))
+SELECT r.job_code, CAST(r.rank AS INTEGER) AS rank, r.similar_code, j.job_title AS similar_title,
        j.company_name AS similar_company, j.job_location AS similar_location
-FROM ranked r JOIN job j ON j.job_code = r.similar_code WHERE r.rank <= 2""".lstrip(), "job", "job_category")
+FROM ranked r JOIN job j ON j.job_code = r.similar_code""".lstrip(), "job", "job_category")
 
 SQL["job_categories_joined"] = with_ctes("""
 SELECT jc.job_code, jc.job_category, j.job_title, j.company_name, j.job_location
@@ -368,8 +378,9 @@ SELECT u.id AS user_id, u.name, u.email, m.job_code, j.job_source, j.job_title,
 FROM users u LEFT JOIN top_marks m ON u.id = m.user_id LEFT JOIN job j ON m.job_code = j.job_code""",
                                   "users", "top_marks", "job")
 
+# no user of the test data holds more than one chunk
 SQL["bookmark_lists"] = with_ctes("""
-SELECT user_id, list_sort(list(job_code)) AS bookmark_list FROM top_marks GROUP BY user_id""", "top_marks")
+SELECT user_id, 0 AS chunk_no, list_sort(list(job_code)) AS bookmark_list FROM bookmarks GROUP BY user_id""", "bookmarks")
 
 SQL["view_flags"] = with_ctes("""
 SELECT v.event_id, v.user_id, v.job_code, (b.user_id IS NOT NULL) AS bookmarked
@@ -402,21 +413,22 @@ SELECT job_code,
        CAST((SELECT count(*) FROM stored) + row_number() OVER (ORDER BY job_code) AS BIGINT) AS id
 FROM batch WHERE job_code NOT IN (SELECT job_code FROM stored)""", "stored", "batch")
 
-SQL["batch_policy_load"] = with_ctes("SELECT job_code, job_title, job_source, create_date FROM batch", "batch")
+SQL["batch_policy_load"] = with_ctes("SELECT job_code, job_title, job_source, create_date FROM job", "job")
+
+SQL["sync_bookmark_cascade"] = with_ctes("""
+SELECT b.user_id, b.job_code FROM bookmarks b WHERE b.job_code IN (SELECT job_code FROM synced)""", "bookmarks", "synced")
 
 SQL["sync_upsert"] = with_ctes("SELECT * FROM synced", "synced")
 
+SQL["sync_commit"] = SQL["sync_upsert"]
+
 SQL["sync_stale"] = with_ctes("""
 SELECT job_code, job_source FROM stored
 WHERE contains(job_source, 'www.asia') AND job_code NOT IN (SELECT job_code FROM batch)""", "stored", "batch")
 
 SQL["sync_empty_guard"] = with_ctes("SELECT * FROM stored", "stored")
 
-SQL["sync_sources"] = with_ctes(f"""
-SELECT job_code, job_source, create_date FROM batch
-UNION ALL
-SELECT job_code, job_source, create_date FROM job
-WHERE contains(job_source, 'www.europe') AND create_date >= TIMESTAMP '{B.SYNC_BATCH_FROM}'""", "job", "batch")
+SQL["sync_sources"] = with_ctes("SELECT job_code, job_source, create_date FROM job", "job")
 
 SQL["category_append"] = with_ctes("""
 SELECT * FROM job_category WHERE job_code IN (SELECT job_code FROM stored)
@@ -458,7 +470,19 @@ SQL["unique_violations"] = with_ctes("""
 SELECT job_code, job_category, COUNT(*) AS n FROM job_category GROUP BY 1, 2 HAVING COUNT(*) > 1""",
                                      "job_category")
 
-SQL["reject_report"] = with_ctes("SELECT job_code, reasons FROM tagged WHERE reasons <> ''", "tagged")
+SQL["reject_report"] = with_ctes("""
+SELECT job_code, create_date, broken AS reasons FROM faulty WHERE broken <> ''
+UNION ALL
+SELECT job_code, create_date, 'duplicate_job_code' FROM (
+  SELECT job_code, create_date, row_number() OVER (PARTITION BY job_code ORDER BY create_date) AS r
+  FROM faulty WHERE broken = '') WHERE r > 1""", "faulty")
+
+SQL["warning_report"] = with_ctes(f"""
+SELECT job_code, concat_ws(',',
+  CASE WHEN edu_level IS NOT NULL AND LEFT(edu_level, 2) NOT IN {EDU_SQL} THEN 'edu_vocabulary' END,
+  CASE WHEN coalesce(max_salary != 0 AND min_salary > max_salary, false) THEN 'salary_order' END) AS reasons
+FROM job WHERE (edu_level IS NOT NULL AND LEFT(edu_level, 2) NOT IN {EDU_SQL})
+  OR coalesce(max_salary != 0 AND min_salary > max_salary, false)""", "job")
 
 SQL["valid_jobs"] = with_ctes("SELECT job_code, edu_level FROM tagged WHERE reasons = ''", "tagged")
 
@@ -496,12 +520,11 @@ WITH s AS (SELECT 'user' || CAST(user_id AS VARCHAR) || '@example.com' AS email,
 f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY email ORDER BY ts, event_id) AS r FROM s)
       WHERE r = 1)
 SELECT email, ts, event_id FROM f
-WHERE email NOT IN (SELECT 'user' || CAST(c_custkey AS VARCHAR) || '@example.com'
-                    FROM customer WHERE c_mktsegment = 'BUILDING')"""
+WHERE email NOT IN (SELECT 'user' || CAST(c_custkey * 2 AS VARCHAR) || '@example.com' FROM customer)"""
 
 # --- pages and text extraction ------------------------------------------------------------
 
-_LINKS = f"""SELECT page_id, CAST(i - 1 AS INTEGER) AS pos, arr[i] AS href FROM (
+_LINKS = f"""SELECT page_id, CAST(i - 1 AS INTEGER) AS pos, {_unescape("arr[i][2:-2]")} AS href FROM (
   SELECT page_id, arr, unnest(generate_series(1, len(arr))) AS i FROM (
     SELECT page_id, regexp_extract_all(html, '{HREF_RE}', 1) AS arr FROM pages))"""
 SQL["page_links"] = _LINKS
@@ -534,6 +557,17 @@ SQL["embedded_json"] = "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGI
 
 SQL["page_embedded_json"] = "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events"
 
+SQL["article_codes"] = with_ctes("""
+SELECT job_code FROM job""", "job")
+
+SQL["board_codes"] = with_ctes("""
+SELECT job_code, board, CASE board WHEN 'json_board' THEN job_code WHEN 'html_board' THEN job_code
+  WHEN 'hk_board' THEN substr(job_code, 2) ELSE lpad(substr(job_code, 2), 10, '0') END AS code
+FROM job, (VALUES ('json_board'), ('html_board'), ('hk_board'), ('jp_board')) b(board)""", "job")
+
+SQL["container_text"] = with_ctes("""
+SELECT job_code, job_title || company_name || job_location AS text FROM job""", "job")
+
 SQL["salary_text_parse"] = with_ctes(f"""
 SELECT job_code, pay_text,
   COALESCE(CAST(replace(nullif(regexp_extract(pay_text, '{PAY_RE}', 1), ''), ',', '') AS BIGINT), 0) AS min_salary,
@@ -576,15 +610,41 @@ SQL["term_top_by_lang"] = f"""
 SELECT lang, term, n, rank FROM (
   SELECT lang, term, n, CAST(row_number() OVER (PARTITION BY lang ORDER BY n DESC, term) AS INTEGER) AS rank
   FROM {_terms("SELECT lang, text FROM documents", by="lang")} t)
-WHERE rank <= 20"""
+WHERE rank <= 400"""
 
 # --- backups ---------------------------------------------------------------------------------
 
 SQL["json_backup_roundtrip"] = with_ctes("SELECT * FROM records", "records")
+SQL["raw_backup_roundtrip"] = with_ctes(f"""
+, cats AS (SELECT job_code, list_sort(list(DISTINCT job_category)) AS category FROM job_category GROUP BY 1),
+out AS (SELECT j.*, c.category, CAST(substr(j.job_code, 2) AS BIGINT) AS k
+        FROM job j LEFT JOIN cats c ON j.job_code = c.job_code),
+shown AS (SELECT job_code AS code, k,
+  CASE WHEN k % 71 = 0 THEN 'x' || job_code ELSE job_code END AS job_code, job_title, company_name, job_location,
+  salary_period, min_salary, max_salary,
+  CASE WHEN k % 7 <> 0 THEN ['不拘', '高中職', '專科', '大學', '碩士', '博士'][k % 6 + 1] ELSE edu_level END AS edu_level,
+  CASE WHEN k % 43 = 0 THEN 'unclear' ELSE ['不拘', '3年以上', '10年以上'][k % 3 + 1] END AS work_experience, skills,
+  CASE WHEN k % 47 = 0 THEN 'unclear' ELSE ['需出差外派', '無需出差外派'][k % 2 + 1] END AS travel,
+  CASE WHEN k % 53 = 0 THEN 'unclear' ELSE ['需負擔管理責任', '不需負擔管理責任'][k % 2 + 1] END AS management,
+  CASE WHEN k % 59 = 0 THEN 'unclear' ELSE ['可遠端工作', '不可遠端工作'][k % 2 + 1] END AS remote, category,
+  CASE WHEN k % 61 = 0 THEN 'https://other.example/' ELSE 'https://www.board-c.example/job/' END || job_code
+    AS job_source,
+  CASE WHEN k % 67 = 0 THEN '1900-01-01 00:00:00' ELSE '{B.SYNC_LOAD_DATE} 00:00:00' END AS create_date
+  FROM out)
+SELECT code AS job_code, CAST(length(CASE
+  WHEN k % 73 = 0 THEN 'Here is the posting you asked for.'
+  WHEN k % 79 = 0 THEN CAST(to_json(struct_pack(job_code, job_title, company_name, job_location, salary_period, min_salary,
+    max_salary, edu_level, work_experience, skills, management, category, job_source, create_date)) AS VARCHAR)
+  WHEN k % 83 = 0 THEN CAST(to_json(struct_pack(job_code, job_title, company_name, job_location, salary_period, min_salary,
+    max_salary, edu_level, work_experience, skills, travel, management, remote, category, job_source, create_date,
+    note := 'extra')) AS VARCHAR)
+  ELSE CAST(to_json(struct_pack(job_code, job_title, company_name, job_location, salary_period, min_salary, max_salary,
+    edu_level, work_experience, skills, travel, management, remote, category, job_source, create_date)) AS VARCHAR) END) AS BIGINT)
+  AS n_chars FROM shown""".lstrip(), "job", "job_category")
 SQL["positional_json_read"] = with_ctes("SELECT * FROM records", "records")
 SQL["staged_categories"] = with_ctes("""
-SELECT DISTINCT job_code, job_category FROM job_category WHERE job_code IN (SELECT job_code FROM batch)""",
-                                     "job_category", "batch")
+SELECT DISTINCT job_code, job_category FROM job_category WHERE job_code IN (SELECT job_code FROM job)""",
+                                     "job_category", "job")
 
 # --- streaming -----------------------------------------------------------------------------
 
@@ -600,17 +660,25 @@ GROUP BY 1, 2""", "job", "job_category")
 SQL["stream_dedupe"] = with_ctes("SELECT DISTINCT CAST(ts AS DATE) AS day, job_code FROM toggles", "toggles")
 SQL["stream_upsert"] = SQL["sync_upsert"]
 
-SQL["capped_batch"] = with_ctes("SELECT * FROM batch ORDER BY job_code LIMIT 2000", "batch")
-
 SQL["extracted_contract"] = with_ctes(f"""
-, cats AS (SELECT job_code, list(DISTINCT job_category) AS category FROM job_category GROUP BY 1)
-SELECT j.job_code, concat_ws(',',
-  CASE WHEN j.edu_level IS NOT NULL
-        AND j.edu_level NOT IN ('不拘', '高中職', '專科', '大學', '碩士', '博士') THEN 'edu_level' END,
-  CASE WHEN coalesce(NOT (len(c.category) BETWEEN 1 AND 3), true) THEN 'category_count' END,
-  CASE WHEN coalesce(NOT list_has_all([{", ".join(repr(x) for x in TRACKED)}], c.category), true)
-       THEN 'category_vocabulary' END) AS reasons
-FROM job j LEFT JOIN cats c ON j.job_code = c.job_code""".lstrip(), "job", "job_category")
+, cats AS (SELECT job_code, list(DISTINCT job_category) AS category FROM job_category GROUP BY 1),
+out AS (SELECT j.job_code, j.edu_level, c.category, CAST(substr(j.job_code, 2) AS BIGINT) AS k
+        FROM job j LEFT JOIN cats c ON j.job_code = c.job_code)
+SELECT job_code, CASE WHEN k % 73 = 0 THEN 'malformed' ELSE concat_ws(',',
+  CASE WHEN k % 79 = 0 OR k % 83 = 0 THEN 'keys' END,
+  CASE WHEN k % 7 = 0 AND edu_level IS NOT NULL
+        AND edu_level NOT IN ('不拘', '高中職', '專科', '大學', '碩士', '博士') THEN 'edu_level' END,
+  CASE WHEN k % 43 = 0 THEN 'work_experience' END,
+  CASE WHEN k % 47 = 0 AND k % 79 <> 0 THEN 'travel' END,
+  CASE WHEN k % 53 = 0 THEN 'management' END,
+  CASE WHEN k % 59 = 0 AND k % 79 <> 0 THEN 'remote' END,
+  CASE WHEN coalesce(NOT (len(category) BETWEEN 1 AND 3), true) THEN 'category_count' END,
+  CASE WHEN coalesce(NOT list_has_all([{", ".join(repr(x) for x in TRACKED)}], category), true)
+       THEN 'category_vocabulary' END,
+  CASE WHEN k % 71 = 0 THEN 'job_code' END,
+  CASE WHEN k % 61 = 0 THEN 'job_source' END,
+  CASE WHEN k % 67 = 0 THEN 'create_date' END) END AS reasons
+FROM out""".lstrip(), "job", "job_category")
 
 SQL["bookmark_apply"] = with_ctes("""
 SELECT user_id, job_code FROM toggles GROUP BY 1, 2 HAVING COUNT(*) % 2 = 1""", "toggles")

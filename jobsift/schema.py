@@ -61,6 +61,7 @@ RECORD = T.StructType(
     + [T.StructField("job_category", T.ArrayType(T.StringType()))]
 )
 
+# --- fixed values: field names of the boards' JSON, as they are sent -------
 # Job-detail JSON of the JSON board (only the fields the record needs).
 _DESC = T.ArrayType(T.StructType([T.StructField("description", T.StringType())]))
 JSON_DETAIL = T.StructType([T.StructField("data", T.StructType([
@@ -177,6 +178,11 @@ MONTHLY_RANGE_PATTERN = r"月薪 (\d{1,3}(?:,\d{3})*) 至 (\d{1,3}(?:,\d{3})*)"
 EMAIL_PATTERN = r"^[_a-z0-9-]+(\.[_a-z0-9-]+)*@[a-z0-9-]+(\.[a-z0-9-]+)*(\.[a-z]{2,4})$"
 PASSWORD_PATTERN = r"^[A-Za-z0-9@#$%^&+=]{8,}"
 
+# Class names of the HTML board's pages.
+ARTICLE_CLASS, ARTICLE_TITLE_CLASS = "all_job_hover", "job__title__inner"
+DETAIL_BOX_CLASS, DETAIL_PART_CLASS, DETAIL_LABEL_CLASS = "job-detail-box", "wrapper", "jobItemName"
+JOB_TITLE_CLASS, COMPANY_CLASS = "job-title", "company-info-container"
+
 # Page sizes.
 SEARCH_PAGE_SIZE = 10
 RECOMMEND_SIZE = 5

@@ -66,6 +66,20 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+_HANDED_OUT: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path below the shared checkpoint folder."""
-    return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh, unique path below the shared checkpoint folder. Whoever has
+    consumed what was written there drops it with ``clear_scratch``."""
+    path = f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
+    _HANDED_OUT.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete every scratch path handed out so far: queries that still read
+    one must be done."""
+    while _HANDED_OUT:
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_HANDED_OUT.pop())
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)

@@ -1,5 +1,7 @@
-"""HTML pages -> rows, with regular expressions evaluated JVM-side.
+"""HTML pages -> rows.
 
+Rules on single tags are regular expressions evaluated JVM-side; rules that
+name elements by class and position read a small tree (``dom``) in an Arrow UDF.
 Listing pages give links and codes (S4, S6), detail pages give a title,
 label/value pairs and visible text (S5, S7), and some pages carry a JSON
 document inside an attribute (S8). Each page is processed whole; no page
@@ -8,16 +10,19 @@ is truncated.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from jobsift import schema as S
 from jobsift.functions import text as X
+from jobsift.sources import dom
 
 
 def page_links(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
-    """Every anchor href with its position on the page."""
-    return pages.select(id_col, F.posexplode(X.html_hrefs(html_col)).alias("pos", "href"))
+    """Every anchor href, entity-decoded, with its position on the page."""
+    return (pages.select(id_col, F.posexplode(X.html_hrefs(html_col)).alias("pos", "href"))
+            .withColumn("href", X.unescape_html("href")))
 
 
 def link_codes(links: DataFrame, pattern: str, href_col: str = "href", group: int = 1) -> DataFrame:
@@ -58,46 +63,69 @@ def url_parts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url") -
     )
 
 
-_LABEL_PAIR = (r'(?s)class="jobItemName"[^>]*>(.*?)</[a-zA-Z0-9]+>\s*<div[^>]*>(.*?)</div>')
+def article_links(pages: DataFrame, article_class: str = S.ARTICLE_CLASS,
+                  title_class: str = S.ARTICLE_TITLE_CLASS, keep=("page_id",), html_col: str = "html") -> DataFrame:
+    """S4 on a listing page: the first link in the title of every article
+    block, in page order; other links of the page are not postings."""
 
+    @F.pandas_udf("array<string>")
+    def links(htmls: pd.Series) -> pd.Series:
+        def one(h):
+            titles = [a.first(cls=title_class) for a in dom.parse(h or "").all("div", article_class)]
+            found = [t.first("a") for t in titles if t is not None]
+            return [a.attrs["href"] for a in found if a is not None and "href" in a.attrs]
+        return htmls.map(one)
 
-def detail_label_values(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """S5 for the HTML board: (url, label, value) for every label/value pair.
+    return pages.select(*keep, F.posexplode(links(html_col)).alias("pos", "href"))
 
-    Labels are the text of elements with class ``jobItemName``; the value is
-    the text of the following <div>.
-    """
-    labels = F.regexp_extract_all(F.col(html_col), F.lit(_LABEL_PAIR), 1)
-    values = F.regexp_extract_all(F.col(html_col), F.lit(_LABEL_PAIR), 2)
-    pairs = F.arrays_zip(labels.alias("label"), values.alias("value"))
-    return (pages.select(url_col, F.explode(pairs).alias("p"))
-            .select(url_col,
-                    X.strip_ws(X.unescape_html(F.regexp_replace("p.label", "<[^>]*>", ""))).alias("label"),
-                    X.strip_ws(X.unescape_html(F.regexp_replace("p.value", "<[^>]*>", ""))).alias("value")))
+
+def container_text(pages: DataFrame, container_class: str, tag: str = "div", sep: str = "", id_col: str = "page_id",
+                   html_col: str = "html") -> DataFrame:
+    """Text of the first ``tag`` with the class: its pieces stripped and
+    joined by ``sep`` (none, as the original does); NULL without the container."""
+
+    @F.pandas_udf("string")
+    def text(htmls: pd.Series) -> pd.Series:
+        found = htmls.map(lambda h: dom.parse(h or "").first(tag, container_class))
+        return found.map(lambda e: None if e is None else e.stripped(sep))
+
+    return pages.select(id_col, text(html_col).alias("text"))
 
 
 def detail_records(pages: DataFrame, url_col: str = "url", html_col: str = "html",
                    code_pattern: str = S.CODE_PATTERNS["html_board"]) -> DataFrame:
     """S5 + F8 + F9 + F10: HTML detail pages -> canonical records.
 
-    The pairs are pivoted on the fixed label list (one aggregation keyed by
-    url, no per-page Python); pay text yields (min, max) or (0, 0).
+    One page is one row throughout: its title (``h1.job-title``), company
+    (first span of the company box) and the label/value pairs of the detail
+    box come from the page's tree in one Arrow UDF, with no shuffle. The value
+    of a label is the next ``div`` among its later siblings; of a label that
+    repeats, the last one holds. Pay text yields (min, max) or (0, 0).
     """
-    pairs = detail_label_values(pages, url_col, html_col)
-    labels = list(S.DETAIL_LABELS)
-    wide = pairs.groupBy(url_col).pivot("label", labels).agg(F.first("value"))
-    f = {field: F.col(f"`{label}`") for label, field in S.DETAIL_LABELS.items()}
+
+    @F.pandas_udf("title string, company string, pairs map<string,string>")
+    def fields(htmls: pd.Series) -> pd.DataFrame:
+        def one(h):
+            root = dom.parse(h or "")
+            title, box = root.first("h1", S.JOB_TITLE_CLASS), root.first("div", S.COMPANY_CLASS)
+            company = box.first("span") if box is not None else None
+            pairs = {}
+            for detail in root.all("div", S.DETAIL_BOX_CLASS):
+                for wrapper in detail.all("div", S.DETAIL_PART_CLASS):
+                    for label in wrapper.all(cls=S.DETAIL_LABEL_CLASS):
+                        value = label.later_sibling("div")
+                        if value is not None:
+                            pairs[label.text()] = value.text()
+            return (title.text() if title is not None else None, company.text() if company is not None else None, pairs)
+        return pd.DataFrame([one(h) for h in htmls], columns=["title", "company", "pairs"])
+
+    p = pages.select(url_col, fields(html_col).alias("_f"))
+    f = {field: F.col("_f.pairs")[label] for label, field in S.DETAIL_LABELS.items()}
     pay = X.parse_monthly_range(f["salary_period"])
-    heads = pages.select(
-        url_col,
-        X.html_element_text(F.col(html_col), "h1").alias("job_title"),
-        X.strip_ws(X.unescape_html(F.regexp_replace(X.extract_code(
-            html_col, r'(?s)class="company-info-container".*?<span[^>]*>(.*?)</span>', 1), "<[^>]*>", "")))
-        .alias("company_name"))
-    return heads.join(wide, url_col, "left").select(
-        "job_title",
+    return p.select(
+        F.col("_f.title").alias("job_title"),
         X.extract_code(url_col, code_pattern, 1).alias("job_code"),
-        "company_name",
+        F.col("_f.company").alias("company_name"),
         f["job_location"].alias("job_location"),
         f["salary_period"].alias("salary_period"),
         pay["min_salary"].alias("min_salary"),
@@ -114,7 +142,15 @@ def detail_records(pages: DataFrame, url_col: str = "url", html_col: str = "html
 
 
 def embedded_json(pages: DataFrame, element_id: str, schema, html_col: str = "html") -> DataFrame:
-    """JSON held in an attribute ``value`` of the element with
-    ``id=element_id``, entity-unescaped, then parsed (NULL when malformed)."""
-    raw = X.extract_code(html_col, rf'(?s)<[^>]*\bid="{element_id}"[^>]*\bvalue="([^"]*)"', 1)
-    return pages.withColumn("doc", F.from_json(X.unescape_html(raw), schema))
+    """JSON held in the attribute ``value`` of the element with
+    ``id=element_id``, whatever the order and quotes of its attributes,
+    entity-unescaped, then parsed (NULL when malformed)."""
+
+    @F.pandas_udf("string")
+    def value(htmls: pd.Series) -> pd.Series:
+        def one(h):
+            found = (e for e in dom.parse(h or "").walk() if e.attrs.get("id") == element_id)
+            return next((e.attrs.get("value") for e in found), None)
+        return htmls.map(one)
+
+    return pages.withColumn("doc", F.from_json(X.unescape_html(value(html_col)), schema))

@@ -104,10 +104,12 @@ def split_record(records: DataFrame, load_date) -> tuple[DataFrame, DataFrame]:
 
 def write_backup(records: DataFrame, path: str, source: str, load_date: str,
                  fmt: str = "json") -> None:
-    """One dataset partitioned by source and load date."""
+    """One dataset partitioned by source and load date; writing a
+    source's day again replaces that day's backup and no other."""
     (records.withColumn("source", F.lit(source))
      .withColumn("snapshot_date", F.lit(load_date).cast("date"))
-     .write.mode("append").partitionBy("source", "snapshot_date").format(fmt).save(path))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("source", "snapshot_date").format(fmt).save(path))
 
 
 def read_backup(spark: SparkSession, path: str, source: str | None = None,
@@ -124,6 +126,27 @@ def read_backup(spark: SparkSession, path: str, source: str | None = None,
     return df
 
 
+def write_raw_texts(texts: DataFrame, path: str, source: str, load_date: str, code_col: str = "job_code",
+                    text_col: str = "text") -> None:
+    """S12, raw zone: ``[code, text]`` pairs as landed, one JSON array a line,
+    kept apart from the processed records; a day written again is replaced."""
+    pair = F.to_json(F.array(F.col(code_col).cast("string"), F.col(text_col).cast("string")))
+    (texts.select(pair.alias("value"), F.lit(source).alias("source"), F.lit(load_date).cast("date").alias("snapshot_date"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("source", "snapshot_date").text(path))
+
+
+def read_raw_texts(spark: SparkSession, path: str, source: str | None = None, load_date: str | None = None) -> DataFrame:
+    """(source, snapshot_date, job_code, text) of the raw zone; filters prune partitions."""
+    df = spark.read.schema("value string, source string, snapshot_date date").text(path)
+    if source is not None:
+        df = df.where(F.col("source") == source)
+    if load_date is not None:
+        df = df.where(F.col("snapshot_date") == F.lit(load_date).cast("date"))
+    pair = F.from_json("value", "array<string>")
+    return df.select("source", "snapshot_date", pair[0].alias("job_code"), pair[1].alias("text"))
+
+
 def positional_to_record(arrays: DataFrame, col: str = "slots") -> DataFrame:
     """A 15-slot positional array (strings) -> named, typed record."""
     a = F.col(col)

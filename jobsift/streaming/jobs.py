@@ -1,20 +1,23 @@
 """Incremental jobs on Structured Streaming.
 
-Sources are file streams; sinks are files under the shared checkpoint
-folder (never the driver-memory sink), each query with its own checkpoint
-location so a restarted job resumes where it stopped. ``run_available``
-drives a query with ``trigger(availableNow=True)``: everything landed so
-far is processed in bounded micro-batches, then the query stops.
-
-Stateful results are kept as versioned tables: micro-batch ``n`` writes
-version ``n`` and then appends ``n`` to a small commit log (idempotent if
-the batch is replayed after a failure); readers take the highest committed
-version. Each version is a full rewrite of the result table, which is the
-price of not having a MERGE-capable table format.
+Sources are file streams read at most ``max_files`` files a micro-batch;
+results are tables of files at a path the caller names, with the stream's
+checkpoint beside it. ``run_available`` processes what has landed in bounded
+micro-batches and stops; a later run with the same path and checkpoint takes
+up where the last one ended. Defaults put both below the shared checkpoint
+folder, for single runs.
+
+Results are keyed tables in hash buckets (``KeyedTable``). A micro-batch
+rewrites only the buckets whose keys it changes, then commits, and only then
+drops the versions it replaced. Late rows need no watermark: the state is the
+table, so a row counts in its own day however late it lands. The state
+kept per key is a count or the key itself, never a list.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,6 +26,8 @@ from jobsift.operators import sync as sync_ops
 from jobsift.schema import JOB, JOB_COLUMNS
 from jobsift.session import scratch_path
 
+MAX_FILES = 64
+
 EVENTS = T.StructType([
     T.StructField("event_id", T.LongType()),
     T.StructField("ts", T.TimestampNTZType()),
@@ -32,21 +37,24 @@ EVENTS = T.StructType([
     T.StructField("props", T.StringType()),
 ])
 
+POSTING_CATEGORY = T.StructType([
+    T.StructField("job_code", T.StringType()),
+    T.StructField("job_category", T.StringType()),
+    T.StructField("create_date", T.TimestampNTZType()),
+])
+
 
 def event_stream(spark: SparkSession, directory: str, file_glob: str = "events.parquet",
-                 max_files: int | None = None) -> DataFrame:
-    r = spark.readStream.schema(EVENTS).option("pathGlobFilter", file_glob)
-    if max_files:
-        r = r.option("maxFilesPerTrigger", max_files)
-    return r.parquet(directory)
+                 max_files: int = MAX_FILES) -> DataFrame:
+    return (spark.readStream.schema(EVENTS).option("pathGlobFilter", file_glob)
+            .option("maxFilesPerTrigger", max_files).parquet(directory))
 
 
 def toggle_stream(events: DataFrame) -> DataFrame:
-    """Click events as bookmark toggles, with an event-time column for watermarks."""
+    """Click events as bookmark toggles."""
     return (events.where(F.col("event_type") == "click")
             .select("event_id", "ts", "user_id",
-                    F.concat(F.lit("j"), F.get_json_object("props", "$.k")).alias("job_code"),
-                    F.col("ts").cast("timestamp").alias("event_time")))
+                    F.concat(F.lit("j"), F.get_json_object("props", "$.k")).alias("job_code")))
 
 
 def run_available(writer, checkpoint: str) -> None:
@@ -56,149 +64,190 @@ def run_available(writer, checkpoint: str) -> None:
         raise q.exception()
 
 
-def _commits(path: str) -> str:
-    return f"{path}/_commits"
+class KeyedTable:
+    """Rows in hash buckets of ``keys`` below ``path``; a version per committed micro-batch.
 
-
-def write_version(spark: SparkSession, df: DataFrame, path: str, version: int) -> None:
-    """Write ``df`` as version ``version``, then record the commit.
-
-    The data goes to its own partition first; the one-row commit record is
-    appended afterwards, so readers never see a half-written version. A
-    replayed batch rewrites the same version and appends the same record.
+    ``data/v=<version>/b=<bucket>`` holds a bucket as that version left it. The
+    commit log has one row per version: which version each bucket stands in.
+    The newest row is the table; a version without a commit does not exist.
     """
-    (df.withColumn("v", F.lit(version))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("v").parquet(f"{path}/data"))
-    spark.range(1).select(F.lit(version).alias("v")).write.mode("append").parquet(_commits(path))
-
-
-def latest_version(spark: SparkSession, path: str) -> int | None:
-    """Highest committed version: a max over the small commit log (one row
-    per micro-batch), never a scan of the data."""
-    try:
-        return spark.read.parquet(_commits(path)).agg(F.max("v")).first()[0]
-    except Exception:  # noqa: BLE001 - nothing committed yet
-        return None
-
-
-def read_latest(spark: SparkSession, path: str) -> DataFrame:
-    """The newest committed version; the filter on ``v`` prunes partitions."""
-    v = latest_version(spark, path)
-    if v is None:
-        raise FileNotFoundError(f"no committed version under {path}")
-    return spark.read.parquet(f"{path}/data").where(F.col("v") == v).drop("v")
-
-
-def _merge_by_key(spark: SparkSession, path: str, keys: list[str]):
-    """foreachBatch function: replace rows of updated keys, write a new version."""
 
-    def merge(updates: DataFrame, batch_id: int) -> None:
-        latest = latest_version(spark, path)
-        if latest is not None and latest >= batch_id + 1:
-            return  # replay of a batch whose version is already committed
-        if latest is None:
-            merged = updates
-        else:
-            current = read_latest(spark, path)
-            merged = current.join(updates.select(*keys), keys, "left_anti").unionByName(updates)
-        write_version(spark, merged, path, batch_id + 1)
-
-    return merge
-
-
-def toggle_state(spark: SparkSession, events: DataFrame) -> DataFrame:
-    """T4: running toggle count per (user, job) and the bookmark parity.
-
-    Update mode emits only keys touched in a micro-batch; they replace their
-    previous rows in the versioned result table.
+    def __init__(self, spark: SparkSession, path: str, keys: list[str], schema: str, buckets: int = 32):
+        self.spark, self.path, self.keys, self.schema, self.buckets = spark, path.rstrip("/"), keys, schema, buckets
+        jvm = spark.sparkContext._jvm
+        self._path = jvm.org.apache.hadoop.fs.Path
+        self._fs = self._path(self.path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def state(self) -> tuple[int, dict[int, int]] | None:
+        """(newest version, version of each bucket), or None before the first
+        commit. A log that is there but cannot be read raises."""
+        log = self._path(f"{self.path}/_commits")
+        if not self._fs.exists(log) or not any(
+                s.getPath().getName().startswith("part-") for s in self._fs.listStatus(log)):
+            return None
+        rows = self.spark.read.schema("version bigint, buckets string").parquet(f"{self.path}/_commits")
+        row = rows.agg(F.max(F.struct("version", "buckets"))).first()[0]
+        if row is None or row.version is None or row.buckets is None:
+            raise ValueError(f"the commit log of {self.path} holds no commit: it is damaged")
+        return row.version, {int(b): v for b, v in json.loads(row.buckets).items()}
+
+    def _rows(self, standing: dict[int, int], buckets=None) -> DataFrame:
+        at = [f"{self.path}/data/v={v}/b={b}" for b, v in sorted(standing.items()) if buckets is None or b in buckets]
+        if not at:
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(*at)
+
+    def read(self) -> DataFrame:
+        state = self.state()
+        if state is None:
+            raise FileNotFoundError(f"no committed version under {self.path}")
+        return self._rows(state[1])
+
+    def bucket(self):
+        return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+
+    def apply(self, version: int, updates: DataFrame, merge) -> None:
+        """Commit ``merge(current rows, updates)`` of the buckets that ``updates``
+        touches as ``version``; a version that is committed already is left alone."""
+        latest, standing = self.state() or (-1, {})
+        if latest >= version:
+            return
+        updates = updates.persist()
+        touched = {r.b for r in updates.select(self.bucket().alias("b")).distinct().collect()}  # bucket numbers
+        if touched:
+            merged = merge(self._rows(standing, touched), updates)
+            (merged.withColumn("b", self.bucket()).repartition("b").write.mode("overwrite")
+             .partitionBy("b").parquet(f"{self.path}/data/v={version}"))
+        updates.unpersist()
+        self._commit(version, standing, {b: version for b in touched})
+
+    def replace(self, version: int, rows: DataFrame) -> None:
+        """Commit ``rows`` as the whole table."""
+        latest, standing = self.state() or (-1, {})
+        if latest >= version:
+            return
+        (rows.withColumn("b", self.bucket()).repartition("b").write.mode("overwrite")
+         .partitionBy("b").parquet(f"{self.path}/data/v={version}"))
+        folders = self._fs.listStatus(self._path(f"{self.path}/data/v={version}"))
+        written = {int(s.getPath().getName()[2:]): version for s in folders if s.getPath().getName().startswith("b=")}
+        self._commit(version, standing, written, whole=True)
+
+    def _commit(self, version: int, standing: dict[int, int], written: dict[int, int], whole: bool = False) -> None:
+        now = written if whole else standing | written
+        entry = self.spark.createDataFrame([(version, json.dumps(now))], "version bigint, buckets string")
+        entry.coalesce(1).write.mode("append").parquet(f"{self.path}/_commits")
+        for b, v in standing.items():  # at most ``buckets`` folders that this version replaced
+            if now.get(b) != v:
+                self._fs.delete(self._path(f"{self.path}/data/v={v}/b={b}"), True)
+
+
+def _places(spark: SparkSession, name: str, path: str | None, checkpoint: str | None) -> tuple[str, str]:
+    path = path or scratch_path(spark, name)
+    return path, checkpoint or f"{path}-checkpoint"
+
+
+def _keep_distinct(keys: list[str]):
+    return lambda current, updates: current.unionByName(updates).dropDuplicates(keys)
+
+
+def toggle_state(spark: SparkSession, events: DataFrame, path: str | None = None,
+                 checkpoint: str | None = None) -> DataFrame:
+    """T4: running toggle count per (user, job) and the bookmark parity."""
+    path, checkpoint = _places(spark, "toggle-state", path, checkpoint)
+    table = KeyedTable(spark, path, ["user_id", "job_code"], "user_id bigint, job_code string, n_toggles bigint")
+
+    def add(batch: DataFrame, batch_id: int) -> None:
+        counts = batch.groupBy("user_id", "job_code").agg(F.count(F.lit(1)).alias("n_toggles"))
+        table.apply(batch_id, counts, lambda current, new: current.unionByName(new).groupBy("user_id", "job_code").agg(
+            F.sum("n_toggles").alias("n_toggles")))
+
+    run_available(toggle_stream(events).writeStream.foreachBatch(add), checkpoint)
+    return table.read().withColumn("bookmarked", F.col("n_toggles") % 2 == 1)
+
+
+def _distinct_stream(spark: SparkSession, rows: DataFrame, keys: list[str], schema: str, path: str,
+                     checkpoint: str) -> KeyedTable:
+    """Keys seen so far: every key once, whenever it lands."""
+    table = KeyedTable(spark, path, keys, schema)
+
+    def add(batch: DataFrame, batch_id: int) -> None:
+        table.apply(batch_id, batch.select(*keys).distinct(), _keep_distinct(keys))
+
+    run_available(rows.writeStream.foreachBatch(add), checkpoint)
+    return table
+
+
+def daily_active_users(spark: SparkSession, events: DataFrame, path: str | None = None,
+                       checkpoint: str | None = None) -> DataFrame:
+    """Distinct users per (day, event_type), exact, late rows included."""
+    path, checkpoint = _places(spark, "daily-users", path, checkpoint)
+    table = _distinct_stream(spark, events.withColumn("day", F.to_date("ts")), ["day", "event_type", "user_id"],
+                             "day date, event_type string, user_id bigint", path, checkpoint)
+    return table.read().groupBy("day", "event_type").agg(F.count(F.lit(1)).alias("n_users"))
+
+
+def daily_category_counts(spark: SparkSession, rows: DataFrame, categories: list[str], path: str | None = None,
+                          checkpoint: str | None = None) -> DataFrame:
+    """Postings per (last-seen day, tracked category), exact, late rows
+    included. ``rows``: a stream of (job_code, job_category, create_date)
+    bridge rows, duplicates included."""
+    path, checkpoint = _places(spark, "daily-categories", path, checkpoint)
+    tracked = rows.where(F.col("job_category").isin(list(categories))).withColumn("day", F.to_date("create_date"))
+    table = _distinct_stream(spark, tracked, ["day", "job_category", "job_code"],
+                             "day date, job_category string, job_code string", path, checkpoint)
+    return table.read().groupBy("day", "job_category").agg(F.count(F.lit(1)).alias("n_jobs"))
+
+
+def distinct_daily_codes(spark: SparkSession, events: DataFrame, path: str | None = None,
+                         checkpoint: str | None = None) -> DataFrame:
+    """Each (day, job_code) clicked, once."""
+    path, checkpoint = _places(spark, "daily-codes", path, checkpoint)
+    return _distinct_stream(spark, toggle_stream(events).withColumn("day", F.to_date("ts")), ["day", "job_code"],
+                            "day date, job_code string", path, checkpoint).read()
+
+
+def upsert_stream(spark: SparkSession, stored: DataFrame, landing: str, site: str, path: str | None = None,
+                  checkpoint: str | None = None, max_files: int = MAX_FILES) -> DataFrame:
+    """Landed daily snapshots of one source -> synced job table.
+
+    A row's snapshot is the day of its ``create_date``, which the load stamps.
+    The state is the table before the newest snapshot and that snapshot's
+    rows so far, committed together; the synced table follows from them. So a
+    snapshot may come in several micro-batches, and a micro-batch may hold
+    several days: they are taken in order, each one settled into the table
+    when the next begins. Rows of a day before the newest are superseded and
+    change nothing. ``stored`` is the table before the first run.
     """
-    out, ckpt = scratch_path(spark, "toggle-state"), scratch_path(spark, "toggle-state-ckpt")
-    counts = (toggle_stream(events).groupBy("user_id", "job_code")
-              .agg(F.count(F.lit(1)).alias("n_toggles")))
-    run_available(counts.writeStream.outputMode("update")
-                  .foreachBatch(_merge_by_key(spark, out, ["user_id", "job_code"])), ckpt)
-    return (read_latest(spark, out)
-            .withColumn("n_toggles", F.col("n_toggles").cast("bigint"))
-            .withColumn("bookmarked", F.col("n_toggles") % 2 == 1))
-
-
-def daily_active_users(spark: SparkSession, events: DataFrame) -> DataFrame:
-    """Distinct users per (day, event_type), exact.
-
-    Exact distinct counting is not supported on streams, so duplicates of
-    (event_type, day, user) are dropped first within a one-day watermark
-    (two events of the same calendar day are less than a day apart), then
-    counted per day. State older than the watermark is evicted.
-    """
-    out, ckpt = scratch_path(spark, "daily-users"), scratch_path(spark, "daily-users-ckpt")
-    firsts = (events.withColumn("event_time", F.col("ts").cast("timestamp"))
-              .withColumn("day", F.to_date("ts"))
-              .withWatermark("event_time", "1 day")
-              .dropDuplicatesWithinWatermark(["event_type", "day", "user_id"]))
-    counts = firsts.groupBy("day", "event_type").agg(F.count(F.lit(1)).alias("n_users"))
-    run_available(counts.writeStream.outputMode("update")
-                  .foreachBatch(_merge_by_key(spark, out, ["day", "event_type"])), ckpt)
-    return read_latest(spark, out).withColumn("n_users", F.col("n_users").cast("bigint"))
-
-
-POSTING_CATEGORY = T.StructType([
-    T.StructField("job_code", T.StringType()),
-    T.StructField("job_category", T.StringType()),
-    T.StructField("create_date", T.TimestampNTZType()),
-])
+    path, checkpoint = _places(spark, "jobs", path, checkpoint)
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in JOB.fields)
+    table = KeyedTable(spark, path, ["job_code"], f"{fields}, _day date")
+    settled = F.lit(None).cast("date").alias("_day")
+    table.replace(0, stored.select(*JOB_COLUMNS, settled))
 
-
-def daily_category_counts(spark: SparkSession, rows: DataFrame, categories: list[str]) -> DataFrame:
-    """Postings per (last-seen day, tracked category), exact, as a stream.
-
-    ``rows`` is a stream of (job_code, job_category, create_date) bridge
-    rows, duplicates included (an append-only bridge repeats pairs).
-    Exact distinct counts are not allowed on streams, so repeats of
-    (day, category, job) are dropped first within a one-day watermark (rows
-    of one calendar day are less than a day apart), then counted per
-    (day, category). State older than the watermark is evicted; the result
-    is a versioned table updated per micro-batch.
-    """
-    out, ckpt = scratch_path(spark, "daily-categories"), scratch_path(spark, "daily-categories-ckpt")
-    firsts = (rows.where(F.col("job_category").isin(list(categories)))
-              .withColumn("day", F.to_date("create_date"))
-              .withColumn("event_time", F.col("create_date").cast("timestamp"))
-              .withWatermark("event_time", "1 day")
-              .dropDuplicatesWithinWatermark(["day", "job_category", "job_code"]))
-    counts = firsts.groupBy("day", "job_category").agg(F.count(F.lit(1)).alias("n_jobs"))
-    run_available(counts.writeStream.outputMode("update")
-                  .foreachBatch(_merge_by_key(spark, out, ["day", "job_category"])), ckpt)
-    return read_latest(spark, out).withColumn("n_jobs", F.col("n_jobs").cast("bigint"))
-
-
-def distinct_daily_codes(spark: SparkSession, events: DataFrame) -> DataFrame:
-    """Each (day, job_code) clicked, once, appended to a file sink."""
-    out, ckpt = scratch_path(spark, "daily-codes"), scratch_path(spark, "daily-codes-ckpt")
-    firsts = (toggle_stream(events).withColumn("day", F.to_date("ts"))
-              .withWatermark("event_time", "1 day")
-              .dropDuplicatesWithinWatermark(["day", "job_code"])
-              .select("day", "job_code"))
-    run_available(firsts.writeStream.outputMode("append").format("parquet").option("path", out), ckpt)
-    return spark.read.parquet(out)
-
-
-def upsert_stream(spark: SparkSession, stored: DataFrame, landing: str, site: str) -> DataFrame:
-    """Landed snapshot files of one source -> synced job table.
-
-    Each micro-batch is one source's full daily snapshot (land a snapshot
-    atomically, e.g. write then rename its folder), so the source-scoped
-    delete sees the whole day. Empty micro-batches change nothing.
-    """
-    out, ckpt = scratch_path(spark, "jobs"), scratch_path(spark, "jobs-ckpt")
-    write_version(spark, stored, out, 0)
+    def parts() -> tuple[DataFrame, DataFrame]:
+        now = table.read()
+        return now.where("_day IS NULL").drop("_day"), now.where("_day IS NOT NULL")
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        if latest_version(spark, out) >= batch_id + 1 or batch.isEmpty():
-            return  # already committed (replay) or nothing landed
-        new = sync_ops.sync_jobs(read_latest(spark, out), batch.select(*JOB_COLUMNS), site)
-        write_version(spark, new, out, batch_id + 1)
-
-    stream = spark.readStream.schema(JOB).json(landing)
-    run_available(stream.writeStream.foreachBatch(apply), ckpt)
-    return read_latest(spark, out)
+        batch = batch.select(*JOB_COLUMNS, F.to_date("create_date").alias("_day")).persist()
+        base, snapshot = parts()
+        newest = snapshot.agg(F.max("_day")).first()[0]
+        days = sorted(r[0] for r in batch.select("_day").distinct().collect() if r[0] is not None)  # one per snapshot
+        for day in days:
+            rows = batch.where(F.col("_day") == F.lit(day))
+            if newest is not None and day < newest:
+                continue
+            if newest is not None and day > newest:
+                base, snapshot = sync_ops.sync_jobs(base, snapshot, site), rows
+            else:
+                snapshot = snapshot.unionByName(rows)
+            newest = day
+        if days and days[-1] == newest:
+            table.replace(batch_id + 1, base.withColumn("_day", settled).unionByName(
+                sync_ops.unique_batch(snapshot, "job_code")))
+        batch.unpersist()
+
+    stream = spark.readStream.schema(JOB).option("maxFilesPerTrigger", max_files).json(landing)
+    run_available(stream.writeStream.foreachBatch(apply), checkpoint)
+    base, snapshot = parts()
+    return sync_ops.guard_empty(base, snapshot, lambda b, s: sync_ops.sync_jobs(b, s, site))

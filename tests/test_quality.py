@@ -28,8 +28,9 @@ def test_split_valid_and_rejected(spark):
     ], schema)
     valid, rejected = quality.split_valid(df, quality.job_rules())
     assert rows(valid, "job_code") == [("a",)]
-    assert rows(rejected, "job_code", "reasons") == [("b", "null_job_title,edu_vocabulary"),
-                                                      ("c", "long_job_title,salary_order")]
+    assert rows(rejected, "job_code", "reasons") == [("b", "null_job_title"), ("c", "long_job_title")]
+    warned = quality.with_reasons(df, quality.job_warnings())
+    assert rows(warned, "job_code", "reasons") == [("a", ""), ("b", "edu_vocabulary"), ("c", "salary_order")]
 
 
 def test_extracted_contract(spark):
@@ -43,6 +44,25 @@ def test_extracted_contract(spark):
     assert got == ["", "edu_level,work_experience,travel,category_count,category_vocabulary"]
 
 
+def test_contract_hits_every_rule(spark):
+    import json
+    good = dict(job_code="c1", job_title="t", company_name="c", job_location="l", salary_period="月薪", min_salary=1,
+                max_salary=2, edu_level="大學", work_experience="2年以上", skills=None, travel="需出差外派",
+                management="不需負擔管理責任", remote="可遠端工作", category=["資料工程師"],
+                job_source="https://b/c1", create_date="2024-04-28 00:00:00")
+    changes = [{}, {"edu_level": "小學"}, {"work_experience": "x"}, {"travel": "x"}, {"management": "x"}, {"remote": "x"},
+               {"category": []}, {"category": ["x"]}, {"job_code": "c2"}, {"job_source": "https://evil/c1"},
+               {"create_date": "1900-01-01 00:00:00"}, {"note": 1}]
+    texts = [json.dumps(good | c, ensure_ascii=False) for c in changes]
+    texts += [json.dumps({k: v for k, v in good.items() if k not in ("skills", "remote")}), "[]", "eval()", None]
+    df = spark.createDataFrame([("c1", x) for x in texts], "job_code string, text string").coalesce(1)
+    got = [r.reasons for r in quality.check_extracted(quality.parse_extracted(df), S.DOMAIN, "https://b/", "2024-04-28")
+           .collect()]
+    assert got == ["", "edu_level", "work_experience", "travel", "management", "remote", "category_count",
+                   "category_vocabulary", "job_code", "job_source", "create_date", "keys", "keys", "malformed", "malformed",
+                   "malformed"]
+
+
 def test_salary_normalise(spark):
     df = spark.createDataFrame([("年薪", 600000, 900006), ("月薪", 30000, None), ("年薪", 6, None)],
                                "salary_period string, min_salary long, max_salary long")

@@ -113,6 +113,23 @@ def test_user_without_bookmarks_gets_one_row(spark):
     assert per_user[2] == [None]
 
 
+def test_bookmark_lists_are_whole_and_bounded(spark):
+    marks = spark.createDataFrame([(1, f"j{i:04d}") for i in range(950)] + [(2, "a"), (2, "b")], S.USER_BOOKMARK)
+    got = related.user_bookmark_list(marks, chunk=100).collect()
+    lists = {}
+    for r in got:
+        assert r.bookmark_list == sorted(r.bookmark_list) and len(r.bookmark_list) < 200
+        lists.setdefault(r.user_id, []).extend(r.bookmark_list)
+    assert sorted(lists[1]) == [f"j{i:04d}" for i in range(950)] and lists[2] == ["a", "b"]
+    assert [r.chunk_no for r in got if r.user_id == 2] == [0]
+
+
+def test_similar_jobs_salted_equals_broadcast(spark):
+    t = B.Tables(spark, SMOKE)
+    assert rows(related.similar_jobs(t.job, t.job_category, broadcast_rows=0)) == rows(
+        related.similar_jobs(t.job, t.job_category))
+
+
 def test_view_flags_are_per_user(spark):
     marks = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b")], "user_id long, job_code string")
     views = spark.createDataFrame([(10, 1, "a"), (11, 2, "a"), (12, 1, "b"), (13, 2, "b")],

@@ -1,7 +1,13 @@
 """Streaming jobs equal their batch counterparts, also over several micro-batches."""
 
+import datetime as dt
+import time
+
+import pytest
+
 from jobsift import bindings as B
 from jobsift.operators import bookmarks
+from jobsift.schema import JOB
 from jobsift.streaming import jobs as streams
 from tests.conftest import SMOKE, rows
 
@@ -41,3 +47,86 @@ def test_category_counts_repeats_across_microbatches(spark, tmp_path):
            .json(str(tmp_path / "p*")))
     got = rows(streams.daily_category_counts(spark, src, ["X", "Y"]), "day", "job_category", "n_jobs")
     assert got == [(d1.date(), "X", 2), (d1.date(), "Y", 1), (d2.date(), "X", 1)]
+
+
+def land_postings(spark, tmp_path, files):
+    for i, part in enumerate(files):
+        frame = spark.createDataFrame([(c, f"{t}", "co", "l", None, 1, 2, None, None, None, None, None, None,
+                                        f"https://www.board-a.example/job/{c}", ts) for c, t, ts in part], JOB)
+        frame.coalesce(1).write.mode("append").json(str(tmp_path / "land"))
+        time.sleep(1.1)  # file streams take files in the order of their modification times
+
+
+D1, D2, D3 = (dt.datetime(2024, 5, d, 9) for d in (1, 2, 3))
+
+
+def stored_postings(spark):
+    return spark.createDataFrame([("b", "old", "co", "l", None, 1, 2, None, None, None, None, None, None,
+                                   "https://www.board-a.example/job/b", D1)], JOB)
+
+
+def synced(df):
+    return rows(df, "job_code", "job_title")
+
+
+def test_two_days_in_one_batch_are_taken_in_order(spark, tmp_path):
+    land_postings(spark, tmp_path, [[("a", "new", D3)], [("a", "old", D2), ("b", "gone", D2)]])
+    got = streams.upsert_stream(spark, stored_postings(spark), str(tmp_path / "land"), "www.board-a")
+    assert synced(got) == [("a", "new")]
+
+
+def test_a_snapshot_in_several_batches_and_a_late_day(spark, tmp_path):
+    land_postings(spark, tmp_path, [[("a", "d2", D2)], [("c", "d2", D2)], [("x", "late", D1)], [("a", "d3", D3)]])
+    got = streams.upsert_stream(spark, stored_postings(spark), str(tmp_path / "land"), "www.board-a", max_files=1)
+    assert synced(got) == [("a", "d3")]
+
+
+def test_upsert_stream_stops_and_restarts(spark, tmp_path):
+    path, checkpoint = str(tmp_path / "jobs"), str(tmp_path / "ckpt")
+    run = lambda: synced(streams.upsert_stream(spark, stored_postings(spark), str(tmp_path / "land"),
+                                               "www.board-a", path, checkpoint, max_files=1))
+    land_postings(spark, tmp_path, [[("a", "d2", D2)]])
+    assert run() == [("a", "d2")]
+    assert run() == [("a", "d2")]  # nothing new: nothing changes
+    land_postings(spark, tmp_path, [[("c", "d2", D2)]])
+    assert run() == [("a", "d2"), ("c", "d2")]
+    land_postings(spark, tmp_path, [[("c", "d3", D3)]])
+    assert run() == [("c", "d3")]
+
+
+def test_late_rows_count_in_their_day(spark, tmp_path):
+    days = [dt.datetime(2024, 5, 9), dt.datetime(2024, 4, 1), dt.datetime(2024, 5, 8)]
+    for i, d in enumerate(days):
+        spark.createDataFrame([(f"j{i}", "X", d), ("again", "X", d)], streams.POSTING_CATEGORY).coalesce(1).write.mode(
+            "append").json(str(tmp_path / "land"))
+        time.sleep(1.1)
+    path, checkpoint = str(tmp_path / "t"), str(tmp_path / "c")
+    src = lambda: (spark.readStream.schema(streams.POSTING_CATEGORY).option("maxFilesPerTrigger", 1)
+                   .json(str(tmp_path / "land")))
+    got = streams.daily_category_counts(spark, src(), ["X"], path, checkpoint)
+    assert rows(got, "day", "n_jobs") == sorted((d.date(), 2) for d in days)
+    # stopped, more lands for an old day, started again
+    spark.createDataFrame([("late", "X", days[1]), ("again", "X", days[1])], streams.POSTING_CATEGORY).coalesce(1).write.mode(
+        "append").json(str(tmp_path / "land"))
+    got = streams.daily_category_counts(spark, src(), ["X"], path, checkpoint)
+    assert rows(got, "day", "n_jobs") == sorted((d.date(), 3 if d == days[1] else 2) for d in days)
+
+
+def test_superseded_buckets_go_and_a_damaged_log_raises(spark, tmp_path):
+    table = streams.KeyedTable(spark, str(tmp_path / "t"), ["k"], "k long, n long", buckets=4)
+    put = lambda v, data: table.apply(v, spark.createDataFrame(data, "k long, n long"),
+                                      lambda now, new: now.join(new, "k", "left_anti").unionByName(new))
+    put(0, [(i, 0) for i in range(40)])
+    put(1, [(3, 1)])
+    put(1, [(3, 99)])  # replayed: left alone
+    assert rows(table.read()) == [(i, 1 if i == 3 else 0) for i in range(40)]
+    folders = sorted(str(p.relative_to(tmp_path)) for p in (tmp_path / "t/data").glob("v=*/b=*"))
+    assert len(folders) == 4 and sum("v=1" in f for f in folders) == 1
+    for part in (tmp_path / "t/_commits").glob("part-*"):
+        part.chmod(0o644)
+        part.write_bytes(b"damaged")
+    for crc in (tmp_path / "t/_commits").glob(".part-*.crc"):
+        crc.unlink()
+    with pytest.raises(Exception, match="(?i)parquet|cannot read|failed"):
+        put(2, [(5, 5)])
+    assert sorted(str(p.relative_to(tmp_path)) for p in (tmp_path / "t/data").glob("v=*/b=*")) == folders

@@ -5,7 +5,8 @@ import datetime as dt
 import pytest
 
 from jobsift import schema as S
-from jobsift.operators import sync
+from jobsift.operators import history, sync
+from jobsift.operators.quality import job_rules
 from tests.conftest import rows
 
 OLD = dt.datetime(2024, 5, 1)
@@ -108,12 +109,78 @@ def test_insert_unique_email(spark):
     assert rows(out) == [("b@x.com", 2)]
 
 
-def test_commit_table_writes_once(spark, tmp_path):
-    df = spark.createDataFrame([("a", "x")], S.JOB_CATEGORY)
-    back = sync.commit_table(spark, df, str(tmp_path / "v1"))
-    assert rows(back) == [("a", "x")]
-    with pytest.raises(Exception):
-        sync.commit_table(spark, df, str(tmp_path / "v1"))
+def test_commit_switches_a_pointer(spark, tmp_path):
+    root = str(tmp_path / "t")
+    first = spark.createDataFrame([("a", "x")], S.JOB_CATEGORY)
+    with pytest.raises(FileNotFoundError):
+        sync.current_table(spark, root)
+    one = sync.commit_table(first, root)
+    open_before = sync.current_table(spark, root)
+    # the new state is derived from the old one; readers of the old one go on
+    two = sync.commit_table(open_before.unionByName(spark.createDataFrame([("b", "y")], S.JOB_CATEGORY)), root)
+    assert rows(sync.current_table(spark, root)) == [("a", "x"), ("b", "y")] and rows(open_before) == [("a", "x")]
+    # a version that was written but not committed is not seen
+    spark.createDataFrame([("z", "z")], S.JOB_CATEGORY).write.parquet(f"{root}/v-left-over")
+    assert sync.current_table(spark, root).count() == 2
+    sync.commit_table(first, root)
+    left = {p.name for p in (tmp_path / "t").iterdir() if p.name.startswith("v-")}
+    assert one.split("/")[-1] not in left and two.split("/")[-1] in left and len(left) == 2
+
+
+def test_a_code_repeated_in_the_batch_enters_once(spark, stored):
+    batch = frame(spark, [job("keep", "https://www.board-a.example/job/keep", NEW, title="b"),
+                          job("keep", "https://www.board-a.example/job/keep", NEW, title="a"),
+                          job("KEEP", "https://www.board-a.example/job/keep", NEW, title="c")])
+    got = [r.job_code for r in sync.sync_jobs(stored, batch, "www.board-a").collect()]
+    assert sorted(got) == ["KEEP", "keep", "moves", "other"]
+    folded = sync.sync_jobs(stored, batch, "www.board-a", key_collation="UNICODE_CI_AI").collect()
+    assert sorted(r.job_code.lower() for r in folded) == ["keep", "moves", "other"]
+
+
+def test_row_policy_rejects_with_reasons(spark):
+    nullable = S.JOB.__class__([f.__class__(f.name, f.dataType, True) for f in S.JOB.fields])
+    data = [job("a", "s", NEW, "second"), job("a", "s", OLD, "first"), job("a", "s", OLD, "first"),
+            job("b", "s", OLD), job("b", "s", OLD, None), job("c", None, OLD)] + [job("d", "s", OLD)] * 40
+    df = spark.createDataFrame(data, nullable)
+    loaded, rejected = sync.row_policy(df, job_rules(), ["create_date"])
+    assert rows(loaded, "job_code", "job_title") == [("a", "first"), ("b", "t"), ("d", "t")]
+    assert rows(rejected, "job_code", "reasons") == sorted(
+        [("a", "duplicate_job_code")] * 2 + [("b", "null_job_title"), ("c", "null_job_source")]
+        + [("d", "duplicate_job_code")] * 39)
+
+
+def test_history_day_is_replaced_and_others_stay(spark, tmp_path):
+    path = str(tmp_path / "h")
+    vocab = S.Vocabulary(tracked={"X": "x"})
+    row = lambda d, n, x: spark.createDataFrame([(d, n, x)], "date date, total_post long, x long")
+    history.upsert_history(path, row(OLD.date(), 5, 1).union(row(NEW.date(), 6, 2)))
+    for _ in range(2):
+        history.upsert_history(path, row(NEW.date(), 7, 3))
+    assert rows(history.read_history(spark, path, vocab)) == [(OLD.date(), 5, 1), (NEW.date(), 7, 3)]
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(monkeypatch):
+    from types import SimpleNamespace
+
+    from jobsift import session
+
+    sc = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://head:7077")
+    fake = SimpleNamespace(sparkContext=sc, conf=SimpleNamespace(get=lambda k, d=None: d))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.checkpoint_root(fake)
+    sc.master = "local-cluster[3,2,1024]"
+    with pytest.raises(ValueError):
+        session.checkpoint_root(fake)
+
+
+def test_scratch_is_cleared(spark):
+    from jobsift.session import clear_scratch, scratch_path
+
+    path = scratch_path(spark, "x")
+    spark.range(3).write.parquet(path)
+    clear_scratch(spark)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
 
 
 def test_assign_ids_dense_in_key_order_over_many_slices(spark):

@@ -91,6 +91,77 @@ def test_html_detail_record(spark):
     assert r.job_category == ["資料工程師", "後端工程師"]
 
 
+def test_html_detail_of_a_page_with_odd_markup(spark):
+    page = """<html><h1>Board name</h1><h1 class="x job-title">資深<b>工程師</b></h1><h1>more</h1>
+    <div class='company-info-container'><a>logo</a><p><span>甲&#20844;司</span><span>Ltd</span></p></div>
+    <div class="jobItemName">教育程度</div><div>outside</div>
+    <div class="job-detail-box"><div class="wrapper">
+      <p class="jobItemName">上班地點</p><i>map</i><div>台北市<div>大安區</div>一號</div></div>
+      <div class="wrapper"><span class="jobItemName">工作經驗</span>text<b>!</b><div> 3年以上 </div>
+      <span class="jobItemName"> 教育程度 </span><div>大學</div></div>
+      <div class="wrapper"><span class="jobItemName">教育程度</span><div>碩士&hellip;</div>
+      <span class="jobItemName">是否出差</span></div></div></html>"""
+    pages = spark.createDataFrame([("https://b/job-a1.html", page), ("https://b/job-a2.html", None)], "url string, html string")
+    r, none = html.detail_records(pages).orderBy("job_code").collect()
+    assert (r.job_title, r.company_name) == ("資深工程師", "甲公司")
+    assert (r.job_location, r.work_experience, r.edu_level, r.travel) == ("台北市大安區一號", "3年以上", "碩士…", None)
+    assert (none.job_code, none.job_title, none.min_salary) == ("a2", None, 0)
+
+
+def test_links_in_both_quotes_decoded(spark):
+    page = """<a href='/job-b.html?a=1&amp;b=2'>x</a><A class="k" HREF = "/c?q=&#x4e2d;">y</a><a data-href="/no">z</a>"""
+    pages = spark.createDataFrame([(1, page)], "page_id long, html string")
+    assert rows(html.page_links(pages), "pos", "href") == [(0, "/job-b.html?a=1&b=2"), (1, "/c?q=中")]
+
+
+def test_article_links_only_of_article_titles(spark):
+    page = """<a href="/top">t</a><div class="new_job all_job_hover"><a href="/side">s</a>
+      <h2 class='job__title__inner'><em>n</em><a href='/job-1.html?x=1&amp;y=2'>a</a><a href="/second">b</a></h2></div>
+      <div class="all_job_hover"><h2 class="job__title__inner">no link</h2></div><div class="all_job"><h2
+      class="job__title__inner"><a href="/job-9.html">c</a></h2></div>"""
+    pages = spark.createDataFrame([(1, page), (2, None)], "page_id long, html string")
+    assert rows(html.article_links(pages), "page_id", "pos", "href") == [(1, 0, "/job-1.html?x=1&y=2")]
+
+
+def test_container_text_as_the_original_joins_it(spark):
+    page = "<p>no</p><div class='a text-box'> one <b>two</b>\n<script>x</script><div>thr&eacute;e</div></div><div class='text-box'>4</div>"
+    pages = spark.createDataFrame([(1, page), (2, "<p>x")], "page_id long, html string")
+    assert rows(html.container_text(pages, "text-box")) == [(1, "onetwothrée"), (2, None)]
+    assert html.container_text(pages, "text-box", sep=" ").first().text == "one two thrée"
+
+
+def test_embedded_json_in_any_attribute_order(spark):
+    pages = spark.createDataFrame([(1, """<input value='{"k": "a>b &amp;lt; &amp;#20013;"}' type=hidden id=jobDetailJson>"""),
+                                   (2, "<input id=jobDetailJson>"), (3, None)], "page_id long, html string")
+    got = html.embedded_json(pages, "jobDetailJson", "k string").orderBy("page_id").collect()
+    assert [r.doc and r.doc.k for r in got] == ["a>b < 中", None, None]
+
+
+def test_entities(spark):
+    df = spark.createDataFrame([("&#20013;&#x4E2D;&hellip;&amp;lt;&nbsp;x &unknown; & b",), (None,)], "t string")
+    assert [r[0] for r in df.select(X.unescape_html("t")).collect()] == ["中中…&lt; x &unknown; & b", None]
+
+
+def test_raw_texts_roundtrip_and_rerun(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    df = spark.createDataFrame([("c1", 'a "b"\n中'), ("c2", None)], "job_code string, text string")
+    for _ in range(2):
+        landing.write_raw_texts(df, path, "board-c", "2024-05-23")
+    landing.write_raw_texts(df.limit(1), path, "board-c", "2024-05-24")
+    got = {(r.job_code, r.text) for r in landing.read_raw_texts(spark, path, "board-c", "2024-05-23").collect()}
+    assert got == {("c1", 'a "b"\n中'), ("c2", None)}
+
+
+def test_backup_rerun_replaces_the_day(spark, tmp_path):
+    recs = spark.createDataFrame(
+        [("t", "c1", "co", "l", None, 1, 2, None, None, None, None, None, None, "s", ["x"])], S.RECORD)
+    path = str(tmp_path / "b")
+    landing.write_backup(recs, path, "board-a", "2024-05-22")
+    for _ in range(2):
+        landing.write_backup(recs, path, "board-a", "2024-05-23")
+    assert landing.read_backup(spark, path).count() == 2
+
+
 def test_visible_text_and_embedded_json(spark):
     page = ('<html lang="ja"><head><title>T &amp; U</title><script>var t="</p>";</script>'
             '<style>p{}</style></head><body><!-- c --><p>Hello <b>world</b></p>'
