@@ -21,6 +21,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from jobsift.session import scratch_path
+
 SALTS = 64
 WHITE = b"\x20\x09\x0a\x0b\x0c\x0d"  # what separates words; also what bytes.split() splits at
 
@@ -127,6 +129,22 @@ def one_row_each(docs: DataFrame, chosen: DataFrame, id_col: str = "doc_id", cop
     return out.select(*[quoted(c) for c in docs.columns])
 
 
+def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``df`` written to a fresh folder of the shared scratch space and read back, and that folder.
+
+    For loops: a checkpointed frame keeps the constraints that were inferred
+    for it, which grow from round to round until planning takes longer than the work.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def drop(spark: SparkSession, path: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 class TokenIds:
     """Ids that ``tokenizers`` gives under a byte-level BPE file, special tokens not added.
 

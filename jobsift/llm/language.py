@@ -25,11 +25,10 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from jobsift.llm.common import quoted, row_hash
+from jobsift.llm.common import arrow_rows, arrow_schema, quoted, row_hash
 from jobsift.llm.textstats import hashed_grams
 
 SAMPLE, DIM, BLOCK = 4000, 2048, 256
@@ -57,15 +56,15 @@ def has_letter(text: str | None) -> bool:
 
 def linear_svm(x: np.ndarray, positive: np.ndarray, l2: float = 1e-4, rounds: int = 300) -> np.ndarray:
     """Weights and bias of least squared hinge loss, classes weighted alike; accelerated gradient descent."""
-    y = np.where(positive, 1.0, -1.0)
-    weight = np.where(positive, 0.5 / max(positive.sum(), 1), 0.5 / max((~positive).sum(), 1))
+    y = np.where(positive, 1, -1).astype(np.float32)
+    weight = np.where(positive, 0.5 / max(positive.sum(), 1), 0.5 / max((~positive).sum(), 1)).astype(np.float32)
     x = np.hstack([x, np.ones((len(x), 1), x.dtype)])
-    w = at = np.zeros(x.shape[1])
-    step = 1 / (2 * float((x ** 2).sum(axis=1).max()) + l2)
+    w = at = np.zeros(x.shape[1], np.float32)
+    l2, step = np.float32(l2), np.float32(1 / (2 * float(np.einsum("ij,ij->i", x, x).max()) + l2))
     for k in range(rounds):
-        slack = np.maximum(0.0, 1 - y * (x @ at))
+        slack = np.maximum(np.float32(0), 1 - y * (x @ at))
         nxt = at - step * (l2 * at - 2 * (x.T @ (weight * slack * y)))
-        w, at = nxt, nxt + k / (k + 3) * (nxt - w)
+        w, at = nxt, nxt + np.float32(k / (k + 3)) * (nxt - w)
     return w
 
 
@@ -136,12 +135,12 @@ def fit(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col:
         return Model(np.zeros((0, DIM), np.float32), np.array([], str))
     within = F.create_map(*[F.lit(v) for kv in limit.items() for v in kv])[F.col("lang")]
 
+    schema = arrow_schema("x binary, lang string")
+
     def run(batches):
-        for batch in batches:
-            pairs = [(features(t).tobytes(), v) for t, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
-                     if has_letter(t)]
-            yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.binary()),
-                                              pa.array([p[1] for p in pairs], pa.string())], names=["x", "lang"])
+        rows = ((features(t).tobytes(), v) for batch in batches
+                for t, v in zip(*(c.to_pylist() for c in batch.columns)) if has_letter(t))
+        return arrow_rows(rows, schema, BLOCK)
 
     table = rows.where(F.col("draw") < within).select("text", "lang").mapInArrow(run, "x binary, lang string").toArrow()
     x = np.frombuffer(b"".join(table.column("x").to_pylist()), np.float32).reshape(-1, DIM)

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from jobsift.llm.common import quoted, row_hash
+from jobsift.llm.common import arrow_rows, arrow_schema, quoted, row_hash
 from jobsift.llm.textstats import Counts, hashed_grams
 
 SAMPLE = 4000
@@ -109,12 +109,13 @@ def features(raw: bytes, m: np.ndarray) -> np.ndarray:
 def fit_scorer(x: np.ndarray, y: np.ndarray, rounds: int = 300, l2: float = 1e-4) -> np.ndarray:
     """Logistic regression on soft labels, classes weighted alike, accelerated gradient descent."""
     weight = np.where(y > 0.5, 0.5 / max((y > 0.5).sum(), 1), 0.5 / max((y <= 0.5).sum(), 1))
-    w = at = np.zeros(x.shape[1])
-    step = 1 / (0.25 * float((x ** 2).sum(axis=1).max()) + l2)
+    weight, y, l2 = weight.astype(np.float32), y.astype(np.float32), np.float32(l2)  # so that x is never copied
+    w = at = np.zeros(x.shape[1], np.float32)
+    step = np.float32(1 / (0.25 * float(np.einsum("ij,ij->i", x, x).max()) + l2))
     for k in range(rounds):
         p = 1 / (1 + np.exp(-(x @ at)))
         nxt = at - step * (x.T @ (weight * (p - y)) + l2 * at)
-        w, at = nxt, nxt + k / (k + 3) * (nxt - w)
+        w, at = nxt, nxt + np.float32(k / (k + 3)) * (nxt - w)
     return w
 
 
@@ -156,15 +157,15 @@ def fit(docs: DataFrame, sample: int = SAMPLE, text_col: str = "text"):
     part = {True: min(1.0, sample / 2 / n_good), False: min(1.0, sample / 2 / n_bad)}
 
     def chosen(batches):
-        for batch in batches:
-            x, y = [], []
-            for raw, u in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                p, _, m = pattern_of(raw)
-                if p >= 0 and u < part[bool(good[p] > 0.5)]:
-                    x.append(features(raw, m).tobytes())
-                    y.append(float(good[p]))
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()), pa.array(y, pa.float64())], names=["x", "y"])
-
+        def rows():
+            for batch in batches:
+                for raw, u in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                    p, _, m = pattern_of(raw)
+                    if p >= 0 and u < part[bool(good[p] > 0.5)]:
+                        yield features(raw, m).tobytes(), float(good[p])
+        yield from arrow_rows(rows(), schema, BLOCK)
+
+    schema = arrow_schema("x binary, y double")
     # only rows that either half could take are looked at again
     most = int(max(part.values()) * (1 << 40))
     rows = body.where(F.col("draw") < most).select("body", (F.col("draw") / float(1 << 40)).alias("u"))

@@ -24,7 +24,7 @@ Search over the distinct fingerprints:
    member, never all its pairs. Reached or not, every linked pair is either
    verified or already connected by verified links.
 5. Components of these edges by alternating large and small stars, each
-   round cut off by checkpoint().
+   round written to the shared scratch folder.
 
 Fixed-size data in the driver: 64 x 64 sums and 4 x 2^16 counters.
 
@@ -44,7 +44,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobsift.llm.common import arrow_schema, each_salt, mask_of, quoted, row_hash, salt_of
+from jobsift.llm.common import arrow_schema, drop, each_salt, mask_of, quoted, row_hash, salt_of, written
 
 BITS, PARTS = 64, 4
 WIDTH = BITS // PARTS
@@ -357,16 +357,20 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, component): the smallest node that edges (a, b) reach; nodes without an edge are not listed.
 
     Alternating large star and small star until nothing moves; every round is
-    written by checkpoint(), so a lost executor costs at most one round.
+    written to the shared scratch folder, so a lost executor costs at most one
+    round, and the round before it is dropped.
     """
-    state = (edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-             .distinct().checkpoint())
+    spark = edges.sparkSession
+    state, path = written(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+                          .distinct(), "components")
     mark = state.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
     while True:
         both = state.union(state.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = toward_minimum(both, True).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         small = toward_minimum(large, False).where("v <> m")
-        state = small.select(F.col("v").alias("u"), F.col("m").alias("v")).distinct().checkpoint()
+        before = path
+        state, path = written(small.select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "components")
+        drop(spark, before)
         now = state.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
         if now == mark:
             break
