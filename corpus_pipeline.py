@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobsift.llm import exact_dedup, mixing, packing, quality_classifier, simhash
-from jobsift.llm.common import documents, fresh, one_row_each, quoted
+from jobsift.llm.common import documents, drop, fresh, one_row_each, quoted
 from jobsift.session import scratch_path
 
 
@@ -67,7 +67,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
         if before:
-            at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(before)
-            at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+            drop(spark, before)
         before = path
     return STAGES[-1][1](spark, docs, sf_dir)
