@@ -355,10 +355,12 @@ def reject_report(t: Tables) -> DataFrame:
     """Q8/Q10 + D5: postings that cannot be loaded, with reasons: a title
     over the limit, a missing source, a repeated code."""
     k = F.substring("job_code", 2, 20).cast("long")
+    later = F.lit(B.SYNC_LOAD_DATE).cast("timestamp_ntz")
     batch = (t.job.withColumn("job_title", F.when(k % 31 == 0, F.repeat("job_title", 40)).otherwise(F.col("job_title")))
-             .withColumn("job_source", F.when(k % 37 != 0, F.col("job_source"))))
-    again = t.job.where(k % 41 == 0).withColumn("create_date", F.lit(B.SYNC_LOAD_DATE).cast("timestamp_ntz"))
-    _, rejected = sync.row_policy(batch.unionByName(again), quality.job_rules(), ["create_date"])
+             .withColumn("job_source", F.when(k % 37 != 0, F.col("job_source")))
+             .withColumn("create_date", F.explode(F.when(k % 41 == 0, F.array(F.col("create_date"), later))
+                                                  .otherwise(F.array("create_date")))))
+    _, rejected = sync.row_policy(batch, quality.job_rules(), ["create_date"])
     return rejected.select("job_code", "create_date", "reasons")
 
 

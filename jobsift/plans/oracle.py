@@ -146,10 +146,10 @@ CTE["faulty"] = f"""faulty AS (
   SELECT *, {_rules_sql()} AS broken FROM (
     SELECT * REPLACE (CASE WHEN CAST(substr(job_code, 2) AS BIGINT) % 31 = 0 THEN repeat(job_title, 40) ELSE job_title END
                         AS job_title,
-                      CASE WHEN CAST(substr(job_code, 2) AS BIGINT) % 37 <> 0 THEN job_source END AS job_source)
-    FROM job
-    UNION ALL SELECT * REPLACE (TIMESTAMP '{B.SYNC_LOAD_DATE}' AS create_date) FROM job
-    WHERE CAST(substr(job_code, 2) AS BIGINT) % 41 = 0))"""
+                      CASE WHEN CAST(substr(job_code, 2) AS BIGINT) % 37 <> 0 THEN job_source END AS job_source,
+                      unnest(CASE WHEN CAST(substr(job_code, 2) AS BIGINT) % 41 = 0
+                        THEN [create_date, TIMESTAMP '{B.SYNC_LOAD_DATE}'] ELSE [create_date] END) AS create_date)
+    FROM job))"""
 _DEPS["faulty"] = ["job"]
 
 CTE["records"] = """records AS (
