@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+import pytest
+
 from jobsift import schema as S
 from jobsift.operators import quality
 from tests.conftest import rows
@@ -68,3 +70,12 @@ def test_salary_normalise(spark):
                                "salary_period string, min_salary long, max_salary long")
     got = [(r.min_salary, r.max_salary) for r in quality.normalise_salary(df).collect()]
     assert got == [(50000, 75001), (30000, 30000), (1, 1)]
+
+
+def test_partitioned_table_reads_need_bounds_and_a_known_table(spark):
+    from jobsift.sources import jdbc
+
+    with pytest.raises(ValueError, match="unknown table"):
+        jdbc.read_table(spark, "jdbc:x:y", "job; drop", {})
+    with pytest.raises(ValueError, match="bounds"):
+        jdbc.read_table(spark, "jdbc:x:y", "job", {}, partition_column="id", lower=1)
