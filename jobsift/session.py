@@ -19,6 +19,9 @@ from pyspark.sql import SparkSession
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "jobsift") -> SparkSession:
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    paths = [p for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p and p != root]
+    os.environ["PYTHONPATH"] = os.pathsep.join([root, *paths])  # for the Python workers
     cpus = os.environ.get("BENCH_CPUS", "8")
     master = master or f"local[{cpus}]"
     parts = shuffle_partitions or int(cpus) * 2
