@@ -2,7 +2,8 @@
 
 Words are runs of ASCII letters and digits, lower-cased. A template's key
 words vote for where in the text it would start; starts that lie close
-together make a region, taken as wide as voted and with some room. It is aligned with the template by patience: words that
+together make a region, taken as wide as voted and with some room. It is
+aligned with the template by patience: words that
 occur once in both are anchors, their longest increasing subsequence is
 matched, and the gaps between matches are aligned in the same way (equal words
 at either end of a gap are matched first). Coverage is the matched share of

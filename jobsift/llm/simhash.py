@@ -168,7 +168,7 @@ def thresholds(values: np.ndarray, near: np.ndarray, distance: int) -> np.ndarra
     """[fingerprint, partition]: thresholds of least cost with the sum distance - PARTS + 1.
 
     Dynamic program over partitions: best[s] is the least cost of the
-    partitions so far whose (T_i + 1) add up to s; s must end at distance + 1 - 0.
+    partitions so far whose (T_i + 1) add up to s; s must end at distance + 1.
     """
     n, goal = len(values), distance + 1
     best = np.full((n, goal + 1), np.inf)
