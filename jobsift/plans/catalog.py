@@ -424,6 +424,7 @@ def batch_policy_load(t: Tables) -> DataFrame:
     return sync.batch_policy(landed).select("job_code", "job_title", "job_source", "create_date")
 
 
+LANDED_FILES = 32  # a crawl lands many files; each one is a split of the readers
 CONTRACT_PREFIX = "https://www.board-c.example/job/"
 
 
@@ -703,7 +704,7 @@ def html_detail_roundtrip(t: Tables) -> DataFrame:
         F.lit("</div></body></html>"))
     path = scratch_path(t.spark, "html-details")
     j.select(F.concat(F.lit("https://www.board-b.example/job-"), F.col("job_code"), F.lit(".html")).alias("url"),
-             page.alias("html")).write.parquet(path)
+             page.alias("html")).repartition(LANDED_FILES).write.parquet(path)
     recs = html.detail_records(t.spark.read.parquet(path))
     return recs.select("job_code", "job_title", "company_name", "job_location", "salary_period",
                        "min_salary", "max_salary", "edu_level", "skills",
