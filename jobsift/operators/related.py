@@ -32,9 +32,9 @@ def similar_jobs(job: DataFrame, job_category: DataFrame, k: int = S.SIMILAR_SIZ
 
     The bridge is reduced to one row per job (its set of categories, combined
     map-side and bounded by the category list) and semi-joined to the stored
-    postings on the same key: that is the only shuffle of the bridge. The
-    candidates, with what is shown of them, are computed once and written
-    (checkpoint). Up to ``broadcast_rows`` of them, by count, are broadcast,
+    postings on the same key: that is the only shuffle of the bridge, and the
+    result is written (checkpoint), as both steps that follow read it. The
+    candidates, with what is shown of them, are computed once and written, too. Up to ``broadcast_rows`` of them, by count, are broadcast,
     and each job's row then meets them and is aggregated without another
     exchange. Beyond that the join is keyed by (category, salt of the job), so that
     a hot category is spread over ``salts`` tasks. Either way a job collects at
@@ -43,7 +43,7 @@ def similar_jobs(job: DataFrame, job_category: DataFrame, k: int = S.SIMILAR_SIZ
     checkpoint_root(job.sparkSession)
     own = (job_category.where("job_category IS NOT NULL").groupBy("job_code")
            .agg(F.collect_set("job_category").alias("_cats"))
-           .join(job.select("job_code"), "job_code", "left_semi"))
+           .join(job.select("job_code"), "job_code", "left_semi").checkpoint())
     pairs = own.select("job_code", F.explode("_cats").alias("job_category"))
     lowest = (top_k_per_group(pairs, ["job_category"], ["job_code"], k + 1, "_r")
               .groupBy("job_code").agg(F.collect_list("job_category").alias("_cats")))
