@@ -68,13 +68,13 @@ def main() -> None:
         "Generated by `tools/plan_summary.py` from `explain()` with size-based static broadcasting off, so",
         "each row is the plan a run on large tables starts from. Broadcasts listed are explicit hints on",
         "size-bounded inputs only: the 25-row nation and 5-row region dimensions, and the one-row-per-slice",
-        "offset table of `operators/ordering.py`. AQE may still turn a join into a broadcast at run time",
+        "offset table of `operators/ordering.py`, and the counted candidates of `similar_jobs`. AQE may still turn a join into a broadcast at run time",
         "when a side is measured small, and splits skewed sort-merge partitions. Columns:",
         "",
         "- shuffles: Exchange nodes (hash, range or single partition).",
         "- partial aggs: aggregates combined map-side before their shuffle.",
         "- group limits: WindowGroupLimit nodes (top-k cut per task before the shuffle).",
-        "- python: whether any Python/pandas evaluation appears (none does).",
+        "- python: whether any Python/pandas evaluation appears (page trees and entity decoding, in Arrow UDFs).",
         "",
         "| query | " + " | ".join(cols) + " |",
         "|---|" + "---|" * len(cols),
@@ -89,9 +89,6 @@ def main() -> None:
         "",
         "- Every query over `job` rebuilds it from orders ⋈ customer ⋈ nation ⋈ region (the test binding),",
         "  so its broadcasts are the nation and region hints, repeated per use of `job`.",
-        "- `history_upsert`: the batch's load date is one constant, so Catalyst turns the anti join on",
-        "  `date` into filters plus an existence check against the day table (at most one row per load",
-        "  date): the only nested-loop join, over a bounded side.",
         "- Queries with 0 shuffles that land data first (roundtrips, streams) did their work while being",
         "  built; the plan shown is the read of the landed result.",
     ]
