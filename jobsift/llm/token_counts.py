@@ -149,8 +149,10 @@ def op9_token_counts(spark, sf_dir: str) -> DataFrame:
     labels = (spark.read.parquet(f"{sf_dir}/labels.parquet").groupBy("doc_id")
               .agg((F.max("toxic") == 1).alias("toxic"), (F.min("quality") == 0).alias("low")))
     counts = counted(docs, {"byte_bpe_50k": byte_bpe("byte_bpe_50k"), "white space": white_space}).checkpoint()
-    known = counts.join(labels, "doc_id", "left").select(*counts.columns, F.coalesce("toxic", F.lit(False)).alias("toxic"),
-                                                         F.coalesce("low", F.lit(False)).alias("low"))
+    # rows without an id have no label; they stay out of the join, where they would share one key
+    flags = [F.coalesce("toxic", F.lit(False)).alias("toxic"), F.coalesce("low", F.lit(False)).alias("low")]
+    known = counts.where("doc_id IS NOT NULL").join(labels, "doc_id", "left").select(*counts.columns, *flags)
+    known = known.union(counts.where("doc_id IS NULL").select("*", F.lit(False), F.lit(False)))
     moved = F.lit("quarantine").alias("source")
     rest = ["lang", "tokenizer", "tokens"]
     rollup = Rollup(spark, scratch_path(spark, "token-rollup"))
