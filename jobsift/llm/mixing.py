@@ -40,9 +40,11 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def source_targets(sizes: DataFrame, cycle: int = 3, most: float = 3.0) -> DataFrame:
-    """(source, source_size, n_docs, mask, target) from (source, size, salt): one row per source."""
-    per = (sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs"),
-                                       mask_of("salt").alias("mask")))
+    """(source, source_size, n_sized, mask, target) from (source, size, salt): one row per source.
+
+    ``n_sized`` counts the documents with words: only these are dealt to buckets."""
+    per = (sizes.groupBy("source").agg(F.sum("size").alias("source_size"),
+                                       F.count_if(F.col("size") > 0).alias("n_sized"), mask_of("salt").alias("mask")))
     # position by code point without a single-task window; the order is written once
     ranked = ordinals(pinned_order(per, [F.col("source").asc_nulls_last()]), [], "rank")
     ranked = ranked.withColumn("weight", (F.pmod(F.col("rank") - 1, F.lit(cycle)) + 1).cast("double")).checkpoint()
@@ -56,7 +58,7 @@ def source_targets(sizes: DataFrame, cycle: int = 3, most: float = 3.0) -> DataF
         held, free = ranked.agg(F.sum(F.when(capped, cap)), F.sum(F.when(~capped, F.col("weight")))).first()
         share = (total - (held or 0.0)) / free if free else level
     target = F.least(cap, F.lit(level) * F.col("weight"))
-    return ranked.select("source", "source_size", "n_docs", "mask", target.cast("double").alias("target"))
+    return ranked.select("source", "source_size", "n_sized", "mask", target.cast("double").alias("target"))
 
 
 def coin(*names: Column) -> Column:
@@ -128,19 +130,19 @@ def mix(docs: DataFrame, most: float = 3.0, cycle: int = 3, id_col: str = "doc_i
     units = (rows.withColumn("no", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n")))).drop("n")
              .withColumn("salt", salt_of(F.col("row_hash"), F.col("doc_id"), F.col("no"))).checkpoint())
     targets = source_targets(units, cycle, most).checkpoint()
-    salted = targets.select(F.col("source").alias("of"), "source_size", "n_docs", "target",
+    salted = targets.select(F.col("source").alias("of"), "source_size", "n_sized", "target",
                             each_salt("mask").alias("salt"))
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     sized = (units.join(salted, F.col("source").eqNullSafe(F.col("of")) & (units["salt"] == salted["salt"]))
-             .select("doc_id", "row_hash", "no", "source", units["size"], "source_size", "target", "n_docs",
+             .select("doc_id", "row_hash", "no", "source", units["size"], "source_size", "target", "n_sized",
                      F.floor(ratio).cast("int").alias("base"), (ratio - F.floor(ratio)).alias("p")))
     settled = (F.col("size") == 0) | (F.col("p") == 0)
     group = ["source", "source_size", "target", "base"]
     unit = F.struct("row_hash", "doc_id", "no", F.col("size").cast("double").alias("size"), "p").alias("unit")
-    pieces = F.ceil(F.col("n_docs") / BUCKET).cast("long")
+    pieces = F.ceil(F.col("n_sized") / BUCKET).cast("long")
     left = sized.where(~settled).select(
         *group, unit, pieces.alias("pieces"), F.pmod(F.xxhash64("row_hash", "doc_id", "no"), pieces).alias("bucket"))
-    deepest = targets.agg(F.max("n_docs")).first()[0] or 0
+    deepest = targets.agg(F.max("n_sized")).first()[0] or 0
     buckets, level, done, first = -(-deepest // BUCKET), 0, [], None
     while True:
         folded = (left.groupBy(*group, "pieces", "bucket").agg(F.array_sort(F.collect_list("unit")).alias("units"))
@@ -156,12 +158,15 @@ def mix(docs: DataFrame, most: float = 3.0, cycle: int = 3, id_col: str = "doc_i
     # each source's last residual is tossed for; its first bucket makes good what that misses. Where that
     # leaves more than NEAR of the target and the other side of the coin leaves less, the other side holds.
     toss = (coin(F.lit(-1), F.col("unit.row_hash"), F.col("unit.no"), F.col("unit.doc_id")) < F.col("unit.p"))
-    last = folded.select(F.col("source").alias("of"), F.col("c.rest").alias("unit")).select(
-        "of", "unit", toss.cast("double").alias("side"))
+    last = folded.select(*group, F.col("c.rest").alias("unit")).select(
+        *group, "unit", toss.cast("double").alias("side"))
     miss = lambda side: (side - F.col("unit.p")) * F.col("unit.size")
-    ends = first.where("bucket = 0").join(last, F.col("source").eqNullSafe(F.col("of")))
-    ends = ends.select(*group, "unit", "side", make_good(F.col("c.done"), miss(F.col("side"))).alias("x"),
-                       make_good(F.col("c.done"), miss(1 - F.col("side"))).alias("y"))
+    # documents fall into buckets by hash: a source whose bucket 0 got none still has its last residual
+    spare = first.where("bucket = 0").select(F.col("source").alias("of"), F.col("c.done").alias("spare"))
+    ends = last.join(spare, F.col("source").eqNullSafe(F.col("of")), "left")
+    spare = F.coalesce(F.col("spare"), F.array().cast(f"array<{UNIT}>"))
+    ends = ends.select(*group, "unit", "side", make_good(spare, miss(F.col("side"))).alias("x"),
+                       make_good(spare, miss(1 - F.col("side"))).alias("y"))
     turn = ((F.abs("x.miss") > NEAR * F.col("target")) & (F.abs("y.miss") < F.abs("x.miss")))
     rest = F.col("unit").withField("p", F.when(turn, 1 - F.col("side")).otherwise(F.col("side")))
     ends = ends.select(*group, F.explode(F.concat(F.when(turn, F.col("y.units")).otherwise(F.col("x.units")),

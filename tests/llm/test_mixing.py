@@ -78,3 +78,11 @@ def test_copies_are_fair(spark):
         for n in range(1, 10):
             copies = [g.copies for g in got if g.source == s and g.size == n]
             assert abs(sum(copies) / len(copies) - ratio) < 0.06
+
+
+def test_sources_of_mostly_wordless_rows(spark):
+    """Documents with words are few among many without: each of them is in the result, with its copies."""
+    rows = [(k * 2000 + i, None if i % 2 else " ", "en", f"s{k}") for k in range(6) for i in range(1000)]
+    rows += [(k * 2000 + 1000 + i, "w " * (3 + 4 * i), "en", f"s{k}") for k in range(6) for i in range(2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    check(df, mix(df).collect(), near=None)
