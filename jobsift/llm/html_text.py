@@ -1,8 +1,8 @@
 """HTML extraction: a small layout engine that emits all visible text of a page.
 
 A tree builder closes and opens what markup implies (``p`` before blocks,
-list items, definition terms, options, table rows and cells, text that stands
-between cells) and keeps nesting at ``DEEPEST``. Visibility rules drop
+list items, definition terms, options, table rows and cells), moves text and
+elements that stand between cells to before the table, and keeps nesting at ``DEEPEST``. Visibility rules drop
 scripts, styles, head, templates, fallback content, closed details and
 dialogs, the ``hidden`` attribute, ``display:none`` and ``visibility:hidden``, inline or by simple
 selectors (tag, .class, #id) of the page's style sheets. Rendering keeps
@@ -40,14 +40,19 @@ UNSEEN = frozenset("script style head template noscript title iframe object audi
                    "noframes noembed".split())
 GROUPS = frozenset("thead tbody tfoot".split())
 CELLS = frozenset(("td", "th"))
+# open elements that take only parts of a table (and what is never shown); all else goes to before the table
+GRID = GROUPS | {"table", "tr", "colgroup"}
+PARTS = GROUPS | CELLS | {"tr", "caption", "colgroup", "col", "style", "script", "template"}
+SCOPE = CELLS | {"table", "caption"}
 # a start tag closes these open elements, searched up to a boundary
 IMPLIED_END = {
-    "li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
+    "li": ({"li"}, SCOPE | {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, SCOPE | {"dl"}), "dd": ({"dt", "dd"}, SCOPE | {"dl"}),
     "option": ({"option"}, {"select", "datalist"}), "optgroup": ({"option", "optgroup"}, {"select"}),
     "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
     "thead": ({"tr", "td", "th", "thead", "tbody", "tfoot", "caption", "colgroup"}, {"table"}),
     "tbody": ({"tr", "td", "th", "thead", "tbody", "tfoot", "caption", "colgroup"}, {"table"}),
     "tfoot": ({"tr", "td", "th", "thead", "tbody", "tfoot", "caption", "colgroup"}, {"table"}),
+    "colgroup": ({"tr", "td", "th", "thead", "tbody", "tfoot", "caption", "colgroup"}, {"table"}),
     "caption": ({"tr", "td", "th", "thead", "tbody", "tfoot", "caption", "colgroup"}, {"table"}),
     "rt": ({"rt", "rp"}, {"ruby"}), "rp": ({"rt", "rp"}, {"ruby"}),
 }
@@ -93,9 +98,19 @@ class TreeBuilder(HTMLParser):
                 return False
         return False
 
+    def add(self, child: Node | str, part: bool = False) -> None:
+        """Append to the open element; what no table, row group or row may hold stands before the table."""
+        top = self.open[-1]
+        if top.tag in GRID and not part and self.inside("table", set()):
+            k = max(i for i, n in enumerate(self.open) if n.tag == "table")
+            siblings = self.open[k - 1].children  # the open table is the last of them
+            siblings.insert(len(siblings) - 1, child)
+        else:
+            top.children.append(child)
+
     def push(self, tag: str, attrs: dict, keep: bool = True) -> None:
         node = Node(tag, attrs)
-        self.open[-1].children.append(node)
+        self.add(node, tag in PARTS)
         if keep and len(self.open) < DEEPEST:
             self.open.append(node)
 
@@ -104,10 +119,16 @@ class TreeBuilder(HTMLParser):
         if tag == "html" or tag == "body":
             self.root.attrs.update(attrs if tag == "body" else {})
             return
+        if tag == "table" and self.open[-1].tag in GRID and self.inside("table", set()):
+            while self.open.pop().tag != "table":  # a table right in a table or row ends the one it stands in
+                pass
         if tag in CLOSES_P and self.inside("p", {"table", "td", "th", "button"}):
             self.pop_to({"p"}, {"table", "td", "th"})
         if tag in IMPLIED_END:
             self.pop_to(*IMPLIED_END[tag])
+        if tag in GROUPS | {"caption", "colgroup"} and self.inside("table", set()):
+            while self.open[-1].tag != "table":  # an element that was moved to before the table ends here
+                self.open.pop()
         if tag == "tr" and self.open[-1].tag not in GROUPS | {"table"} and self.inside("table", CELLS):
             while self.open[-1].tag not in GROUPS | {"table"}:
                 self.open.pop()
@@ -123,7 +144,8 @@ class TreeBuilder(HTMLParser):
                     self.open.pop()
         if re.fullmatch("h[1-6]", tag) and re.fullmatch("h[1-6]", self.open[-1].tag):
             self.open.pop()
-        self.push(tag, attrs, tag not in VOID)
+        # a form between cells holds nothing: the rows go on
+        self.push(tag, attrs, tag not in VOID and not (tag == "form" and self.open[-1].tag in GRID))
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)  # "/>" means nothing on HTML elements
@@ -135,7 +157,7 @@ class TreeBuilder(HTMLParser):
         if tag in ("body", "html") or tag in VOID:
             return
         stop = {"table"} if tag in ("tr", "td", "th", "thead", "tbody", "tfoot", "caption") else \
-            set() if tag == "table" else {"td", "th", "caption"}
+            set() if tag == "table" else SCOPE
         if tag == "li":
             stop = stop | {"ul", "ol"}
         if self.inside(tag, stop - {tag}):
@@ -147,16 +169,8 @@ class TreeBuilder(HTMLParser):
         top = self.open[-1]
         if top.tag == "style":
             self.styles.append(data)
-        elif top.tag in GROUPS | {"table", "tr", "colgroup"}:
-            if data.strip():  # text between cells stands before the table
-                k = max(i for i, n in enumerate(self.open) if n.tag == "table") if self.inside("table", set()) else 0
-                if k:
-                    siblings = self.open[k - 1].children
-                    siblings.insert(len(siblings) - 1 - siblings[::-1].index(self.open[k]), data)
-                else:
-                    top.children.append(data)
-        else:
-            top.children.append(data)
+        elif top.tag not in GRID or data.strip():
+            self.add(data)
 
 
 def hidden_selectors(styles: list[str]) -> set[tuple[str, str, str]]:

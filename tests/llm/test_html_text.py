@@ -28,6 +28,14 @@ CASES = {
     "lines in cells": ("<table><tr><td>a<br>bb<td>c</table>", "a   c\nbb"),
     "nested": ("<table><tr><td>x<table><tr><td>1<td>2</table><td>y</table>", "x     y\n\n1  2"),
     "text between cells": ("<table>stray<tr><td>a</table>", "stray\n\na"),
+    "blocks between rows": ("<table><tr><td>a</td></tr><div>note</div><tr><td>b</table>", "note\n\na\nb"),
+    "inline in a row": ("<table><tr><b>x</b> y<td>a<td>b</table>", "x y\n\na  b"),
+    "center in a table": ("<table><center>text <i>it</i></center><thead><tr><td>h</thead><tr><td>a</table>", "text it\n\nh\na"),
+    "group after an open element": ("<table><div>note<tbody><tr><td>a</table>", "note\n\na"),
+    "table in a row": ("<table><tr><td>a</td><table><tr><td>1<td>2</table>", "a\n\n1  2"),
+    "form between rows": ("<table><form><tr><td>a<td>b</form></table>c", "a  b\n\nc"),
+    "lists between cells": ("<ul><li>p<table><tr><li>q<td>a</table></ul>", "- p\n  q\n\n  a"),
+    "ends between cells": ("<div>x<table><tr></div><td>a<td>b</table></div>", "x\n\na  b"),
     "cell without row": ("<table><td>a<td>b</table>", "a  b"),
     "cell without table": ("<td>a</td>b", "ab"),
     "stray ends": ("</p></div>a</b></td>", "a"),
