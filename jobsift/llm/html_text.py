@@ -4,8 +4,9 @@ A tree builder closes and opens what markup implies (``p`` before blocks,
 list items, definition terms, options, table rows and cells), moves text and
 elements that stand between cells to before the table, and keeps nesting at ``DEEPEST``. Visibility rules drop
 scripts, styles, head, templates, fallback content, closed details and
-dialogs, the ``hidden`` attribute, ``display:none`` and ``visibility:hidden``, inline or by simple
-selectors (tag, .class, #id) of the page's style sheets. Rendering keeps
+dialogs, the ``hidden`` attribute, and what ``display`` and ``visibility`` hide on a screen, by the cascade of
+inline styles and the page's style sheets (``styles``); of drawings (``svg``) the text elements are seen,
+of formulas all but annotations. Rendering keeps
 block spacing (blank lines around paragraphs and headings, line breaks
 around other blocks), list marks and nesting, preformatted text, and tables as
 aligned columns with row and column spans.
@@ -20,6 +21,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections import Counter
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -28,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from jobsift.llm.common import fresh, quoted
+from jobsift.llm.styles import Sheet, media_holds
 
 DEEPEST = 150
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -36,8 +39,15 @@ BLOCKS = SPACED | frozenset(
     "address article aside body center dd details dialog dir div dt figcaption footer form header hgroup hr html legend li "
     "main menu nav optgroup option search section summary caption tr td th thead tbody tfoot".split())
 CLOSES_P = (BLOCKS - frozenset("body html option optgroup caption tr td th thead tbody tfoot legend".split()))
-UNSEEN = frozenset("script style head template noscript title iframe object audio video canvas svg math datalist rp "
-                   "noframes noembed".split())
+UNSEEN = frozenset("script style head template noscript title iframe object audio video canvas datalist rp "
+                   "noframes noembed annotation annotation-xml".split())
+# foreign elements: "/>" closes them, HTML ends them; in drawings only some hold text that is seen
+FOREIGN = frozenset(("svg", "math"))
+HOSTS = frozenset("foreignobject mi mo mn ms mtext annotation-xml desc".split())
+BREAKS_OUT = frozenset(
+    "b big blockquote br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 hr i img li listing menu meta nobr ol p pre ruby s "
+    "small span strong strike sub sup table tt u ul var".split())
+UNDRAWN = frozenset("desc metadata defs symbol clippath mask pattern marker lineargradient radialgradient filter".split())
 GROUPS = frozenset("thead tbody tfoot".split())
 CELLS = frozenset(("td", "th"))
 # open elements that take only parts of a table (and what is never shown); all else goes to before the table
@@ -57,10 +67,6 @@ IMPLIED_END = {
     "rt": ({"rt", "rp"}, {"ruby"}), "rp": ({"rt", "rp"}, {"ruby"}),
 }
 WHITE = re.compile(r"[ \t\n\r\f]+")
-RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
-HIDES = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
-SHOWS = re.compile(r"visibility\s*:\s*visible", re.I)
-SIMPLE = re.compile(r"([a-z][a-z0-9]*)?(?:([.#])([\w-]+))?$", re.I)
 
 
 class Node:
@@ -75,7 +81,7 @@ class TreeBuilder(HTMLParser):
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.root = Node("html", {})
+        self.html, self.root = Node("html", {}), Node("body", {})
         self.open = [self.root]
         self.styles: list[str] = []
 
@@ -98,6 +104,13 @@ class TreeBuilder(HTMLParser):
                 return False
         return False
 
+    def foreign(self) -> bool:
+        """Whether the next element belongs to a drawing or formula."""
+        for node in reversed(self.open):
+            if node.tag in FOREIGN or node.tag in HOSTS:
+                return node.tag in FOREIGN
+        return False
+
     def add(self, child: Node | str, part: bool = False) -> None:
         """Append to the open element; what no table, row group or row may hold stands before the table."""
         top = self.open[-1]
@@ -117,8 +130,11 @@ class TreeBuilder(HTMLParser):
     def handle_starttag(self, tag, attrs):
         attrs = {k: v or "" for k, v in reversed(attrs)}  # the first of equal names holds
         if tag == "html" or tag == "body":
-            self.root.attrs.update(attrs if tag == "body" else {})
+            (self.root if tag == "body" else self.html).attrs.update(attrs)
             return
+        if tag in BREAKS_OUT and self.foreign():
+            while self.open.pop().tag not in FOREIGN:
+                pass
         if tag == "table" and self.open[-1].tag in GRID and self.inside("table", set()):
             while self.open.pop().tag != "table":  # a table right in a table or row ends the one it stands in
                 pass
@@ -148,7 +164,10 @@ class TreeBuilder(HTMLParser):
         self.push(tag, attrs, tag not in VOID and not (tag == "form" and self.open[-1].tag in GRID))
 
     def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)  # "/>" means nothing on HTML elements
+        if tag in FOREIGN or tag not in BREAKS_OUT and self.foreign():
+            self.push(tag, {k: v or "" for k, v in reversed(attrs)}, False)
+        else:
+            self.handle_starttag(tag, attrs)  # "/>" means nothing on HTML elements
 
     def handle_endtag(self, tag):
         if tag == "br":
@@ -168,22 +187,15 @@ class TreeBuilder(HTMLParser):
     def handle_data(self, data):
         top = self.open[-1]
         if top.tag == "style":
-            self.styles.append(data)
+            if (top.attrs.get("type", "").strip().lower() in ("", "text/css") and media_holds(top.attrs.get("media", ""))
+                    and not self.inside("noscript", set()) and not self.inside("template", set())):
+                self.styles.append(data)
         elif top.tag not in GRID or data.strip():
+            if top.tag == "pre" and not top.children:
+                data = data.removeprefix("\n")  # a line break right after the tag is no line
             self.add(data)
 
 
-def hidden_selectors(styles: list[str]) -> set[tuple[str, str, str]]:
-    """(tag, kind, name) of simple selectors whose last rule hides."""
-    out: dict[tuple, bool] = {}
-    for selectors, body in RULE.findall(re.sub(r"/\*.*?\*/", "", " ".join(styles), flags=re.S)):
-        for s in selectors.split(","):
-            if m := SIMPLE.match(s.strip()):
-                if any(m.groups()) and re.search(r"display|visibility", body, re.I):
-                    out[((m[1] or "").lower(), m[2] or "", m[3] or "")] = bool(HIDES.search(body))
-    return {k for k, hides in out.items() if hides}
-
-
 class Lines:
     """Lines under construction: runs of white space collapse, blocks ask for line breaks and blank lines."""
 
@@ -229,21 +241,40 @@ class Page:
         builder = TreeBuilder()
         builder.feed(html)
         builder.close()
-        self.hiding = hidden_selectors(builder.styles)
         self.root = builder.root
-
-    def unseen(self, node: Node) -> bool:
-        if node.tag in UNSEEN or "hidden" in node.attrs:
-            return True
-        if node.tag == "input" or node.tag == "dialog" and "open" not in node.attrs:
-            return True
-        style = node.attrs.get("style", "")
-        if HIDES.search(style):
-            return True
-        if self.hiding and not SHOWS.search(style):
-            names = [("", ""), ("#", node.attrs.get("id", "")), *((".", c) for c in node.attrs.get("class", "").split())]
-            return any((tag, kind, name) in self.hiding for tag in (node.tag, "") for kind, name in names)
-        return False
+        self.prune(Sheet(builder.styles), builder.html)
+
+    def prune(self, sheet: Sheet, html: Node) -> None:
+        """Take what is not seen out of the tree; the body itself counts as shown (pages show it by script)."""
+        top = sheet.match(html, (1, 1, 1, 1), 0, 0, 0, 0)[0]
+        body = sheet.match(self.root, (2, 2, 1, 1), top, top, 0, 0)[0]
+        todo = [(self.root, top | body, body, True, False)]
+        while todo:  # the bits of the element's line and its own; whether its text is visible, and bare in a drawing
+            node, line, own, visible, bare = todo.pop()
+            kept, before, prior, k = [], 0, 0, 0
+            kinds = Counter(c.tag for c in node.children if isinstance(c, Node))
+            count, nth = sum(kinds.values()), Counter()
+            for child in node.children:
+                if isinstance(child, str):
+                    if visible and not bare:
+                        kept.append(child)
+                    continue
+                k, tag = k + 1, child.tag
+                nth[tag] += 1
+                before, display, visibility = sheet.match(child, (k, count, nth[tag], kinds[tag]), line, own, before, prior)
+                prior |= before
+                closed = "hidden" in child.attrs or tag == "dialog" and "open" not in child.attrs
+                if tag in UNSEEN or tag == "input" or display == "none" or closed and display is None or bare and tag in UNDRAWN:
+                    continue
+                shown = visibility in ("visible", "initial") or visible and visibility not in ("hidden", "collapse")
+                drawn = bare and tag in ("text", "foreignobject")
+                if drawn:  # each text has its own place in a drawing
+                    child.tag = "div"
+                elif tag == "q" and not shown:
+                    child.tag = "span"
+                kept.append(child)
+                todo.append((child, line | before, before, shown, tag == "svg" or bare and not drawn))
+            node.children = kept
 
     def render(self) -> str:
         return "\n".join(self.lines_of(self.root.children))
@@ -265,7 +296,7 @@ class Page:
                         out.now = [line]
                 else:
                     out.text(node)
-            elif not self.unseen(node):
+            else:
                 self.element(node, out, pre, listed)
 
     def element(self, node: Node, out: Lines, pre: bool, listed: bool) -> None:
@@ -277,10 +308,7 @@ class Page:
         elif tag in ("ul", "ol", "menu", "dir"):
             self.framed(self.items(node), out, 0 if listed else 1)
         elif tag == "pre":
-            first = node.children[:1]
-            if first and isinstance(first[0], str):  # a line break right after the tag is no line
-                first = [first[0].removeprefix("\n")]
-            self.framed(self.lines_of(first + node.children[1:], True), out, 1)
+            self.framed(self.lines_of(node.children, True), out, 1)
         elif tag == "details" and "open" not in node.attrs:
             out.block(0)
             self.walk([c for c in node.children if isinstance(c, Node) and c.tag == "summary"][:1], out, pre, listed)
@@ -316,8 +344,6 @@ class Page:
             if isinstance(child, str):
                 out += ["  " + x for x in self.lines_of([child])]
                 continue
-            if self.unseen(child):
-                continue
             inner = Lines()
             self.walk(child.children if child.tag == "li" else [child], inner, False, True)
             inner.flush()
@@ -337,12 +363,12 @@ class Page:
         """Rows of aligned columns; head groups come first and foot groups last; captions above."""
         caption, head, body, foot = [], [], [], []
         for child in node.children:
-            if isinstance(child, str) or self.unseen(child):
+            if isinstance(child, str):
                 continue
             if child.tag == "caption":
                 caption += self.lines_of(child.children)
             elif child.tag in GROUPS:
-                rows = [r for r in child.children if isinstance(r, Node) and r.tag == "tr" and not self.unseen(r)]
+                rows = [r for r in child.children if isinstance(r, Node) and r.tag == "tr"]
                 {"thead": head, "tbody": body, "tfoot": foot}[child.tag].extend(rows)
             elif child.tag == "tr":
                 body.append(child)
@@ -351,7 +377,7 @@ class Page:
         for row in [*head, *body, *foot]:
             cells, at = [], 0
             for cell in row.children:
-                if isinstance(cell, str) or cell.tag not in CELLS or self.unseen(cell):
+                if isinstance(cell, str) or cell.tag not in CELLS:
                     continue
                 while taken.get(at, 0) > 0:
                     at += 1

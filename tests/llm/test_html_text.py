@@ -13,6 +13,23 @@ CASES = {
                '<p style="visibility:hidden">no</p><template>no</template><noscript>no</noscript>yes<input value="no">', "yes"),
     "style sheet": ("<style>.ad, #x{display:none} p.y{visibility:hidden}</style><div class='big ad'>no</div><p id=x>no</p>"
                     "<p class=y>no</p><div class=y>yes</div>", "yes"),
+    "media": ("<style>@media print{.note{display:none}} @media (max-width:600px){.side,nav{display:none}} @media screen and "
+              "(min-width:600px){.m{display:none}} @keyframes k{from{display:none}}</style><style media=print>b{display:none}"
+              "</style><noscript><style>i{display:none}</style></noscript><p class=note>a<p class=side>b<p class=m>no"
+              "<p><b>c</b><i>d</i>", "a\n\nb\n\ncd"),
+    "more specific": ("<style>.tab.active{display:block} .tab{display:none} #x .y{display:none} div>.z{display:none}"
+                      ".hidden{display:none} @media(min-width:768px){.md\\:block{display:block}}</style><p class=tab>no"
+                      "<p class='tab active'>a<p class=y>b<p class=z>c<div id=x><i><b class=y>no</b></i></div>"
+                      "<div><b class=z>no</b></div><div class='hidden md:block'>d</div>", "a\n\nb\n\nc\n\nd"),
+    "siblings and states": ("<style>.p{display:none} #t:checked ~ .p{display:block} li:not(:first-child){display:none}"
+                            "h1+p{display:none} a[rel=x]:hover{display:none}</style><input id=t checked><div class=p>a</div>"
+                            "<ul><li>b<li>no</ul><h1>c</h1><p>no<p><a rel=x>d</a>", "a\n\n- b\n\nc\n\nd"),
+    "inline over sheet": ("<style>.a{display:none} .b{display:none!important} .c{visibility:hidden}</style>"
+                          "<p class=a style='display:block'>a<p class=b style='display:block'>no<p hidden style='display:block'>b"
+                          "<p class=c>no <b style='visibility:visible'>c</b>", "a\n\nb\n\nc"),
+    "drawings and formulas": ("x<svg><title>no</title><defs/><path d=''/>no<text>A</text><text>B<tspan>C</tspan></text></svg>"
+                              "<math><semantics><mi>y</mi><mo>=</mo><mn>1</mn><annotation>no</annotation></semantics></math>"
+                              "<svg><g><p>after", "x\nA\nBC\ny=1\n\nafter"),
     "details": ("<details><summary>Sum</summary>no</details><details open><summary>S</summary>yes</details>",
                 "Sum\nS\nyes"),
     "lists": ("<ul><li>one<li>two<ol start=3><li>x<li value=7>y<li>z</ol><li>three</ul>",
