@@ -2,7 +2,11 @@
 
 A tree builder closes and opens what markup implies (``p`` before blocks,
 list items, definition terms, options, table rows and cells), moves text and
-elements that stand between cells to before the table, and keeps nesting at ``DEEPEST``. Visibility rules drop
+elements that stand between cells to before the table. The tree has any depth;
+it is walked with explicit stacks. Only layout stops at ``NESTED`` lists,
+tables and other indented blocks within each other: further in, items keep their marks, and rows and cells
+their order, as lines of their own, without indentation or columns (whose
+width would grow with the square of the page). Visibility rules drop
 scripts, styles, head, templates, fallback content, closed details and
 dialogs, the ``hidden`` attribute, and what ``display`` and ``visibility`` hide on a screen, by the cascade of
 inline styles and the page's style sheets (``styles``); of drawings (``svg``) the text elements are seen,
@@ -32,7 +36,7 @@ from pyspark.sql import types as T
 from jobsift.llm.common import fresh, quoted
 from jobsift.llm.styles import Sheet, media_holds
 
-DEEPEST = 150
+NESTED = 100
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 blockquote dl figure pre ul ol table fieldset".split())
 BLOCKS = SPACED | frozenset(
@@ -83,40 +87,39 @@ class TreeBuilder(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.html, self.root = Node("html", {}), Node("body", {})
         self.open = [self.root]
+        self.at: dict[str, list[int]] = {}  # tag -> where its elements stand in ``open``
         self.styles: list[str] = []
 
+    def last(self, tags) -> int:
+        """Where the innermost open element of these tags stands, or -1."""
+        return max((self.at[t][-1] for t in tags if self.at.get(t)), default=-1)
+
+    def cut(self, k: int) -> None:
+        """Close the open elements from the k-th on."""
+        while len(self.open) > k:
+            self.at[self.open.pop().tag].pop()
+
     def pop_to(self, tags: set, stop: set) -> None:
-        for k in range(len(self.open) - 1, 0, -1):
-            if self.open[k].tag in stop:
-                return
-            if self.open[k].tag in tags:
-                last = k  # close the outermost of them below the boundary
-                while last > 1 and self.open[last - 1].tag in tags:
-                    last -= 1
-                del self.open[last:]
-                return
+        k = self.last(tags)
+        if k < 1 or self.last(stop) >= k:
+            return
+        while k > 1 and self.open[k - 1].tag in tags:  # close the outermost of them below the boundary
+            k -= 1
+        self.cut(k)
 
     def inside(self, tag: str, stop: set) -> bool:
-        for node in reversed(self.open):
-            if node.tag == tag:
-                return True
-            if node.tag in stop:
-                return False
-        return False
+        k = self.last((tag,))
+        return k >= 0 and k >= self.last(stop)
 
     def foreign(self) -> bool:
         """Whether the next element belongs to a drawing or formula."""
-        for node in reversed(self.open):
-            if node.tag in FOREIGN or node.tag in HOSTS:
-                return node.tag in FOREIGN
-        return False
+        return self.last(FOREIGN) > self.last(HOSTS)
 
     def add(self, child: Node | str, part: bool = False) -> None:
         """Append to the open element; what no table, row group or row may hold stands before the table."""
         top = self.open[-1]
         if top.tag in GRID and not part and self.inside("table", set()):
-            k = max(i for i, n in enumerate(self.open) if n.tag == "table")
-            siblings = self.open[k - 1].children  # the open table is the last of them
+            siblings = self.open[self.last(("table",)) - 1].children  # the open table is the last of them
             siblings.insert(len(siblings) - 1, child)
         else:
             top.children.append(child)
@@ -124,7 +127,8 @@ class TreeBuilder(HTMLParser):
     def push(self, tag: str, attrs: dict, keep: bool = True) -> None:
         node = Node(tag, attrs)
         self.add(node, tag in PARTS)
-        if keep and len(self.open) < DEEPEST:
+        if keep:
+            self.at.setdefault(tag, []).append(len(self.open))
             self.open.append(node)
 
     def handle_starttag(self, tag, attrs):
@@ -133,33 +137,27 @@ class TreeBuilder(HTMLParser):
             (self.root if tag == "body" else self.html).attrs.update(attrs)
             return
         if tag in BREAKS_OUT and self.foreign():
-            while self.open.pop().tag not in FOREIGN:
-                pass
+            self.cut(self.last(FOREIGN))
         if tag == "table" and self.open[-1].tag in GRID and self.inside("table", set()):
-            while self.open.pop().tag != "table":  # a table right in a table or row ends the one it stands in
-                pass
+            self.cut(self.last(("table",)))  # a table right in a table or row ends the one it stands in
         if tag in CLOSES_P and self.inside("p", {"table", "td", "th", "button"}):
             self.pop_to({"p"}, {"table", "td", "th"})
         if tag in IMPLIED_END:
             self.pop_to(*IMPLIED_END[tag])
         if tag in GROUPS | {"caption", "colgroup"} and self.inside("table", set()):
-            while self.open[-1].tag != "table":  # an element that was moved to before the table ends here
-                self.open.pop()
+            self.cut(self.last(("table",)) + 1)  # an element that was moved to before the table ends here
         if tag == "tr" and self.open[-1].tag not in GROUPS | {"table"} and self.inside("table", CELLS):
-            while self.open[-1].tag not in GROUPS | {"table"}:
-                self.open.pop()
+            self.cut(self.last(GROUPS | {"table"}) + 1)
         if tag in CELLS and self.open[-1].tag != "tr":
             if not self.inside("table", set()):
                 return  # a cell outside a table is no element
             if not self.inside("tr", {"table"}):
-                while self.open[-1].tag not in GROUPS | {"table"}:
-                    self.open.pop()
+                self.cut(self.last(GROUPS | {"table"}) + 1)
                 self.push("tr", {})
             else:
-                while self.open[-1].tag != "tr":
-                    self.open.pop()
+                self.cut(self.last(("tr",)) + 1)
         if re.fullmatch("h[1-6]", tag) and re.fullmatch("h[1-6]", self.open[-1].tag):
-            self.open.pop()
+            self.cut(len(self.open) - 1)
         # a form between cells holds nothing: the rows go on
         self.push(tag, attrs, tag not in VOID and not (tag == "form" and self.open[-1].tag in GRID))
 
@@ -180,9 +178,7 @@ class TreeBuilder(HTMLParser):
         if tag == "li":
             stop = stop | {"ul", "ol"}
         if self.inside(tag, stop - {tag}):
-            while len(self.open) > 1:
-                if self.open.pop().tag == tag:
-                    return
+            self.cut(self.last((tag,)))
 
     def handle_data(self, data):
         top = self.open[-1]
@@ -204,6 +200,7 @@ class Lines:
         self.now: list[str] = []
         self.gap = 0
         self.pre = pre
+        self.marks: list[str] = []  # before the next line
 
     def text(self, s: str) -> None:
         s = WHITE.sub(" ", s)
@@ -223,6 +220,9 @@ class Lines:
         if self.lines:
             self.lines += [""] * self.gap
         self.gap = 0
+        if self.marks:
+            lines = ["".join(self.marks) + lines[0], *lines[1:]]
+            self.marks = []
         self.lines += lines
 
     def block(self, gap: int) -> None:
@@ -236,6 +236,19 @@ class Lines:
             self.gap = min(self.gap + 1, 1)
 
 
+def run(step):
+    """What a generator returns that yields further such generators, on a stack of its own."""
+    stack, value = [step], None
+    while stack:
+        try:
+            stack.append(stack[-1].send(value))
+            value = None
+        except StopIteration as end:
+            stack.pop()
+            value = end.value
+    return value
+
+
 class Page:
     def __init__(self, html: str):
         builder = TreeBuilder()
@@ -252,7 +265,7 @@ class Page:
         while todo:  # the bits of the element's line and its own; whether its text is visible, and bare in a drawing
             node, line, own, visible, bare = todo.pop()
             kept, before, prior, k = [], 0, 0, 0
-            kinds = Counter(c.tag for c in node.children if isinstance(c, Node))
+            kinds = Counter(c.tag for c in node.children if isinstance(c, Node)) if sheet.by else Counter()
             count, nth = sum(kinds.values()), Counter()
             for child in node.children:
                 if isinstance(child, str):
@@ -276,16 +289,18 @@ class Page:
                 todo.append((child, line | before, before, shown, tag == "svg" or bare and not drawn))
             node.children = kept
 
+    # The methods below that yield are steps of ``run``: each yields the next step and is sent what that returns.
+
     def render(self) -> str:
-        return "\n".join(self.lines_of(self.root.children))
+        return "\n".join(run(self.lines_of(self.root.children, 0)))
 
-    def lines_of(self, children: list, pre: bool = False) -> list[str]:
+    def lines_of(self, children: list, deep: int, pre: bool = False):
         out = Lines(pre)
-        self.walk(children, out, pre, False)
+        yield self.walk(children, out, pre, False, deep)
         out.flush()
         return out.lines
 
-    def walk(self, children: list, out: Lines, pre: bool, listed: bool) -> None:
+    def walk(self, children: list, out: Lines, pre: bool, listed: bool, deep: int):
         for node in children:
             if isinstance(node, str):
                 if pre:
@@ -296,38 +311,50 @@ class Page:
                         out.now = [line]
                 else:
                     out.text(node)
+            elif node.tag == "br":
+                out.newline()
             else:
-                self.element(node, out, pre, listed)
-
-    def element(self, node: Node, out: Lines, pre: bool, listed: bool) -> None:
-        tag = node.tag
-        if tag == "br":
-            out.newline()
-        elif tag == "table":
-            self.framed(self.table(node), out, 1)
+                yield self.element(node, out, pre, listed, deep)
+
+    def element(self, node: Node, out: Lines, pre: bool, listed: bool, deep: int):
+        """``deep`` counts the blocks around it that are laid out by themselves."""
+        tag, flat = node.tag, deep >= NESTED
+        if tag == "table":
+            if flat:
+                yield self.flat_table(node, out, deep)
+            else:
+                self.framed((yield self.table(node, deep + 1)), out, 1)
         elif tag in ("ul", "ol", "menu", "dir"):
-            self.framed(self.items(node), out, 0 if listed else 1)
-        elif tag == "pre":
-            self.framed(self.lines_of(node.children, True), out, 1)
+            if flat:
+                yield self.flat_items(node, out, listed, deep)
+            else:
+                self.framed((yield self.items(node, deep + 1)), out, 0 if listed else 1)
+        elif tag == "pre" and not pre:
+            if flat:
+                out.block(1)
+                yield self.walk(node.children, out, True, listed, deep)
+                out.block(1)
+            else:
+                self.framed((yield self.lines_of(node.children, deep + 1, True)), out, 1)
         elif tag == "details" and "open" not in node.attrs:
             out.block(0)
-            self.walk([c for c in node.children if isinstance(c, Node) and c.tag == "summary"][:1], out, pre, listed)
+            yield self.walk([c for c in node.children if isinstance(c, Node) and c.tag == "summary"][:1], out, pre, listed, deep)
             out.block(0)
-        elif tag == "dd":
-            self.framed(["  " + x if x else x for x in self.lines_of(node.children)], out, 0)
-        elif tag == "select":
-            self.framed(self.lines_of(node.children), out, 0)
+        elif tag == "dd" and not flat:
+            self.framed(["  " + x if x else x for x in (yield self.lines_of(node.children, deep + 1))], out, 0)
+        elif tag == "select" and not flat:
+            self.framed((yield self.lines_of(node.children, deep + 1)), out, 0)
         elif tag == "q":
             out.text("“")
-            self.walk(node.children, out, pre, listed)
+            yield self.walk(node.children, out, pre, listed, deep)
             out.text("”")
-        elif tag in BLOCKS:
+        elif tag in BLOCKS or tag == "select":
             gap = 1 if tag in SPACED else 0
             out.block(gap)
-            self.walk(node.children, out, pre, listed)
+            yield self.walk(node.children, out, pre, listed, deep)
             out.block(gap)
         else:
-            self.walk(node.children, out, pre, listed)
+            yield self.walk(node.children, out, pre, listed, deep)
 
     @staticmethod
     def framed(lines: list[str], out: Lines, gap: int) -> None:
@@ -336,45 +363,84 @@ class Page:
             out.put(lines)
             out.block(gap)
 
-    def items(self, node: Node) -> list[str]:
-        """Marks and nesting of a list; what stands beside the items is an item without a mark."""
+    @staticmethod
+    def marked(node: Node) -> list[tuple[Node | str, str]]:
+        """The children of a list, items with their marks."""
         out, number = [], whole(node.attrs.get("start"), 1)
         step = -1 if "reversed" in node.attrs else 1
         for child in node.children:
-            if isinstance(child, str):
-                out += ["  " + x for x in self.lines_of([child])]
-                continue
-            inner = Lines()
-            self.walk(child.children if child.tag == "li" else [child], inner, False, True)
-            inner.flush()
-            mark = "  "
-            if child.tag == "li":
+            mark = ""
+            if isinstance(child, Node) and child.tag == "li":
+                mark = "- "
                 if node.tag == "ol":
                     number = whole(child.attrs.get("value"), number)
                     mark = f"{number}. "
                     number += step
-                else:
-                    mark = "- "
-            lines = inner.lines
-            out += [(mark if k == 0 else " " * len(mark)) + x if x else x for k, x in enumerate(lines)]
+            out.append((child, mark))
+        return out
+
+    def items(self, node: Node, deep: int):
+        """Marks and nesting of a list; what stands beside the items is an item without a mark."""
+        out = []
+        for child, mark in self.marked(node):
+            if isinstance(child, str):
+                out += ["  " + x for x in (yield self.lines_of([child], deep))]
+                continue
+            inner = Lines()
+            yield self.walk(child.children if mark else [child], inner, False, True, deep)
+            inner.flush()
+            mark = mark or "  "
+            out += [(mark if k == 0 else " " * len(mark)) + x if x else x for k, x in enumerate(inner.lines)]
         return out
 
-    def table(self, node: Node) -> list[str]:
-        """Rows of aligned columns; head groups come first and foot groups last; captions above."""
-        caption, head, body, foot = [], [], [], []
+    def flat_items(self, node: Node, out: Lines, listed: bool, deep: int):
+        """A list past ``NESTED``: each item a block, its mark before its first line."""
+        out.block(0 if listed else 1)
+        for child, mark in self.marked(node):
+            out.block(0)
+            held = len(out.marks)
+            if mark:
+                out.marks.append(mark)
+            yield self.walk(child.children if mark else [child], out, False, True, deep)
+            out.block(0)
+            del out.marks[held:]  # those of an item without a line
+        out.block(0 if listed else 1)
+
+    @staticmethod
+    def parts(node: Node) -> tuple[list[Node], list[Node]]:
+        """(captions, rows) of a table; head groups come first and foot groups last."""
+        captions, head, body, foot = [], [], [], []
         for child in node.children:
             if isinstance(child, str):
                 continue
             if child.tag == "caption":
-                caption += self.lines_of(child.children)
+                captions.append(child)
             elif child.tag in GROUPS:
                 rows = [r for r in child.children if isinstance(r, Node) and r.tag == "tr"]
                 {"thead": head, "tbody": body, "tfoot": foot}[child.tag].extend(rows)
             elif child.tag == "tr":
                 body.append(child)
+        return captions, [*head, *body, *foot]
+
+    def flat_table(self, node: Node, out: Lines, deep: int):
+        """A table past ``NESTED``: each caption and cell a block."""
+        captions, rows = self.parts(node)
+        out.block(1)
+        for block in [*captions, *(c for r in rows for c in r.children if isinstance(c, Node) and c.tag in CELLS)]:
+            out.block(0)
+            yield self.walk(block.children, out, False, False, deep)
+            out.block(0)
+        out.block(1)
+
+    def table(self, node: Node, deep: int):
+        """Rows of aligned columns, captions above."""
+        captions, rows = self.parts(node)
+        caption = []
+        for c in captions:
+            caption += yield self.lines_of(c.children, deep)
         taken: dict[int, int] = {}  # column -> rows that a span above still covers
         grid = []
-        for row in [*head, *body, *foot]:
+        for row in rows:
             cells, at = [], 0
             for cell in row.children:
                 if isinstance(cell, str) or cell.tag not in CELLS:
@@ -383,7 +449,7 @@ class Page:
                     at += 1
                 wide = min(max(whole(cell.attrs.get("colspan"), 1), 1), 1000)
                 tall = min(max(whole(cell.attrs.get("rowspan"), 1), 1), 65534)
-                cells.append((at, wide, self.lines_of(cell.children), side_of(cell)))
+                cells.append((at, wide, (yield self.lines_of(cell.children, deep)), side_of(cell)))
                 for k in range(at, at + wide):
                     taken[k] = max(taken.get(k, 0), tall)
                 at += wide

@@ -73,6 +73,27 @@ def test_deep_and_long():
     assert len(visible_text("<p>word " * 100_000)) == 6 * 100_000 - 2
 
 
+def test_depth_changes_nothing():
+    page = ("<p>a<script>no()</script><style>.x{display:none}</style><p hidden>no<p class=x>no<b style='display:none'>no</b>"
+            "<details><summary>s</summary>no</details><template>no</template><table><tr><td>1<td>2<tr><td>3<td>4</table>"
+            "<ol><li>m<li>n</ol><pre>p  q\n r</pre>")
+    want = visible_text(page)
+    assert "no" not in want and "1. m" in want
+    for tag in ("div", "span", "font", "section"):
+        assert visible_text(f"<{tag}>" * 3000 + page) == want
+        assert visible_text(f"<{tag}>" * 200 + page + f"</{tag}>" * 200 + "z").endswith("z")
+
+
+def test_depth_of_lists_and_tables():
+    """Marks, rows and cells stay past the indented levels, in a size that goes with the page's."""
+    text = visible_text("".join(f"<ul><li>x{k}<li hidden>no<li>" for k in range(20_000)))
+    assert [line.split("- ")[-1] for line in text.split("\n")] == [f"x{k}" for k in range(20_000)]
+    assert text.count("- ") == 39_999 and len(text) < 20_000 * 250
+    text = visible_text("".join(f"<table><tr><td>a{k}<td hidden>no<td>b{k}<tr><td>" for k in range(2000)))
+    assert text.split() == [f"{c}{k}" for k in range(2000) for c in "ab"]
+    assert visible_text("<dl><dd>" * 5000 + "x<select><option>y").split() == ["x", "y"]
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.sampled_from(
     "<p> </p> <div> </div> <b> </b> <table> <tr> <td> </td> </tr> </table> <ul> <li> </ul> <ol> <br> <pre> </pre> <dl> <dd> "
