@@ -1,14 +1,17 @@
 """License scans: patience alignment of texts with license templates.
 
 Words are runs of ASCII letters and digits, lower-cased. A template's key
-words vote for where in the text it would start; starts that lie close
-together make a region, taken as wide as voted and with some room. It is
+words vote for where in the text it would start. A copy that can count has a
+certain number of different key words voting for starts within a certain
+distance (``Scanner.reach``), so every start with so many about it is tried,
+those with most votes first, as voted and with some room; then the text left beside the
+matches is searched again, until nothing more is found. A range is
 aligned with the template by patience: words that
 occur once in both are anchors, their longest increasing subsequence is
 matched, and the gaps between matches are aligned in the same way (equal words
 at either end of a gap are matched first). Coverage is the matched share of
 the template, density the matched share of the text between the first and last
-match; a region counts with both at ``LEAST`` or more. Of overlapping regions
+match; a range counts with both at ``LEAST`` or more. Of overlapping matches
 the better one stays (coverage times density, then the longer template, then the name).
 
 Each document is scanned whole, in the task that reads it, without a shuffle;
@@ -20,7 +23,7 @@ empty result; other columns are not read.
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
+from bisect import bisect_left, insort
 from collections import Counter
 
 import pyarrow as pa
@@ -119,55 +122,97 @@ class Scanner:
         self.least = least
         self.words = {name: words_of(t) for name, t in templates.items()}
         self.at: dict[bytes, list[tuple[str, int]]] = {}
-        self.votes = {}
+        self.reach = {}  # template -> (different key words that a match has at least, how far their starts lie apart at most)
         for name, words in self.words.items():
             keys = [(w, k) for k, w in enumerate(words) if w not in COMMON]
-            self.votes[name] = len(keys)
+            # coverage leaves out so many words of the template, density lets in so many others
+            out, more = int((1 - least) * len(words) + 1e-9), int((1 - least) / least * len(words)) + 1
+            self.reach[name] = max(1, len(keys) - out), out + more
             for w, k in keys:
                 self.at.setdefault(w, []).append((name, k))
 
-    def regions(self, words: list[bytes]) -> dict[str, list[tuple[int, int]]]:
-        """Per template, text ranges in which its key words lie about where the template has them."""
-        hits = [(k, w) for k, w in enumerate(words) if w in self.at]
-        starts: dict[str, list[int]] = {}
-        for k, w in hits:
-            for name, offset in self.at[w]:
-                starts.setdefault(name, []).append(k - offset)
-        out = {}
-        for name, found in starts.items():
-            size, need = len(self.words[name]), max(1, self.votes[name] // 3)
-            slack = max(3, size // 3)
-            found.sort()
-            low = 0
-            for k in range(1, len(found) + 1):
-                if k == len(found) or found[k] - found[k - 1] > slack:
-                    if k - low >= need:
-                        # as voted, and with room: a neighbouring copy in the room would leave no word unique
-                        votes = Counter(found[low:k]).most_common(1)[0][0]
-                        for a, b in ((votes, votes + size), (found[low], found[k - 1] + size),
-                                     (found[low] - slack, found[k - 1] + size + slack)):
-                            out.setdefault(name, []).append((max(0, a), min(len(words), b)))
-                    low = k
+    def align(self, name: str, words: list[bytes], a: int, b: int) -> tuple | None:
+        """(rank, coverage, density, first, last) of the template's match in a range of the text, if it counts."""
+        template = self.words[name]
+        pairs = patience(words[a:b], template)
+        if pairs:
+            first, last = pairs[0][0] + a, pairs[-1][0] + a
+            coverage, density = len(pairs) / len(template), len(pairs) / (last - first + 1)
+            if coverage >= self.least and density >= self.least:
+                return coverage * density, coverage, density, first, last
+        return None
+
+    def starts(self, name: str, votes: list[tuple[int, int]]) -> list[tuple[int, int, int, int]]:
+        """(-votes, start, first and last start about it) of the starts with enough different key words about them."""
+        need, apart = self.reach[name]
+        found = sorted((k - offset, offset) for k, offset in votes)
+        out, about, low, high, at = [], Counter(), 0, 0, 0
+        while at < len(found):
+            start, here = found[at][0], at
+            while at < len(found) and found[at][0] == start:
+                at += 1
+            while high < len(found) and found[high][0] <= start + apart:
+                about[found[high][1]] += 1
+                high += 1
+            while found[low][0] < start - apart:
+                about[found[low][1]] -= 1
+                if not about[found[low][1]]:
+                    del about[found[low][1]]
+                low += 1
+            if len(about) >= need:
+                out.append((here - at, start, found[low][0], found[high - 1][0]))
+        return sorted(out)
+
+    def search(self, name: str, words: list[bytes], votes: list[tuple[int, int]]) -> list[tuple]:
+        """All matches of a template, none over another; votes are (text position, template position) of key words."""
+        size, (need, apart) = len(self.words[name]), self.reach[name]
+        out, todo = [], [(0, len(words), votes)]
+        while todo:
+            a, b, part = todo.pop()
+            spans: list[tuple[int, int]] = []
+            for _, start, low, high in self.starts(name, part):
+                middle = start + size // 2
+                at = bisect_left(spans, (middle + 1,))
+                if at and spans[at - 1][1] >= middle:
+                    continue
+                left = spans[at - 1][1] + 1 if at else a
+                right = spans[at][0] if at < len(spans) else b
+                best, tried = None, set()
+                # as voted, then with room on both sides or one: a neighbouring copy in the room can leave no word unique
+                for x, y in ((start, start + size), (low, high + size), (start, start + size + apart), (start - apart, start + size)):
+                    x, y = max(left, x), min(right, y)
+                    if y - x < need or (x, y) in tried or best and best[0] == 1:
+                        continue
+                    tried.add((x, y))
+                    best = max(filter(None, (best, self.align(name, words, x, y))), default=None)
+                if best:
+                    out.append(best)
+                    insort(spans, best[3:])
+            if spans:
+                for x, y in zip([a, *(last + 1 for _, last in spans)], [*(first for first, _ in spans), b]):
+                    rest = part[bisect_left(part, (x,)):bisect_left(part, (y,))]
+                    if len(rest) >= need:
+                        todo.append((x, y, rest))
         return out
 
     def scan(self, text: str | bytes | None) -> list[tuple[str, float, float, int, int]]:
         """(license, coverage, density, first word, last word) of each match, in text order."""
         words = words_of(text)
+        votes: dict[str, list[tuple[int, int]]] = {}
+        for k, w in enumerate(words):
+            for name, offset in self.at.get(w, ()):
+                votes.setdefault(name, []).append((k, offset))
         found = []
-        for name, ranges in self.regions(words).items():
-            template = self.words[name]
-            for a, b in ranges:
-                pairs = patience(words[a:b], template)
-                if pairs:
-                    first, last = pairs[0][0] + a, pairs[-1][0] + a
-                    coverage, density = len(pairs) / len(template), len(pairs) / (last - first + 1)
-                    if coverage >= self.least and density >= self.least:
-                        found.append((-coverage * density, -len(template), name, first, last, coverage, density))
-        kept = []
-        for f in sorted(found):
-            if all(f[4] < k[3] or f[3] > k[4] for k in kept):
-                kept.append(f)
-        return sorted(((n, c, d, a, b) for _, _, n, a, b, c, d in kept), key=lambda x: x[3])
+        for name, part in votes.items():
+            if len(part) >= self.reach[name][0]:
+                found += [(-rank, -len(self.words[name]), name, first, last, coverage, density)
+                          for rank, coverage, density, first, last in self.search(name, words, part)]
+        kept: list[tuple] = []  # in text order, none over another
+        for _, _, name, first, last, coverage, density in sorted(found):
+            at = bisect_left(kept, (last + 1,))
+            if not at or kept[at - 1][1] < first:
+                kept.insert(at, (first, last, name, coverage, density))
+        return [(name, coverage, density, first, last) for first, last, name, coverage, density in kept]
 
 
 MATCHES = "doc_id long, license string, coverage double, density double, first_word long, last_word long"

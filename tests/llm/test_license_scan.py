@@ -57,6 +57,37 @@ def test_edited_templates_and_copies():
     assert [g[0] for g in s.scan("\n".join(LINES.values()))] == list(LINES)
 
 
+def test_long_notices_in_a_row():
+    s = Scanner(TEMPLATES)
+    for name in ("MIT", "Apache-2.0 (notice)", "GPL (notice)", "ISC"):
+        notice = words_of(TEMPLATES[name])
+        for n, apart in ((2, 0), (3, 0), (3, 3), (3, 20), (3, 60), (10, 7), (50, 0), (50, 1)):
+            got = s.scan(b" ".join(w for k in range(n) for w in (*notice, *words_of(filler(apart, k)))))
+            step = len(notice) + apart
+            assert got == [(name, 1.0, 1.0, k * step, k * step + len(notice) - 1) for k in range(n)], (name, n, apart)
+    every = [words_of(t) for t in TEMPLATES.values()]
+    assert [g[0] for g in s.scan(b" ".join(w for t in every * 5 for w in t))] == list(TEMPLATES) * 5
+
+
+def test_edited_notices_in_a_row():
+    rng = random.Random(3)
+    for name in ("MIT", "Apache-2.0 (notice)", "GPL (notice)"):
+        s = Scanner({name: TEMPLATES[name]})
+        notice = words_of(TEMPLATES[name])
+        text = []
+        for _ in range(20):
+            at, cut = rng.randrange(10, len(notice) - 20), rng.randrange(len(notice) // 12)
+            text += notice[:at] + [b"new", b"words", b"here"][:rng.randrange(4)] + notice[at + cut:]
+        got = s.scan(b" ".join(text))
+        assert [g[0] for g in got] == [name] * 20 and all(g[1] > 0.85 for g in got)
+
+
+def test_repeated_words_stay_linear():
+    s = Scanner(TEMPLATES)
+    assert s.scan("software copies notice " * 30_000) == []
+    assert len(s.scan((TEMPLATES["MIT"] + "\n") * 1000)) == 1000
+
+
 def test_no_false_finds():
     s = Scanner(TEMPLATES)
     for seed in range(20):
