@@ -13,8 +13,9 @@
    documents, chosen by a hash of the row, half of them from either class
    as far as there are enough.
 
-A document is kept if its score reaches the cut that best splits the sample's
-weak labels (at most 0.5). Every document is scored.
+A document is kept if its score reaches the cut that best splits the weak
+labels of all documents (at most 0.5): every document is scored once for it, and
+good and bad ones are counted in ``BINS`` bins of the score's logit.
 
 Defined results: null and wordless texts score 0; repeated rows score
 alike; if all documents get one label, the score is their posterior; an empty
@@ -37,6 +38,7 @@ from jobsift.llm.textstats import Counts, hashed_grams
 
 SAMPLE = 4000
 DIM, LEVELS, BLOCK = 2048, 256, 256
+BINS, EDGE = 4096, 16.0  # bins of the logit from -EDGE to EDGE; what lies beyond is in the outer ones
 DEFECTS = 7  # the first labellers vote bad, the others good
 CLEAN = re.compile(rb"[\"'(]?[A-Za-z\x80-\xff'-]+[\")']?[.,;:?!]?$")
 
@@ -119,15 +121,23 @@ def fit_scorer(x: np.ndarray, y: np.ndarray, rounds: int = 300, l2: float = 1e-4
     return w
 
 
-def cut_of(score: np.ndarray, good: np.ndarray) -> float:
-    """The score that splits the sample with the least share of good documents below plus bad ones above:
-    the middle of the best gap, at most 0.5."""
-    order = np.argsort(score)
-    score, good = score[order], good[order]
-    missed = np.concatenate([[0], np.cumsum(good)]) / good.sum() + 1 - np.concatenate([[0], np.cumsum(~good)]) / (~good).sum()
-    edges = np.concatenate([[0.0], score, [1.0]])
-    best = int(missed.argmin())
-    return float(min(0.5, (edges[best] + edges[best + 1]) / 2))
+def logits(x: np.ndarray, w: np.ndarray) -> np.ndarray:
+    return np.clip(x @ w, -60, 60)
+
+
+def bins_of(logit: np.ndarray) -> np.ndarray:
+    return np.clip(np.floor((logit + EDGE) * (BINS / (2 * EDGE))), 0, BINS - 1).astype(np.int64)
+
+
+def cut_of(good: np.ndarray, bad: np.ndarray) -> float:
+    """The score that splits the documents, counted per bin, with the least share of good ones below plus bad ones
+    above: the middle of the best gap between bins, at most 0.5."""
+    missed = np.concatenate([[0], np.cumsum(good)]) / good.sum() + 1 - np.concatenate([[0], np.cumsum(bad)]) / bad.sum()
+    low = high = int(missed.argmin())
+    while high < BINS and not good[high] and not bad[high]:
+        high += 1
+    edges = [1 / (1 + np.exp(EDGE - k * (2 * EDGE / BINS))) for k in (low, high)]
+    return float(min(0.5, sum(edges) / 2)) if high else 0.5 / (1 + np.exp(60.0))  # below every score
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE, text_col: str = "text"):
@@ -177,7 +187,30 @@ def fit(docs: DataFrame, sample: int = SAMPLE, text_col: str = "text"):
     if not (y > 0.5).any() or (y > 0.5).all():
         return good, None, 0.5
     w = fit_scorer(x, y)
-    return good, w, cut_of(1 / (1 + np.exp(-np.clip(x @ w, -60, 60))), y > 0.5)
+    bad_at, good_at = np.zeros(BINS), np.zeros(BINS)
+    for at, is_good, n in body.select("body").mapInArrow(binned(good, w), "bin long, good boolean, n long").groupBy(
+            "bin", "good").agg(F.sum("n")).collect():
+        (good_at if is_good else bad_at)[at] = n
+    return good, w, cut_of(good_at, bad_at)
+
+
+def binned(good: np.ndarray, w: np.ndarray):
+    """mapInArrow: how many good and bad documents (by their votes) have their logit in each bin."""
+    def run(batches):
+        seen = np.zeros((2, BINS), np.int64)
+        for batch in batches:
+            texts = batch.column(0)
+            for at in range(0, len(texts), BLOCK):
+                rows = [(raw, *pattern_of(raw)) for raw in texts.slice(at, BLOCK).to_pylist()]
+                rows = [r for r in rows if r[1] >= 0]
+                if rows:
+                    bins = bins_of(logits(np.stack([features(raw, m) for raw, _, _, m in rows]), w))
+                    np.add.at(seen, ((good[[r[1] for r in rows]] > 0.5).astype(int), bins), 1)
+        kind, at = seen.nonzero()
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(kind == 1, pa.bool_()),
+                                          pa.array(seen[kind, at], pa.int64())], names=["bin", "good", "n"])
+
+    return run
 
 
 def judge(model, text: Column) -> Column:
@@ -197,7 +230,7 @@ def judge(model, text: Column) -> Column:
             out[rows] = good[[s[2] for s in seen]][:, None]
             if w is not None:
                 x = np.stack([features(raw, m) for _, raw, _, _, m in seen])
-                out[rows, 1] = 1 / (1 + np.exp(-np.clip(x @ w, -60, 60)))
+                out[rows, 1] = 1 / (1 + np.exp(-logits(x, w)))
         return pd.DataFrame({"weak": out[:, 0], "score": out[:, 1], "kept": out[:, 1] >= cut})
 
     return run(text.cast("string").cast("binary"))

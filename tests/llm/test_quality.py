@@ -123,3 +123,25 @@ def test_classifier_on_odd_rows(odd, none):
     assert len(got) == odd.count()
     assert all(g.score == 0 and not g.kept for g in got if g.doc_id in (3, 4, 5))
     assert qc.classify(none).count() == 0
+
+
+def test_cut_is_taken_over_all_documents(spark, monkeypatch):
+    """With a scorer of few documents that scores all low, no other cut splits the weak labels of all better."""
+    fit_scorer = qc.fit_scorer
+
+    def low(x, y):
+        w = fit_scorer(x, y)
+        w[-1] -= 4
+        return w
+
+    monkeypatch.setattr(qc, "fit_scorer", low)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = qc.fit(docs, sample=60)
+    got = qc.classify(docs, model).toPandas()
+    got = got[got.weak_good > 0]
+    good = got[got.weak_good > 0.5].score.to_numpy()
+    bad = got[got.weak_good <= 0.5].score.to_numpy()
+    missed = lambda cut: (good < cut).mean() + (bad >= cut).mean()
+    best = min(map(missed, {0.5, *(s for s in got.score if s <= 0.5)}))
+    assert 0 < model[2] <= 0.5 and missed(model[2]) <= best + 0.002
+    assert (got.kept == (got.score >= model[2])).all()
