@@ -74,7 +74,7 @@ def each_salt(mask: str) -> Column:
 
 ARROW = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(), "binary": pa.binary(),
          "boolean": pa.bool_(), "array<int>": pa.list_(pa.int32()), "array<long>": pa.list_(pa.int64()),
-         "array<float>": pa.list_(pa.float32())}
+         "array<float>": pa.list_(pa.float32()), "array<string>": pa.list_(pa.string())}
 
 
 def arrow_schema(columns: str) -> pa.Schema:
