@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from jobsift.llm import (
+    collocations,
     decontaminate,
     exact_dedup,
     html_text,
@@ -27,11 +28,13 @@ QUERIES = {
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
     "op9_token_counts": token_counts.op9_token_counts,
     "op10_mixing": mixing.op10_mixing,
+    "op12_collocations": collocations.op12_collocations,
     "op13_decontamination": decontaminate.op13_decontamination,
 }
 
 # the others depend on tokenizers, fitted models, hashes or coins; tests hold them against brute force
 ORACLES = {
     "op8_exact_dedup": exact_dedup.ORACLE,
+    "op12_collocations": collocations.ORACLE,
     "op13_decontamination": decontaminate.ORACLE,
 }
