@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from jobsift.llm import (
     collocations,
+    conversation_repair,
     decontaminate,
     exact_dedup,
     html_text,
@@ -28,6 +29,7 @@ QUERIES = {
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
     "op9_token_counts": token_counts.op9_token_counts,
     "op10_mixing": mixing.op10_mixing,
+    "op11_conversation_repair": conversation_repair.op11_conversation_repair,
     "op12_collocations": collocations.op12_collocations,
     "op13_decontamination": decontaminate.op13_decontamination,
 }
@@ -35,6 +37,7 @@ QUERIES = {
 # the others depend on tokenizers, fitted models, hashes or coins; tests hold them against brute force
 ORACLES = {
     "op8_exact_dedup": exact_dedup.ORACLE,
+    "op11_conversation_repair": conversation_repair.ORACLE,
     "op12_collocations": collocations.ORACLE,
     "op13_decontamination": decontaminate.ORACLE,
 }
