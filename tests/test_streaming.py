@@ -1,12 +1,14 @@
 """Streaming jobs equal their batch counterparts, also over several micro-batches."""
 
 import datetime as dt
+import os
 import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from jobsift import bindings as B
-from jobsift.operators import bookmarks
+from jobsift.operators import bookmarks, history, sync
 from jobsift.schema import JOB
 from jobsift.streaming import jobs as streams
 from tests.conftest import SMOKE, rows
@@ -112,21 +114,124 @@ def test_late_rows_count_in_their_day(spark, tmp_path):
     assert rows(got, "day", "n_jobs") == sorted((d.date(), 3 if d == days[1] else 2) for d in days)
 
 
-def test_superseded_buckets_go_and_a_damaged_log_raises(spark, tmp_path):
-    table = streams.KeyedTable(spark, str(tmp_path / "t"), ["k"], "k long, n long", buckets=4)
-    put = lambda v, data: table.apply(v, spark.createDataFrame(data, "k long, n long"),
-                                      lambda now, new: now.join(new, "k", "left_anti").unionByName(new))
-    put(0, [(i, 0) for i in range(40)])
-    put(1, [(3, 1)])
-    put(1, [(3, 99)])  # replayed: left alone
-    assert rows(table.read()) == [(i, 1 if i == 3 else 0) for i in range(40)]
-    folders = sorted(str(p.relative_to(tmp_path)) for p in (tmp_path / "t/data").glob("v=*/b=*"))
-    assert len(folders) == 4 and sum("v=1" in f for f in folders) == 1
-    for part in (tmp_path / "t/_commits").glob("part-*"):
-        part.chmod(0o644)
-        part.write_bytes(b"damaged")
-    for crc in (tmp_path / "t/_commits").glob(".part-*.crc"):
-        crc.unlink()
-    with pytest.raises(Exception, match="(?i)parquet|cannot read|failed"):
-        put(2, [(5, 5)])
-    assert sorted(str(p.relative_to(tmp_path)) for p in (tmp_path / "t/data").glob("v=*/b=*")) == folders
+def replay_last(checkpoint):
+    """As after a crash between a micro-batch's writes and its commit: the next run does it again."""
+    last = max(int(p.name) for p in (checkpoint / "commits").iterdir() if p.name.isdigit())
+    for p in (checkpoint / "commits").glob(f"*{last}*"):
+        p.unlink()
+    return last
+
+
+def land_events(folder, parts, spark):
+    """One file per part, in this order of modification times."""
+    for i, part in enumerate(parts):
+        part.coalesce(1).write.parquet(str(folder / f"p{i}"))
+        for f in (folder / f"p{i}").glob("part-*"):
+            os.utime(f, (1_700_000_000 + 10 * i,) * 2)
+
+
+def events_of(spark, folder, max_files=1):
+    return streams.event_stream(spark, str(folder / "p*"), file_glob="*.parquet", max_files=max_files)
+
+
+def test_toggles_after_restart_and_replay(spark, tmp_path):
+    events = spark.read.parquet(f"{SMOKE}/events.parquet")
+    parts = [events.where(F.pmod(F.xxhash64("event_id"), F.lit(4)) == i) for i in range(4)]
+    path, ckpt = tmp_path / "t", tmp_path / "c"
+    run = lambda: streams.toggle_state(spark, events_of(spark, tmp_path / "e"), str(path), str(ckpt))
+    land_events(tmp_path / "e", parts[:2], spark)
+    run()
+    last = replay_last(ckpt)
+    before = rows(streams.batches(spark, str(path), streams.TOGGLES).where(f"batch = {last}"))
+    run()  # the replayed micro-batch writes what it wrote
+    assert rows(streams.batches(spark, str(path), streams.TOGGLES).where(f"batch = {last}")) == before
+    for i, part in enumerate(parts[2:], 2):
+        part.coalesce(1).write.parquet(str(tmp_path / "e" / f"p{i}"))
+    got, batch = run(), bookmarks.bookmark_state(B.toggles(spark, SMOKE))
+    assert rows(got, *batch.columns) == rows(batch)
+    each = streams.batches(spark, str(path), streams.TOGGLES).groupBy("batch").count().collect()
+    clicks = [p.where("event_type = 'click'").count() for p in parts]
+    assert all(r["count"] <= max(clicks) for r in each)  # a micro-batch writes the keys that it changed
+
+
+@pytest.mark.parametrize("order", [(0, 1, 2, 3, 4, 5), (5, 4, 3, 2, 1, 0), (3, 0, 5, 1, 4, 2)])
+def test_daily_codes_in_any_order_of_files(spark, tmp_path, order):
+    events = spark.read.parquet(f"{SMOKE}/events.parquet")
+    slices = [events.where(F.pmod(F.dayofmonth("ts"), F.lit(30)).between(5 * i, 5 * i + 4)) for i in range(6)]
+    assert sum(s.count() for s in slices) == events.count()
+    repeated = [slices[i].unionByName(slices[(i + 1) % 6].limit(20)) for i in order]
+    path, ckpt = tmp_path / "t", tmp_path / "c"
+    land_events(tmp_path / "e", repeated, spark)
+    streams.distinct_daily_codes(spark, events_of(spark, tmp_path / "e"), str(path), str(ckpt))
+    replay_last(ckpt)
+    got = streams.distinct_daily_codes(spark, events_of(spark, tmp_path / "e"), str(path), str(ckpt))
+    want = B.toggles(spark, SMOKE).select(F.to_date("ts").alias("day"), "job_code").distinct()
+    assert rows(got, "day", "job_code") == rows(want)
+    kinds = {r.kind: r["count"] for r in streams.batches(spark, str(path), streams.DAY_KEYS).groupBy("kind").count().collect()}
+    assert kinds["first"] > 0 and (kinds.get("late", 0) > 0)  # the operator alone would have lost these
+
+
+def test_upsert_appends_what_landed(spark, tmp_path):
+    files = [[("a", "d2", D2), ("c", "d2", D2)], [("a", "d3", D3)], [("x", "late", D1), ("b", "late", D1)]]
+    path, ckpt = tmp_path / "jobs", tmp_path / "ckpt"
+    run = lambda: synced(streams.upsert_stream(spark, stored_postings(spark), str(tmp_path / "land"),
+                                               "www.board-a", str(path), str(ckpt), max_files=1))
+    for part in files:
+        land_postings(spark, tmp_path, [part])
+        assert run()[0][0] == "a"
+    assert [len(spark.read.parquet(str(path / "batches" / f"batch={i}")).collect()) for i in range(3)] == [2, 1, 2]
+    assert run() == [("a", "d3")]
+    replay_last(ckpt)
+    assert run() == [("a", "d3")]
+    streams.fold_jobs(spark, str(path), "www.board-a")
+    assert synced(streams.settled_jobs(spark, str(path), "www.board-a")) == [("a", "d3")]
+    land_postings(spark, tmp_path, [[("c", "late", D2)]])
+    assert run() == [("a", "d3")]
+    land_postings(spark, tmp_path, [[("c", "d3", D3)]])
+    assert run() == [("a", "d3"), ("c", "d3")]
+
+
+def test_other_sources_stay_and_late_days_settle_in_order(spark, tmp_path):
+    """Any order of landing gives what taking the days in order gives."""
+    def post(code, title, site, ts):
+        return (code, title, "co", "l", None, 1, 2, *[None] * 6, f"https://{site}/job/{code}", ts)
+
+    mine, other = "www.board-a.example", "www.board-b.example"
+    stored = spark.createDataFrame([post("k", "s", other, D1), post("a", "s", other, D1), post("z", "s", mine, D1)], JOB)
+    days = {D1: [post("a", "1", mine, D1), post("o", "1", other, D1)], D2: [post("b", "2", mine, D2), post("k", "2", other, D2)],
+            D3: [post("c", "3", mine, D3), post("c", "0", mine, D3)]}
+    want = stored
+    for d in sorted(days):
+        want = sync.sync_jobs(want, spark.createDataFrame(days[d], JOB), "www.board-a")
+    for k, order in enumerate([(D1, D2, D3), (D3, D1, D2)]):
+        for i, d in enumerate(order):
+            spark.createDataFrame(days[d], JOB).coalesce(1).write.mode("append").json(str(tmp_path / f"l{k}"))
+        got = streams.upsert_stream(spark, stored, str(tmp_path / f"l{k}"), "www.board-a", max_files=1)
+        assert rows(got, "job_code", "job_title") == rows(want, "job_code", "job_title")
+
+
+def test_sketches_merge_late_rows_and_days(spark, tmp_path):
+    days = [dt.datetime(2024, 5, d) for d in (9, 1, 8)]
+    path, ckpt = str(tmp_path / "t"), str(tmp_path / "c")
+    src = lambda: spark.readStream.schema(streams.POSTING_CATEGORY).option("maxFilesPerTrigger", 1).json(
+        str(tmp_path / "land"))
+    for i, d in enumerate(days):
+        frame = spark.range(3000 * i, 3000 * i + 6000).select(F.concat(F.lit("j"), "id").alias("job_code"),
+                                                              F.lit("X").alias("job_category"),
+                                                              F.lit(d).cast("timestamp_ntz").alias("create_date"))
+        frame.unionByName(frame.limit(100)).coalesce(1).write.mode("append").json(str(tmp_path / "land"))
+        got = streams.daily_category_sketches(spark, src(), ["X"], path, ckpt)
+    replay_last(tmp_path / "c")
+    got = streams.daily_category_sketches(spark, src(), ["X"], path, ckpt)
+    assert rows(got, "day", "n") == sorted((d.date(), 6000) for d in days)
+    (row,) = history.merged_distinct(got, ["job_category"]).collect()
+    assert row.n == 18000 and abs(row.n_distinct - 12000) <= streams.SKETCH_BOUND * 12000
+
+
+def test_results_without_their_checkpoint_raise(spark, tmp_path):
+    land_postings(spark, tmp_path, [[("a", "d2", D2)]])
+    run = lambda c: streams.upsert_stream(spark, stored_postings(spark), str(tmp_path / "land"), "www.board-a",
+                                          str(tmp_path / "jobs"), str(tmp_path / c))
+    run("c1")
+    with pytest.raises(ValueError, match="another checkpoint"):
+        run("c2")
