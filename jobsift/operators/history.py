@@ -81,6 +81,46 @@ def upsert_history(path: str, day_rows: DataFrame) -> None:
      .partitionBy("date").parquet(path))
 
 
+def signed_counts(changes: DataFrame, categories: DataFrame, new_categories: DataFrame,
+                  vocab: S.Vocabulary = S.DOMAIN) -> DataFrame:
+    """M7 kept from a sync's own changes: one row (total_post, one signed count per category).
+
+    ``changes``: ``sync.sync_changes``; ``categories``: the bridge before the sync; ``new_categories``: what the sync
+    adds. An inserted posting counts +1 in each of its categories, a removed one -1, a changed one in the categories
+    that it gains. Only bridge rows of changed codes are counted; a posting that the sync leaves alone is not read.
+    """
+    names = list(vocab.tracked.values())
+
+    def flags(bridge, prefix):
+        of = category_flags(bridge.join(changes.select("job_code"), "job_code", "left_semi"), vocab)
+        return of.select("job_code", *[F.col(n).alias(f"{prefix}{n}") for n in names])
+
+    rows = changes.join(flags(categories, "_old_"), "job_code", "left").join(flags(new_categories, "_new_"), "job_code", "left")
+    before, after = (F.col("kind").isin(*kinds).cast("int") for kinds in (("changed", "removed"), ("inserted", "changed")))
+    old, new = ({n: F.coalesce(F.col(f"{p}{n}"), F.lit(0)) for n in names} for p in ("_old_", "_new_"))
+    signed = {n: after * F.greatest(old[n], new[n]) - before * old[n] for n in names}
+    return rows.agg(F.coalesce(F.sum(after - before), F.lit(0)).cast("bigint").alias("total_post"),
+                    *[F.coalesce(F.sum(v), F.lit(0)).cast("bigint").alias(n) for n, v in signed.items()])
+
+
+def put_counts(counts: DataFrame, path: str, date: str, sync_name: str) -> None:
+    """Keep one sync's signed counts; the same sync of the day, run again, replaces its own."""
+    counts.write.mode("overwrite").parquet(f"{path}/date={date}/sync={sync_name}")
+
+
+def day_from_counts(spark: SparkSession, history_path: str, counts_path: str, date: str,
+                    vocab: S.Vocabulary = S.DOMAIN) -> DataFrame:
+    """The day's history row: the latest row before the day plus the signed counts of the day's syncs.
+    Reads one row per sync, whatever the table's size; days are taken in order."""
+    counters = ["total_post", *vocab.tracked.values()]
+    day = F.lit(date).cast("date")
+    base = read_history(spark, history_path, vocab).where(F.col("date") < day).orderBy(F.desc("date")).limit(1)
+    schema = ", ".join(f"{c} bigint" for c in counters) + ", date date, sync string"
+    signed = spark.read.schema(schema).parquet(counts_path).where(F.col("date") == day)
+    rows = base.select(*counters).unionByName(signed.select(*counters))
+    return rows.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in counters]).select(day.alias("date"), *counters)
+
+
 def read_history(spark: SparkSession, path: str, vocab: S.Vocabulary = S.DOMAIN) -> DataFrame:
     counters = ["total_post", *vocab.tracked.values()]
     schema = ", ".join(f"{c} bigint" for c in counters) + ", date date"

@@ -13,7 +13,7 @@ import uuid
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from jobsift.functions.predicates import text_match
@@ -35,6 +35,16 @@ def union_sources(*batches: DataFrame) -> DataFrame:
     return out
 
 
+def sync_changes(target: DataFrame, batch: DataFrame, site: str, collation: str | None = None) -> DataFrame:
+    """(job_code, kind): what ``sync_jobs`` does to each code: ``inserted``, ``changed`` (upserted) or
+    ``removed``; codes that it leaves alone have no row. One full join on the unique code."""
+    old = target.select("job_code", _source_match(site, collation).alias("_mine"))
+    new = batch.select("job_code").distinct().withColumn("_new", F.lit(True))
+    kind = (F.when(F.col("_mine").isNull(), F.lit("inserted")).when(F.col("_new").isNotNull(), F.lit("changed"))
+            .when(F.col("_mine"), F.lit("removed")))
+    return old.join(new, "job_code", "full").select("job_code", kind.alias("kind")).where("kind IS NOT NULL")
+
+
 def stale_jobs(target: DataFrame, batch: DataFrame, site: str,
                collation: str | None = None) -> DataFrame:
     """This source's stored rows whose code is not in today's batch."""
@@ -147,9 +157,10 @@ def duplicate_keys(df: DataFrame, keys: list[str], key_collation: str | None = N
             .where(F.col("n") > 1).select(*keys, "n"))
 
 
-def batch_policy(batch: DataFrame, key: str = "job_code",
-                 required: tuple = ("job_code", "job_title", "company_name", "job_location",
-                                    "job_source", "create_date")) -> DataFrame:
+REQUIRED = ("job_code", "job_title", "company_name", "job_location", "job_source", "create_date")
+
+
+def batch_policy(batch: DataFrame, key: str = "job_code", required: tuple = REQUIRED) -> DataFrame:
     """All-or-nothing load. Raises if any key repeats or any required
     column is NULL; otherwise returns the batch unchanged."""
     any_null = reduce(or_, [F.col(c).isNull() for c in required])
@@ -162,6 +173,38 @@ def batch_policy(batch: DataFrame, key: str = "job_code",
     return batch
 
 
+def land_observed(batch: DataFrame, path: str, key: str = "job_code", required: tuple = REQUIRED) -> tuple[DataFrame, dict]:
+    """Write a batch once and know, from that same pass, whether it may be loaded.
+
+    Rows meet on their key on the way to the file, each with how often its key occurs; ``observe`` carries the
+    totals of the written rows to the driver: ``rows``, ``most`` (rows of the most frequent key) and ``nulls`` (rows with a NULL in a
+    required column). Returns (landed batch, totals). A repeated key lands as its smallest row: such a batch is rejected
+    (``commit_observed``) or loaded by ``sync_jobs``, which takes that row as well.
+    """
+    any_null = reduce(or_, [F.col(c).isNull() for c in required])
+    least = F.min(F.struct(*[F.col(c) for c in batch.columns])).alias("_row")
+    met = batch.groupBy(F.col(key).alias("_key")).agg(
+        least, F.count(F.lit(1)).alias("_n"), F.sum(any_null.cast("long")).alias("_nulls"))
+    totals = Observation()
+    met = met.observe(totals, F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"), F.coalesce(F.max("_n"), F.lit(0)).alias("most"),
+                      F.coalesce(F.sum("_nulls"), F.lit(0)).alias("nulls"))
+    met.select("_row.*").write.mode("overwrite").parquet(path)
+    return batch.sparkSession.read.schema(batch.schema).parquet(path), totals.get
+
+
+def commit_observed(target: DataFrame, batch: DataFrame, path: str, step) -> DataFrame:
+    """All-or-nothing load in one scan of the batch: an empty batch leaves ``target`` as it is (M5), a
+    repeated key or a NULL in a required column rejects it (D4, raises), else ``step(target, landed)``."""
+    landed, totals = land_observed(batch, path)
+    if totals["rows"] == 0:
+        return target
+    if totals["most"] > 1:
+        raise ValueError("batch rejected: duplicate keys")
+    if totals["nulls"]:
+        raise ValueError("batch rejected: NULL in a required column")
+    return step(target, landed)
+
+
 def row_policy(batch: DataFrame, rules: dict, order: list[str], key: str = "job_code",
                salts: int = 32) -> tuple[DataFrame, DataFrame]:
     """Row-by-row load: (loaded, rejected with ``reasons``).

@@ -19,7 +19,7 @@ from jobsift.bindings import TEST_VOCAB as V
 from jobsift.bindings import Tables
 from jobsift.functions import dates as D
 from jobsift.functions import text as X
-from jobsift.operators import bookmarks, history, market, ordering, quality, related, search, sync, terms
+from jobsift.operators import bookmarks, history, market, ordering, quality, related, search, search_index, sync, terms
 from jobsift.operators.search import SearchSpec
 from jobsift.session import scratch_path
 from jobsift.sources import html, landing
@@ -119,6 +119,28 @@ def history_upsert(t: Tables) -> DataFrame:
     return history.read_history(t.spark, path, vocab=V)
 
 
+@query
+def history_incremental(t: Tables) -> DataFrame:
+    """M7 + A7 by incremental maintenance: the row of the stored table, then the rows after two sources' syncs
+    on two days, each from the row before and the sync's own changes; every sync's counts are sent twice."""
+    path, counts = scratch_path(t.spark, "history"), scratch_path(t.spark, "signed-counts")
+    every, pairs = (sync.land(df, scratch_path(t.spark, "tables")) for df in (t.job, t.job_category))
+    jobs = every.where(F.col("create_date") < F.lit(B.SYNC_CUTOFF).cast("timestamp_ntz"))
+    bridge = pairs.join(jobs.select("job_code"), "job_code", "left_semi")
+    history.upsert_history(path, history.posting_snapshot(jobs, bridge, "2001-08-31", vocab=V))
+    for site, since, date in ((B.SYNC_SITE, B.SYNC_BATCH_FROM, B.SYNC_LOAD_DATE), ("www.europe", "1997-01-01", "2001-09-02")):
+        batch = every.where(F.col("job_source").contains(site) & (F.col("create_date") >= F.lit(since).cast("timestamp_ntz")))
+        added = pairs.join(batch.select("job_code"), "job_code", "left_semi")
+        for _ in range(2):
+            signed = history.signed_counts(sync.sync_changes(jobs, batch, site), bridge, added, vocab=V)
+            history.put_counts(signed, counts, date, site)
+        history.upsert_history(path, history.day_from_counts(t.spark, path, counts, date, vocab=V))
+        after = sync.land(sync.sync_jobs(jobs, batch, site), scratch_path(t.spark, "synced"))
+        bridge = sync.land(sync.cascade_categories(bridge, added, after), scratch_path(t.spark, "bridge"))
+        jobs = after
+    return history.read_history(t.spark, path, vocab=V)
+
+
 # --- search (P3-P9, P13, L3, L4) ----------------------------------------------
 
 SEARCH = SearchSpec(keyword="BUILDING", location="ASIA", salary="100000")
@@ -178,6 +200,26 @@ def job_lookup(t: Tables) -> DataFrame:
     return search.lookup(t.job, bookmarks.current_bookmarks(t.toggles))
 
 
+def request_table(t: Tables) -> DataFrame:
+    """A search request per supplier: terms with and without wildcards, short ones, other fields, or none."""
+    k = F.col("s_suppkey")
+    words = ["BUILDING", "AUTO_OBILE", "Customer#00000001", "HOUSE%D", "IN", "FURNITURE,O", ""]
+    nation = t.raw("nation").select("n_nationkey", "n_name")
+    return t.raw("supplier").join(F.broadcast(nation), F.col("s_nationkey") == F.col("n_nationkey")).select(
+        k.alias("request_id"),
+        F.element_at(F.array(*[F.lit(w) for w in words]), (k % len(words) + 1).cast("int")).alias("keyword"),
+        F.when(k % 5 == 0, F.lit("1-URGENT")).when(k % 5 == 1, F.lit("5-")).alias("job_title"),
+        F.when((k % 3 != 0) | (k % 7 == 4), F.col("n_name")).otherwise("").alias("location"),
+        F.when(k % 4 == 0, F.lit("100000")).when(k % 4 == 1, F.lit("40000元")).alias("salary"))
+
+
+@query
+def search_request_table(t: Tables) -> DataFrame:
+    """P3, P6, P7, P9 for all requests of a table at once, through the trigram index."""
+    job = sync.land(t.job, scratch_path(t.spark, "jobs"))
+    return search_index.search_requests(job, request_table(t), match="like")
+
+
 # --- related postings and bookmarks (J3-J5, J7, R1, R2, A10, M8) ----------------
 
 @query
@@ -424,6 +466,13 @@ def batch_policy_load(t: Tables) -> DataFrame:
     return sync.batch_policy(landed).select("job_code", "job_title", "job_source", "create_date")
 
 
+@query
+def batch_policy_observed(t: Tables) -> DataFrame:
+    """D4 + M5: today's batch, checked by the totals of the pass that lands it, synced into the stored table."""
+    return sync.commit_observed(t.stored_jobs, t.batch_jobs, scratch_path(t.spark, "batch"),
+                                lambda target, landed: sync.sync_jobs(target, landed, B.SYNC_SITE))
+
+
 LANDED_FILES = 32  # a crawl lands many files; each one is a split of the readers
 CONTRACT_PREFIX = "https://www.board-c.example/job/"
 

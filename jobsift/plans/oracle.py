@@ -304,6 +304,21 @@ UNION ALL
 SELECT DATE '{B.SYNC_LOAD_DATE}', count(DISTINCT s.job_code) AS total_post, {_counters}
 FROM synced s LEFT JOIN cat_set c ON c.job_code = s.job_code""", "old_history", "synced", "cat_set")
 
+SQL["history_incremental"] = with_ctes(f"""
+, second AS (SELECT * FROM job WHERE contains(job_source, 'www.europe') AND create_date >= TIMESTAMP '1997-01-01'),
+later AS (SELECT * FROM synced WHERE NOT contains(job_source, 'www.europe') AND job_code NOT IN (SELECT job_code FROM second)
+          UNION ALL SELECT * FROM second)
+SELECT DATE '2001-08-31' AS date, count(DISTINCT s.job_code) AS total_post, {_counters}
+FROM stored s LEFT JOIN job_category c ON c.job_code = s.job_code
+UNION ALL
+SELECT DATE '{B.SYNC_LOAD_DATE}', count(DISTINCT s.job_code) AS total_post, {_counters}
+FROM synced s LEFT JOIN job_category c ON c.job_code = s.job_code
+UNION ALL
+SELECT DATE '2001-09-02', count(DISTINCT s.job_code) AS total_post, {_counters}
+FROM later s LEFT JOIN job_category c ON c.job_code = s.job_code""", "stored", "synced", "job_category")
+
+SQL["batch_policy_observed"] = with_ctes("SELECT * FROM synced", "synced")
+
 # --- search ----------------------------------------------------------------------
 
 SQL["search_grouped"] = with_ctes(f"SELECT {SEARCH_COLS} FROM job WHERE {GROUPED}", "job")
@@ -325,6 +340,20 @@ SELECT {SEARCH_COLS} FROM job WHERE {EXCLUDE_ANY}
   AND (job_title LIKE '%AUTO_OBILE%' OR company_name LIKE '%AUTO_OBILE%'
        OR job_location LIKE '%AUTO_OBILE%' OR skills LIKE '%AUTO_OBILE%')""", "job")
 
+SQL["search_request_table"] = with_ctes(f"""
+, request AS (
+  SELECT s_suppkey AS request_id,
+         ['BUILDING', 'AUTO_OBILE', 'Customer#00000001', 'HOUSE%D', 'IN', 'FURNITURE,O', ''][s_suppkey % 7 + 1] AS k,
+         CASE WHEN s_suppkey % 5 = 0 THEN '1-URGENT' WHEN s_suppkey % 5 = 1 THEN '5-' ELSE '' END AS t,
+         CASE WHEN s_suppkey % 3 <> 0 OR s_suppkey % 7 = 4 THEN n_name ELSE '' END AS l,
+         CASE WHEN s_suppkey % 4 = 0 THEN 100000 WHEN s_suppkey % 4 = 1 THEN 40000 END AS s
+  FROM supplier JOIN nation ON n_nationkey = s_nationkey)
+SELECT request_id, {SEARCH_COLS} FROM job JOIN request ON {EXCLUDE_ANY}
+  AND (k = '' OR job_title LIKE '%' || k || '%' OR company_name LIKE '%' || k || '%'
+       OR job_location LIKE '%' || k || '%' OR skills LIKE '%' || k || '%')
+  AND (t = '' OR job_title LIKE '%' || t || '%') AND (l = '' OR job_location LIKE '%' || l || '%')
+  AND (s IS NULL OR min_salary > s)""", "job")
+
 SQL["search_collated"] = with_ctes(f"""
 SELECT {SEARCH_COLS} FROM job WHERE {EXCLUDE_ANY}
   AND (contains(lower(job_title), 'building') OR contains(lower(company_name), 'building')
