@@ -13,7 +13,9 @@ inline styles and the page's style sheets (``styles``); of drawings (``svg``) th
 of formulas all but annotations. Rendering keeps
 block spacing (blank lines around paragraphs and headings, line breaks
 around other blocks), list marks and nesting, preformatted text, and tables as
-aligned columns with row and column spans.
+aligned columns with row and column spans. Cell lines longer than ``ALIGN`` ask
+for no column width, and no line is moved right by more than ``MARGIN``, so the
+text is at most a multiple of the page, whatever its widest cell.
 
 Every page is one row; pages are rendered in the tasks that read them, with
 no shuffle. Defined results: null or empty html gives an empty text; broken
@@ -25,8 +27,10 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from bisect import bisect_left
 from collections import Counter
 from html.parser import HTMLParser
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -36,6 +40,7 @@ from pyspark.sql import types as T
 from jobsift.llm.common import fresh, quoted
 from jobsift.llm.styles import Sheet, media_holds
 
+ALIGN, MARGIN = 80, 160  # longest line that is aligned; farthest that spaces move a line
 NESTED = 100
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 blockquote dl figure pre ul ol table fieldset".split())
@@ -438,52 +443,73 @@ class Page:
         caption = []
         for c in captions:
             caption += yield self.lines_of(c.children, deep)
-        taken: dict[int, int] = {}  # column -> rows that a span above still covers
+        covered: list[tuple[int, int, int]] = []  # columns (first, past the last) that a span above covers, rows left
         grid = []
-        for row in rows:
-            cells, at = [], 0
+        for left, row in zip(range(len(rows), 0, -1), rows):
+            cells, new, at, k = [], [], 0, 0
             for cell in row.children:
                 if isinstance(cell, str) or cell.tag not in CELLS:
                     continue
-                while taken.get(at, 0) > 0:
-                    at += 1
-                wide = min(max(whole(cell.attrs.get("colspan"), 1), 1), 1000)
-                tall = min(max(whole(cell.attrs.get("rowspan"), 1), 1), 65534)
+                while k < len(covered) and covered[k][0] <= at:
+                    at, k = max(at, covered[k][1]), k + 1
+                wide = min(max(whole(cell.attrs.get("colspan"), 1), 1), 1000)  # HTML's own limits
+                tall = min(max(whole(cell.attrs.get("rowspan"), 1), 1), 65534, left)
                 cells.append((at, wide, (yield self.lines_of(cell.children, deep)), side_of(cell)))
-                for k in range(at, at + wide):
-                    taken[k] = max(taken.get(k, 0), tall)
+                if tall > 1:
+                    new.append((at, at + wide, tall))
                 at += wide
-            taken = {k: n - 1 for k, n in taken.items() if n > 1}
+            covered = joined([(x, y, n - 1) for x, y, n in [*covered, *new] if n > 1])
             grid.append(cells)
-        widths: dict[int, int] = {}
+        # only columns in which a cell starts can be wide; a span reaches over those among them
+        columns = sorted({at for cells in grid for at, *_ in cells})
+        place = {at: k for k, at in enumerate(columns)}
+        widths = [0] * len(columns)
         for cells in grid:
             for at, wide, lines, _ in cells:
                 if wide == 1:
-                    widths[at] = max(widths.get(at, 0), max(map(width, lines), default=0))
+                    widths[place[at]] = max(widths[place[at]], aligned(lines))
         for cells in grid:
             for at, wide, lines, _ in cells:
                 if wide > 1 and lines:
-                    short = max(map(width, lines)) - sum(widths.get(k, 0) for k in range(at, at + wide)) - 2 * (wide - 1)
+                    a, z = place[at], bisect_left(columns, at + wide)
+                    short = aligned(lines) - sum(widths[a:z]) - 2 * (z - a - 1)
                     if short > 0:
-                        widths[at + wide - 1] = widths.get(at + wide - 1, 0) + short
-        starts, x = {}, 0
-        for k in range(max(widths, default=-1) + 1):
-            starts[k] = x
-            x += widths.get(k, 0) + (2 if widths.get(k, 0) else 0)
+                        widths[z - 1] += short
+        starts = [0, *accumulate(w + 2 if w else 0 for w in widths)]
         out = list(caption)
         for cells in grid:
             for k in range(max((len(c[2]) for c in cells), default=0)):
-                line, filled = "", 0
+                line, filled = [], 0
                 for at, wide, lines, side in cells:
                     if k < len(lines) and lines[k]:
-                        room = sum(widths.get(i, 0) for i in range(at, at + wide)) + 2 * (wide - 1) - width(lines[k])
-                        left = starts.get(at, 0) + (room if side == "right" else room // 2 if side == "center" else 0)
-                        line += " " * max(left - filled, 1 if line else 0) + lines[k]
-                        filled = width(line)
-                out.append(line.rstrip())
+                        a, size = place[at], width(lines[k])
+                        room = max(0, starts[bisect_left(columns, at + wide)] - 2 - starts[a] - size)
+                        left = starts[a] + (room if side == "right" else room // 2 if side == "center" else 0)
+                        own = len(lines[k]) - len(lines[k].lstrip(" "))
+                        pad = max(min(left, MARGIN) - filled, 0)
+                        pad = max(min(pad, MARGIN - own), 1) if line else max(min(pad, MARGIN - own), 0)
+                        line += [" " * pad, lines[k]]
+                        filled += pad + size
+                out.append("".join(line).rstrip())
         return out if any(out) else []
 
 
+def joined(spans: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """Spans in order, those that touch and have as many rows left as one."""
+    out: list[tuple[int, int, int]] = []
+    for span in sorted(spans):
+        if out and out[-1][1] >= span[0] and out[-1][2] == span[2]:
+            out[-1] = (out[-1][0], max(out[-1][1], span[1]), span[2])
+        else:
+            out.append(span)
+    return out
+
+
+def aligned(lines: list[str]) -> int:
+    """The width that a cell asks of its columns: longer lines than ``ALIGN`` stand in their row, unaligned."""
+    return max((w for w in map(width, lines) if w <= ALIGN), default=0)
+
+
 def whole(value: str | None, other: int) -> int:
     m = re.match(r"\s*([-+]?\d{1,9})", value or "")
     return int(m[1]) if m else other

@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -122,3 +124,31 @@ def test_odd_rows(spark):
     assert got.columns == ["page_id", "text", "__text"]
     assert sorted(r["__text"] for r in got.collect()) == ["", "", "", "x"]
     assert extract(df.limit(0)).count() == 0
+
+
+def test_spans_cost_what_their_cells_do():
+    import time
+
+    began = time.perf_counter()
+    page = "<table><tr>" + "<td colspan=1000 rowspan=65534>x" * 400 + "<tr><td>y" * 400 + "</table>"
+    assert visible_text(page).split() == ["x"] * 400 + ["y"] * 400
+    ragged = "<table>" + "".join("<tr>" + "".join(f"<td rowspan={2 + (i * j) % 7}>c" for j in range(60)) for i in range(60)) + "</table>"
+    assert visible_text(ragged).split() == ["c"] * 3600
+    assert time.perf_counter() - began < 5
+
+
+@pytest.mark.parametrize("page", [
+    "<table><tr><td>" + "w" * 40_000 + "</td><td>b</td></tr>" + "<tr><td>a</td><td>b</td></tr>" * 1000 + "</table>",
+    "<table><tr>" + "<td rowspan=900>" + "</td><td rowspan=900>".join(["w" * 70] * 200) + "</td></tr>" + "<tr><td>y" * 500 + "</table>",
+    "<table><tr><td>a</td><td>" * 60 + "<br>".join("x" * 200) + "</table>" * 60,
+])
+def test_output_is_at_most_a_multiple_of_the_page(page):
+    text = visible_text(page)
+    assert len(text) <= 40 * len(page)
+    assert text.replace(" ", "").replace("\n", "") == re.sub(r"<[^>]*>|\s", "", page)
+
+
+def test_columns_below_a_long_cell_stay_aligned():
+    long = "w" * 200
+    assert visible_text(f"<table><tr><td>{long}<td>b<tr><td>aaa<td>b<tr><td>a<td>b</table>").split("\n") == [
+        f"{long} b", "aaa  b", "a    b"]
