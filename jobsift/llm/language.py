@@ -7,7 +7,7 @@ per pair of its languages casts a vote, and most votes win (ties: larger sum
 of margins). A language outside ``FAMILIES`` is a family of its own.
 
 Learnt from at most about ``SAMPLE`` documents in equal shares per language,
-chosen by a hash of the row among those with a language that are not held out
+chosen by a hash of text and language among those with a language that are not held out
 (crc32 of the doc_id's digits, mod 4, is 2). Every document is predicted from
 its text alone.
 
@@ -28,10 +28,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from jobsift.llm.common import arrow_rows, arrow_schema, quoted, row_hash
+from jobsift.llm.common import arrow_rows, arrow_schema, quoted
 from jobsift.llm.textstats import hashed_grams
 
-SAMPLE, DIM, BLOCK = 4000, 2048, 256
+SAMPLE, DIM, BLOCK, LANGUAGES = 4000, 2048, 256, 64
 FAMILIES = {
     "germanic": ("en", "de", "nl", "sv", "da", "no", "nb", "nn", "is", "af"),
     "romance": ("fr", "es", "it", "pt", "ro", "ca", "gl"),
@@ -124,12 +124,16 @@ def held_out(id_col: Column) -> Column:
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text",
-        lang_col: str = "lang") -> Model:
+        lang_col: str = "lang", most: int = LANGUAGES) -> Model:
+    """Fitted on about ``sample`` texts, drawn by a hash of text and language alone, each text once. The
+    ``most`` most frequent languages are learnt, so a column of stray values adds neither machines nor rows on the driver.
+    """
     rows = docs.select(quoted(text_col).cast("string").alias("text"), quoted(lang_col).cast("string").alias("lang"),
-                       F.pmod(row_hash(docs), F.lit(1 << 40)).alias("draw"), held_out(quoted(id_col)).alias("out"),
+                       held_out(quoted(id_col)).alias("out"),
                        quoted(id_col).alias("id"))
     rows = rows.where("NOT out AND lang IS NOT NULL AND text IS NOT NULL AND id IS NOT NULL")
-    per = rows.groupBy("lang").count().collect()  # one row per language
+    rows = rows.withColumn("draw", F.pmod(F.xxhash64("text", "lang"), F.lit(1 << 40)))
+    per = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most).collect()  # one row per language
     limit = {lang: int(min(1.0, sample / len(per) / n) * (1 << 40)) for lang, n in per}
     if not limit:
         return Model(np.zeros((0, DIM), np.float32), np.array([], str))
@@ -142,7 +146,8 @@ def fit(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col:
                 for t, v in zip(*(c.to_pylist() for c in batch.columns)) if has_letter(t))
         return arrow_rows(rows, schema, BLOCK)
 
-    table = rows.where(F.col("draw") < within).select("text", "lang").mapInArrow(run, "x binary, lang string").toArrow()
+    drawn = rows.where(F.col("draw") < within).groupBy("lang", "draw").agg(F.min("text").alias("text"))  # each text once
+    table = drawn.select("text", "lang").mapInArrow(run, "x binary, lang string").toArrow()
     x = np.frombuffer(b"".join(table.column("x").to_pylist()), np.float32).reshape(-1, DIM)
     langs = np.array(table.column("lang").to_pylist(), dtype=str)
     order = np.lexsort([x[:, 0], x[:, 1], x[:, 2], langs])  # the same fit whatever order the tasks end in

@@ -58,3 +58,23 @@ def test_model_without_rows():
     import numpy as np
 
     assert Model(np.zeros((0, 2048), np.float32), np.array([], str)).predict(["text", None]) == [("und", 0.0)] * 2
+
+
+def test_other_columns_change_nothing(docs):
+    from pyspark.sql import functions as F
+
+    plain = sorted((g.doc_id, g.lang_pred, g.score) for g in identify(docs).collect())
+    wide = docs.withColumn("extra", F.lit(1)).withColumn("source", F.lit("elsewhere")).drop("n_chars")
+    assert sorted((g.doc_id, g.lang_pred, g.score) for g in identify(wide).collect()) == plain
+
+
+def test_the_most_frequent_languages_are_learnt(spark):
+    rows = [(i, f"{v} words {i}", v) for i, v in enumerate(["aa", "bb"] * 20 + [f"stray{k}" for k in range(30)])]
+    model = fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), most=2)
+    assert sorted(v for f in model.families.values() for v in f) == ["aa", "bb"]
+
+
+def test_copies_are_learnt_once(spark):
+    rows = [(i, "the same words every time", "en") for i in range(300)] + [(1000 + i, f"autre texte {i}", "fr") for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert {g.lang_pred for g in identify(df).where("doc_id < 1000").collect()} == {"en"}
