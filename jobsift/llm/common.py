@@ -1,7 +1,7 @@
 """Helpers shared by the operators: row identity, salted look-ups, Arrow rows, token ids.
 
 Row identity. Operators never rely on ``doc_id`` being unique or non-null.
-``row_hash`` gives every row a 64-bit hash of all its (hashable) columns; the
+``row_hash`` gives every row a 64-bit hash of all its columns; the
 pair (doc_id, row hash) names a row, and rows that agree in both are
 interchangeable copies.
 
@@ -44,18 +44,19 @@ def quoted(name: str) -> Column:
     return F.col(f"`{name.replace('`', '``')}`")
 
 
-def has_map(kind: T.DataType) -> bool:
-    if isinstance(kind, T.MapType):
+def unhashable(kind: T.DataType) -> bool:
+    """Whether a map or variant is in it, which XXH64 does not take."""
+    if isinstance(kind, T.MapType | T.VariantType):
         return True
     if isinstance(kind, T.ArrayType):
-        return has_map(kind.elementType)
-    return isinstance(kind, T.StructType) and any(has_map(f.dataType) for f in kind.fields)
+        return unhashable(kind.elementType)
+    return isinstance(kind, T.StructType) and any(unhashable(f.dataType) for f in kind.fields)
 
 
 def row_hash(df: DataFrame) -> Column:
-    """Hash of all columns that can be hashed, null flags included (XXH64 skips nulls)."""
-    names = [f.name for f in df.schema.fields if not has_map(f.dataType) and not isinstance(f.dataType, T.VariantType)]
-    return F.xxhash64(*[x for n in names for x in (quoted(n), quoted(n).isNull())])
+    """Hash of all columns, null flags included (XXH64 skips nulls); maps and variants count as their JSON."""
+    cols = [F.to_json(F.struct(quoted(f.name))) if unhashable(f.dataType) else quoted(f.name) for f in df.schema.fields]
+    return F.xxhash64(*[x for c in cols for x in (c, c.isNull())])
 
 
 def salt_of(*cols: Column) -> Column:
@@ -105,8 +106,7 @@ def one_row_each(docs: DataFrame, chosen: DataFrame, id_col: str = "doc_id", cop
     """The rows of ``docs`` named by ``chosen`` (doc_id, row_hash): each name once, or ``copies`` times.
 
     One shuffle of the rows by their name. Rows that share doc_id and all
-    columns are one name; should two rows still differ (columns that cannot be
-    hashed), the smallest stays.
+    columns are one name and alike, so any of them stands for the others.
     """
     a, b = fresh(docs, "row_id"), fresh(docs, "row_hash")
     n = fresh(docs, "row_copies")

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from jobsift.llm.common import arrow_rows, arrow_schema, quoted, row_hash
+from jobsift.llm.common import arrow_rows, arrow_schema, quoted
 from jobsift.llm.textstats import Counts, hashed_grams
 
 SAMPLE = 4000
@@ -142,8 +142,8 @@ def cut_of(good: np.ndarray, bad: np.ndarray) -> float:
 
 def fit(docs: DataFrame, sample: int = SAMPLE, text_col: str = "text"):
     """(posterior of each pattern, scorer weights or None, cut) learnt from all documents."""
-    body = docs.select(quoted(text_col).cast("string").cast("binary").alias("body"),
-                       F.pmod(row_hash(docs), F.lit(1 << 40)).alias("draw"))
+    body = docs.select(quoted(text_col).cast("string").cast("binary").alias("body"))
+    body = body.withColumn("draw", F.pmod(F.xxhash64("body"), F.lit(1 << 40)))
 
     def patterns(batches):
         seen: dict[int, int] = {}
@@ -163,7 +163,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE, text_col: str = "text"):
     n_good, n_bad = count[good[code] > 0.5].sum(), count[good[code] <= 0.5].sum()
     if not n_good or not n_bad:
         return good, None, 0.5
-    # chosen by the row's hash: reruns agree, and a text with many copies takes its share, not more
+    # chosen by the text's hash, each text once: reruns agree, no other column counts, copies do not fill the sample
     part = {True: min(1.0, sample / 2 / n_good), False: min(1.0, sample / 2 / n_bad)}
 
     def chosen(batches):
@@ -178,7 +178,8 @@ def fit(docs: DataFrame, sample: int = SAMPLE, text_col: str = "text"):
     schema = arrow_schema("x binary, y double")
     # only rows that either half could take are looked at again
     most = int(max(part.values()) * (1 << 40))
-    rows = body.where(F.col("draw") < most).select("body", (F.col("draw") / float(1 << 40)).alias("u"))
+    rows = body.where(F.col("draw") < most).groupBy("draw").agg(F.min("body").alias("body"))
+    rows = rows.select("body", (F.col("draw") / float(1 << 40)).alias("u"))
     table = rows.mapInArrow(chosen, "x binary, y double").toArrow()
     x = np.frombuffer(b"".join(table.column("x").to_pylist()), np.float32).reshape(-1, DIM + LEVELS + 1)
     y = table.column("y").to_numpy()

@@ -75,3 +75,19 @@ def test_odd_rows_through_every_stage(spark, odd, none, sf):
     assert near.count() == len(set(groups))
     assert sorted_rows(near.select("doc_id").where("doc_id = 3")) == [(3,)]
     assert np.array(groups).size == odd.count()
+
+
+def test_rows_that_differ_in_a_map_or_variant_only(spark):
+    from pyspark.sql import functions as F
+
+    from jobsift.llm.common import one_row_each, row_hash
+
+    docs = spark.createDataFrame([(1, "a", {"k": "1"}), (1, "a", {"k": "2"}), (1, "a", None), (2, "b", {})],
+                                 "doc_id long, text string, more map<string,string>")
+    docs = docs.withColumn("nested", F.array(F.struct("more"))).withColumn(
+        "v", F.parse_json(F.concat(F.lit('{"x": '), F.coalesce(F.get(F.map_values("more"), 0), F.lit("null")), F.lit("}"))))
+    chosen = docs.select("doc_id", row_hash(docs).alias("row_hash"), F.lit(2).alias("copies"))
+    assert chosen.select("row_hash").distinct().count() == 4
+    shown = lambda df: sorted((r.doc_id, str(r.more)) for r in df.select("doc_id", "more").collect())
+    assert shown(one_row_each(docs, chosen)) == shown(docs)
+    assert shown(one_row_each(docs, chosen, copies="copies")) == sorted(shown(docs) * 2)

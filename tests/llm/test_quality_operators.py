@@ -145,3 +145,12 @@ def test_cut_is_taken_over_all_documents(spark, monkeypatch):
     best = min(map(missed, {0.5, *(s for s in got.score if s <= 0.5)}))
     assert 0 < model[2] <= 0.5 and missed(model[2]) <= best + 0.002
     assert (got.kept == (got.score >= model[2])).all()
+
+
+def test_other_columns_and_copies_change_no_verdict(spark):
+    from pyspark.sql import functions as F
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    plain = sorted((r.doc_id, r.kept, r.score) for r in qc.classify(docs).collect())
+    wide = docs.withColumn("extra", F.lit(7)).withColumn("lang", F.lit("xx"))
+    assert sorted((r.doc_id, r.kept, r.score) for r in qc.classify(wide).collect()) == plain
