@@ -29,6 +29,7 @@ HEADLINE = [
     "reject_report", "page_text", "page_records", "term_frequency", "term_top_by_lang", "skill_terms_by_category",
     "html_detail_roundtrip", "json_detail_roundtrip", "page_embedded_json", "extracted_contract",
     "stream_toggle_state", "stream_daily_users", "stream_category_counts", "stream_dedupe", "stream_upsert",
+    "search_request_table", "history_incremental", "stream_category_sketches",
 ]
 
 
