@@ -63,9 +63,13 @@ def strip_ws(col) -> Column:
 
 # --- HTML --------------------------------------------------------------------
 
+def unescaped(text: str) -> str:
+    return html.unescape(text).replace("\xa0", " ")
+
+
 @F.pandas_udf(T.StringType())
 def _unescaped(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda x: html.unescape(x).replace("\xa0", " ") if isinstance(x, str) and "&" in x else x)
+    return texts.map(lambda x: unescaped(x) if isinstance(x, str) and "&" in x else x)
 
 
 def unescape_html(col) -> Column:

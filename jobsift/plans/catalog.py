@@ -352,12 +352,9 @@ def first_wins_dedupe(t: Tables) -> DataFrame:
     return sync.first_wins(t.listing, "job_code", ["category_pos", "page", "pos"])
 
 
-@query
-def listing_roundtrip(t: Tables) -> DataFrame:
-    """S2 + P17 + D2: listing pages of 30 codes per tracked category (code
-    order, a company link first on every page), landed as JSON, read back
-    into codes, then deduplicated first-wins in crawl order. Positions are
-    numbered per category without a single-task window (``ordering``)."""
+def listing_pages(t: Tables) -> DataFrame:
+    """(category_pos, page, data): listing pages of 30 codes per tracked category (code order, a company
+    link first on every page). Positions are numbered per category without a single-task window (``ordering``)."""
     tracked = list(V.tracked)
     pairs = (t.job_category.where(F.col("job_category").isin(tracked))
              .select("job_code", "job_category").distinct())
@@ -372,16 +369,39 @@ def listing_roundtrip(t: Tables) -> DataFrame:
     pages = items.groupBy("category_pos", "page").agg(  # at most 30 items per page
         F.array_sort(F.collect_list(F.struct("pos", "item"))).alias("_items"))
     company = link(F.concat(F.lit("//www.board-a.example/company/"), F.col("page").cast("string")))
-    docs = pages.select("category_pos", "page", F.struct(
+    return pages.select("category_pos", "page", F.struct(
         F.concat(F.array(company), F.transform("_items", lambda x: x["item"])).alias("list")).alias("data"))
+
+
+PAGE_FIELDS = [T.StructField("category_pos", T.IntegerType()), T.StructField("page", T.IntegerType())]
+
+
+@query
+def listing_roundtrip(t: Tables) -> DataFrame:
+    """S2 + P17 + D2: the listing pages landed as JSON, read back into codes, then deduplicated
+    first-wins in crawl order."""
     path = scratch_path(t.spark, "listing")
-    docs.write.json(path)
-    codes = landing.listing_codes(t.spark, path, multi_line=False, page_fields=[
-        T.StructField("category_pos", T.IntegerType()), T.StructField("page", T.IntegerType())])
+    listing_pages(t).write.json(path)
+    codes = landing.listing_codes(t.spark, path, multi_line=False, page_fields=PAGE_FIELDS)
     return sync.first_wins(codes.select("job_code", "category_pos", "page", "pos"),
                            "job_code", ["category_pos", "page", "pos"])
 
 
+@query
+def listing_until_empty(t: Tables) -> DataFrame:
+    """The same pages, some landed empty and some not at all; every listing ends at its first such page.
+    Category c has its page 2c + 1 emptied if c is even, and lost if it is odd."""
+    gap = F.col("page") == 2 * F.col("category_pos") + 1
+    even = F.col("category_pos") % 2 == 0
+    emptied = F.struct(F.filter("data.list", lambda x: F.lit(False)).alias("list"))
+    path = scratch_path(t.spark, "listing")
+    (listing_pages(t).where(~(gap & ~even)).withColumn("data", F.when(gap, emptied).otherwise(F.col("data")))
+     .write.json(path))
+    pages = landing.read_listing_pages(t.spark, path, PAGE_FIELDS)
+    read = landing.until_first_empty(pages, ["category_pos"])
+    return landing.page_codes(read, ["category_pos", "page"]).select("job_code", "category_pos", "page", "pos")
+
+
 @query
 def listing_duplicates(t: Tables) -> DataFrame:
     return sync.duplicate_keys(t.listing, ["job_code"])
@@ -567,6 +587,29 @@ def page_embedded_json(t: Tables) -> DataFrame:
         F.col("page_id").alias("event_id"), F.col("doc.k").alias("k"))
 
 
+@query
+def page_variant_fields(t: Tables) -> DataFrame:
+    """S8 + F26: nested documents of no fixed schema in page attributes: some have no pay, some a pay that is no
+    number, some are cut off. Fields are read by path, wrong types named, malformed text kept apart."""
+    k = F.get_json_object("props", "$.k")
+    code = F.concat(F.lit("e"), F.col("event_id").cast("string"))
+    tail = (F.when(F.col("event_id") % 3 == 0, F.lit("}}"))
+            .when(F.col("event_id") % 5 == 0, F.lit(',"pay":{"min":"by agreement"}}}'))
+            .when(F.col("event_id") % 11 == 0, F.lit(',"pay":{"min":null}}}'))
+            .otherwise(F.concat(F.lit(',"pay":{"min":'), k, F.lit("}}}"))))
+    doc = F.concat(F.lit('{"job":{"code":"'), code, F.lit('","tags":["'), F.col("event_type"), F.lit('","x&y"]'), tail)
+    doc = F.when(F.col("event_id") % 7 == 0, F.left(doc, F.length(doc) - 1)).otherwise(doc)
+    for raw, entity in (("&", "&amp;"), ('"', "&quot;")):
+        doc = F.replace(doc, F.lit(raw), F.lit(entity))
+    page = F.concat(F.lit('<html><body><input value="'), doc, F.lit('" type=hidden id=jobDetailJson></body></html>'))
+    path = scratch_path(t.spark, "variant-pages")
+    t.raw("events").select(F.col("event_id").alias("page_id"), page.alias("html")).write.parquet(path)
+    docs = html.embedded_variant(t.spark.read.parquet(path), "jobDetailJson")
+    fields = {"code": ("$.job.code", "string"), "pay_min": ("$.job.pay.min", "bigint"), "tag": ("$.job.tags[0]", "string"),
+              "second_tag": ("$.job.tags[1]", "string")}
+    return html.variant_fields(docs, fields, ["page_id", "malformed"])
+
+
 @query
 def article_codes(t: Tables) -> DataFrame:
     """S4 + S6: postings listed as article blocks, 20 a page, among other

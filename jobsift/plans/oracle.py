@@ -492,6 +492,18 @@ SELECT job_code, category_pos, page, pos FROM (
                     WHERE job_category IN {TRACKED_SQL}))))
 WHERE first = 1""", "job_category")
 
+SQL["listing_until_empty"] = with_ctes(f"""
+SELECT job_code, category_pos, page, pos
+FROM (SELECT job_code,
+             CAST(list_position({TRACKED}, job_category) AS INTEGER) AS category_pos,
+             CAST((rn - 1) // 30 + 1 AS INTEGER) AS page,
+             CAST((rn - 1) % 30 + 1 AS INTEGER) AS pos
+      FROM (SELECT job_code, job_category,
+                   row_number() OVER (PARTITION BY job_category ORDER BY job_code) AS rn
+            FROM (SELECT DISTINCT job_code, job_category FROM job_category
+                  WHERE job_category IN {TRACKED_SQL})))
+WHERE page < 2 * category_pos + 1""", "job_category")
+
 SQL["listing_duplicates"] = with_ctes("""
 SELECT job_code, COUNT(*) AS n FROM listing GROUP BY 1 HAVING COUNT(*) > 1""", "listing")
 
@@ -586,6 +598,18 @@ SQL["embedded_json"] = "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGI
 
 SQL["page_embedded_json"] = "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events"
 
+SQL["page_variant_fields"] = """
+SELECT page_id, IF(cut, substr(doc, 1, length(doc) - 1), NULL) AS malformed, IF(cut, NULL, code) AS code,
+       IF(cut OR page_id % 3 = 0 OR page_id % 5 = 0 OR page_id % 11 = 0, NULL, k) AS pay_min,
+       IF(cut, NULL, event_type) AS tag, IF(cut, NULL, 'x&y') AS second_tag,
+       IF(NOT cut AND page_id % 3 <> 0 AND page_id % 5 = 0, 'pay_min', '') AS wrong
+FROM (SELECT *, '{"job":{"code":"' || code || '","tags":["' || event_type || '","x&y"]' || CASE
+               WHEN page_id % 3 = 0 THEN '}}' WHEN page_id % 5 = 0 THEN ',"pay":{"min":"by agreement"}}}'
+               WHEN page_id % 11 = 0 THEN ',"pay":{"min":null}}}'
+               ELSE ',"pay":{"min":' || CAST(k AS VARCHAR) || '}}}' END AS doc
+      FROM (SELECT event_id AS page_id, event_type, 'e' || CAST(event_id AS VARCHAR) AS code, event_id % 7 = 0 AS cut,
+                   CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events))"""
+
 SQL["article_codes"] = with_ctes("""
 SELECT job_code FROM job""", "job")
 

@@ -141,16 +141,42 @@ def detail_records(pages: DataFrame, url_col: str = "url", html_col: str = "html
     )
 
 
-def embedded_json(pages: DataFrame, element_id: str, schema, html_col: str = "html") -> DataFrame:
-    """JSON held in the attribute ``value`` of the element with
-    ``id=element_id``, whatever the order and quotes of its attributes,
-    entity-unescaped, then parsed (NULL when malformed)."""
+def _held_value(element_id: str):
+    """Arrow UDF: the attribute ``value`` of a page's first element with the id, entities decoded once more
+    after the parser (pages carry the JSON escaped twice); NULL without the element or the attribute."""
 
     @F.pandas_udf("string")
     def value(htmls: pd.Series) -> pd.Series:
         def one(h):
-            found = (e for e in dom.parse(h or "").walk() if e.attrs.get("id") == element_id)
-            return next((e.attrs.get("value") for e in found), None)
+            if not h or (element_id not in h and "&" not in h):
+                return None
+            found = (e for e in dom.parse(h).walk() if e.attrs.get("id") == element_id)
+            held = next((e.attrs.get("value") for e in found), None)
+            return None if held is None else X.unescaped(held)
         return htmls.map(one)
 
-    return pages.withColumn("doc", F.from_json(X.unescape_html(value(html_col)), schema))
+    return value
+
+
+def embedded_json(pages: DataFrame, element_id: str, schema, html_col: str = "html") -> DataFrame:
+    """JSON held in the attribute ``value`` of the element with
+    ``id=element_id``, whatever the order and quotes of its attributes,
+    entity-unescaped, then parsed (NULL when malformed)."""
+    return pages.withColumn("doc", F.from_json(_held_value(element_id)(html_col), schema))
+
+
+def embedded_variant(pages: DataFrame, element_id: str, html_col: str = "html") -> DataFrame:
+    """S8/F26 without a schema: the document as VARIANT in ``doc``; text that is no JSON stands in
+    ``malformed`` (NULL otherwise), so no page is lost. Pages without the element have neither."""
+    held = pages.withColumn("_held", _held_value(element_id)(html_col))
+    return (held.withColumn("doc", F.try_parse_json("_held"))
+            .withColumn("malformed", F.when(F.col("doc").isNull(), F.col("_held"))).drop("_held"))
+
+
+def variant_fields(df: DataFrame, fields: dict, keep=("page_id",), doc_col: str = "doc") -> DataFrame:
+    """Fields of a VARIANT document: ``fields`` maps a name to (JSON path, type). A missing field, a JSON null and a
+    value of another type are NULL; ``wrong`` lists the names of the latter, comma-joined ('' for none)."""
+    typed = {name: F.try_variant_get(doc_col, path, kind) for name, (path, kind) in fields.items()}
+    there = {name: F.try_variant_get(doc_col, path, "variant") for name, (path, _) in fields.items()}
+    wrong = [F.when(there[n].isNotNull() & ~F.is_variant_null(there[n]) & typed[n].isNull(), F.lit(n)) for n in fields]
+    return df.select(*keep, *[c.alias(n) for n, c in typed.items()], F.concat_ws(",", *wrong).alias("wrong"))

@@ -35,6 +35,42 @@ def listing_codes(spark: SparkSession, path: str, pattern: str = S.CODE_PATTERNS
             .where(F.col("job_code").isNotNull()))
 
 
+def until_first_empty(pages: DataFrame, by: list[str], page_col: str = "page", items: str = "data.list",
+                      first_page: int = 1) -> DataFrame:
+    """The pages that a crawl reads: of every listing (``by``), page ``first_page`` and on, up to the first
+    page that is empty or missing. Pages after such a gap give no codes.
+
+    The end is the least page that is no filled page but follows one (or is the first): an anti join on
+    (listing, page) and a minimum per listing, combined map-side; no listing is ordered in one task. Pages meet
+    their listing's end by (listing, salt of 32), so a listing with a third of all pages is spread. A page landed
+    twice is filled if one copy is. NULL page numbers, a NULL listing and pages before ``first_page`` are not read.
+    """
+    salts = 32
+    keys = [F.col(c) for c in by]
+    numbered = pages.where(F.col(page_col) >= first_page)
+    filled = numbered.where(F.size(items) > 0).select(*keys, F.col(page_col).cast("long").alias("_p")).distinct()
+    begin = numbered.select(*keys).distinct().withColumn("_p", F.lit(first_page).cast("long"))
+    asked = filled.withColumn("_p", F.col("_p") + 1).unionByName(begin)
+    end = asked.join(filled, [*by, "_p"], "left_anti").groupBy(*by).agg(F.min("_p").alias("_end"))
+    end = end.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    salted = numbered.withColumn("_salt", F.pmod(F.xxhash64(page_col), F.lit(salts)).cast("int"))
+    return (salted.join(end, [*by, "_salt"]).where(F.col(page_col) < F.col("_end"))
+            .select(*pages.columns))
+
+
+def read_listing_pages(spark: SparkSession, path: str, page_fields: list, multi_line: bool = False) -> DataFrame:
+    """Landed listing pages, one row a page: (*page_fields, data)."""
+    schema = T.StructType(list(page_fields) + list(S.JSON_LISTING.fields))
+    return spark.read.schema(schema).json(path, multiLine=multi_line)
+
+
+def page_codes(pages: DataFrame, keep: list[str], pattern: str = S.CODE_PATTERNS["json_board"]) -> DataFrame:
+    """(*keep, pos, job_code) of listing pages; items without a job link are dropped."""
+    return (pages.select(*keep, F.posexplode("data.list").alias("pos", "item"))
+            .select(*keep, "pos", X.extract_code("item.link.job", pattern).alias("job_code"))
+            .where(F.col("job_code").isNotNull()))
+
+
 def listing_offsets(totals: DataFrame, total_col: str = "total", page_size: int = S.LISTING_PAGE_SIZE) -> DataFrame:
     """The listing requests a crawler issues for a result total: pages
     ``0 .. total div page_size`` at offset ``page * page_size``, one row each.

@@ -254,3 +254,54 @@ def test_backup_to_a_scheme_qualified_uri(spark, tmp_path):
     back = landing.read_backup(spark, uri, source="board-a", load_date="2024-05-24").collect()
     assert [(r.job_code, r.source, str(r.snapshot_date)) for r in back] == [("c1", "board-a", "2024-05-24")]
     assert landing.read_backup(spark, uri).count() == 3
+
+
+def _pages(spark, items):
+    return spark.createDataFrame(
+        [(c, p, None if n is None else ([(((f"/job/c{c}p{p}i{i}?"),),) for i in range(n)],)) for c, p, n in items],
+        "c int, page int, data struct<list:array<struct<link:struct<job:string>>>>")
+
+
+def test_listing_ends_at_the_first_empty_or_missing_page(spark):
+    pages = _pages(spark, [
+        (1, 1, 2), (1, 2, 1), (1, 3, 0), (1, 4, 2),  # an empty page
+        (2, 1, 1), (2, 3, 1),                        # a missing page
+        (3, 2, 1),                                   # no first page
+        (4, 1, None), (4, 2, 1),                     # a page without a list
+        (5, 1, 1), (5, 1, 0), (5, 2, 1),             # landed twice, filled once
+        (6, 0, 1), (6, 1, 1), (6, None, 1), (None, 1, 1)])
+    got = landing.until_first_empty(pages, ["c"])
+    assert got.columns == pages.columns
+    assert rows(got.where("size(data.list) > 0"), "c", "page") == [(1, 1), (1, 2), (2, 1), (5, 1), (5, 2), (6, 1)]
+    codes = landing.page_codes(got, ["c", "page"])
+    assert rows(codes.where("c = 1"), "pos", "job_code") == [(0, "c1p1i0"), (0, "c1p2i0"), (1, "c1p1i1")]
+    assert landing.until_first_empty(pages.limit(0), ["c"]).count() == 0
+
+
+def test_listing_end_against_a_crawl_loop(spark):
+    import random
+    rnd = random.Random(5)
+    landed = {(c, p): rnd.choice([0, 1, 1, 1, 1, 1, 1]) for c in range(20) for p in range(1, 15) if rnd.random() > 0.05}
+    want = set()
+    for c in range(20):
+        p = 1
+        while landed.get((c, p)):
+            want.add((c, p))
+            p += 1
+    got = landing.until_first_empty(_pages(spark, [(c, p, n) for (c, p), n in landed.items()]), ["c"])
+    assert set(rows(got, "c", "page")) == want
+
+
+def test_variant_fields_by_path(spark):
+    def page(text):
+        return f"<p>&amp;</p><input id=x value='{text}'>"
+    df = spark.createDataFrame([
+        (1, page('{"a":{"b":[1,{"c":"t"}]},"n":"12"}')), (2, page('{"a":[],"n":"many"}')), (3, page('{"a":{"b":null},"n":null}')),
+        (4, page('{"a":')), (5, "<p>none</p>"), (6, None), (7, page("[1,2]")), (8, "<input value='{}' id='&#120;'>"),
+        (9, page("{&amp;quot;n&amp;quot;:3}"))], "page_id int, html string")
+    docs = html.embedded_variant(df, "x")
+    got = html.variant_fields(docs, {"c": ("$.a.b[1].c", "string"), "n": ("$.n", "bigint")}, ["page_id", "malformed"])
+    assert rows(got, "page_id", "c", "n", "wrong") == [
+        (1, "t", 12, ""), (2, None, None, "n"), (3, None, None, ""), (4, None, None, ""), (5, None, None, ""),
+        (6, None, None, ""), (7, None, None, ""), (8, None, None, ""), (9, None, 3, "")]
+    assert {r.page_id: r.malformed for r in got.collect() if r.malformed is not None} == {4: '{"a":'}
