@@ -138,9 +138,9 @@ def parse_extracted(texts: DataFrame, text_col: str = "text", key_col: str = "jo
                          F.coalesce(F.array_sort("_keys") == wanted, F.lit(False)).alias("keys_ok"))
 
 
-def check_extracted(parsed: DataFrame, vocab: S.Vocabulary = S.DOMAIN, source_prefix: str | None = None,
-                    run_date: str | None = None) -> DataFrame:
-    """Q3-Q7 on parsed output: (key, reasons); empty reasons = accepted.
+def tag_extracted(parsed: DataFrame, vocab: S.Vocabulary = S.DOMAIN, source_prefix: str | None = None,
+                  run_date: str | None = None) -> DataFrame:
+    """Q3-Q7 on parsed output: its columns and ``reasons``; empty reasons = accepted.
 
     ``source_prefix``, ``run_date`` (yyyy-MM-dd): Q7, the source must be the
     prefix and the code, and the load date must be the run's. Nothing more
@@ -155,5 +155,11 @@ def check_extracted(parsed: DataFrame, vocab: S.Vocabulary = S.DOMAIN, source_pr
     if run_date is not None:
         rules["create_date"] = F.coalesce(F.left("create_date", F.lit(10)) != F.lit(run_date), F.lit(True))
     tagged = with_reasons(parsed, rules)
-    reasons = F.when(F.col("malformed"), F.lit("malformed")).otherwise(F.col("reasons"))
-    return tagged.select(F.col("_key").alias("job_code"), reasons.alias("reasons"))
+    return tagged.withColumn("reasons", F.when(F.col("malformed"), F.lit("malformed")).otherwise(F.col("reasons")))
+
+
+def check_extracted(parsed: DataFrame, vocab: S.Vocabulary = S.DOMAIN, source_prefix: str | None = None,
+                    run_date: str | None = None) -> DataFrame:
+    """(key, reasons) of ``tag_extracted``."""
+    tagged = tag_extracted(parsed, vocab, source_prefix, run_date)
+    return tagged.select(F.col("_key").alias("job_code"), "reasons")

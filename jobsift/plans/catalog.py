@@ -19,10 +19,10 @@ from jobsift.bindings import TEST_VOCAB as V
 from jobsift.bindings import Tables
 from jobsift.functions import dates as D
 from jobsift.functions import text as X
-from jobsift.operators import bookmarks, history, market, ordering, quality, related, search, search_index, sync, terms
+from jobsift.operators import bookmarks, heavy_hitters, history, market, ordering, quality, related, search, search_index, sync, terms
 from jobsift.operators.search import SearchSpec
 from jobsift.session import scratch_path
-from jobsift.sources import html, landing
+from jobsift.sources import html, landing, normalise
 from jobsift.streaming import jobs as streams
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -538,6 +538,39 @@ def extracted_contract(t: Tables) -> DataFrame:
     return quality.check_extracted(quality.parse_extracted(model_output(t)), V, CONTRACT_PREFIX, B.SYNC_LOAD_DATE)
 
 
+def board_texts(t: Tables) -> DataFrame:
+    """(board, code, text): every posting as one of two boards writes it, JSON or labelled lines, some broken,
+    and some of a board that has no step."""
+    k = F.substring("job_code", 2, 20).cast("long")
+    kinds = F.element_at(F.array(F.array(F.lit("LARGE")), F.array(F.lit("SMALL"), F.lit("LARGE")), F.array(F.lit("PROMO")),
+                                 F.array().cast("array<string>")), (k % 4 + 1).cast("int"))
+    low = F.when(k % 37 == 0, F.lit('"n/a"')).otherwise(F.col("min_salary").cast("string"))
+    doc = F.concat(F.lit('{"name":"'), "job_title", F.lit('","corp":"'), "company_name", F.lit('","lo":'), low,
+                   F.lit(',"hi":'), F.col("max_salary").cast("string"), F.lit(',"kinds":'), F.to_json(kinds), F.lit("}"))
+    doc = F.when(k % 41 == 0, F.left(doc, F.length(doc) - 1)).otherwise(doc)
+    pay = F.when(k % 41 == 0, F.lit("open")).otherwise(F.format_number("min_salary", 0))
+    lines = F.concat_ws("\n", F.concat(F.lit("Position: "), "job_title"), F.concat(F.lit(" Pay from : "), pay),
+                        F.lit("Hours: 9:00"), F.concat(F.lit("Kinds: "), F.array_join(kinds, ", ")))
+    return t.job.select(
+        F.when(k % 101 == 0, "new_board").when(k % 3 == 0, "lines_board").otherwise("doc_board").alias("board"),
+        F.col("job_code").alias("code"), F.when(k % 3 == 0, lines).otherwise(doc).alias("text"))
+
+
+@query
+def normalised_boards(t: Tables) -> DataFrame:
+    """S3 + S5 + Q3-Q5: texts of two boards landed, brought into contract records by each board's own step, checked by the
+    contract's rules; failing pages and unknown boards come back with a reason."""
+    path = scratch_path(t.spark, "boards")
+    board_texts(t).write.partitionBy("board").parquet(path)
+    pages = t.spark.read.schema("code string, text string, board string").parquet(path)
+    steps = {"doc_board": normalise.json_step({"name": "job_title", "corp": "company_name", "lo": "min_salary",
+                                               "hi": "max_salary", "kinds": "category"}),
+             "lines_board": normalise.lines_step({"Position": "job_title", "Pay from": "min_salary", "Kinds": "category"})}
+    return normalise.normalise(pages, steps, V).select(
+        "board", "page_code", "job_title", "company_name", "min_salary", "max_salary",
+        F.array_join("category", "|").alias("categories"), "reasons")
+
+
 # --- pages and text extraction (S4-S8, F6-F26) -------------------------------------
 
 @query
@@ -699,6 +732,12 @@ def term_weight(t: Tables) -> DataFrame:
     return terms.term_weights(terms.top_terms(t.texts("documents").select("text")))
 
 
+@query
+def term_top_bounded(t: Tables) -> DataFrame:
+    """A9 + L6: the 400 top terms of all documents by a summary of counters per task and an exact count of its candidates."""
+    return heavy_hitters.top_terms(t.texts("documents"))
+
+
 @query
 def term_top_by_lang(t: Tables) -> DataFrame:
     return terms.top_terms_by(t.texts("documents").select("lang", "text"), "lang")

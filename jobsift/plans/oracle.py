@@ -659,6 +659,10 @@ SELECT term, n, CAST(n AS DOUBLE) / CAST(max(n) OVER () AS DOUBLE) AS weight FRO
 SELECT term, n FROM {_terms("SELECT text FROM documents")} t
 ORDER BY n DESC, term LIMIT 400)"""
 
+SQL["term_top_bounded"] = f"""
+SELECT term, n FROM {_terms("SELECT text FROM documents")} t
+ORDER BY n DESC, term LIMIT 400"""
+
 SQL["term_top_by_lang"] = f"""
 SELECT lang, term, n, rank FROM (
   SELECT lang, term, n, CAST(row_number() OVER (PARTITION BY lang ORDER BY n DESC, term) AS INTEGER) AS rank
@@ -738,6 +742,21 @@ SELECT job_code, CASE WHEN k % 73 = 0 THEN 'malformed' ELSE concat_ws(',',
   CASE WHEN k % 67 = 0 THEN 'create_date' END) END AS reasons
 FROM out""".lstrip(), "job", "job_category")
 
+SQL["normalised_boards"] = with_ctes("""
+SELECT board, job_code AS page_code, IF(ok, job_title, NULL) AS job_title,
+       IF(ok AND board = 'doc_board', company_name, NULL) AS company_name, IF(ok, min_salary, NULL) AS min_salary,
+       IF(ok AND board = 'doc_board', max_salary, NULL) AS max_salary,
+       CASE WHEN ok THEN CASE k % 4 WHEN 0 THEN 'LARGE' WHEN 1 THEN 'SMALL|LARGE' WHEN 2 THEN 'PROMO' ELSE '' END END
+         AS categories,
+       CASE WHEN board = 'new_board' THEN 'no_step'
+            WHEN k % 41 = 0 THEN IF(board = 'doc_board', 'failed:JSONDecodeError', 'failed:ValueError')
+            WHEN NOT ok THEN 'failed:type_min_salary'
+            WHEN k % 4 = 2 THEN 'category_vocabulary'
+            WHEN k % 4 = 3 THEN IF(board = 'doc_board', 'category_count', 'category_vocabulary') ELSE '' END AS reasons
+FROM (SELECT *, board <> 'new_board' AND k % 41 <> 0 AND NOT (board = 'doc_board' AND k % 37 = 0) AS ok
+      FROM (SELECT *, CASE WHEN k % 101 = 0 THEN 'new_board' WHEN k % 3 = 0 THEN 'lines_board' ELSE 'doc_board' END AS board
+            FROM (SELECT *, CAST(substr(job_code, 2) AS BIGINT) AS k FROM job)))""", "job")
+
 SQL["bookmark_apply"] = with_ctes("""
 SELECT user_id, job_code FROM toggles GROUP BY 1, 2 HAVING COUNT(*) % 2 = 1""", "toggles")
 
