@@ -11,30 +11,34 @@ Texts are equal when identical after lower-casing A-Z. Three steps:
 2. Partial rows are dealt by (length, content hash) and sorted by it. The
    owners' trie of one (length, hash) takes the full strings, so that strings
    that merely collide stay apart; it closes when the next key begins.
-3. Rows look up their owner by (SHA-256, salt), see ``common``.
+3. Rows look up their owner by (SHA-256, salt), see ``common``. Rows alike in
+   every column are counted per batch and spread by batch, so that a third of the
+   table may be one row (``digests``).
 
 Defined results: null text counts as empty; null doc_id loses against any
 id; rows equal in doc_id are ranked by the hash of all their columns; of rows
 alike in every column one is kept; an empty table gives an empty result;
-other columns of ``docs`` are not read.
+other columns of ``docs`` serve only to tell rows apart.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from jobsift.llm.common import SALTS, arrow_rows, arrow_schema, each_salt, quoted, row_hash, salt_of
+from jobsift.llm.common import SALTS, arrow_rows, arrow_schema, batch_of, quoted, row_hash, salt_of
 
 NODE_BYTES = 400  # rough cost of a node besides its label
 PARTIAL = ("length long, content_hash long, sha binary, body binary, owner long, owner_hash long, "
            "n long, mask long")
-DIGESTS = "doc_id long, row_hash long, salt int, sha binary"
+DIGESTS = "doc_id long, row_hash long, salt int, sha binary, n int, head boolean"
 OWNERS = "sha binary, salt int, keep_id long, keep_hash long, group_size long"
 LABEL, CHILDREN, VALUE = 0, 1, 2
 
@@ -130,7 +134,7 @@ def merged_owners(keep: str):
     def close(trie):
         for _, (owner, tie, n, mask, sha) in trie.spill():
             for salt in range(SALTS):
-                if mask >> salt & 1:
+                if n >= SALTS or mask >> salt & 1:
                     yield sha, salt, owner, tie, n
 
     def rows(batches):
@@ -147,10 +151,23 @@ def merged_owners(keep: str):
 
 
 def digests(batches):
-    schema = arrow_schema(DIGESTS)
+    """Rows alike in every column are counted per batch before they are shuffled. Where a batch holds ``SALTS`` of them or
+    more, one stays at the row's own salt as ``head`` and the others go to a salt of the batch's: their group has
+    ``SALTS`` rows at least, so its owner stands at every salt."""
+    schema, task = arrow_schema(DIGESTS), TaskContext.get()
+    at = task.partitionId() if task else 0
     for batch in batches:
-        shas = [hashlib.sha256((x or b"").lower()).digest() for x in batch.column(3).to_pylist()]
-        yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(shas, pa.binary())], schema=schema)
+        alike: Counter = Counter()
+        for doc_id, row_hash, salt, body in zip(*(c.to_pylist() for c in batch.columns)):
+            alike[doc_id, row_hash, salt, hashlib.sha256((body or b"").lower()).digest()] += 1
+        rows = []
+        for row, n in alike.items():
+            rows.append((*row, n if n < SALTS else 1, True))
+            if n >= SALTS:
+                rows.append((*row[:2], at % SALTS, row[3], n - 1, False))
+        at += 1
+        if rows:
+            yield batch_of(rows, schema)
 
 
 def exact_dedup(docs: DataFrame, keep: str = "smallest", id_col: str = "doc_id", text_col: str = "text",
@@ -166,11 +183,13 @@ def exact_dedup(docs: DataFrame, keep: str = "smallest", id_col: str = "doc_id",
     owners = (partial.repartition("length", "content_hash").sortWithinPartitions("length", "content_hash")
               .mapInArrow(merged_owners(keep), OWNERS))
     looked = rows.mapInArrow(digests, DIGESTS).join(owners, ["sha", "salt"])
-    # rows alike in every column share sha and salt: numbered without a further exchange
-    twin = F.row_number().over(Window.partitionBy("sha", "salt", "doc_id", "row_hash").orderBy("doc_id"))
+    # heads of rows alike in every column share sha and salt, one a batch: numbered without a further exchange
+    same = Window.partitionBy("sha", "salt", "doc_id", "row_hash").orderBy(F.desc("head"))
     kept = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("row_hash") == F.col("keep_hash"))
-    return looked.withColumn("twin", twin).select(
-        "doc_id", "keep_id", "group_size", (kept & (F.col("twin") == 1)).alias("kept"),
+    first = F.col("head") & (F.row_number().over(same) == 1)
+    copies = F.explode(F.sequence(F.lit(1), F.col("n")))  # at most the rows of a batch
+    return looked.withColumn("first", first).withColumn("copy", copies).select(
+        "doc_id", "keep_id", "group_size", (kept & F.col("first") & (F.col("copy") == 1)).alias("kept"),
         F.lower(F.hex("sha")).alias("text_sha256"), "row_hash")
 
 

@@ -3,6 +3,7 @@ from collections import defaultdict
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from jobsift.llm.exact_dedup import RadixTrie, exact_dedup, merger
 
@@ -47,6 +48,29 @@ def test_colliding_hashes_and_spilled_subtrees(spark, odd):
     assert result(got) == expected(rows, True)
 
 
+def test_a_third_of_all_rows_alike(spark):
+    alike = [(7, "the same Row"), (None, None), (9, "THE SAME ROW")]
+    rows = [(7, "the same Row")] * 3000 + [(None, None)] * 500 + [(9, "THE SAME ROW")] * 63 + [(i, f"t{i % 900}") for i in range(3000)]
+    rows = [r for i in range(16) for r in rows[i::16]]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(16)
+    held = spark.createDataFrame(alike * 100, "doc_id long, text string").coalesce(1)
+    assert result(exact_dedup(df, keep="largest")) == expected(rows, True)
+    assert result(exact_dedup(df)) == expected(rows, False)
+    assert result(exact_dedup(held)) == expected(alike * 100, False)
+
+
+def test_rows_alike_are_spread_over_tasks(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.range(0, 64_000, 1, 32).select(F.lit(5).cast("long").alias("doc_id"), F.lit("one text").alias("text"))
+        per_task = exact_dedup(df).groupBy(F.spark_partition_id()).agg(F.count("*").alias("n"), F.sum(F.col("kept").cast("int")).alias("kept"))
+        got = per_task.collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(r.n for r in got) == 64_000 and sum(r.kept for r in got) == 1
+    assert max(r.n for r in got) < 32_000
+
+
 def test_only_ascii_letters_are_folded(spark):
     rows = [(1, "ÉTÉ"), (2, "été"), (3, "Été"), (4, "ÉTé"), (5, "ÉtÉ")]
     got = {r.doc_id: r.keep_id for r in exact_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
