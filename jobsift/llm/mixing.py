@@ -35,6 +35,7 @@ from jobsift.llm.common import each_salt, mask_of, quoted, row_hash, salt_of
 from jobsift.operators.ordering import ordinals, pinned_order
 
 BUCKET = 64
+COPIES = 4096  # copies of one row that are numbered at once
 NEAR = 0.005
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -119,6 +120,17 @@ def make_good(units: Column, miss: Column) -> Column:
     return F.aggregate(by_size, start, step)
 
 
+def numbered(rows: DataFrame) -> DataFrame:
+    """``n`` rows for each row, ``no`` from 1: the first ``COPIES`` where the row is, further ones dealt to tasks in
+    runs of ``COPIES``, so that neither an array nor a task holds all copies of a row. The numbers do not depend on it."""
+    run = F.lit(COPIES).cast("long")
+    first = rows.withColumn("from", F.lit(0).cast("long"))
+    more = (rows.where(F.col("n") > COPIES)
+            .withColumn("from", F.explode(F.sequence(run, F.col("n") - 1, run))).repartition("row_hash", "doc_id", "from"))
+    no = F.explode(F.sequence(F.col("from") + 1, F.least(F.col("from") + run, F.col("n"))))
+    return first.unionByName(more).withColumn("no", no).drop("n", "from")
+
+
 def mix(docs: DataFrame, most: float = 3.0, cycle: int = 3, id_col: str = "doc_id", text_col: str = "text",
         source_col: str = "source") -> DataFrame:
     """One row per row of ``docs``: doc_id, size, source_size, target, taken, copies, source, row_hash."""
@@ -127,7 +139,7 @@ def mix(docs: DataFrame, most: float = 3.0, cycle: int = 3, id_col: str = "doc_i
                        quoted(source_col).cast("string").alias("source"), size.alias("size"))
     # identical rows are counted before they are dealt, then numbered: their names differ
     rows = rows.groupBy("source", "doc_id", "row_hash", "size").agg(F.count("*").alias("n"))
-    units = (rows.withColumn("no", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n")))).drop("n")
+    units = (numbered(rows)
              .withColumn("salt", salt_of(F.col("row_hash"), F.col("doc_id"), F.col("no"))).checkpoint())
     targets = source_targets(units, cycle, most).checkpoint()
     salted = targets.select(F.col("source").alias("of"), "source_size", "n_sized", "target",

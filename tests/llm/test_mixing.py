@@ -3,7 +3,7 @@ from collections import defaultdict
 
 from tests.conftest import rows as sorted_rows
 
-from jobsift.llm.mixing import mix
+from jobsift.llm.mixing import mix, numbered
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -86,3 +86,20 @@ def test_sources_of_mostly_wordless_rows(spark):
     rows += [(k * 2000 + 1000 + i, "w " * (3 + 4 * i), "en", f"s{k}") for k in range(6) for i in range(2)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
     check(df, mix(df).collect(), near=None)
+
+
+def test_a_third_of_all_rows_alike(spark, monkeypatch):
+    rows = [(1, "one row of five words", "a")] * 700 + [(2, None, "a")] * 100 + [(i, "some words " * (i % 9), "abc"[i % 3]) for i in range(1300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(6)
+    whole = sorted_rows(mix(df), "doc_id", "copies", "taken", "size")
+    monkeypatch.setattr("jobsift.llm.mixing.COPIES", 64)  # runs of copies dealt to tasks: the same names, so the same mix
+    assert sorted_rows(mix(df), "doc_id", "copies", "taken", "size") == whole
+    check(df, mix(df).collect())
+
+
+def test_numbers_of_copies(spark, monkeypatch):
+    monkeypatch.setattr("jobsift.llm.mixing.COPIES", 4)
+    df = spark.createDataFrame([(i, i, n) for i, n in enumerate([1, 3, 4, 5, 8, 9, 30])], "row_hash long, doc_id long, n long")
+    got = numbered(df)
+    assert sorted_rows(got, "doc_id", "no") == [(i, k) for i, n in enumerate([1, 3, 4, 5, 8, 9, 30]) for k in range(1, n + 1)]
+    assert numbered(df.limit(0)).count() == 0
