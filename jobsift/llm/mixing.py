@@ -138,7 +138,7 @@ def mix(docs: DataFrame, most: float = 3.0, cycle: int = 3, id_col: str = "doc_i
     rows = docs.select(quoted(id_col).cast("long").alias("doc_id"), row_hash(docs).alias("row_hash"),
                        quoted(source_col).cast("string").alias("source"), size.alias("size"))
     # identical rows are counted before they are dealt, then numbered: their names differ
-    rows = rows.groupBy("source", "doc_id", "row_hash", "size").agg(F.count("*").alias("n"))
+    rows = rows.groupBy("source", "doc_id", "row_hash", "size").agg(F.count("*").alias("n")).checkpoint()
     units = (numbered(rows)
              .withColumn("salt", salt_of(F.col("row_hash"), F.col("doc_id"), F.col("no"))).checkpoint())
     targets = source_targets(units, cycle, most).checkpoint()
