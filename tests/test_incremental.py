@@ -120,3 +120,22 @@ def test_observed_batches(spark, tmp_path):
     counted = good.repartition(1).withColumn("job_title", F.udf(count)("job_title"))
     landed, totals = sync.land_observed(counted, str(tmp_path / "5"))
     assert totals == {"rows": 2, "most": 1, "nulls": 0} and landed.count() == 2 and seen.value == 2  # one scan
+
+
+def test_requests_meet_postings_by_term_numbers_in_parts(spark, monkeypatch):
+    """Pairs are made by equal keys in parts of few pairs, without a text comparison, a distinct or a nested loop on pairs;
+    short terms, requests without terms and repeated requests are whole."""
+    monkeypatch.setattr(search_index, "PAIRS", 4, raising=False)
+    job = spark.createDataFrame([*POSTS, *[post(f"q{i}", title="Data", low=i) for i in range(20)]], JOB)
+    more = [(None, "Data", None, None, None), (20, "Data", None, None, "5"), (20, "Data", None, None, "5"), (21, "D", "ta", "l", None)]
+    asked = spark.createDataFrame([*REQUESTS, *more], "request_id long, keyword string, job_title string, location string, salary string")
+    out = search_index.search_requests(job, asked, "like", block=2)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "LIKE" not in plan and "Aggregate" not in plan and "pmod" in plan
+    joins = out._jdf.queryExecution().sparkPlan().toString()
+    assert "NestedLoop" not in joins and "Cartesian" not in joins
+    want = []
+    for r in [*REQUESTS, *more]:
+        spec = SearchSpec(keyword=r[1], job_title=r[2], location=r[3], salary=r[4], match="like")
+        want += [(r[0], x.job_code) for x in search.search(job, spec).collect()]
+    assert sorted(map(str, ((r.request_id, r.job_code) for r in out.collect()))) == sorted(map(str, want))
