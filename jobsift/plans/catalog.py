@@ -494,6 +494,7 @@ def batch_policy_observed(t: Tables) -> DataFrame:
 
 
 LANDED_FILES = 32  # a crawl lands many files; each one is a split of the readers
+FILE_PAGES = 1 << 17
 CONTRACT_PREFIX = "https://www.board-c.example/job/"
 
 
@@ -834,8 +835,10 @@ def html_detail_roundtrip(t: Tables) -> DataFrame:
                                           ("edu_level", F.col("edu_level")), ("skills", F.col("skills")))],
         F.lit("</div></body></html>"))
     path = scratch_path(t.spark, "html-details")
-    j.select(F.concat(F.lit("https://www.board-b.example/job-"), F.col("job_code"), F.lit(".html")).alias("url"),
-             page.alias("html")).repartition(LANDED_FILES).write.parquet(path)
+    # dealt before the pages are made: postings are a fraction of their pages, and a deal by key sorts nothing
+    j.repartition(LANDED_FILES, "job_code").select(
+        F.concat(F.lit("https://www.board-b.example/job-"), F.col("job_code"), F.lit(".html")).alias("url"),
+        page.alias("html")).write.option("maxRecordsPerFile", FILE_PAGES).parquet(path)
     recs = html.detail_records(t.spark.read.parquet(path))
     return recs.select("job_code", "job_title", "company_name", "job_location", "salary_period",
                        "min_salary", "max_salary", "edu_level", "skills",

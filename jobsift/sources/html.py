@@ -103,7 +103,10 @@ def detail_records(pages: DataFrame, url_col: str = "url", html_col: str = "html
     repeats, the last one holds. Pay text yields (min, max) or (0, 0).
     """
 
-    @F.pandas_udf("title string, company string, pairs map<string,string>")
+    labels = list(S.DETAIL_LABELS)
+    names = ["title", "company", *[f"v{i}" for i in range(len(labels))]]
+
+    @F.pandas_udf(", ".join(f"{n} string" for n in names))
     def fields(htmls: pd.Series) -> pd.DataFrame:
         def one(h):
             root = dom.parse(h or "")
@@ -116,11 +119,12 @@ def detail_records(pages: DataFrame, url_col: str = "url", html_col: str = "html
                         value = label.later_sibling("div")
                         if value is not None:
                             pairs[label.text()] = value.text()
-            return (title.text() if title is not None else None, company.text() if company is not None else None, pairs)
-        return pd.DataFrame([one(h) for h in htmls], columns=["title", "company", "pairs"])
+            return (title.text() if title is not None else None, company.text() if company is not None else None,
+                    *[pairs.get(x) for x in labels])
+        return pd.DataFrame([one(h) for h in htmls], columns=names, dtype=object)
 
     p = pages.select(url_col, fields(html_col).alias("_f"))
-    f = {field: F.col("_f.pairs")[label] for label, field in S.DETAIL_LABELS.items()}
+    f = {S.DETAIL_LABELS[label]: F.col(f"_f.v{i}") for i, label in enumerate(labels)}
     pay = X.parse_monthly_range(f["salary_period"])
     return p.select(
         F.col("_f.title").alias("job_title"),

@@ -305,3 +305,35 @@ def test_variant_fields_by_path(spark):
         (1, "t", 12, ""), (2, None, None, "n"), (3, None, None, ""), (4, None, None, ""), (5, None, None, ""),
         (6, None, None, ""), (7, None, None, ""), (8, None, None, ""), (9, None, 3, "")]
     assert {r.page_id: r.malformed for r in got.collect() if r.malformed is not None} == {4: '{"a":'}
+
+
+def test_plain_pages_give_the_standard_parsers_tree(monkeypatch):
+    """Pages of plain tags are read without the standard parser; whatever is read so has the tree that it gives."""
+    import random
+
+    from jobsift.sources import dom
+
+    def tree(e):
+        return [c if isinstance(c, str) else (c.tag, c.attrs, c.classes, c.place, tree(c)) for c in e.children]
+
+    def standard(html):
+        b = dom._Builder()
+        b.feed(html)
+        b.close()
+        return b.root
+
+    bits = ["<div>", "</div>", "<p class='a  b'>", "</p>", '<A HREF="Q" id="x">', "</a >", "<br>", "<br/>", "text", "&amp;", "&am", "a&b",
+            "<", ">", '"', "<!-- c -->", "<!---->", "<!--->", "<!DOCTYPE html>", "<?x?>", "<script>", "</script>", "<title>", "</title>",
+            '<a href="x&amp;y">', '<a href="x>y">', "<a href=x>", "<a b='1' b>", "<a b='1'c='2'>", "<div/>", "</a b>", "\n", "</>"]
+    draw, plain = random.Random(5), 0
+    for _ in range(20000):
+        page = "".join(draw.choice(bits) for _ in range(draw.randint(1, 8)))
+        quick = dom._plain(page)
+        plain += quick is not None
+        assert tree(dom.parse(page)) == tree(standard(page)), page
+    assert plain > 1000
+
+    page = '<!doctype html><html><h1 class="t">A&amp;B</h1><script>x & y</script><p>c<br>d</html>'
+    want = tree(standard(page))
+    monkeypatch.setattr(dom, "_Builder", None)
+    assert tree(dom.parse(page)) == want and dom.parse(page).first("h1", "t").text() == "A&B"
