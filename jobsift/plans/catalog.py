@@ -126,14 +126,14 @@ def history_incremental(t: Tables) -> DataFrame:
     path, counts = scratch_path(t.spark, "history"), scratch_path(t.spark, "signed-counts")
     every, pairs = (sync.land(df, scratch_path(t.spark, "tables")) for df in (t.job, t.job_category))
     jobs = every.where(F.col("create_date") < F.lit(B.SYNC_CUTOFF).cast("timestamp_ntz"))
-    bridge = pairs.join(jobs.select("job_code"), "job_code", "left_semi")
+    bridge = sync.land(pairs.join(jobs.select("job_code"), "job_code", "left_semi"), scratch_path(t.spark, "bridge"))
     history.upsert_history(path, history.posting_snapshot(jobs, bridge, "2001-08-31", vocab=V))
     for site, since, date in ((B.SYNC_SITE, B.SYNC_BATCH_FROM, B.SYNC_LOAD_DATE), ("www.europe", "1997-01-01", "2001-09-02")):
         batch = every.where(F.col("job_source").contains(site) & (F.col("create_date") >= F.lit(since).cast("timestamp_ntz")))
-        added = pairs.join(batch.select("job_code"), "job_code", "left_semi")
+        added = sync.land(pairs.join(batch.select("job_code"), "job_code", "left_semi"), scratch_path(t.spark, "added"))
         for _ in range(2):
-            signed = history.signed_counts(sync.sync_changes(jobs, batch, site), bridge, added, vocab=V)
-            history.put_counts(signed, counts, date, site)
+            changes = sync.land(sync.sync_changes(jobs, batch, site), scratch_path(t.spark, "changes"))  # read three times
+            history.put_counts(history.signed_counts(changes, bridge, added, vocab=V), counts, date, site)
         history.upsert_history(path, history.day_from_counts(t.spark, path, counts, date, vocab=V))
         after = sync.land(sync.sync_jobs(jobs, batch, site), scratch_path(t.spark, "synced"))
         bridge = sync.land(sync.cascade_categories(bridge, added, after), scratch_path(t.spark, "bridge"))

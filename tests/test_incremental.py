@@ -139,3 +139,19 @@ def test_requests_meet_postings_by_term_numbers_in_parts(spark, monkeypatch):
         spec = SearchSpec(keyword=r[1], job_title=r[2], location=r[3], salary=r[4], match="like")
         want += [(r[0], x.job_code) for x in search.search(job, spec).collect()]
     assert sorted(map(str, ((r.request_id, r.job_code) for r in out.collect()))) == sorted(map(str, want))
+
+
+def test_signed_counts_of_the_query_read_landed_tables(spark, monkeypatch):
+    """What the counts read several times is derived once per sync: every input of ``signed_counts`` is a scan of files."""
+    from jobsift.plans import catalog
+    from tests.conftest import SMOKE
+
+    plans, plain = [], history.signed_counts
+
+    def watched(changes, categories, new_categories, vocab):
+        plans.extend(df._jdf.queryExecution().optimizedPlan().toString() for df in (changes, categories, new_categories))
+        return plain(changes, categories, new_categories, vocab)
+
+    monkeypatch.setattr(catalog.history, "signed_counts", watched)
+    assert catalog.QUERIES["history_incremental"](spark, SMOKE).count() == 3
+    assert len(plans) == 12 and not any("Join" in p or "Aggregate" in p for p in plans)
