@@ -9,8 +9,12 @@ if its first and its last k-1 words are (Apriori), so the levels go up one word
 2. For k = 2, 3, ...: the frequent phrases of up to k-1 words go out as a double-array trie. In
    each task numpy advances the states of all text positions at once, level by
    level. A position whose state accepts and whose next position's state accepts as
-   well starts an Apriori-safe candidate. Candidates get numbers within the task, ``bincount`` counts
-   them, and Spark sums the shards' counts. Those below ``least`` go.
+   well starts an Apriori-safe candidate. Each level is done in three steps (Park, Chen and Yu's hashing
+   and pruning): the texts are cut down to the words of candidates; all candidates are counted by the
+   bucket that their words hash to, and the buckets' counts are summed over the tasks; the candidates of
+   buckets that reach ``least`` are counted per task, Spark sums the tasks' counts, and those below
+   ``least`` go. A phrase is at most as frequent as its bucket, so no frequent one is lost. Only such
+   candidates become rows: about the frequent ones, once per task, not every window of frequent parts.
 3. Cuts, scores and the dropping of parts of longer phrases are joins of the
    frequent phrases, in exact decimal arithmetic.
 
@@ -18,7 +22,9 @@ The candidates themselves are never broadcast: there are as many as different wi
 which grows with the corpus. The tries hold frequent phrases only and go out in blocks of about ``block``
 phrases, by hash of the first word, one scan of the numbered texts per block; words are numbered block by block as
 well. With several blocks the second half of a candidate is tested only where its first word is
-in the same block, which lets more candidates be counted and changes no count.
+in the same block, which lets more candidates be counted and changes no count. Buckets number about ``SPARE``
+candidates' occurrences for each ``least`` (2^``BITS`` at most; then more candidates are counted, none is lost); one bit
+each goes out.
 
 Defined cases: a null text is empty; a null language is ``und``; repeated rows count
 each; an empty table gives no rows; no other column is read. Long texts are handled whole, about ``CHUNK``
@@ -42,6 +48,7 @@ LEAST, LONGEST, TOP = 100, 5, 2000
 BLOCK = 1 << 18
 CHUNK = 1 << 21
 HELD = 1 << 20
+SPARE, BITS, SLICES = 8, 29, 1 << 10
 #: byte -> itself lowered; line ends and .,;:!? become a line feed, a tab a blank
 CLEAN = bytes(b + 32 if 0x41 <= b <= 0x5A else 0x0A if b in b".,;:!?\n\x0b\x0c\r" else 0x20 if b == 9 else b for b in range(256))
 
@@ -203,37 +210,146 @@ def windows(trie: DoubleArray, ids: np.ndarray, k: int, whole: bool) -> tuple[np
         return at, first[at] * len(trie.check) + second[at]
     here = trie.start(ids[1:len(first) + 1]) >= 0  # the second half is known only where its first word is in this block
     at = np.flatnonzero((first >= 0) & (ids[k - 1:] >= 0) & ((second >= 0) | ~here))
-    last, code = np.unique(ids[at + k - 1], return_inverse=True)
-    return at, first[at] * len(last) + code
+    return at, first[at] << 31 | ids[at + k - 1]
 
 
-def counted(sent, k: int, whole: bool):
-    """Rows (w1, ..., wk, n): candidates of the block's trie with their counts in this task's texts."""
-    names = ", ".join(f"w{i} int" for i in range(1, k + 1)) + ", n long"
-    schema = arrow_schema(names)
+def shards(batches, k: int):
+    """The numbered texts of a task, about ``CHUNK`` positions at a time, where they can hold ``k`` words."""
+    held, size = [], 0
+    for batch in batches:
+        for ids in batch.column(0).to_pylist():
+            held.append(np.frombuffer(ids, np.int32))
+            size += len(held[-1])
+            if size >= CHUNK:
+                yield np.concatenate(held).astype(np.int64)  # a break ends every text
+                held, size = [], 0
+    if size >= k:
+        yield np.concatenate(held).astype(np.int64)
+
+
+def trimmed(sent, k: int, whole: bool):
+    """Rows (ids): the runs of words that stand in a candidate, a break behind each."""
+    schema = arrow_schema("ids binary")
+
+    def run(batches):
+        def out():
+            for ids in shards(batches, k):
+                at, _ = windows(sent.value, ids, k, whole)
+                edges = np.zeros(len(ids) + 1, np.int8)
+                edges[at] += 1
+                edges[at + k] -= 1
+                use = np.cumsum(edges[:-1], dtype=np.int32) > 0
+                left = np.where(use, ids, -1)[use | np.append(False, use[:-1])]
+                if len(left):
+                    yield (left.astype(np.int32).tobytes(),)
+
+        return arrow_rows(out(), schema, heavy=0)
+
+    return run
+
+
+def buckets(ids: np.ndarray, at: np.ndarray, k: int, bits: int) -> np.ndarray:
+    """The bucket, one of 2^``bits``, of the ``k`` words at each position."""
+    h = np.zeros(len(at), np.uint64)
+    for i in range(k):
+        h = (h ^ ids[at + i].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(32)
+    return (h * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def bucketed(sent, k: int, whole: bool, bits: int, least: int):
+    """Rows (slice, at, n): places within the slice of the buckets met in a shard, and their counts up to ``least``."""
+    schema = arrow_schema("slice int, at binary, n binary")
+    width = (1 << bits) // SLICES
+    places, counts = np.min_scalar_type(width - 1), np.min_scalar_type(least)
 
     def run(batches):
-        trie = sent.value
+        def out():
+            for ids in shards(batches, k):
+                at, _ = windows(sent.value, ids, k, whole)
+                met, n = np.unique(buckets(ids, at, k, bits), return_counts=True)
+                place, n = (met % width).astype(places), np.minimum(n, least).astype(counts)
+                edges = np.searchsorted(met, np.arange(SLICES + 1) * width)
+                for i in np.flatnonzero(np.diff(edges)):
+                    a, b = edges[i:i + 2]
+                    yield int(i), place[a:b].tobytes(), n[a:b].tobytes()
+
+        return arrow_rows(out(), schema, heavy=1)
+
+    return run
+
 
-        def shards():
-            held, size = [], 0
+def full_slices(bits: int, least: int):
+    """Rows (slice, full) of rows (slice, at, n) in slice order: a bit for each bucket, set where its counts reach ``least``."""
+    schema = arrow_schema("slice int, full binary")
+    width = (1 << bits) // SLICES
+    places, counts = np.min_scalar_type(width - 1), np.min_scalar_type(least)
+
+    def run(batches):
+        def out():
+            now, total = None, np.zeros(width, np.int64)
             for batch in batches:
-                for ids in batch.column(0).to_pylist():
-                    held.append(np.frombuffer(ids, np.int32))
-                    size += len(held[-1])
-                    if size >= CHUNK:
-                        yield np.concatenate(held).astype(np.int64)  # a break ends every text
-                        held, size = [], 0
+                for i, at, n in zip(*batch.columns):
+                    if i.as_py() != now:
+                        if now is not None and (total >= least).any():
+                            yield now, np.packbits(total >= least).tobytes()
+                        now, total = i.as_py(), np.zeros(width, np.int64)
+                    total[np.frombuffer(at.as_buffer(), places)] += np.frombuffer(n.as_buffer(), counts)
+            if now is not None and (total >= least).any():
+                yield now, np.packbits(total >= least).tobytes()
+
+        return arrow_rows(out(), schema, heavy=1)
+
+    return run
+
+
+def full_buckets(texts: DataFrame, sent, k: int, whole: bool, bits: int, least: int) -> np.ndarray:
+    """A bit for each of the 2^``bits`` buckets: whether all its candidates together reach ``least``."""
+    rows = texts.mapInArrow(bucketed(sent, k, whole, bits, least), "slice int, at binary, n binary")
+    rows = rows.repartition("slice").sortWithinPartitions("slice")
+    full = np.zeros((SLICES, (1 << bits) // SLICES // 8), np.uint8)
+    for i, line in rows.mapInArrow(full_slices(bits, least), "slice int, full binary").collect():  # 2^(bits - 3) bytes
+        full[i] = np.frombuffer(line, np.uint8)
+    return full.reshape(-1)
+
+
+def summed(parts: list[tuple]) -> list[tuple]:
+    """One (keys, words, n) of several, each key once."""
+    keys, words, n = (np.concatenate(c) for c in zip(*parts))
+    keys, shown, number = np.unique(keys, return_index=True, return_inverse=True)
+    total = np.zeros(len(keys), np.int64)
+    np.add.at(total, number, n)
+    return [(keys, words[shown], total)]
+
+
+def counted(sent, full, k: int, whole: bool, bits: int):
+    """Rows (w1, ..., wk, n): the block's candidates in full buckets with their counts in this task's texts."""
+    names = ", ".join(f"w{i} int" for i in range(1, k + 1)) + ", n long"
+    schema = arrow_schema(names)
+
+    def run(batches):
+        trie, bitmap = sent.value, full.value
+
+        def parts():
+            held = []
+            for ids in shards(batches, k):
+                at, key = windows(trie, ids, k, whole)
+                b = buckets(ids, at, k, bits)
+                use = bitmap[b >> 3] >> (7 - (b & 7)).astype(np.uint8) & 1 > 0
+                at, key = at[use], key[use]
+                key, shown, n = np.unique(key, return_index=True, return_counts=True)
+                words = ids[at[shown][:, None] + np.arange(k)].astype(np.int32)
+                held.append((key, words, n))
+                if sum(len(p[0]) for p in held) > HELD:
+                    held = summed(held)
+                    if len(held[0][0]) > HELD // 2:
+                        yield held[0]
+                        held = []
             if held:
-                yield np.concatenate(held).astype(np.int64)
+                yield summed(held)[0]
 
-        for ids in shards():
-            if len(ids) < k:
-                continue
-            at, key = windows(trie, ids, k, whole)
-            _, shown, number = np.unique(key, return_index=True, return_inverse=True)
-            n, shown = np.bincount(number, minlength=len(shown)), at[shown]
-            columns = [pa.array(ids[shown + i].astype(np.int32)) for i in range(k)] + [pa.array(n.astype(np.int64))]
+        for _, words, n in parts():
+            columns = [pa.array(words[:, i]) for i in range(k)] + [pa.array(n.astype(np.int64))]
             yield from pa.Table.from_arrays(columns, schema=schema).to_batches(max_chunksize=1 << 16)
 
     return run, names
@@ -241,25 +357,40 @@ def counted(sent, k: int, whole: bool):
 
 def frequent_phrases(texts: DataFrame, words: DataFrame, least: int, longest: int, block: int) -> DataFrame:
     """(ids array<int>, n) of the frequent phrases of 2 to ``longest`` words; ``texts``: (ids), ``words``: (id, ...)."""
-    spark = texts.sparkSession
-    levels = [words.select(F.col("id").alias("w1"))]
+    spark, left = texts.sparkSession, None
+    levels = [words.select(F.col("id").alias("w1"), "n")]
     for k in range(2, longest + 1):
-        before = levels[-1].select(*[f"w{i}" for i in range(1, k)])
-        blocks, shards = math.ceil(before.count() / block), []
+        names, before, found = [f"w{i}" for i in range(1, k + 1)], levels[-1], []
+        size, load = before.agg(F.count("*"), F.sum("n")).first()  # a candidate starts with one of these
+        blocks = math.ceil(size / block)
+        whole = blocks == 1
         for b in range(blocks):
-            part = before.where(F.pmod(F.xxhash64("w1"), F.lit(blocks)) == b)
+            part = before.where(F.pmod(F.xxhash64("w1"), F.lit(blocks)) == b).select(*names[:-1])
             table = np.array([tuple(r) for r in part.toLocalIterator()], np.int64).reshape(-1, k - 1)  # about ``block`` rows
             if not len(table):
                 continue
             sent = spark.sparkContext.broadcast(DoubleArray(table[np.lexsort(table.T[::-1])]))
-            run, names = counted(sent, k, blocks == 1)
-            shard, _ = written(texts.mapInArrow(run, names).groupBy(*[f"w{i}" for i in range(1, k + 1)])
+            here, path = texts, None
+            if k > 2 or not whole:
+                here, path = written(texts.mapInArrow(trimmed(sent, k, whole), "ids binary"), f"trimmed-{k}")
+            bits = min(BITS, max(16, math.ceil(math.log2(SPARE * load / blocks / least))))
+            full = spark.sparkContext.broadcast(full_buckets(here, sent, k, whole, bits, least))
+            run, schema = counted(sent, full, k, whole, bits)
+            level, _ = written(here.mapInArrow(run, schema).groupBy(*names)
                                .agg(F.sum("n").alias("n")).where(F.col("n") >= least), f"phrases-{k}")
             sent.unpersist()
-            shards.append(shard)
-        if not shards:
+            full.unpersist()
+            found.append(level)
+            old = path
+            if path and whole:  # longer candidates stand in these texts too
+                texts, old, left = here, left, path
+            if old:
+                drop(spark, old)
+        if not found:
             break
-        levels.append(reduce(DataFrame.unionByName, shards))
+        levels.append(reduce(DataFrame.unionByName, found))
+    if left:
+        drop(spark, left)
     out = spark.createDataFrame([], "ids array<int>, n bigint")
     for k, level in enumerate(levels[1:], 2):
         out = out.unionByName(level.select(F.array(*[f"w{i}" for i in range(1, k + 1)]).alias("ids"), "n"))

@@ -2,11 +2,13 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from jobsift.llm import collocations as co
+from jobsift.llm.common import batch_of
 from tests.llm.conftest import plain, words
 
 A_Z = str.maketrans({c: c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"})
@@ -93,6 +95,76 @@ def test_double_array(phrases, ids):
                 assert seen.setdefault(int(s), phrase) == phrase  # a state is one phrase
 
 
+def test_rows_are_of_frequent_phrases(spark, monkeypatch):
+    """Windows of frequent pairs that are rare themselves are not made into rows."""
+    rows = [(f"{words(4000, i, 12)}. {'p q r s t. ' * 30}", "en") for i in range(6)]
+    counted, made, made_by = co.counted, {}, spark.sparkContext.accumulator
+
+    def noted(*args):
+        run, names = counted(*args)
+        n = made.setdefault(names.count(" int"), made_by(0))
+
+        def more(batches):
+            for batch in run(batches):
+                n.add(batch.num_rows)
+                yield batch
+
+        return more, names
+
+    monkeypatch.setattr(co, "counted", noted)
+    docs = plain(spark, [(i, t, v) for i, (t, v) in enumerate(rows)]).repartition(2)
+    assert got(docs, 100) == slow(rows, 100)
+    triples = Counter(tuple(w[i:i + 3]) for t, _ in rows for w in map(str.split, t.split(".")) for i in range(len(w) - 2))
+    assert len(triples) > 1700 and sum(n >= 100 for n in triples.values()) == 3
+    assert 0 < made[3].value <= 3 * len(rows)
+
+
+class Sent:
+    def __init__(self, value):
+        self.value = value
+
+
+@pytest.mark.parametrize("whole", [True, False])
+@pytest.mark.parametrize("k", [2, 3, 4])
+def test_trimmed_and_counted_by_shard(monkeypatch, k, whole):
+    """Cutting texts down changes no candidate; shards of a task are summed, and left when there are many; no full bucket is lost."""
+    monkeypatch.setattr(co, "CHUNK", 150)
+    monkeypatch.setattr(co, "HELD", 40)
+    rng = np.random.default_rng(k)
+    lines = [np.append(rng.integers(-1, 6, 60), -1).astype(np.int32) for _ in range(40)]
+    parts = [np.array(p) for p in {tuple(rng.integers(0, 6, k - 1).tolist()) for _ in range(12)}]
+    parts = np.array(sorted({tuple(p[:n].tolist()) + (-1,) * (k - 1 - n) for p in parts for n in range(1, k)}))
+    known = {tuple(p.tolist()) for p in parts if -1 not in p}
+    sent = Sent(co.DoubleArray(parts))
+
+    def candidates(line):
+        for w in (tuple(line[i:i + k].tolist()) for i in range(len(line) - k + 1)):
+            if w[:-1] in known and -1 not in w and (w[1:] in known or not whole and w[1] not in parts[:, 0]):
+                yield w
+
+    want = Counter(w for line in lines for w in candidates(line))
+    texts = [pa.record_batch([pa.array([x.tobytes() for x in lines[i:i + 7]], pa.binary())], ["ids"]) for i in range(0, 40, 7)]
+    short = list(co.trimmed(sent, k, whole)(texts))
+    assert Counter(w for b in short for ids in b.column(0).to_pylist() for w in candidates(np.frombuffer(ids, np.int32))) == want
+    assert sum(len(ids) for b in short for ids in b.column(0).to_pylist()) <= sum(x.nbytes for x in lines)
+
+    bits = 16
+    for least in (1, max(want.values())):
+        slices = sorted(row for b in co.bucketed(sent, k, whole, bits, least)(short) for row in zip(*(c.to_pylist() for c in b.columns)))
+        full = np.zeros((co.SLICES, 8), np.uint8)
+        for b in co.full_slices(bits, least)([batch_of(slices, co.arrow_schema("slice int, at binary, n binary"))]):
+            for i, line in zip(*(c.to_pylist() for c in b.columns)):
+                full[i] = np.frombuffer(line, np.uint8)
+        run, _ = co.counted(sent, Sent(full.reshape(-1)), k, whole, bits)
+        found = Counter()
+        for b in run(short):
+            for *w, n in zip(*(c.to_pylist() for c in b.columns)):
+                found[tuple(w)] += n
+        assert all(found[w] == want[w] for w in found)
+        assert {w for w in want if want[w] >= least} <= set(found)
+        assert found == want if least == 1 else len(found) < len(want)
+
+
 def test_scores_beyond_64_bits(spark):
     big = 4_000_000_007
     got = co.scored(spark.createDataFrame([("en", "p", 2 * big), ("en", "q", 3 * big)], "lang string, word string, n long"),
