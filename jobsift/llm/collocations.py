@@ -358,6 +358,7 @@ def counted(sent, full, k: int, whole: bool, bits: int):
 def frequent_phrases(texts: DataFrame, words: DataFrame, least: int, longest: int, block: int) -> DataFrame:
     """(ids array<int>, n) of the frequent phrases of 2 to ``longest`` words; ``texts``: (ids), ``words``: (id, ...)."""
     spark, left = texts.sparkSession, None
+    tasks = 2 * spark.sparkContext.defaultParallelism
     levels = [words.select(F.col("id").alias("w1"), "n")]
     for k in range(2, longest + 1):
         names, before, found = [f"w{i}" for i in range(1, k + 1)], levels[-1], []
@@ -376,7 +377,8 @@ def frequent_phrases(texts: DataFrame, words: DataFrame, least: int, longest: in
             bits = min(BITS, max(16, math.ceil(math.log2(SPARE * load / blocks / least))))
             full = spark.sparkContext.broadcast(full_buckets(here, sent, k, whole, bits, least))
             run, schema = counted(sent, full, k, whole, bits)
-            level, _ = written(here.mapInArrow(run, schema).groupBy(*names)
+            # A frequent phrase is a row of nearly every task: a fixed number of tasks, not one for each split of a growing corpus.
+            level, _ = written(here.coalesce(tasks).mapInArrow(run, schema).groupBy(*names)
                                .agg(F.sum("n").alias("n")).where(F.col("n") >= least), f"phrases-{k}")
             sent.unpersist()
             full.unpersist()
