@@ -141,6 +141,44 @@ def test_requests_meet_postings_by_term_numbers_in_parts(spark, monkeypatch):
     assert sorted(map(str, ((r.request_id, r.job_code) for r in out.collect()))) == sorted(map(str, want))
 
 
+def joined_rows(out):
+    """Rows that each join of the last stage of a run query made."""
+    plan, found = out._jdf.queryExecution().executedPlan().executedPlan(), []
+
+    def walk(node):
+        if node.nodeName() == "ResultQueryStage":
+            node = node.plan()
+        if "Join" in node.nodeName():
+            found.append(node.metrics().apply("numOutputRows").value())
+        for i in range(node.children().size()):
+            walk(node.children().apply(i))
+
+    walk(plan)
+    return found
+
+
+@pytest.mark.parametrize("ids, span", [(1 << 10, 1 << 14), (4, 10)])
+def test_requests_for_the_same_terms_meet_a_posting_as_one(spark, monkeypatch, ids, span):
+    """A posting meets blocks of requests, whatever their bounds; a term of many requests is dealt into spans of them; ids that are null
+    or come twice, and requests without a bound, are whole."""
+    monkeypatch.setattr(search_index, "IDS", ids, raising=False)
+    monkeypatch.setattr(search_index, "SPAN", span, raising=False)
+    job = spark.createDataFrame([post(f"q{i}", title="Data", low=None if i == 9 else 10 * i) for i in range(20)], JOB)
+    many = [(i, "Data", None, None, None if i % 3 == 0 else f"{i - 50}.5 a") for i in range(200)]
+    many += [(None, "Data", None, None, "15"), (None, "Data", None, None, None), (7, "Data", None, None, "15"), (7, "Data", None, None, "15")]
+    many += [(300 + i, None, "Data", "l", str(i)) for i in range(40)] + [(400, None, None, None, None), (401, None, None, None, "-0.0")]
+    asked = spark.createDataFrame(many, "request_id long, keyword string, job_title string, location string, salary string")
+    out = search_index.search_requests(job, asked, "like")
+    got = sorted(str((r.request_id, r.job_code)) for r in out.collect())
+    low = {f"q{i}": None if i == 9 else 10 * i for i in range(20)}
+    bound = [(r[0], r[4] and float(r[4].split()[0])) for r in many]
+    want = sorted(str((k, c)) for k, b in bound for c, x in low.items() if b is None or (x is not None and x > b))
+    assert got == want and len(got) > 2000
+    if ids > 4:
+        made = joined_rows(out)
+        assert made and sum(made) < len(got) / 5
+
+
 def test_signed_counts_of_the_query_read_landed_tables(spark, monkeypatch):
     """What the counts read several times is derived once per sync: every input of ``signed_counts`` is a scan of files."""
     from jobsift.plans import catalog
